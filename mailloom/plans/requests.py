@@ -30,22 +30,29 @@ from mailloom.schema import (
     SUCCESS,
 )
 
-#: Request options that are needed beside each message.
-_PER_MESSAGE = [
-    "state_folder", "batch_size", "fetch_mode", "include_headers", "include_attachments",
-    "incremental", "max_message_size", "max_attachment_size", "max_attachments",
-]
 _HEADER_COLUMNS = [
     "subject", "sender", "to_addr", "cc_addr", "received_ts", "sent_ts", "flags", "size",
     "message_id", "in_reply_to",
 ]
 
+#: What decides which messages of a folder a request reaches. Requests that
+#: agree in all of it share the work.
+_SELECTION = ["folder", "_last_uid", "batch_size", "fetch_mode", "max_message_size", "_search"]
+
+#: What decides how the messages are shown to one request.
+_DISPLAY = ["request_id", "state_folder", "incremental", "include_headers",
+            "include_attachments", "max_attachment_size", "max_attachments"]
+
 
 @dataclass
 class Handled:
-    """Rows delivered per request, and the requests with the output they go to."""
+    """Rows delivered per request, and the requests with the output they go to.
 
-    candidates: DataFrame
+    ``processed`` counts the messages each request found in each folder, before
+    cap and errors.
+    """
+
+    processed: DataFrame
     success: DataFrame
     attachments: DataFrame
     parse_error: DataFrame
@@ -54,21 +61,24 @@ class Handled:
 
 
 def _targets(requests: DataFrame, folders: DataFrame, cursors: DataFrame | None) -> DataFrame:
-    """(request, folder) pairs with the request's limits and the folder's cursor."""
-    options = _PER_MESSAGE + (["search"] if "search" in requests.columns else [])
-    limits = requests.select(
-        "request_id", *options, F.col("folder").alias("_target")
+    """(request, folder) pairs with the request's options and the folder's cursor."""
+    search = F.col("search") if "search" in requests.columns else F.lit("")
+    options = requests.select(
+        *_DISPLAY, *[name for name in _SELECTION if name in requests.columns and name != "folder"],
+        F.coalesce(search, F.lit("")).alias("_search"),
+        F.col("folder").alias("_target"),
     )
     pairs = lookup_join(
-        resolve_folders(requests, folders), limits, ["request_id"], "inner", spread=["folder"]
+        resolve_folders(requests, folders), options, ["request_id"], "inner", spread=["folder"]
     ).withColumn("state_folder", F.coalesce("state_folder", "_target")).drop("_target")
     if cursors is None:
-        return pairs.withColumn("_last_uid", F.lit(None).cast("long"))
-    last = cursors.filter(F.col("last_uid") >= 0).select(
-        "state_folder", "folder", F.col("last_uid").alias("_last_uid")
-    )
-    joined = pairs.join(last, ["state_folder", "folder"], "left")
-    return joined.withColumn("_last_uid", F.when(F.col("incremental"), F.col("_last_uid")))
+        return pairs.withColumn("_last_uid", F.lit(-1).cast("long"))
+    last = cursors.filter(F.col("last_uid") >= 0).select("state_folder", "folder", "last_uid")
+    return pairs.join(last, ["state_folder", "folder"], "left").withColumn(
+        "_last_uid",
+        F.when(F.col("incremental"), F.coalesce("last_uid", F.lit(-1))).otherwise(F.lit(-1))
+        .cast("long"),
+    ).drop("last_uid")
 
 
 def fetch_for_requests(
@@ -81,30 +91,42 @@ def fetch_for_requests(
 ) -> Handled:
     """Messages for every request at once; request options are filled in.
 
-    Requests are resolved to folders on the small folder table, then messages
-    are joined once, on folder. ``searches`` are named criteria that a request
-    can choose in its ``search`` column.
+    Requests are resolved to folders on the small folder table. Messages are
+    joined once, on folder, with the distinct selections of all requests; only
+    the few rows a selection keeps are handed to each request that asked for
+    them. ``searches`` are named criteria that a request can choose in its
+    ``search`` column.
     """
     targets = materialise(_targets(requests, folders, cursors))
     top = targets.agg(F.max("batch_size")).first()[0]
     ident = [name for name in ("uid", "msg_num") if name in messages.columns]
-    found = lookup_join(messages, targets, ["folder"], "inner", spread=ident)
-    if searches and "search" in requests.columns:
-        wanted = F.col("search").isNull()
+    found = lookup_join(
+        messages, targets.select(*_SELECTION).distinct(), ["folder"], "inner",
+        spread=ident, computed=True,
+    )
+    if searches:
+        wanted = F.col("_search") == ""
         for name, condition in searches.items():
-            wanted = wanted | ((F.col("search") == name) & condition)
+            wanted = wanted | ((F.col("_search") == name) & condition)
         found = found.filter(wanted)
     found = found.filter(
-        F.col("_last_uid").isNull() | (id_column(found) > F.col("_last_uid"))
-    ).drop("_last_uid").withColumn("batch_id", F.lit(batch_id).cast("string"))
-
-    routed = cap_per_folder(
+        (F.col("_last_uid") < 0) | (id_column(found) > F.col("_last_uid"))
+    )
+    capped = cap_per_folder(
         with_outcome(found, F.col("max_message_size"), F.col("fetch_mode")),
         F.col("batch_size"),
         F.col("relationship") == SUCCESS,
-        by=("request_id", "folder"),
+        by=tuple(_SELECTION),
         top_batch_size=top or 1,
+    ).withColumn("batch_id", F.lit(batch_id).cast("string"))
+
+    asked = targets.select(*_DISPLAY, *_SELECTION)
+    routed = lookup_join(capped, asked, _SELECTION, "inner", spread=ident)
+    counts = found.groupBy(*_SELECTION).agg(F.count(F.lit(1)).alias("processed"))
+    processed = targets.join(counts, _SELECTION, "inner").select(
+        "request_id", "folder", "processed"
     )
+
     delivered = routed.filter(F.col("relationship") == SUCCESS)
     body = F.col("content") if "content" in routed.columns else F.lit(None).cast("binary")
     shown = project_headers(
@@ -123,17 +145,15 @@ def fetch_for_requests(
     )
     if "parts" not in files.columns:
         files = files.withColumn("parts", F.lit(None).cast(MESSAGE["parts"].dataType))
-    delivered_uids = delivered.filter(F.col("uid") > 0).filter(F.col("incremental"))
+    reached = delivered.filter(F.col("uid") > 0).filter(F.col("incremental"))
     return Handled(
-        candidates=found,
+        processed=processed,
         success=success,
         attachments=attachments(
             files, F.col("max_attachment_size"), F.col("max_attachments"), keep=("request_id",)
         ),
         parse_error=error_rows(routed.filter(F.col("relationship") == PARSE_ERROR), "request_id"),
-        cursors=delivered_uids.groupBy("state_folder", "folder").agg(
-            F.max("uid").alias("last_uid")
-        ),
+        cursors=reached.groupBy("state_folder", "folder").agg(F.max("uid").alias("last_uid")),
     )
 
 

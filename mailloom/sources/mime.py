@@ -100,7 +100,7 @@ def decode_body(data: bytes, encoding: str | None) -> bytes:
                 octets += binascii.a2b_uu(line)
             raise MimeFault("missing end of uuencoded body")
     except binascii.Error as fault:
-        raise MimeFault(f"{name}: {fault}") from fault
+        raise MimeFault(f"incomplete {name} data") from fault
     raise MimeFault(f"Unknown encoding: {encoding}")
 
 

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailloom.operators.cursor import advance_cursor
 from mailloom.schema import CURSOR
 
+#: Steps between two full copies of the cursor table.
+SNAPSHOT_EVERY = 100
+
 
 def write_routes(tagged: DataFrame, path: str) -> None:
     """Write tagged rows, one folder per output. Writing again replaces them."""
@@ -18,19 +22,32 @@ def read_route(spark: SparkSession, path: str, relationship: str) -> DataFrame:
     return spark.read.parquet(path).filter(F.col("relationship") == relationship)
 
 
-def write_cursor_step(cursors: DataFrame, path: str, step: int) -> None:
-    """Write the cursors reached by one step. Writing the step again replaces it."""
-    cursors.select(*CURSOR.fieldNames()).write.mode("overwrite").parquet(
-        f"{path.rstrip('/')}/step={step}"
-    )
+def write_cursor_step(cursors: DataFrame, known: DataFrame, path: str, step: int) -> None:
+    """Write the cursors reached by a step. Writing the step again replaces it.
+
+    ``known`` are the cursors before the step. Every ``SNAPSHOT_EVERY`` steps
+    they are written along, so that reading never goes further back than that.
+    """
+    columns = CURSOR.fieldNames()
+    rows = cursors.select(*columns)
+    if step % SNAPSHOT_EVERY == 0:
+        rows = advance_cursor(known.select(*columns), rows)
+    rows.write.mode("overwrite").parquet(_step_path(path, step))
 
 
-def read_cursor_steps(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """Cursors as of a step: the highest value any earlier step reached."""
-    files = (
-        spark.read.schema(CURSOR).option("recursiveFileLookup", "false")
-        .option("basePath", path).parquet(path)
+def read_cursor_steps(spark: SparkSession, path: str, before: int) -> DataFrame:
+    """Cursors as of a step: the highest value any earlier step reached.
+
+    Steps are numbered from 0 without gaps.
+    """
+    if before <= 0:
+        return spark.createDataFrame([], CURSOR)
+    first = (before - 1) // SNAPSHOT_EVERY * SNAPSHOT_EVERY
+    files = spark.read.schema(CURSOR).parquet(
+        *[_step_path(path, step) for step in range(first, before)]
     )
-    if before is not None:
-        files = files.filter(F.col("step") < before)
     return files.groupBy("state_folder", "folder").agg(F.max("last_uid").alias("last_uid"))
+
+
+def _step_path(path: str, step: int) -> str:
+    return f"{path.rstrip('/')}/step={step}"

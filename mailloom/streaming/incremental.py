@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mailloom.operators.cursor import highest_uid
 from mailloom.plans.fetch import Fetched, fetch
-from mailloom.schema import CURSOR, FetchOptions
+from mailloom.schema import FetchOptions
 from mailloom.sources.sinks import read_cursor_steps, write_cursor_step, write_routes
 
 
@@ -36,12 +37,8 @@ def process_batch(
     per-run cap does not apply, because a stream does not offer a message
     again: limit its rate at the source.
     """
-    spark = batch.sparkSession
-    empty = spark.createDataFrame([], CURSOR)
-    # Step -1 holds no cursors; it makes the folder readable from the start.
-    if step == 0:
-        write_cursor_step(empty, state_path, -1)
-    known = read_cursor_steps(spark, state_path, before=step)
+    options = replace(options, incremental=True)
+    known = read_cursor_steps(batch.sparkSession, state_path, before=step)
     batch.persist()
     try:
         fetched = fetch(
@@ -49,7 +46,7 @@ def process_batch(
             batch_id=f"{options.state_key_base}-{step}", capped=False,
         )
         write_routes(fetched.tagged(), f"{out_path.rstrip('/')}/step={step}")
-        write_cursor_step(_with_state(fetched.cursors, options), state_path, step)
+        write_cursor_step(_with_state(fetched.cursors, options), known, state_path, step)
     finally:
         batch.unpersist()
     return fetched
