@@ -79,11 +79,14 @@ def message_attributes(columns: list[str], header_fault_at: Column | None = None
     return _as_map(pairs)
 
 
-def attachment_attributes() -> Column:
-    """Map of an attachment row; a missing size is ``unknown``."""
+def attachment_attributes(values: dict[str, Column] | None = None) -> Column:
+    """Map of an attachment row; a missing size is ``unknown``.
+
+    ``values`` stand in for columns that are named otherwise.
+    """
     pairs = []
     for name, column in ATTACHMENT_ATTRIBUTES.items():
-        value = F.col(column)
+        value = (values or {}).get(column, F.col(column))
         if column == "size":
             value = F.coalesce(value.cast("string"), F.lit("unknown"))
         pairs.append((name, value))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailloom.functions.text import is_blank, mime_type, not_negative
+from mailloom.operators.project import first_sender, header_fault_at, optional
 from mailloom.schema import HEADER_ORDER
 
 
@@ -68,43 +69,57 @@ def candidate_parts(parts: Column, max_size: Column) -> Column:
     )
 
 
+def attachment_heads(df: DataFrame) -> dict[str, Column]:
+    """What an attachment shows of its message.
+
+    Sender and parent id are missing where the From header could not be read.
+    """
+    from_read = header_fault_at(df) != HEADER_ORDER.index("from") + 1
+    return {
+        "parent_message_id": F.when(from_read, F.coalesce("message_id", F.lit(""))),
+        "subject": F.coalesce("subject", F.lit("")),
+        "sender": F.when(from_read, first_sender(df)),
+    }
+
+
+def attachment_columns(part: Column) -> dict[str, Column]:
+    """What an attachment shows of itself."""
+    return {
+        "part_path": part["part_path"],
+        "part_index": part["part_index"],
+        "filename": attachment_name(part["filename"], part["part_index"]),
+        "mime_type": mime_type(part["content_type"]),
+        "size": F.when(part["size"] > 0, part["size"]),
+        "content": part["content"],
+    }
+
+
+def kept_parts(candidates: Column, max_count) -> Column:
+    """Of the candidate parts, those before a fault and within the count cap."""
+    return cap_attachment_count(until_fault(candidates), max_count)
+
+
 def attachments(df: DataFrame, max_size=2**63 - 1, max_count=2**31 - 1, keep=()) -> DataFrame:
     """One row per kept attachment, linked to its message.
 
     ``max_size`` and ``max_count`` are numbers or Columns; ``keep`` names more
     columns of ``df`` to carry along.
     """
-    fault_at = F.lit(0)
-    if "header_fault" in df.columns:
-        order = F.array(*[F.lit(name) for name in HEADER_ORDER])
-        fault_at = F.coalesce(F.array_position(order, F.col("header_fault")), F.lit(0))
-    from_read = fault_at != HEADER_ORDER.index("from") + 1
-    sender = F.try_element_at("from_all", F.lit(1))
-    if "sender_all" in df.columns:
-        sender = F.coalesce(sender, F.try_element_at("sender_all", F.lit(1)))
     candidates = df.withColumn(
         "_parts", candidate_parts(F.col("parts"), _as_column(max_size))
     ).filter(F.size("_parts") > 0)
+    heads = attachment_heads(df)
     exploded = candidates.select(
         "folder",
         "uid",
-        F.when(from_read, F.coalesce("message_id", F.lit(""))).alias("parent_message_id"),
-        F.coalesce("subject", F.lit("")).alias("subject"),
-        F.when(from_read, F.coalesce(sender, F.lit("unknown"))).alias("sender"),
-        (F.col("batch_id") if "batch_id" in df.columns else F.lit(None).cast("string"))
-        .alias("batch_id"),
+        *[value.alias(name) for name, value in heads.items()],
+        optional(df, "batch_id", "string").alias("batch_id"),
         *keep,
-        F.explode(cap_attachment_count(until_fault(F.col("_parts")), max_count)).alias("part"),
+        F.explode(kept_parts(F.col("_parts"), max_count)).alias("part"),
     )
-    part = F.col("part")
     return exploded.select(
-        "folder", "uid", "parent_message_id", "subject", "sender", "batch_id", *keep,
-        part["part_path"].alias("part_path"),
-        part["part_index"].alias("part_index"),
-        attachment_name(part["filename"], part["part_index"]).alias("filename"),
-        mime_type(part["content_type"]).alias("mime_type"),
-        F.when(part["size"] > 0, part["size"]).alias("size"),
-        part["content"].alias("content"),
+        "folder", "uid", *heads, "batch_id", *keep,
+        *[value.alias(name) for name, value in attachment_columns(F.col("part")).items()],
     )
 
 

@@ -29,20 +29,22 @@ def header_fault_at(df: DataFrame) -> Column:
     return F.coalesce(F.array_position(order, F.col("header_fault")), F.lit(0))
 
 
-def _first_sender(df: DataFrame) -> Column:
+def first_sender(df: DataFrame) -> Column:
+    """First From address, else the Sender address, else ``unknown``."""
     first_from = F.try_element_at("from_all", F.lit(1))
     if "sender_all" in df.columns:
         first_from = F.coalesce(first_from, F.try_element_at("sender_all", F.lit(1)))
     return F.coalesce(first_from, F.lit("unknown"))
 
 
-def _optional(df: DataFrame, column: str, kind: str) -> Column:
+def optional(df: DataFrame, column: str, kind: str) -> Column:
+    """The column, or NULL in a table that does not have it."""
     return F.col(column) if column in df.columns else F.lit(None).cast(kind)
 
 
 def _base_columns(df: DataFrame) -> list[Column]:
     return [
-        _optional(df, "batch_id", "string").alias("batch_id"),
+        optional(df, "batch_id", "string").alias("batch_id"),
         F.col("folder"),
         F.when(F.col("uid") > 0, F.col("uid")).alias("uid"),
     ]
@@ -60,7 +62,7 @@ def header_columns(df: DataFrame) -> list[Column]:
     """
     shown = {
         "subject": ("subject", F.coalesce(F.col("subject"), F.lit(""))),
-        "from": ("sender", _first_sender(df)),
+        "from": ("sender", first_sender(df)),
         "to": ("to_addr", first_or(F.col("to_all"), "")),
         "cc": ("cc_addr", first_or(F.col("cc_all"), "")),
         "received": ("received_ts", F.col("received_ts")),
@@ -69,7 +71,7 @@ def header_columns(df: DataFrame) -> list[Column]:
         "size": ("size", not_negative(F.col("size"))),
         "message_id": ("message_id", F.coalesce(F.col("message_id"), F.lit(""))),
         "in_reply_to": (
-            "in_reply_to", F.coalesce(_optional(df, "in_reply_to", "string"), F.lit("")),
+            "in_reply_to", F.coalesce(optional(df, "in_reply_to", "string"), F.lit("")),
         ),
     }
     fault_at = header_fault_at(df)

@@ -7,18 +7,30 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailloom.functions.attributes import error_attributes, message_attributes
+from mailloom.functions.attributes import (
+    MESSAGE_ATTRIBUTES,
+    attachment_attributes,
+    error_attributes,
+    message_attributes,
+)
 from mailloom.functions.text import not_negative
 from mailloom.operators import criteria
-from mailloom.operators.attachments import attachments
+from mailloom.operators.attachments import (
+    attachment_columns,
+    attachment_heads,
+    attachments,
+    candidate_parts,
+    kept_parts,
+)
 from mailloom.operators.cursor import after_cursor, highest_uid
 from mailloom.operators.folders import in_folder, reachable_folders
 from mailloom.operators.joins import lookup_join
 from mailloom.operators.limits import cap_per_folder
 from mailloom.operators.project import (
-    attachments_with_attributes,
     fetch_rows,
+    header_columns,
     header_fault_at,
+    optional,
     with_batch_id,
 )
 from mailloom.operators.summary import run_summary
@@ -29,6 +41,7 @@ from mailloom.schema import (
     HEADERS_ONLY,
     MESSAGE,
     PARSE_ERROR,
+    PART,
     SUCCESS,
     FetchOptions,
 )
@@ -99,33 +112,69 @@ class Fetched:
         return run_summary(self.candidates)
 
     def tagged(self) -> DataFrame:
-        """All rows of the run in one shape: output, attributes and content."""
-        options = self.options
-        delivered = self.routed.filter(F.col("relationship") == SUCCESS)
-        # Which headers were read decides whether a missing date shows as empty.
-        shown = fetch_rows(
-            delivered.withColumn("_fault_at", header_fault_at(delivered)),
-            options.fetch_mode, options.include_headers, "_fault_at",
+        """All rows of the run in one shape: output, attributes and content.
+
+        One pass over the messages: each gives its own row, followed by the
+        rows of its attachments.
+        """
+        routed, part = self.routed, F.col("part")
+        success = F.col("relationship") == SUCCESS
+        body = F.lit(None).cast("binary")
+        if self.options.fetch_mode == FULL_MESSAGE and "content" in routed.columns:
+            body = F.when(success, F.col("content"))
+        itself = F.struct(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in PART.fields[:-1]],
+            body.alias("content"),
         )
-        none = F.lit(None).cast("binary")
-        rows = shown.select(
-            F.lit(SUCCESS).alias("relationship"),
-            "folder",
-            "uid",
-            message_attributes(shown.columns, F.col("_fault_at")).alias("attributes"),
-            (F.col("content") if "content" in shown.columns else none).alias("content"),
+        rows = F.array(itself)
+        if _wants_files(self.options) and "parts" in routed.columns:
+            max_size, max_count = _file_limits(self.options)
+            candidates = F.when(success, candidate_parts(F.col("parts"), F.lit(max_size)))
+            routed = routed.withColumn(
+                "_parts", F.coalesce(candidates, F.array().cast(MESSAGE["parts"].dataType))
+            )
+            rows = F.concat(rows, kept_parts(F.col("_parts"), max_count))
+
+        columns = {"batch_id": optional(routed, "batch_id", "string"), "folder": F.col("folder"),
+                   "uid": F.when(F.col("uid") > 0, F.col("uid"))}
+        heads = attachment_heads(routed)
+        shown = list(columns)
+        headers = header_columns(routed) if self.options.include_headers else []
+        exploded = routed.select(
+            *headers,
+            *[value.alias(name) for name, value in columns.items()],
+            *[value.alias(f"_{name}") for name, value in heads.items()],
+            "relationship", "error_type", "error_message",
+            header_fault_at(routed).alias("_fault_at"),
+            F.posexplode(rows).alias("_pos", "part"),
         )
-        files = attachments_with_attributes(self.attachments).select(
-            F.lit(ATTACHMENTS).alias("relationship"), "folder", "uid", "attributes", "content"
-        )
-        errors = self.parse_error.select(
-            F.lit(PARSE_ERROR).alias("relationship"),
+        if headers:
+            shown += MESSAGE_ATTRIBUTES.values()
+        of_file = attachment_columns(part) | {name: F.col(f"_{name}") for name in heads}
+        is_file = F.col("_pos") > 0
+        return exploded.select(
+            F.when(is_file, F.lit(ATTACHMENTS)).otherwise(F.col("relationship"))
+            .alias("relationship"),
             "folder",
             "uid",
-            error_attributes().alias("attributes"),
-            none.alias("content"),
+            F.when(is_file, attachment_attributes(of_file))
+            .when(success, message_attributes(shown, F.col("_fault_at")))
+            .otherwise(error_attributes()).alias("attributes"),
+            part["content"].alias("content"),
         )
-        return rows.unionByName(files).unionByName(errors)
+
+
+def _wants_files(options: FetchOptions) -> bool:
+    return options.fetch_mode == ATTACHMENTS_ONLY or (
+        options.fetch_mode == FULL_MESSAGE and options.include_attachments
+    )
+
+
+def _file_limits(options: FetchOptions) -> tuple[int, int]:
+    """Attachment limits; they apply only where attachments were asked for."""
+    if options.include_attachments:
+        return options.max_attachment_size, options.max_attachments
+    return 2**63 - 1, 2**31 - 1
 
 
 def select_candidates(
@@ -179,23 +228,16 @@ def fetch(
     if capped:
         routed = cap_per_folder(routed, options.batch_size, F.col("relationship") == SUCCESS)
     delivered = routed.filter(F.col("relationship") == SUCCESS)
-    wants_files = options.fetch_mode == ATTACHMENTS_ONLY or (
-        options.fetch_mode == FULL_MESSAGE and options.include_attachments
-    )
-    limits = (
-        (options.max_attachment_size, options.max_attachments)
-        if options.include_attachments else (2**63 - 1, 2**31 - 1)
-    )
     with_files = delivered
     if "parts" not in delivered.columns:
         with_files = delivered.withColumn("parts", F.lit(None).cast(MESSAGE["parts"].dataType))
-    if not wants_files:
+    if not _wants_files(options):
         with_files = with_files.filter(F.lit(False))
     return Fetched(
         options=options,
         candidates=candidates,
         routed=routed,
         success=fetch_rows(delivered, options.fetch_mode, options.include_headers),
-        attachments=attachments(with_files, *limits),
+        attachments=attachments(with_files, *_file_limits(options)),
         parse_error=error_rows(routed.filter(F.col("relationship") == PARSE_ERROR)),
     )

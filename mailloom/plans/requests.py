@@ -101,8 +101,7 @@ def fetch_for_requests(
     top = targets.agg(F.max("batch_size")).first()[0]
     ident = [name for name in ("uid", "msg_num") if name in messages.columns]
     found = lookup_join(
-        messages, targets.select(*_SELECTION).distinct(), ["folder"], "inner",
-        spread=ident, computed=True,
+        messages, targets.select(*_SELECTION).distinct(), ["folder"], "inner", spread=ident
     )
     if searches:
         wanted = F.col("_search") == ""
@@ -157,23 +156,19 @@ def fetch_for_requests(
     )
 
 
-def run_requests(
+def settle_requests(
     requests: DataFrame,
     folders: DataFrame,
-    messages: DataFrame,
     now_ms: int,
-    cursors: DataFrame | None = None,
     faults: DataFrame | None = None,
     searches: dict[str, Column] | None = None,
-    batch_id: str | None = None,
-) -> Handled:
-    """Gate, check and carry out requests.
+) -> DataFrame:
+    """Requests, options filled in, with the output they go to and why.
 
     ``faults`` (``request_id``, ``kind``, ``message``) are problems met while a
     request was carried out. A request for one folder that does not exist
-    counts as such a problem. The resulting ``requests`` have ``relationship``
-    and, where they failed, error type and text; those in ``retry`` are the
-    requests of a later run.
+    counts as such a problem. Those in ``original`` are to be carried out,
+    those in ``retry`` are the requests of a later run.
     """
     gated = route_requests(with_defaults(requests), now_ms)
     if searches is not None and "search" in gated.columns:
@@ -201,17 +196,27 @@ def run_requests(
         reported = faults.select("request_id", "kind", "message")
         problems = problems.join(reported, "request_id", "left_anti").unionByName(reported)
     problems = materialise(problems)
-
-    clean = ready.join(problems, "request_id", "left_anti").drop("error_type", "error_message")
-    handled = fetch_for_requests(clean, folders, messages, cursors, searches, batch_id)
     failed = retry_route(ready.drop("relationship"), classify(problems), now_ms)
-    columns = ["request_id", "relationship", "retry_count", "retry_last_time_ms",
-               "error_type", "error_message"]
-    handled.requests = (
-        gated.filter(F.col("relationship") != ORIGINAL).select(*columns)
-        .unionByName(failed.select(*columns))
-        .unionByName(
-            ready.join(problems, "request_id", "left_anti").select(*columns)
-        )
+    return (
+        gated.filter(F.col("relationship") != ORIGINAL)
+        .unionByName(failed.drop("backoff_ms").select(*gated.columns))
+        .unionByName(ready.join(problems, "request_id", "left_anti").select(*gated.columns))
     )
+
+
+def run_requests(
+    requests: DataFrame,
+    folders: DataFrame,
+    messages: DataFrame,
+    now_ms: int,
+    cursors: DataFrame | None = None,
+    faults: DataFrame | None = None,
+    searches: dict[str, Column] | None = None,
+    batch_id: str | None = None,
+) -> Handled:
+    """Settle requests and carry out those that are ready."""
+    settled = materialise(settle_requests(requests, folders, now_ms, faults, searches))
+    ready = settled.filter(F.col("relationship") == ORIGINAL)
+    handled = fetch_for_requests(ready, folders, messages, cursors, searches, batch_id)
+    handled.requests = settled
     return handled

@@ -74,8 +74,13 @@ def _parse_batches(batches: Iterator[pa.RecordBatch], with_content: bool):
         yield pa.RecordBatch.from_pylist(done, schema=_MESSAGE)
 
 
-def ingest(raw: DataFrame, with_content: bool = True) -> DataFrame:
-    """One message row per landed mail, with its parts; no shuffle.
+def ingest(
+    raw: DataFrame, with_content: bool = True, partitions: int | None = None
+) -> DataFrame:
+    """One message row per landed mail, with its parts.
+
+    Nothing is shuffled unless ``partitions`` asks for it: mails that come in a
+    few big splits are then spread by folder and UID before they are parsed.
 
     A mail that cannot be parsed keeps its folder, UID and size and carries
     ``error_message``. ``with_content=False`` reads headers only. The rows are
@@ -93,6 +98,8 @@ def ingest(raw: DataFrame, with_content: bool = True) -> DataFrame:
         .alias("flags"),
         "raw",
     )
+    if partitions is not None:
+        landed = landed.repartition(partitions, "folder", "uid")
     return landed.mapInArrow(lambda batches: _parse_batches(batches, with_content), MESSAGE)
 
 

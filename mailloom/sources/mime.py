@@ -12,10 +12,13 @@ import datetime as dt
 import quopri
 import re
 from collections.abc import Iterator
-from email import message, parser, quoprimime, utils
+from email import message, quoprimime, utils
 
 _HEAD_END = re.compile(rb"\A\r?\n|\r?\n\r?\n")
+_FIELD = re.compile(r"^([^\s:]+)[ \t]*:[ \t]*(.*(?:\n[ \t].*)*)", re.MULTILINE)
 _FOLD = re.compile(r"\r?\n(?=[ \t])")
+_BARE_ADDRESS = re.compile(r"\A[^\s<>@,\"():;\\\[\]]+@[^\s<>@,\"():;\\\[\]]+\Z")
+_FIRST_MARKER = re.compile(rb"^--(\S.*?)[ \t]*\r?$", re.MULTILINE)
 _GROUP = re.compile(r"\A[^<>@\",:]+:[^;]*;\Z")
 _ENCODED_WORD = re.compile(r"(?<![^\s\0])=\?([^?\s]+)\?([bBqQ])\?([^?\s]*)\?=")
 _BETWEEN_WORDS = re.compile(r"(=\?[^?\s]+\?[bBqQ]\?[^?\s]*\?=)\s+(?==\?[^?\s]+\?[bBqQ]\?)")
@@ -26,11 +29,42 @@ class MimeFault(ValueError):
     """A part of a mail that cannot be read."""
 
 
-def split_head(raw: bytes) -> tuple[message.Message, bytes]:
+class Head:
+    """The header block of a mail or of a part."""
+
+    def __init__(self, text: str) -> None:
+        self.fields = [
+            (name, _FOLD.sub("", value).strip()) for name, value in _FIELD.findall(text)
+        ]
+        self._by_name: dict[str, list[str]] = {}
+        for name, value in self.fields:
+            self._by_name.setdefault(name.lower(), []).append(value)
+
+    def all(self, name: str) -> list[str]:
+        return self._by_name.get(name, [])
+
+    def first(self, name: str) -> str | None:
+        return next(iter(self.all(name)), None)
+
+    @property
+    def main_type(self) -> str:
+        return (self.first("content-type") or "text").split("/")[0].strip().lower()
+
+    def with_parameters(self) -> message.Message:
+        """Content headers as a standard message, which reads their parameters."""
+        holder = message.Message()
+        for name in ("content-type", "content-disposition"):
+            value = self.first(name)
+            if value is not None:
+                holder[name] = value
+        return holder
+
+
+def split_head(raw: bytes) -> tuple[Head, bytes]:
     """Header block and body bytes of a mail or of a part."""
     end = _HEAD_END.search(raw)
     head, body = (raw[: end.start()], raw[end.end():]) if end else (raw, b"")
-    return parser.HeaderParser().parsestr(head.decode("utf-8", "replace")), body
+    return Head(head.decode("utf-8", "replace")), body
 
 
 def decode_words(text: str) -> str:
@@ -61,6 +95,8 @@ def addresses(value: str) -> list[str]:
     value = value.strip()
     if not value:
         return []
+    if _BARE_ADDRESS.match(value):
+        return [value]
     if _GROUP.match(value):
         return [decode_words(value)]
     unquoted = re.sub(r'"(?:[^"\\]|\\.)*"', "", value)
@@ -104,26 +140,31 @@ def decode_body(data: bytes, encoding: str | None) -> bytes:
     raise MimeFault(f"Unknown encoding: {encoding}")
 
 
-def _split_multipart(head: message.Message, body: bytes) -> list[bytes]:
-    boundary = head.get_boundary()
+def _split_multipart(boundary: str | None, body: bytes) -> list[bytes]:
     if boundary is None:
-        guess = re.search(rb"(?m)^--(\S.*?)[ \t]*\r?$", body)
-        if guess is None:
-            raise MimeFault("Missing start boundary")
-        marker = re.escape(guess[1])
+        guess = _FIRST_MARKER.search(body)
+        marker = b"--" + guess[1] if guess else None
     else:
-        marker = re.escape(boundary.encode("utf-8"))
-    line = re.compile(rb"(?:\A|\r?\n)--" + marker + rb"(--)?[ \t]*(?=\r?\n|\Z)")
-    pieces, start = [], None
-    for hit in line.finditer(body):
+        marker = b"--" + boundary.encode("utf-8")
+    pieces: list[bytes] = []
+    start: int | None = None
+    at = -1 if marker is None else body.find(marker)
+    while at >= 0:
+        line_end = body.find(b"\n", at)
+        line_end = len(body) if line_end < 0 else line_end
+        tail = body[at + len(marker):line_end].strip(b" \t\r")
+        if (at > 0 and body[at - 1] != 10) or tail not in (b"", b"--"):
+            at = body.find(marker, at + 1)
+            continue
         if start is not None:
-            pieces.append(body[start:hit.start()] if hit.start() >= start else b"")
-        start = None
-        if hit[1]:
+            # The line break before a boundary belongs to the boundary.
+            piece = body[start:max(start, at - 1)]
+            pieces.append(piece.removesuffix(b"\r"))
+        if tail == b"--":
+            start = None
             break
-        newline = re.compile(rb"\r?\n").match(body, hit.end())
-        # The line break stays unread: it may also open the next boundary line.
-        start = newline.end() if newline else len(body)
+        start = min(line_end + 1, len(body))
+        at = body.find(marker, start)
     if start is not None:
         pieces.append(body[start:])
     if not pieces:
@@ -131,40 +172,44 @@ def _split_multipart(head: message.Message, body: bytes) -> list[bytes]:
     return pieces
 
 
-def _leaves(head: message.Message, body: bytes, path: tuple[int, ...]) -> Iterator[dict]:
+def _closed_container(path: tuple[int, ...], fault: str) -> dict:
+    return {
+        "part_path": list(path), "part_index": path[-1] if path else None,
+        "disposition": None, "filename": None, "content_type": None, "size": None,
+        "container": True, "fault": fault, "content": None,
+    }
+
+
+def _leaves(head: Head, body: bytes, path: tuple[int, ...]) -> Iterator[dict]:
     try:
-        pieces = _split_multipart(head, body)
+        pieces = _split_multipart(head.with_parameters().get_boundary(), body)
     except MimeFault as fault:
-        yield dict.fromkeys(
-            ("disposition", "filename", "content_type", "size", "content")
-        ) | {
-            "part_path": list(path), "part_index": path[-1] if path else None,
-            "container": True, "fault": str(fault),
-        }
+        yield _closed_container(path, str(fault))
         return
     for index, piece in enumerate(pieces):
         part, data = split_head(piece)
         here = (*path, index)
-        if part.get_content_maintype() == "multipart":
+        if part.main_type == "multipart":
             yield from _leaves(part, data, here)
             continue
-        disposition = part.get_content_disposition()
-        filename = part.get_filename()
+        described = part.with_parameters()
+        disposition = described.get_content_disposition()
+        filename = described.get_filename()
         content, fault = None, None
         if disposition == "attachment" or (disposition is None and filename is not None):
             try:
-                if part.get_content_maintype() == "message":
+                if part.main_type == "message":
                     content = data
                 else:
-                    content = decode_body(data, part["Content-Transfer-Encoding"])
+                    content = decode_body(data, part.first("content-transfer-encoding"))
             except MimeFault as broken:
                 fault = str(broken)
         yield {
             "part_path": list(here),
             "part_index": index,
             "disposition": disposition,
-            "filename": None if filename is None else decode_words(str(filename)),
-            "content_type": (part["Content-Type"] or "text/plain").strip(),
+            "filename": None if filename is None else decode_words(filename),
+            "content_type": part.first("content-type") or "text/plain",
             "size": len(data),
             "container": False,
             "fault": fault,
@@ -183,11 +228,11 @@ def _sent(value: str | None) -> dt.datetime | None:
 
 #: Address headers: column, header, and the name under which a fault is recorded.
 _ADDRESS_COLUMNS = [
-    ("from_all", "From", "from"),
-    ("sender_all", "Sender", None),
-    ("to_all", "To", "to"),
-    ("cc_all", "Cc", "cc"),
-    ("bcc_all", "Bcc", None),
+    ("from_all", "from", "from"),
+    ("sender_all", "sender", None),
+    ("to_all", "to", "to"),
+    ("cc_all", "cc", "cc"),
+    ("bcc_all", "bcc", None),
 ]
 
 
@@ -197,20 +242,15 @@ def parse_mail(raw: bytes, with_content: bool = True) -> dict:
     ``with_content=False`` reads the headers only.
     """
     head, body = split_head(raw)
-    headers = [(name, _FOLD.sub("", str(value)).strip()) for name, value in head.items()]
-
-    def values(name: str) -> list[str]:
-        return [value for key, value in headers if key.lower() == name.lower()]
-
-    def first(name: str) -> str | None:
-        return next(iter(values(name)), None)
-
+    subject = head.first("subject")
     row: dict = {
-        "message_id": first("Message-ID"),
-        "in_reply_to": first("In-Reply-To"),
-        "subject": None if first("Subject") is None else decode_words(first("Subject")),
-        "sent_ts": _sent(first("Date")),
-        "headers": [{"name": name, "value": decode_words(value)} for name, value in headers],
+        "message_id": head.first("message-id"),
+        "in_reply_to": head.first("in-reply-to"),
+        "subject": None if subject is None else decode_words(subject),
+        "sent_ts": _sent(head.first("date")),
+        "headers": [
+            {"name": name, "value": decode_words(value)} for name, value in head.fields
+        ],
         "header_fault": None,
         "content": None,
         "body_fault": None,
@@ -218,7 +258,7 @@ def parse_mail(raw: bytes, with_content: bool = True) -> dict:
     }
     for column, name, place in _ADDRESS_COLUMNS:
         try:
-            row[column] = addresses(", ".join(values(name)))
+            row[column] = addresses(", ".join(head.all(name)))
         except MimeFault:
             row[column] = []
             if place is not None and row["header_fault"] is None:
@@ -226,14 +266,13 @@ def parse_mail(raw: bytes, with_content: bool = True) -> dict:
     if not with_content:
         return row
 
-    kind = head.get_content_maintype()
-    if kind in ("multipart", "message"):
+    if head.main_type in ("multipart", "message"):
         row["content"] = body
     else:
         try:
-            row["content"] = decode_body(body, head["Content-Transfer-Encoding"])
+            row["content"] = decode_body(body, head.first("content-transfer-encoding"))
         except MimeFault as fault:
             row["body_fault"] = str(fault)
-    if kind == "multipart":
+    if head.main_type == "multipart":
         row["parts"] = list(_leaves(head, body, ()))
     return row

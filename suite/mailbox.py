@@ -21,6 +21,7 @@ from mailloom.operators.folders import (
     in_folder,
     reachable_folders,
 )
+from mailloom.operators.joins import materialise
 from mailloom.operators.limits import batch_number, cap_per_folder
 from mailloom.operators.mailbox import expunge, flag_deleted, mark_read, resolve
 from mailloom.operators.project import (
@@ -133,10 +134,10 @@ UNION ALL SELECT 'Archive', 1, 1, false, true UNION ALL SELECT '', 0, 0, false,
 def _tree(spark, sf_dir):
     """The folder tree in which src1 and src2 also hold messages themselves."""
     tree = folder_table(views.messages(spark, sf_dir))
-    return tree.withColumn(
+    return materialise(tree.withColumn(
         "holds_messages",
         F.col("holds_messages") | F.col("path").isin("Archive/src1", "Archive/src2"),
-    )
+    ))
 
 
 def reachable(spark, sf_dir):
@@ -268,7 +269,7 @@ def poll_twice(spark, sf_dir):
                            state_folder="s", fetch_mode=HEADERS_ONLY, max_message_size=10000)
     none = spark.createDataFrame([], "state_folder string, folder string, last_uid long")
     first = poll(bare, none, options, batch_id="first")
-    second = poll(bare, first.cursors, options, batch_id="second")
+    second = poll(bare, materialise(first.cursors), options, batch_id="second")
     return first.fetched.success.unionByName(second.fetched.success).select(
         "batch_id", "folder", "uid"
     )

@@ -16,12 +16,17 @@ from suite import views
 from suite.search import _tally, _tally_sql
 
 
+def _spread(spark) -> int:
+    """The given tables are single files; their mails are spread before parsing."""
+    return 2 * spark.sparkContext.defaultParallelism
+
+
 def _threads(spark, sf_dir):
-    return ingest(views.threads_raw(spark, sf_dir))
+    return ingest(views.threads_raw(spark, sf_dir), partitions=_spread(spark))
 
 
 def _mixed(spark, sf_dir, with_content=True):
-    return ingest(views.mixed_raw(spark, sf_dir), with_content)
+    return ingest(views.mixed_raw(spark, sf_dir), with_content, _spread(spark))
 
 
 _TURNS = """turns AS (

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from mailloom.operators import criteria as c
 from mailloom.operators.folders import folder_table
+from mailloom.operators.joins import materialise
 from mailloom.operators.requests import (
     classify,
     next_backoff,
@@ -17,7 +18,7 @@ from mailloom.operators.requests import (
     validate_requests,
     with_defaults,
 )
-from mailloom.plans.requests import fetch_for_requests, run_requests
+from mailloom.plans.requests import fetch_for_requests, run_requests, settle_requests
 from suite import views
 from suite.views import CURSORS, MESSAGES, NOW_MS, REQUESTS
 
@@ -33,7 +34,7 @@ def _requests(spark, sf_dir):
 
 
 def _folders(spark, sf_dir):
-    return folder_table(views.messages(spark, sf_dir))
+    return materialise(folder_table(views.messages(spark, sf_dir)))
 
 
 def request_defaults(spark, sf_dir):
@@ -238,20 +239,19 @@ SELECT state_folder, folder, max(uid) AS last_uid FROM counted
 WHERE ok AND incremental AND before < 10 * batch_size GROUP BY ALL"""
 
 
-def request_run(spark, sf_dir):
+def request_settled(spark, sf_dir):
     """Where every request ends up: waiting, refused, failed or handled."""
     requests = _requests(spark, sf_dir)
     faults = _faults(requests.filter(F.col("request_id") % 7 == 0))
     ready = route_requests(requests, NOW_MS).filter(F.col("relationship") == "original")
     faults = faults.join(ready.select("request_id"), "request_id", "left_semi")
-    handled = run_requests(
-        requests, _folders(spark, sf_dir), views.messages(spark, sf_dir).drop("content"),
-        NOW_MS, views.cursors(spark, sf_dir), faults,
+    settled = settle_requests(requests, _folders(spark, sf_dir), NOW_MS, faults)
+    return settled.select(
+        "request_id", "relationship", "retry_count", "retry_last_time_ms", "error_type",
     )
-    return handled.requests
 
 
-_REQUEST_RUN = f"""WITH {MESSAGES}, {_CHECKED}, staged AS (
+_REQUEST_SETTLED = f"""WITH {MESSAGES}, {_CHECKED}, staged AS (
 SELECT *, NOT held AND error_type IS NULL AS ready FROM checked),
 judged AS (
 SELECT *,
@@ -275,6 +275,30 @@ SELECT request_id,
 FROM ended"""
 
 
+def request_run(spark, sf_dir):
+    """Mails delivered to the requests that are ready."""
+    handled = run_requests(
+        _requests(spark, sf_dir), _folders(spark, sf_dir),
+        views.messages(spark, sf_dir).drop("content"), NOW_MS, views.cursors(spark, sf_dir),
+    )
+    return handled.success.select("request_id", "folder", "uid", "message_id")
+
+
+_REQUEST_RUN = f"""WITH {MESSAGES}, {CURSORS}, {_CHECKED}, found AS (
+SELECT r.request_id, m.folder, m.uid, m.message_id, r.batch_size, r.include_headers,
+       m.size <= r.max_message_size AS ok
+FROM checked r JOIN targets t ON r.request_id = t.request_id
+JOIN messages m ON m.folder = t.folder
+LEFT JOIN cursors c ON r.incremental AND c.state_folder = r.state_folder AND c.folder = m.folder
+WHERE r.error_type IS NULL AND NOT held AND (c.last_uid IS NULL OR m.uid > c.last_uid)),
+counted AS (
+SELECT *, coalesce(sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (
+  PARTITION BY request_id, folder ORDER BY uid
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM found)
+SELECT request_id, folder, uid, CASE WHEN include_headers THEN message_id END AS message_id
+FROM counted WHERE ok AND before < 10 * batch_size"""
+
+
 QUERIES = {
     "request_defaults": (
         request_defaults, f"WITH {REQUESTS} SELECT {', '.join(_OPTIONS)} FROM requests"
@@ -293,6 +317,6 @@ QUERIES = {
         f"WITH {_FOUND} SELECT request_id, folder, count(*) AS processed FROM found GROUP BY ALL",
     ),
     "request_cursors": (request_cursors, _REQUEST_CURSORS),
-    "request_run": (lambda spark, sf_dir: request_run(spark, sf_dir).drop("error_message"),
-                    _REQUEST_RUN),
+    "request_settled": (request_settled, _REQUEST_SETTLED),
+    "request_run": (request_run, _REQUEST_RUN),
 }
