@@ -19,6 +19,18 @@ def id_column(df: DataFrame) -> Column:
     return effective_id() if "msg_num" in df.columns else F.col("uid")
 
 
+def above(df: DataFrame, last) -> Column:
+    """True if the effective id is above ``last``, as plain comparisons.
+
+    ``last`` is not negative, so a UID above it is a real one.
+    """
+    by_uid = F.col("uid") > last
+    if "msg_num" not in df.columns:
+        return by_uid
+    no_uid = F.col("uid").isNull() | (F.col("uid") <= 0)
+    return by_uid | (no_uid & (F.col("msg_num") > last))
+
+
 def load_cursors(stored: DataFrame) -> DataFrame:
     """Cursors from stored text values; a value that is not a number is no cursor."""
     value = F.trim(F.col("last_uid").cast("string")).try_cast("bigint")
@@ -47,7 +59,7 @@ def after_cursor(
             return df
         keep = ~F.col("folder").isin(list(known))
         for folder, last in known.items():
-            keep = keep | ((F.col("folder") == folder) & (id_column(df) > last))
+            keep = keep | ((F.col("folder") == folder) & above(df, last))
         return df.filter(keep)
     cursors = cursors.filter(F.col("last_uid") >= 0)
     if state_folder is not None:
@@ -59,7 +71,7 @@ def after_cursor(
     ident = [name for name in ("uid", "msg_num") if name in df.columns]
     joined = lookup_join(df, last, ["folder"], spread=ident)
     return joined.filter(
-        F.col("_last_uid").isNull() | (id_column(df) > F.col("_last_uid"))
+        F.col("_last_uid").isNull() | above(df, F.col("_last_uid"))
     ).drop("_last_uid")
 
 

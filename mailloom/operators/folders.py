@@ -10,8 +10,10 @@ from mailloom.operators.joins import lookup_join
 
 def folder_depth(path: Column, separator: str = "/") -> Column:
     """Number of path steps; the root, an empty path, has depth 0."""
-    steps = F.length(path) - F.length(F.replace(path, F.lit(separator))) + len(separator)
-    return F.when(path == "", 0).otherwise(steps / len(separator)).cast("int")
+    cut = F.length(path) - F.length(F.replace(path, F.lit(separator)))
+    if len(separator) > 1:
+        cut = F.floor(cut / len(separator))
+    return F.when(path == "", 0).otherwise(cut + 1).cast("int")
 
 
 def matches(path: Column, target: str) -> Column:

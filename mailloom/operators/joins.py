@@ -6,10 +6,10 @@ import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows a side may have to be broadcast. Lookup rows are a few short columns,
-#: so this is some tens of megabytes per executor.
-BROADCAST_ROWS = 200_000
+#: Bytes a side may have to be broadcast, measured on its rows before the join.
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 #: Copies of the lookup side when it is too big to broadcast. A key that holds
 #: a third of the big table is spread over this many tasks.
@@ -41,6 +41,17 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the rows of ``df``, found by one aggregate over it."""
+    size = F.lit(16 * len(df.columns)).cast("long")
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            raise TypeError(f"a lookup table has plain columns only, not {field.name}")
+    return df.agg(F.sum(size)).first()[0] or 0
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,
@@ -49,22 +60,22 @@ def lookup_join(
     spread: list[str] | None = None,
     condition: Column | None = None,
     computed: bool = False,
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``big`` to ``small`` on equal ``on`` columns, without a hot task.
 
-    ``small`` is counted first. Up to ``max_rows`` it is broadcast and ``big``
+    ``small`` is measured first. Up to ``max_bytes`` it is broadcast and ``big``
     does not move. Beyond that both sides are shuffled on the key and a salt:
     a ``big`` row takes the salt of its ``spread`` columns, a ``small`` row is
     copied to every salt. Both ways give the same rows.
 
     ``computed`` says that ``small`` is itself a query; it is then written once
-    so that counting and joining do not run it twice. ``condition`` is a
+    so that measuring and joining do not run it twice. ``condition`` is a
     further condition for rows of ``big``; a row that fails it finds nothing.
     """
     if computed:
         small = materialise(small)
-    if small.count() <= max_rows:
+    if measured_bytes(small) <= max_bytes:
         left, right, keys = big, F.broadcast(small), list(on)
     else:
         salt = F.pmod(F.xxhash64(*(spread or on)), F.lit(SALTS)).cast("int")

@@ -47,6 +47,11 @@ from mailloom.schema import (
 )
 
 
+def within_limit(max_message_size: int) -> Column:
+    """Size test as plain comparisons, which the Parquet scan understands."""
+    return F.col("size").isNull() | (F.col("size") <= max_message_size)
+
+
 def with_outcome(df: DataFrame, max_message_size, mode=FULL_MESSAGE) -> DataFrame:
     """Messages with ``relationship``, ``error_type`` and ``error_message``.
 
@@ -77,8 +82,8 @@ def with_outcome(df: DataFrame, max_message_size, mode=FULL_MESSAGE) -> DataFram
 def split_oversize(df: DataFrame, max_message_size: int) -> tuple[DataFrame, DataFrame]:
     """Messages within the size limit, and error rows for the others."""
     routed = with_outcome(df, max_message_size, HEADERS_ONLY)
-    within = df.filter(not_negative(F.col("size")) <= max_message_size)
-    return within, error_rows(routed.filter(F.col("error_type") == "MESSAGE_TOO_LARGE"))
+    within = df.filter(within_limit(max_message_size))
+    return within, error_rows(routed.filter(F.col("size") > max_message_size))
 
 
 def error_rows(routed: DataFrame, *extra: str) -> DataFrame:
@@ -226,8 +231,13 @@ def fetch(
     candidates = select_candidates(messages, options, all_of, any_of, cursors, folders)
     routed = with_outcome(candidates, options.max_message_size, options.fetch_mode)
     if capped:
-        routed = cap_per_folder(routed, options.batch_size, F.col("relationship") == SUCCESS)
-    delivered = routed.filter(F.col("relationship") == SUCCESS)
+        routed = cap_per_folder(
+            routed, options.batch_size,
+            within_limit(options.max_message_size) & (F.col("relationship") == SUCCESS),
+        )
+    delivered = routed.filter(
+        within_limit(options.max_message_size) & (F.col("relationship") == SUCCESS)
+    )
     with_files = delivered
     if "parts" not in delivered.columns:
         with_files = delivered.withColumn("parts", F.lit(None).cast(MESSAGE["parts"].dataType))

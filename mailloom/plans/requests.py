@@ -74,7 +74,8 @@ def _targets(requests: DataFrame, folders: DataFrame, cursors: DataFrame | None)
     if cursors is None:
         return pairs.withColumn("_last_uid", F.lit(-1).cast("long"))
     last = cursors.filter(F.col("last_uid") >= 0).select("state_folder", "folder", "last_uid")
-    return pairs.join(last, ["state_folder", "folder"], "left").withColumn(
+    joined = lookup_join(pairs, last, ["state_folder", "folder"], spread=["request_id"])
+    return joined.withColumn(
         "_last_uid",
         F.when(F.col("incremental"), F.coalesce("last_uid", F.lit(-1))).otherwise(F.lit(-1))
         .cast("long"),
@@ -187,7 +188,10 @@ def settle_requests(
     ready = gated.filter(F.col("relationship") == ORIGINAL)
 
     known = folders.select(F.col("path").alias("folder"))
-    problems = ready.filter(~F.col("recursive")).join(known, "folder", "left_anti").select(
+    lost = lookup_join(
+        ready.filter(~F.col("recursive")), known, ["folder"], "left_anti", spread=["request_id"]
+    )
+    problems = lost.select(
         "request_id",
         F.lit("messaging").alias("kind"),
         F.concat("folder", F.lit(" not found")).alias("message"),

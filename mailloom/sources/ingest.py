@@ -15,6 +15,9 @@ from mailloom.sources.mime import parse_mail
 BATCH_BYTES = 16 * 1024 * 1024
 BATCH_ROWS = 1024
 
+#: UIDs of a folder that are kept together when a message table is written.
+UID_BLOCK = 20_000
+
 _STAMP = pa.timestamp("us", tz="UTC")
 _PART = pa.struct([
     ("part_path", pa.list_(pa.int32())),
@@ -103,18 +106,22 @@ def ingest(
     return landed.mapInArrow(lambda batches: _parse_batches(batches, with_content), MESSAGE)
 
 
-def write_messages(messages: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Write a message table ordered by folder and UID.
+def write_messages(
+    messages: DataFrame, path: str, partitions: int | None = None, clustered: bool = True
+) -> None:
+    """Write a message table, clustered by folder and UID unless told otherwise.
 
-    Range partitioning cuts a big folder into several files, and sorted files
-    let the Parquet scan skip row groups by folder and UID.
+    Messages are grouped by folder and block of UIDs in one pass, so that a big
+    folder is spread over many files, and sorted, so that the Parquet scan can
+    skip row groups by folder and UID.
     """
-    keys = ["folder", "uid"]
-    ranged = (
-        messages.repartitionByRange(partitions, *keys) if partitions
-        else messages.repartitionByRange(*keys)
-    )
-    ranged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    if clustered:
+        keys = [F.col("folder"), F.floor(F.col("uid") / UID_BLOCK)]
+        spread = (
+            messages.repartition(partitions, *keys) if partitions else messages.repartition(*keys)
+        )
+        messages = spread.sortWithinPartitions("folder", "uid")
+    messages.write.mode("overwrite").parquet(path)
 
 
 def parts(messages: DataFrame) -> DataFrame:

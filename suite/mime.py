@@ -29,11 +29,11 @@ def _mixed(spark, sf_dir, with_content=True):
     return ingest(views.mixed_raw(spark, sf_dir), with_content, _spread(spark))
 
 
-_TURNS = """turns AS (
-SELECT conv_id, '<conv-' || conv_id || '@example.com>' AS parent_message_id,
-       CAST(turn AS INTEGER) AS part_index, 'turn-' || turn || '-' || role || '.txt' AS filename,
-       'text/plain' AS mime_type, octet_length(encode(text)) AS size, md5(text) AS content_md5
-FROM conversations WHERE turn > 0)"""
+_TURNS = f"""{views.THREADS}, turns AS (
+SELECT conv_id, uid, mail_id AS parent_message_id, CAST(place AS INTEGER) AS part_index,
+       'turn-' || turn || '-' || role || '.txt' AS filename, 'text/plain' AS mime_type,
+       octet_length(encode(text)) AS size, md5(text) AS content_md5
+FROM threads WHERE place > 0)"""
 _TURN_COLUMNS = "parent_message_id, part_index, filename, mime_type, size, content_md5"
 
 
@@ -51,22 +51,22 @@ def threads_messages(spark, sf_dir):
     )
 
 
-_THREADS_MESSAGES = """WITH bodies AS (
-SELECT conv_id, string_agg(
+_THREADS_MESSAGES = f"""WITH {views.THREADS}, bodies AS (
+SELECT conv_id, uid, mail_id, string_agg(
   '--turnsep' || chr(10) || 'Content-Type: text/plain; charset=UTF-8' || chr(10)
   || 'Content-Transfer-Encoding: 8bit' || chr(10)
-  || CASE WHEN turn > 0 THEN 'Content-Disposition: attachment; filename="turn-' || turn || '-'
+  || CASE WHEN place > 0 THEN 'Content-Disposition: attachment; filename="turn-' || turn || '-'
        || role || '.txt"' || chr(10) ELSE '' END
   || chr(10) || text || chr(10), '' ORDER BY turn) || '--turnsep--' || chr(10) AS body,
   'From: user' || conv_id || '@example.com' || chr(10) || 'To: desk@example.com' || chr(10)
   || 'Subject: Conversation ' || conv_id || chr(10)
-  || 'Message-ID: <conv-' || conv_id || '@example.com>' || chr(10)
+  || 'Message-ID: ' || mail_id || chr(10)
   || 'MIME-Version: 1.0' || chr(10)
   || 'Content-Type: multipart/mixed; boundary="turnsep"' || chr(10) || chr(10) AS head
-FROM conversations GROUP BY conv_id)
-SELECT 'Threads' AS folder, conv_id + 1 AS uid, 'Conversation ' || conv_id AS subject,
+FROM threads GROUP BY conv_id, uid, mail_id)
+SELECT 'Threads' AS folder, uid, 'Conversation ' || conv_id AS subject,
        'user' || conv_id || '@example.com' AS sender, 'desk@example.com' AS to_addr,
-       '' AS cc_addr, '<conv-' || conv_id || '@example.com>' AS message_id,
+       '' AS cc_addr, mail_id AS message_id,
        octet_length(encode(head || body)) AS size, md5(body) AS content_md5
 FROM bodies"""
 
@@ -76,7 +76,7 @@ def threads_attachments(spark, sf_dir):
 
 
 _THREADS_ATTACHMENTS = f"""WITH {_TURNS}
-SELECT {_TURN_COLUMNS}, 'Threads' AS folder, conv_id + 1 AS uid,
+SELECT {_TURN_COLUMNS}, 'Threads' AS folder, uid,
        'Conversation ' || conv_id AS subject, 'user' || conv_id || '@example.com' AS sender
 FROM turns"""
 
@@ -91,7 +91,7 @@ def attachments_sized(spark, sf_dir):
 
 
 _SIZED = f"""WITH {_TURNS}, ranked AS (
-SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part_index) AS r
+SELECT *, row_number() OVER (PARTITION BY uid ORDER BY part_index) AS r
 FROM turns WHERE size <= 300)
 SELECT {_TURN_COLUMNS} FROM ranked WHERE r <= 2"""
 
@@ -116,13 +116,12 @@ def attachments_only(spark, sf_dir):
 
 
 _ATTACHMENTS_ONLY = f"""WITH {_TURNS}
-SELECT 'attachments' AS relationship, conv_id + 1 AS uid, filename,
+SELECT 'attachments' AS relationship, uid, filename,
        CASE WHEN size > 0 THEN CAST(size AS VARCHAR) ELSE 'unknown' END AS size,
        parent_message_id AS message_id, 'a' AS batch_id
 FROM turns WHERE part_index <= 2
 UNION ALL
-SELECT DISTINCT 'success', conv_id + 1, '', '', '<conv-' || conv_id || '@example.com>', 'a'
-FROM conversations"""
+SELECT DISTINCT 'success', uid, '', '', mail_id, 'a' FROM threads"""
 
 
 def threads_parts(spark, sf_dir):
@@ -133,10 +132,10 @@ def threads_parts(spark, sf_dir):
     )
 
 
-_THREADS_PARTS = """SELECT 'Threads' AS folder, conv_id + 1 AS uid, count(*) AS n_parts,
-  CAST(count(*) - 1 AS INTEGER) AS last_pos,
+_THREADS_PARTS = f"""WITH {views.THREADS}
+SELECT 'Threads' AS folder, uid, count(*) AS n_parts, CAST(count(*) - 1 AS INTEGER) AS last_pos,
   CAST(sum(octet_length(encode(text))) AS BIGINT) AS bytes
-FROM conversations GROUP BY conv_id"""
+FROM threads GROUP BY uid"""
 
 
 def attachment_parent(spark, sf_dir):
@@ -147,7 +146,7 @@ def attachment_parent(spark, sf_dir):
 
 
 _PARENT = f"""WITH {_TURNS}
-SELECT filename, conv_id + 1 AS uid, 'Conversation ' || conv_id AS parent_subject, true AS fits
+SELECT filename, uid, 'Conversation ' || conv_id AS parent_subject, true AS fits
 FROM turns"""
 
 # -- mails in many forms ------------------------------------------------------

@@ -106,32 +106,51 @@ SELECT 'Events/' || event_type AS folder, event_id + 1 AS uid, event_id,
 FROM events)"""
 
 
+#: Turns of a conversation that go into one mail, at most.
+TURNS_PER_MAIL = 50
+
+
 def threads_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw multipart mail per conversation: turn 0 is the body, the rest attachments."""
-    turns = table(spark, sf_dir, "conversations")
-    head = F.concat(
+    """Raw multipart mails of conversations: the first turn is the body, others attachments.
+
+    A long conversation goes on in further mails, so that no mail grows without
+    end.
+    """
+    turns = table(spark, sf_dir, "conversations").withColumns({
+        "mail": F.floor(F.col("turn") / TURNS_PER_MAIL),
+        "place": F.col("turn") % TURNS_PER_MAIL,
+    })
+    piece = F.concat(
         F.lit("--turnsep\nContent-Type: text/plain; charset=UTF-8\n"
               "Content-Transfer-Encoding: 8bit\n"),
         F.when(
-            F.col("turn") > 0,
+            F.col("place") > 0,
             F.concat(F.lit('Content-Disposition: attachment; filename="turn-'), "turn",
                      F.lit("-"), "role", F.lit('.txt"\n')),
         ).otherwise(F.lit("")),
         F.lit("\n"), "text", F.lit("\n"),
     )
-    mails = turns.withColumn("piece", head).groupBy("conv_id").agg(
+    mails = turns.withColumn("piece", piece).groupBy("conv_id", "mail").agg(
         F.array_sort(F.collect_list(F.struct("turn", "piece"))).alias("pieces")
     )
     raw = F.concat(
         F.lit("From: user"), "conv_id", F.lit("@example.com\nTo: desk@example.com\n"
                                               "Subject: Conversation "), "conv_id",
-        F.lit("\nMessage-ID: <conv-"), "conv_id",
+        F.lit("\nMessage-ID: <conv-"), "conv_id", F.lit("-"), "mail",
         F.lit("@example.com>\nMIME-Version: 1.0\n"
               'Content-Type: multipart/mixed; boundary="turnsep"\n\n'),
         F.array_join(F.transform("pieces", lambda p: p["piece"]), ""),
         F.lit("--turnsep--\n"),
     )
-    return _landed(mails, F.lit("Threads"), F.col("conv_id") + 1, raw)
+    uid = F.col("mail") * 2**32 + F.col("conv_id") + 1
+    return _landed(mails, F.lit("Threads"), uid, raw)
+
+
+THREADS = f"""threads AS (
+SELECT *, turn // {TURNS_PER_MAIL} AS mail, turn % {TURNS_PER_MAIL} AS place,
+       (turn // {TURNS_PER_MAIL}) * 4294967296 + conv_id + 1 AS uid,
+       '<conv-' || conv_id || '-' || (turn // {TURNS_PER_MAIL}) || '@example.com>' AS mail_id
+FROM conversations)"""
 
 
 def _landed(df: DataFrame, folder: Column, uid: Column, raw: Column) -> DataFrame:
