@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailloom.schema import MESSAGE
 
+#: What the binary file source gives; a stream has to name it.
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
 #: Columns a listing of envelopes needs; bodies and parts stay on disk.
 ENVELOPE_COLUMNS = [
     name for name in MESSAGE.fieldNames() if name not in ("content", "parts", "headers")
@@ -15,7 +18,8 @@ ENVELOPE_COLUMNS = [
 
 def _raw_columns(files: DataFrame, root: str) -> DataFrame:
     root = root.rstrip("/") + "/"
-    below: Column = F.expr(f"substring(path, instr(path, {_sql_text(root)}) + {len(root)})")
+    path = F.col("path")
+    below = F.substr(path, F.instr(path, root) + len(root))
     name = F.regexp_extract(below, r"([^/]*)$", 1)
     return files.select(
         F.regexp_replace(below, r"/?[^/]*$", "").alias("folder"),
@@ -26,10 +30,6 @@ def _raw_columns(files: DataFrame, root: str) -> DataFrame:
     )
 
 
-def _sql_text(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def read_raw(spark: SparkSession, root: str, folder: str | None = None) -> DataFrame:
     """All mails below ``root``, or those of one folder without opening others.
 
@@ -50,6 +50,7 @@ def stream_raw(spark: SparkSession, root: str, max_files: int | None = None) ->
     """The same rows as a stream: each trigger sees the files that are new."""
     reader = (
         spark.readStream.format("binaryFile")
+        .schema(_FILES)
         .option("pathGlobFilter", "*.eml")
         .option("recursiveFileLookup", "true")
     )

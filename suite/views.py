@@ -307,17 +307,21 @@ SELECT c_custkey AS request_id,
            AS retry_last_time_ms
 FROM customer),
 requests AS (
-SELECT request_id, folder, recursive, max_recursion_depth,
+SELECT request_id, folder, recursive,
+       CAST(max_recursion_depth AS INTEGER) AS max_recursion_depth,
        coalesce(state_folder, 'INBOX') AS state_folder,
-       CAST(coalesce(batch_size, 10) AS BIGINT) AS batch_size,
+       CAST(coalesce(batch_size, 10) AS INTEGER) AS batch_size,
        coalesce(fetch_mode, 'FULL_MESSAGE') AS fetch_mode,
        include_headers, include_attachments, incremental,
        CAST(coalesce(max_message_size, 104857600) AS BIGINT) AS max_message_size,
        CASE WHEN include_attachments THEN CAST(max_attachment_size AS BIGINT)
             ELSE 9223372036854775807 END AS max_attachment_size,
-       CASE WHEN include_attachments THEN CAST(coalesce(max_attachments, 100) AS BIGINT)
-            ELSE 2147483647 END AS max_attachments,
-       max_retries, retry_backoff_ms, retry_count, retry_last_time_ms
+       CAST(CASE WHEN include_attachments THEN coalesce(max_attachments, 100)
+            ELSE 2147483647 END AS INTEGER) AS max_attachments,
+       CAST(max_retries AS INTEGER) AS max_retries,
+       CAST(retry_backoff_ms AS BIGINT) AS retry_backoff_ms,
+       CAST(retry_count AS INTEGER) AS retry_count,
+       CAST(retry_last_time_ms AS BIGINT) AS retry_last_time_ms
 FROM raw_requests)"""
 
 
