@@ -83,6 +83,27 @@ def incremental_stream(
     )
 
 
-def highest_uid_stream(messages: DataFrame) -> DataFrame:
-    """Highest UID per folder as a streaming aggregate, pre-aggregated per task."""
-    return highest_uid(messages)
+def cursor_stream(
+    messages: DataFrame,
+    state_path: str,
+    checkpoint: str,
+    state_folder: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keep only the cursors of a streamed message table.
+
+    The highest UID per folder is a streaming aggregate, added up in each task
+    before anything is shuffled; every step writes the folders that moved.
+    """
+
+    def handle(moved: DataFrame, step: int) -> None:
+        known = read_cursor_steps(moved.sparkSession, state_path, before=step)
+        reached = moved.withColumn("state_folder", F.lit(state_folder))
+        write_cursor_step(reached, known, state_path, step)
+
+    return (
+        highest_uid(messages).writeStream.outputMode("update").foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from mailloom import FetchOptions
 from mailloom.operators.joins import ensure_checkpoint_dir
 from mailloom.schema import HEADERS_ONLY
-from mailloom.streaming.incremental import highest_uid_stream, incremental_stream
+from mailloom.sources.sinks import read_cursor_steps
+from mailloom.streaming.incremental import cursor_stream, incremental_stream
 from suite import views
 from suite.mailbox import _enveloped
 from suite.views import ARRIVALS
@@ -65,25 +66,25 @@ WHERE NOT EXISTS (SELECT 1 FROM reached r
                   WHERE r.folder = w.folder AND r.wave < w.wave AND r.last_uid >= w.uid)"""
 
 
-def stream_highest(spark, sf_dir):
-    """Cursors kept as a streaming aggregate."""
+def stream_cursors(spark, sf_dir):
+    """Cursors kept as a streaming aggregate over the same waves."""
     base = _scratch(spark)
-    mails = views.arrivals(spark, sf_dir)
-    mails.write.parquet(f"{base}/in")
-    name = f"highest_{uuid.uuid4().hex}"
-    source = spark.readStream.schema(mails.schema).parquet(f"{base}/in")
-    (
-        highest_uid_stream(source).writeStream.outputMode("complete").format("memory")
-        .queryName(name).option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True).start().awaitTermination()
-    )
-    return spark.table(name)
+    waves = _waves(spark, sf_dir).select("folder", "uid", "wave")
+    schema = waves.drop("wave").schema
+    for wave in range(WAVES):
+        waves.filter(F.col("wave") == wave).drop("wave").write.mode("append").parquet(f"{base}/in")
+        cursor_stream(
+            spark.readStream.schema(schema).parquet(f"{base}/in"),
+            f"{base}/cursors", f"{base}/checkpoint", "s",
+        ).awaitTermination()
+    return read_cursor_steps(spark, f"{base}/cursors", WAVES)
 
 
 QUERIES = {
     "stream_incremental": (stream_incremental, _STREAM),
-    "stream_highest": (
-        stream_highest,
-        f"WITH {ARRIVALS} SELECT folder, max(uid) AS last_uid FROM arrivals GROUP BY folder",
+    "stream_cursors": (
+        stream_cursors,
+        f"WITH {ARRIVALS} SELECT 's' AS state_folder, folder, max(uid) AS last_uid "
+        "FROM arrivals GROUP BY folder",
     ),
 }

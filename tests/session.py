@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 def local_session(cpus: str | int = 8) -> SparkSession:
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    # Python workers import the package from here.
     os.environ["PYTHONPATH"] = root + os.pathsep + os.environ.get("PYTHONPATH", "")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
