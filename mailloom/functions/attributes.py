@@ -58,6 +58,10 @@ def _as_map(pairs: list[tuple[str, Column]]) -> Column:
     return F.map_filter(F.create_map(*cells), lambda _, value: value.isNotNull())
 
 
+def _columns_as_map(columns: dict[str, str]) -> Column:
+    return _as_map([(name, F.col(column)) for name, column in columns.items()])
+
+
 def message_attributes(columns: list[str], header_fault_at: Column | None = None) -> Column:
     """Map of a projected message; ``columns`` are the columns it really has.
 
@@ -74,7 +78,7 @@ def message_attributes(columns: list[str], header_fault_at: Column | None = None
             value = epoch_millis_text(value)
             if header_fault_at is not None:
                 place = {"received_ts": 5, "sent_ts": 6}[column]
-                value = F.when((header_fault_at == 0) | (header_fault_at > place), value)
+                value = F.when(~header_fault_at.between(1, place), value)
         pairs.append((name, value))
     return _as_map(pairs)
 
@@ -94,8 +98,10 @@ def attachment_attributes(values: dict[str, Column] | None = None) -> Column:
 
 
 def error_attributes() -> Column:
-    return _as_map([(name, F.col(column)) for name, column in ERROR_ATTRIBUTES.items()])
+    """Map of an error row."""
+    return _columns_as_map(ERROR_ATTRIBUTES)
 
 
 def request_attributes() -> Column:
-    return _as_map([(name, F.col(column)) for name, column in REQUEST_ATTRIBUTES.items()])
+    """Map of a request on its way out."""
+    return _columns_as_map(REQUEST_ATTRIBUTES)

@@ -34,7 +34,7 @@ def _day_in(text: Column, layout: str) -> Column:
     fields = layout.split(separator)
     pattern = "^" + separator.join(_FIELDS[field] for field in fields) + "$"
     found = {
-        field[0]: F.regexp_extract(text, pattern, number)
+        field[0]: F.split_part(text, F.lit(separator), F.lit(number))
         for number, field in enumerate(fields, start=1)
     }
     year = F.concat(F.lit("20"), found["y"]) if "yy" in fields else found["y"]

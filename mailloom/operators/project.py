@@ -23,18 +23,24 @@ FETCH_MODES = (HEADERS_ONLY, FULL_MESSAGE, ATTACHMENTS_ONLY)
 
 def header_fault_at(df: DataFrame) -> Column:
     """1-based place of the header at which reading stopped, 0 when it did not."""
+    return F.expr(_fault_at(df))
+
+
+def _fault_at(df: DataFrame) -> str:
     if "header_fault" not in df.columns:
-        return F.lit(0)
-    order = F.array(*[F.lit(name) for name in HEADER_ORDER])
-    return F.coalesce(F.array_position(order, F.col("header_fault")), F.lit(0))
+        return "0L"
+    order = ", ".join(f"'{name}'" for name in HEADER_ORDER)
+    return f"coalesce(array_position(array({order}), header_fault), 0L)"
 
 
 def first_sender(df: DataFrame) -> Column:
     """First From address, else the Sender address, else ``unknown``."""
-    first_from = F.try_element_at("from_all", F.lit(1))
-    if "sender_all" in df.columns:
-        first_from = F.coalesce(first_from, F.try_element_at("sender_all", F.lit(1)))
-    return F.coalesce(first_from, F.lit("unknown"))
+    return F.expr(_first_sender(df))
+
+
+def _first_sender(df: DataFrame) -> str:
+    sender = "try_element_at(sender_all, 1), " if "sender_all" in df.columns else ""
+    return f"coalesce(try_element_at(from_all, 1), {sender}'unknown')"
 
 
 def optional(df: DataFrame, column: str, kind: str) -> Column:
@@ -60,8 +66,9 @@ def header_columns(df: DataFrame) -> list[Column]:
 
     A header that could not be read, and every header after it, is NULL.
     """
+    in_reply_to = "in_reply_to" if "in_reply_to" in df.columns else "NULL"
     shown = {
-        "subject": ("subject", F.coalesce(F.col("subject"), F.lit(""))),
+        "subject": ("subject", F.expr("coalesce(subject, '')")),
         "from": ("sender", first_sender(df)),
         "to": ("to_addr", first_or(F.col("to_all"), "")),
         "cc": ("cc_addr", first_or(F.col("cc_all"), "")),
@@ -69,18 +76,16 @@ def header_columns(df: DataFrame) -> list[Column]:
         "sent": ("sent_ts", F.col("sent_ts")),
         "flags": ("flags", flags_text(F.col("flags"))),
         "size": ("size", not_negative(F.col("size"))),
-        "message_id": ("message_id", F.coalesce(F.col("message_id"), F.lit(""))),
-        "in_reply_to": (
-            "in_reply_to", F.coalesce(optional(df, "in_reply_to", "string"), F.lit("")),
-        ),
+        "message_id": ("message_id", F.expr("coalesce(message_id, '')")),
+        "in_reply_to": ("in_reply_to", F.expr(f"coalesce({in_reply_to}, '')")),
     }
-    fault_at = header_fault_at(df)
+    fault_at = _fault_at(df)
     guarded = "header_fault" in df.columns
     columns = []
     for place, field in enumerate(HEADER_ORDER, start=1):
         name, value = shown[field]
         if guarded:
-            value = F.when((fault_at == 0) | (fault_at > place), value)
+            value = F.when(F.expr(f"{fault_at} NOT BETWEEN 1 AND {place}"), value)
         columns.append(value.alias(name))
     return columns
 

@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailloom.functions.text import default_if_missing, is_blank, power_of_two
+from mailloom.functions.text import default_if_missing, power_of_two
 from mailloom.operators.folders import folder_depth, reachable_folders
 from mailloom.operators.joins import lookup_join
-from mailloom.schema import ATTACHMENTS_ONLY, FAILURE, ORIGINAL, RETRY, FetchOptions
+from mailloom.schema import FAILURE, ORIGINAL, RETRY, FetchOptions
 
 _LONG_MAX = 2**63 - 1
 _INT_MAX = 2**31 - 1
@@ -23,30 +23,27 @@ def with_defaults(requests: DataFrame, defaults: FetchOptions = FetchOptions())
 
     Without attachments their limits do not apply and are set to the maximum.
     """
-    filled = requests
+    columns: dict[str, Column] = {}
     for name in (
         "folder", "recursive", "max_recursion_depth", "state_folder", "batch_size",
         "fetch_mode", "include_headers", "include_attachments", "incremental",
         "max_message_size", "max_retries", "retry_backoff_ms",
     ):
         value = getattr(defaults, name)
-        if value is None:
-            continue
-        kind = requests.schema[name].dataType if name in requests.columns else None
-        default = F.lit(value) if kind is None else F.lit(value).cast(kind)
-        filled = filled.withColumn(
-            name, default if kind is None else default_if_missing(F.col(name), default)
-        )
-    wanted = F.col("include_attachments")
-    for name, off in (("max_attachment_size", _LONG_MAX), ("max_attachments", _INT_MAX)):
-        given = F.col(name) if name in requests.columns else F.lit(None)
-        kind = "long" if off == _LONG_MAX else "int"
-        filled = filled.withColumn(
-            name,
-            F.when(wanted, F.coalesce(given.cast(kind), F.lit(getattr(defaults, name)).cast(kind)))
-            .otherwise(F.lit(off).cast(kind)),
-        )
-    return filled
+        if name not in requests.columns:
+            columns[name] = F.lit(value)
+        elif value is not None:
+            default = F.lit(value).cast(requests.schema[name].dataType)
+            columns[name] = default_if_missing(F.col(name), default)
+    wanted = columns["include_attachments"]
+    for name, off, kind in (
+        ("max_attachment_size", _LONG_MAX, "long"), ("max_attachments", _INT_MAX, "int"),
+    ):
+        value = F.lit(getattr(defaults, name)).cast(kind)
+        if name in requests.columns:
+            value = default_if_missing(F.col(name).cast(kind), value)
+        columns[name] = F.when(wanted, value).otherwise(F.lit(off).cast(kind))
+    return requests.withColumns(columns)
 
 
 def retry_wait_ms() -> Column:
@@ -69,38 +66,36 @@ def next_backoff() -> Column:
     return F.col("retry_backoff_ms") * power_of_two(F.coalesce("retry_count", F.lit(0)))
 
 
-def _rules() -> list[tuple[Column, str, str]]:
-    """Error types and texts, in the order in which they are tested."""
-    attach = F.col("include_attachments")
-    return [
-        (is_blank(F.col("folder")), "INVALID_FOLDER", "folder cannot be empty"),
-        (F.col("batch_size") <= 0, "INVALID_BATCH_SIZE", "batch size must be positive"),
-        (F.col("max_message_size") <= 0,
-         "INVALID_MAX_MESSAGE_SIZE", "Max message size must be positive"),
-        (attach & (F.col("max_attachment_size") <= 0),
-         "INVALID_MAX_ATTACHMENT_SIZE", "Max attachment size must be positive"),
-        (attach & (F.col("max_attachment_size") > F.col("max_message_size")),
-         "INVALID_SIZE_LIMITS", "Max attachment size cannot exceed max message size"),
-        (attach & (F.col("max_attachments") <= 0),
-         "INVALID_MAX_ATTACHMENTS", "Max attachments per message must be positive"),
-        (F.col("max_retries") < 0, "INVALID_MAX_RETRIES", "Max retries must be non-negative"),
-        (F.col("retry_backoff_ms") <= 0,
-         "INVALID_RETRY_BACKOFF", "Retry backoff must be positive"),
-        ((F.col("fetch_mode") == ATTACHMENTS_ONLY) & ~attach, "INVALID_FETCH_MODE",
-         "When Fetch Mode is 'Attachments Only', 'Include Attachments' must be enabled"),
-        ((F.col("max_recursion_depth") < -1) | (F.col("max_recursion_depth") == 0),
-         "INVALID_MAX_RECURSION_DEPTH",
-         "Max recursion depth must be -1 (unlimited) or positive"),
-    ]
+# Rules in the order in which they are tested, with the error type
+# and the text of a request that breaks them.
+_RULES = [
+    ("coalesce(trim(folder), '') = ''", "INVALID_FOLDER", "folder cannot be empty"),
+    ("batch_size <= 0", "INVALID_BATCH_SIZE", "batch size must be positive"),
+    ("max_message_size <= 0", "INVALID_MAX_MESSAGE_SIZE", "Max message size must be positive"),
+    ("include_attachments AND max_attachment_size <= 0",
+     "INVALID_MAX_ATTACHMENT_SIZE", "Max attachment size must be positive"),
+    ("include_attachments AND max_attachment_size > max_message_size",
+     "INVALID_SIZE_LIMITS", "Max attachment size cannot exceed max message size"),
+    ("include_attachments AND max_attachments <= 0",
+     "INVALID_MAX_ATTACHMENTS", "Max attachments per message must be positive"),
+    ("max_retries < 0", "INVALID_MAX_RETRIES", "Max retries must be non-negative"),
+    ("retry_backoff_ms <= 0", "INVALID_RETRY_BACKOFF", "Retry backoff must be positive"),
+    ("fetch_mode = 'ATTACHMENTS_ONLY' AND NOT include_attachments", "INVALID_FETCH_MODE",
+     "When Fetch Mode is 'Attachments Only', 'Include Attachments' must be enabled"),
+    ("max_recursion_depth < -1 OR max_recursion_depth = 0", "INVALID_MAX_RECURSION_DEPTH",
+     "Max recursion depth must be -1 (unlimited) or positive"),
+]
 
 
 def validate_requests(requests: DataFrame) -> DataFrame:
     """Requests with the first rule they break; both columns are NULL if none."""
-    error_type = error_message = F.lit(None).cast("string")
-    for broken, kind, text in reversed(_rules()):
-        error_type = F.when(broken, F.lit(kind)).otherwise(error_type)
-        error_message = F.when(broken, F.lit(text)).otherwise(error_message)
-    return requests.withColumns({"error_type": error_type, "error_message": error_message})
+    broken = F.lit(None).cast("struct<kind:string,text:string>")
+    for condition, kind, text in reversed(_RULES):
+        rule = F.struct(F.lit(kind).alias("kind"), F.lit(text).alias("text"))
+        broken = F.when(F.expr(condition), rule).otherwise(broken)
+    return requests.withColumn("_broken", broken).withColumns({
+        "error_type": F.col("_broken.kind"), "error_message": F.col("_broken.text"),
+    }).drop("_broken")
 
 
 def classify(faults: DataFrame) -> DataFrame:

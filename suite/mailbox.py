@@ -43,13 +43,14 @@ from suite.views import ARRIVALS, CURSORS, FLAGS_TEXT, MESSAGES
 def headers_projection(spark, sf_dir):
     df = with_batch_id(views.messages(spark, sf_dir), "run-1")
     return project_headers(df).withColumns({
-        "received_ts": F.unix_millis("received_ts"), "sent_ts": F.unix_millis("sent_ts"),
+        "received_ts": F.unix_millis("received_ts"),
+        "sent_ts": F.coalesce(F.unix_millis("sent_ts"), F.lit(-1)),
     })
 
 
 _HEADERS = f"""WITH {MESSAGES}
 SELECT subject, sender, to_addr, cc_addr, epoch_ms(received_ts) AS received_ts,
-       epoch_ms(sent_ts) AS sent_ts, {FLAGS_TEXT} AS flags, size, message_id,
+       coalesce(epoch_ms(sent_ts), -1) AS sent_ts, {FLAGS_TEXT} AS flags, size, message_id,
        '' AS in_reply_to, 'run-1' AS batch_id, folder, uid
 FROM messages"""
 

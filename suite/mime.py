@@ -161,7 +161,7 @@ def mixed_headers(spark, sf_dir):
     rows = project_headers(_mixed(spark, sf_dir, with_content=False))
     return rows.select(
         "folder", "uid", "subject", "sender", "to_addr", "cc_addr",
-        F.unix_millis("sent_ts").alias("sent_ms"), "flags", "message_id", "in_reply_to",
+        F.coalesce(F.unix_millis("sent_ts"), F.lit(-1)).alias("sent_ms"), "flags", "message_id", "in_reply_to",
     )
 
 
@@ -173,7 +173,7 @@ SELECT folder, uid,
     END AS sender,
   CASE WHEN form <> 8 THEN 'reader' || doc_id || '@example.com' END AS to_addr,
   CASE WHEN form <> 8 THEN '' END AS cc_addr,
-  CASE WHEN form <> 8 THEN epoch_ms(TIMESTAMP '2024-01-16 12:30:00') END AS sent_ms,
+  CASE WHEN form <> 8 THEN epoch_ms(TIMESTAMP '2024-01-16 12:30:00') ELSE -1 END AS sent_ms,
   CASE WHEN form <> 8 THEN '' END AS flags,
   CASE WHEN form <> 8 THEN '<mixed-' || doc_id || '@example.com>' END AS message_id,
   CASE WHEN form <> 8 THEN '<parent-' || doc_id || '@example.com>' END AS in_reply_to

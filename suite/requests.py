@@ -37,6 +37,11 @@ def _folders(spark, sf_dir):
     return materialise(folder_table(views.messages(spark, sf_dir)))
 
 
+def _counted(name):
+    """A number of a request, -1 where there is none."""
+    return F.coalesce(F.col(name), F.lit(-1)).alias(name)
+
+
 def request_defaults(spark, sf_dir):
     return _requests(spark, sf_dir).select(*_OPTIONS)
 
@@ -109,13 +114,14 @@ FROM checked"""
 
 def request_routes(spark, sf_dir):
     routed = route_requests(_requests(spark, sf_dir), NOW_MS)
-    return routed.select("request_id", "relationship", "error_type", "retry_count")
+    return routed.select("request_id", "relationship", "error_type", _counted("retry_count"))
 
 
 _ROUTES = f"""WITH {MESSAGES}, {_CHECKED}
 SELECT request_id, CASE WHEN held THEN 'retry' WHEN error_type IS NOT NULL THEN 'failure'
        ELSE 'original' END AS relationship,
-       CASE WHEN NOT held THEN error_type END AS error_type, retry_count FROM checked"""
+       CASE WHEN NOT held THEN error_type END AS error_type,
+       coalesce(retry_count, -1) AS retry_count FROM checked"""
 
 
 def _faults(requests):
@@ -144,8 +150,10 @@ FROM requests WHERE request_id % 5 < 3"""
 def retry_routes(spark, sf_dir):
     requests = _requests(spark, sf_dir)
     failed = retry_route(requests, classify(_faults(requests)), NOW_MS)
-    return failed.select("request_id", "relationship", "retry_count", "retry_last_time_ms",
-                         "backoff_ms", "error_type", "error_message")
+    return failed.select(
+        "request_id", "relationship", _counted("retry_count"), _counted("retry_last_time_ms"),
+        _counted("backoff_ms"), "error_type", "error_message",
+    )
 
 
 _RETRY_ROUTES = f"""WITH {REQUESTS}, failed AS (
@@ -153,10 +161,11 @@ SELECT *, request_id % 5 = 0 AS mail,
   request_id % 5 = 0 AND coalesce(retry_count, 0) < max_retries AS again
 FROM requests WHERE request_id % 5 < 3)
 SELECT request_id, CASE WHEN again THEN 'retry' ELSE 'failure' END AS relationship,
-  CASE WHEN again THEN coalesce(retry_count, 0) + 1 ELSE retry_count END AS retry_count,
-  CASE WHEN again THEN {NOW_MS} ELSE retry_last_time_ms END AS retry_last_time_ms,
+  coalesce(CASE WHEN again THEN coalesce(retry_count, 0) + 1 ELSE retry_count END, -1)
+    AS retry_count,
+  coalesce(CASE WHEN again THEN {NOW_MS} ELSE retry_last_time_ms END, -1) AS retry_last_time_ms,
   CASE WHEN again THEN CAST(retry_backoff_ms * CAST(pow(2, coalesce(retry_count, 0)) AS BIGINT)
-    AS BIGINT) END AS backoff_ms,
+    AS BIGINT) ELSE -1 END AS backoff_ms,
   CASE WHEN mail THEN 'CONNECTION_ERROR' ELSE 'UNEXPECTED_ERROR' END AS error_type,
   'fault ' || request_id || CASE WHEN mail AND NOT again THEN ' - Max retries exceeded' ELSE '' END
     AS error_message
@@ -247,7 +256,8 @@ def request_settled(spark, sf_dir):
     faults = faults.join(ready.select("request_id"), "request_id", "left_semi")
     settled = settle_requests(requests, _folders(spark, sf_dir), NOW_MS, faults)
     return settled.select(
-        "request_id", "relationship", "retry_count", "retry_last_time_ms", "error_type",
+        "request_id", "relationship", _counted("retry_count"), _counted("retry_last_time_ms"),
+        "error_type",
     )
 
 
@@ -267,8 +277,9 @@ SELECT request_id,
   CASE WHEN held THEN 'retry' WHEN error_type IS NOT NULL THEN 'failure'
     WHEN again THEN 'retry' WHEN text IS NOT NULL THEN 'failure' ELSE 'original' END
     AS relationship,
-  CASE WHEN again THEN coalesce(retry_count, 0) + 1 ELSE retry_count END AS retry_count,
-  CASE WHEN again THEN {NOW_MS} ELSE retry_last_time_ms END AS retry_last_time_ms,
+  coalesce(CASE WHEN again THEN coalesce(retry_count, 0) + 1 ELSE retry_count END, -1)
+    AS retry_count,
+  coalesce(CASE WHEN again THEN {NOW_MS} ELSE retry_last_time_ms END, -1) AS retry_last_time_ms,
   CASE WHEN held THEN NULL WHEN error_type IS NOT NULL THEN error_type
     WHEN mail THEN 'CONNECTION_ERROR' WHEN text IS NOT NULL THEN 'UNEXPECTED_ERROR' END
     AS error_type

@@ -34,9 +34,12 @@ def date_layouts(spark, sf_dir):
         .when(key % 17 == 0, F.concat(F.lit("32-"), F.date_format(day, "MMM-yyyy")))
         .otherwise(text)
     )
-    return views.table(spark, sf_dir, "orders").select(
-        "o_orderkey", parse_day(text).alias("day"),
-        F.unix_millis(utc_midnight(parse_day(text))).alias("midnight_ms"),
+    written = views.table(spark, sf_dir, "orders").select("o_orderkey", text.alias("written"))
+    read = written.select("o_orderkey", parse_day(F.col("written")).alias("day"))
+    return read.select(
+        "o_orderkey",
+        F.coalesce(F.col("day").cast("string"), F.lit("none")).alias("day"),
+        F.coalesce(F.unix_millis(utc_midnight(F.col("day"))), F.lit(-1)).alias("midnight_ms"),
     )
 
 
@@ -51,7 +54,8 @@ SELECT o_orderkey,
             WHEN o_orderkey % 7 = 5 AND day(d) <= 12 THEN make_date(year(d), day(d), month(d))
             ELSE d END AS day
 FROM days)
-SELECT o_orderkey, day, epoch_ms(CAST(day AS TIMESTAMP)) AS midnight_ms FROM read"""
+SELECT o_orderkey, coalesce(CAST(day AS VARCHAR), 'none') AS day,
+       coalesce(epoch_ms(CAST(day AS TIMESTAMP)), -1) AS midnight_ms FROM read"""
 
 
 def data_sizes(spark, sf_dir):
@@ -65,9 +69,10 @@ def data_sizes(spark, sf_dir):
         .when(key == 4, F.concat(number, F.lit(" Tb")))
         .when(key == 5, F.concat(number, F.lit(" XB")))
     )
-    return views.table(spark, sf_dir, "part").select(
-        "p_partkey", data_size_bytes(text, 102400).alias("bytes"),
-        data_size_bytes(text).alias("bytes_or_null"),
+    written = views.table(spark, sf_dir, "part").select("p_partkey", text.alias("written"))
+    return written.select(
+        "p_partkey", data_size_bytes(F.col("written"), 102400).alias("bytes"),
+        data_size_bytes(F.col("written")).isNull().alias("unread"),
     )
 
 
@@ -78,7 +83,7 @@ SELECT p_partkey, CASE p_partkey % 7
   WHEN 4 THEN CAST(p_size AS BIGINT) * 1099511627776 END AS b
 FROM part)
 SELECT p_partkey, CAST(coalesce(b, 102400) AS BIGINT) AS bytes,
-       CAST(b AS BIGINT) AS bytes_or_null FROM sized"""
+       b IS NULL AS unread FROM sized"""
 
 
 def time_periods(spark, sf_dir):
@@ -88,9 +93,8 @@ def time_periods(spark, sf_dir):
     text = F.concat(number, F.lit(".5 sec"))
     for place, unit in enumerate(units):
         text = F.when(key == place, F.concat(number, F.lit(unit))).otherwise(text)
-    return views.table(spark, sf_dir, "events").select(
-        "event_id", time_period_ms(text, 10000).alias("ms")
-    )
+    written = views.table(spark, sf_dir, "events").select("event_id", text.alias("written"))
+    return written.select("event_id", time_period_ms(F.col("written"), 10000).alias("ms"))
 
 
 _TIME_PERIODS = """SELECT event_id, CAST(CASE event_id % 9

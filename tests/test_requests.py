@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from mailloom.functions.attributes import request_attributes
 from mailloom.operators import criteria as c
 from mailloom.operators.requests import (
     classify,
@@ -169,3 +170,10 @@ def test_unknown_search_fails(spark, mails, folders):
     row = run.requests.first()
     assert (row.relationship, row.error_type) == ("failure", "FILTER_PARSE_ERROR")
     assert run.success.count() == 0
+
+
+def test_request_attributes(spark):
+    row = requests(spark, {"retry_count": 2}).selectExpr(
+        "*", "'T' AS error_type", "cast(null AS string) AS error_message"
+    ).select(request_attributes().alias("a")).first()
+    assert row.a == {"retry.count": "2", "error.type": "T"}
