@@ -14,6 +14,10 @@ from mailloom.operators.project import first_sender, header_fault_at, optional
 from mailloom.schema import HEADER_ORDER
 
 
+def _as_column(value) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
+
+
 def explode_parts(df: DataFrame) -> DataFrame:
     """One row per leaf part, depth first; single-part messages give none."""
     leaves = F.filter("parts", lambda part: ~F.coalesce(part["container"], F.lit(False)))
@@ -27,10 +31,14 @@ def is_attachment(disposition: Column, filename: Column) -> Column:
     return F.coalesce(F.lower(disposition) == "attachment", filename.isNotNull())
 
 
+def _within_size(part: Column, max_size) -> Column:
+    """True for a part not above the size cap; an unknown size counts as 0."""
+    return not_negative(part["size"]) <= _as_column(max_size)
+
+
 def cap_attachment_size(parts: Column, max_size) -> Column:
-    """Parts not above the size cap; an unknown size counts as 0."""
-    limit = _as_column(max_size)
-    return F.filter(parts, lambda part: not_negative(part["size"]) <= limit)
+    """Parts not above the size cap."""
+    return F.filter(parts, lambda part: _within_size(part, max_size))
 
 
 def until_fault(parts: Column) -> Column:
@@ -49,22 +57,17 @@ def attachment_name(filename: Column, part_index: Column) -> Column:
     return F.coalesce(filename, F.concat(F.lit("attachment_"), part_index.cast("string")))
 
 
-def _as_column(value) -> Column:
-    return value if isinstance(value, Column) else F.lit(value)
-
-
-def candidate_parts(parts: Column, max_size: Column) -> Column:
+def candidate_parts(parts: Column, max_size) -> Column:
     """Attachments under the size cap, and containers that cannot be opened.
 
-    Such a container stops the walk like an unreadable attachment; a part above
-    the size cap is passed over unread.
+    Such a container has no size and stops the walk like an unreadable
+    attachment; a part above the size cap is passed over unread.
     """
     return F.filter(
         parts,
-        lambda part: F.coalesce(part["container"], F.lit(False))
-        | (
-            is_attachment(part["disposition"], part["filename"])
-            & (not_negative(part["size"]) <= max_size)
+        lambda part: _within_size(part, max_size) & (
+            F.coalesce(part["container"], F.lit(False))
+            | is_attachment(part["disposition"], part["filename"])
         ),
     )
 
@@ -106,7 +109,7 @@ def attachments(df: DataFrame, max_size=2**63 - 1, max_count=2**31 - 1, keep=())
     columns of ``df`` to carry along.
     """
     candidates = df.withColumn(
-        "_parts", candidate_parts(F.col("parts"), _as_column(max_size))
+        "_parts", candidate_parts(F.col("parts"), max_size)
     ).filter(F.size("_parts") > 0)
     heads = attachment_heads(df)
     exploded = candidates.select(

@@ -134,7 +134,7 @@ class Fetched:
         rows = F.array(itself)
         if _wants_files(self.options) and "parts" in routed.columns:
             max_size, max_count = _file_limits(self.options)
-            candidates = F.when(success, candidate_parts(F.col("parts"), F.lit(max_size)))
+            candidates = F.when(success, candidate_parts(F.col("parts"), max_size))
             routed = routed.withColumn(
                 "_parts", F.coalesce(candidates, F.array().cast(MESSAGE["parts"].dataType))
             )

@@ -11,53 +11,38 @@ from pyspark.sql import functions as F
 
 from mailloom.schema import SYSTEM_FLAGS
 
-_FLAG_RULES = {"SEEN": 2, "FLAGGED": 5, "ANSWERED": 7, "DRAFT": 11, "DELETED": 13, "RECENT": 3}
-KEYWORD = "Work"
+# Flags of a message, by document id.
+_FLAGS = """array_compact(array(
+  CASE WHEN doc_id % 2 = 0 THEN 'SEEN' END, CASE WHEN doc_id % 5 = 0 THEN 'FLAGGED' END,
+  CASE WHEN doc_id % 7 = 0 THEN 'ANSWERED' END, CASE WHEN doc_id % 11 = 0 THEN 'DRAFT' END,
+  CASE WHEN doc_id % 13 = 0 THEN 'DELETED' END, CASE WHEN doc_id % 3 = 0 THEN 'RECENT' END,
+  CASE WHEN doc_id % 19 = 0 THEN 'Work' END))"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _address(condition: Column, address: Column) -> Column:
-    return F.when(condition, F.array(address)).otherwise(F.array().cast("array<string>"))
-
-
-def _flags(ident: Column) -> Column:
-    marks = [F.when(ident % every == 0, F.lit(flag)) for flag, every in _FLAG_RULES.items()]
-    marks.append(F.when(ident % 19 == 0, F.lit(KEYWORD)))
-    return F.array_compact(F.array(*marks))
-
-
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One message per document."""
-    ident = F.col("doc_id")
-    number = ident.cast("string")
-    received = F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(
-        F.lit(0), ident.cast("int")
-    )
-    return table(spark, sf_dir, "documents").select(
-        F.concat(F.lit("Archive/"), "source", F.lit("/"), "lang").alias("folder"),
-        (ident + 1).alias("uid"),
-        F.concat(F.lit("<doc-"), number, F.lit("@"), "source", F.lit(".example.com>"))
-        .alias("message_id"),
-        F.substring("text", 1, 60).alias("subject"),
-        F.array(F.concat("source", F.lit("@"), "lang", F.lit(".example.com"))).alias("from_all"),
-        F.array(F.concat(F.lit("reader"), (ident % 17).cast("string"), F.lit("@example.com")))
-        .alias("to_all"),
-        _address(ident % 4 == 0,
-                 F.concat(F.lit("cc"), (ident % 9).cast("string"), F.lit("@example.com")))
-        .alias("cc_all"),
-        _address(ident % 6 == 0,
-                 F.concat(F.lit("bcc"), (ident % 8).cast("string"), F.lit("@example.com")))
-        .alias("bcc_all"),
-        F.array(F.struct(F.lit("X-Lang").alias("name"),
-                         F.concat(F.lit("lang-"), "lang").alias("value"))).alias("headers"),
-        _flags(ident).alias("flags"),
-        F.col("n_chars").alias("size"),
-        received.alias("received_ts"),
-        F.when(ident % 10 != 9, received - F.expr("INTERVAL 90 MINUTES")).alias("sent_ts"),
-        F.encode("text", "UTF-8").alias("content"),
+    received = "TIMESTAMP '2024-01-01 00:00:00' + make_dt_interval(0, CAST(doc_id AS INT))"
+    return table(spark, sf_dir, "documents").selectExpr(
+        "concat('Archive/', source, '/', lang) AS folder",
+        "doc_id + 1 AS uid",
+        "concat('<doc-', doc_id, '@', source, '.example.com>') AS message_id",
+        "substring(text, 1, 60) AS subject",
+        "array(concat(source, '@', lang, '.example.com')) AS from_all",
+        "array(concat('reader', doc_id % 17, '@example.com')) AS to_all",
+        "if(doc_id % 4 = 0, array(concat('cc', doc_id % 9, '@example.com')), "
+        "CAST(array() AS ARRAY<STRING>)) AS cc_all",
+        "if(doc_id % 6 = 0, array(concat('bcc', doc_id % 8, '@example.com')), "
+        "CAST(array() AS ARRAY<STRING>)) AS bcc_all",
+        "array(struct('X-Lang' AS name, concat('lang-', lang) AS value)) AS headers",
+        f"{_FLAGS} AS flags",
+        "n_chars AS size",
+        f"{received} AS received_ts",
+        f"CASE WHEN doc_id % 10 <> 9 THEN {received} - INTERVAL 90 MINUTES END AS sent_ts",
+        "encode(text, 'UTF-8') AS content",
     )
 
 
@@ -91,12 +76,12 @@ FLAGS_TEXT = "concat_ws(' ', " + ", ".join(
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One small message per event, without any body."""
-    return table(spark, sf_dir, "events").select(
-        F.concat(F.lit("Events/"), "event_type").alias("folder"),
-        (F.col("event_id") + 1).alias("uid"),
-        F.round(F.col("value") * 100).cast("bigint").alias("size"),
-        F.col("ts").cast("timestamp").alias("received_ts"),
-        F.col("event_id"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "concat('Events/', event_type) AS folder",
+        "event_id + 1 AS uid",
+        "CAST(round(value * 100) AS BIGINT) AS size",
+        "CAST(ts AS TIMESTAMP) AS received_ts",
+        "event_id",
     )
 
 
@@ -246,35 +231,31 @@ def mixed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One fetch request per customer, some of them waiting, spent or invalid."""
-    key = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
-        key.alias("request_id"),
-        F.when(key % 41 == 0, F.lit(" ")).when(key % 43 == 0, F.lit("Missing"))
-        .when(key % 3 == 0, F.concat(F.lit("Archive/src"), (key % 20).cast("string"), F.lit("*")))
-        .otherwise(F.concat(F.lit("Archive/src"), (key % 20).cast("string"), F.lit("/en")))
-        .alias("folder"),
-        (key % 3 == 0).alias("recursive"),
-        F.when(key % 37 == 0, F.lit(0)).when(key % 5 == 0, F.lit(2))
-        .otherwise(F.lit(-1)).cast("int").alias("max_recursion_depth"),
-        F.when(key % 2 == 0, F.lit("shared")).alias("state_folder"),
-        F.when(key % 31 == 0, F.lit(0)).when(key % 4 != 0, (key % 4)).cast("int")
-        .alias("batch_size"),
-        F.when(key % 7 == 0, F.lit("HEADERS_ONLY")).when(key % 29 == 0, F.lit("ATTACHMENTS_ONLY"))
-        .alias("fetch_mode"),
-        (key % 6 != 1).alias("include_headers"),
-        (key % 5 == 2).alias("include_attachments"),
-        (key % 2 == 0).alias("incremental"),
-        F.when(key % 23 == 0, F.lit(-1)).when(key % 2 == 1, F.lit(5000)).cast("bigint")
-        .alias("max_message_size"),
-        F.when(key % 15 == 7, F.lit(0)).otherwise(F.lit(4000)).cast("bigint")
-        .alias("max_attachment_size"),
-        F.when(key % 35 == 2, F.lit(0)).cast("int").alias("max_attachments"),
-        F.when(key % 19 == 0, F.lit(-1)).otherwise(key % 4).cast("int").alias("max_retries"),
-        F.when(key % 17 == 0, F.lit(0)).otherwise(F.lit(1000)).cast("bigint")
-        .alias("retry_backoff_ms"),
-        F.when(key % 8 != 0, key % 5).cast("int").alias("retry_count"),
-        F.when(key % 9 != 0, F.lit(1_000_000) - (key % 16) * 1000).cast("bigint")
-        .alias("retry_last_time_ms"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS request_id",
+        "CASE WHEN c_custkey % 41 = 0 THEN ' ' WHEN c_custkey % 43 = 0 THEN 'Missing' "
+        "WHEN c_custkey % 3 = 0 THEN concat('Archive/src', c_custkey % 20, '*') "
+        "ELSE concat('Archive/src', c_custkey % 20, '/en') END AS folder",
+        "c_custkey % 3 = 0 AS recursive",
+        "CASE WHEN c_custkey % 37 = 0 THEN 0 WHEN c_custkey % 5 = 0 THEN 2 ELSE -1 END "
+        "AS max_recursion_depth",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'shared' END AS state_folder",
+        "CAST(CASE WHEN c_custkey % 31 = 0 THEN 0 WHEN c_custkey % 4 <> 0 THEN c_custkey % 4 END "
+        "AS INT) AS batch_size",
+        "CASE WHEN c_custkey % 7 = 0 THEN 'HEADERS_ONLY' "
+        "WHEN c_custkey % 29 = 0 THEN 'ATTACHMENTS_ONLY' END AS fetch_mode",
+        "c_custkey % 6 <> 1 AS include_headers",
+        "c_custkey % 5 = 2 AS include_attachments",
+        "c_custkey % 2 = 0 AS incremental",
+        "CAST(CASE WHEN c_custkey % 23 = 0 THEN -1 WHEN c_custkey % 2 = 1 THEN 5000 END "
+        "AS BIGINT) AS max_message_size",
+        "CAST(if(c_custkey % 15 = 7, 0, 4000) AS BIGINT) AS max_attachment_size",
+        "CASE WHEN c_custkey % 35 = 2 THEN 0 END AS max_attachments",
+        "CAST(if(c_custkey % 19 = 0, -1, c_custkey % 4) AS INT) AS max_retries",
+        "CAST(if(c_custkey % 17 = 0, 0, 1000) AS BIGINT) AS retry_backoff_ms",
+        "CAST(CASE WHEN c_custkey % 8 <> 0 THEN c_custkey % 5 END AS INT) AS retry_count",
+        "CASE WHEN c_custkey % 9 <> 0 THEN 1000000 - (c_custkey % 16) * 1000 END "
+        "AS retry_last_time_ms",
     )
 
 
