@@ -65,9 +65,11 @@ def lookup_join(
     """Join ``big`` to ``small`` on equal ``on`` columns, without a hot task.
 
     ``small`` is measured first. Up to ``max_bytes`` it is broadcast and ``big``
-    does not move. Beyond that both sides are shuffled on the key and a salt:
-    a ``big`` row takes the salt of its ``spread`` columns, a ``small`` row is
-    copied to every salt. Both ways give the same rows.
+    does not move. Beyond that both sides are shuffled. ``spread`` names columns
+    that tell apart the ``big`` rows of a key; with them the shuffle is on the
+    key and a salt: a ``big`` row takes the salt of its ``spread`` columns, a
+    ``small`` row is copied to every salt. It can be left out only where the key
+    is unique in ``big``. All ways give the same rows.
 
     ``computed`` says that ``small`` is itself a query; it is then written once
     so that measuring and joining do not run it twice. ``condition`` is a
@@ -77,8 +79,10 @@ def lookup_join(
         small = materialise(small)
     if measured_bytes(small) <= max_bytes:
         left, right, keys = big, F.broadcast(small), list(on)
+    elif spread is None:
+        left, right, keys = big, small, list(on)
     else:
-        salt = F.pmod(F.xxhash64(*(spread or on)), F.lit(SALTS)).cast("int")
+        salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
         left = big.withColumn("_salt", salt)
         right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         keys = [*on, "_salt"]

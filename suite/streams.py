@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from mailloom import FetchOptions
-from mailloom.operators.joins import ensure_checkpoint_dir
 from mailloom.schema import HEADERS_ONLY
 from mailloom.sources.sinks import read_cursor_steps
 from mailloom.streaming.incremental import cursor_stream, incremental_stream
 from suite import views
+from suite.landing import scratch
 from suite.mailbox import _enveloped
 from suite.views import ARRIVALS
 
@@ -29,16 +27,12 @@ def _waves(spark, sf_dir):
     )
 
 
-def _scratch(spark) -> str:
-    return f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
-
-
 def stream_incremental(spark, sf_dir):
     """The stream is stopped and started again for every wave.
 
     What lands late, below the cursor of its folder, is passed over.
     """
-    base = _scratch(spark)
+    base = scratch(spark)
     waves = _waves(spark, sf_dir)
     schema = waves.drop("wave").schema
     options = FetchOptions(folder="Events/*", recursive=True, incremental=True,
@@ -68,7 +62,7 @@ WHERE NOT EXISTS (SELECT 1 FROM reached r
 
 def stream_cursors(spark, sf_dir):
     """Cursors kept as a streaming aggregate over the same waves."""
-    base = _scratch(spark)
+    base = scratch(spark)
     waves = _waves(spark, sf_dir).select("folder", "uid", "wave")
     schema = waves.drop("wave").schema
     for wave in range(WAVES):

@@ -34,7 +34,8 @@ def test_both_ways_agree(big, small, how, computed):
     far = lookup_join(big, small, ["key"], how, spread=["id"], condition=condition, max_bytes=0)
     plain = big.join(small, "key", how) if condition is None else big.join(
         small.withColumnRenamed("key", "k2"), (F.col("key") == F.col("k2")) & condition, how)
-    assert rows(near) == rows(far) == rows(plain)
+    unsalted = lookup_join(big, small, ["key"], how, condition=condition, max_bytes=0)
+    assert rows(near) == rows(far) == rows(unsalted) == rows(plain)
 
 
 def test_salting_spreads_the_hot_key(big, small):
