@@ -29,7 +29,8 @@ _FIELDS = {
 }
 
 
-def _day_in(text: Column, layout: str) -> Column:
+def _as_iso(text: Column, layout: str) -> Column:
+    """The text as ``yyyy-MM-dd`` if it has the layout; the day may not exist."""
     separator = next(ch for ch in layout if not ch.isalpha())
     fields = layout.split(separator)
     pattern = "^" + separator.join(_FIELDS[field] for field in fields) + "$"
@@ -42,13 +43,8 @@ def _day_in(text: Column, layout: str) -> Column:
     if "MMM" in fields:
         names = F.array(*[F.lit(name) for name in _MONTHS])
         month = F.lpad(F.array_position(names, month).cast("string"), 2, "0")
-    first = F.try_to_date(F.concat_ws("-", year, month, F.lit("01")), "yyyy-MM-dd")
-    last = F.dayofmonth(F.last_day(first))
-    wanted = found["d"].try_cast("int")
-    return F.when(
-        F.regexp_like(text, F.lit(pattern)),
-        F.date_add(first, F.least(wanted, last) - 1),
-    )
+    day = F.lpad(F.ltrim(found["d"], F.lit("0")), 2, "0")
+    return F.when(F.regexp_like(text, F.lit(pattern)), F.concat_ws("-", year, month, day))
 
 
 def parse_day(text: Column) -> Column:
@@ -57,7 +53,10 @@ def parse_day(text: Column) -> Column:
     A day past the end of its month (30-Feb) is taken as the month's last day;
     month names are matched in exact case.
     """
-    return F.coalesce(*[_day_in(text, layout) for layout in DATE_LAYOUTS])
+    iso = F.coalesce(*[_as_iso(text, layout) for layout in DATE_LAYOUTS])
+    year, month, day = [F.substring(iso, at, n).cast("int") for at, n in ((1, 4), (6, 2), (9, 2))]
+    first = F.make_date(year, month, F.lit(1))
+    return F.date_add(first, F.least(day, F.dayofmonth(F.last_day(first))) - 1)
 
 
 def utc_midnight(day) -> Column:

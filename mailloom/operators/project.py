@@ -21,6 +21,11 @@ from mailloom.schema import (
 FETCH_MODES = (HEADERS_ONLY, FULL_MESSAGE, ATTACHMENTS_ONLY)
 
 
+def wants_body(mode: Column) -> Column:
+    """True for a mode that shows the content: any but the two that leave it out."""
+    return ~mode.isin(HEADERS_ONLY, ATTACHMENTS_ONLY)
+
+
 def header_fault_at(df: DataFrame) -> Column:
     """1-based place of the header at which reading stopped, 0 when it did not."""
     return F.expr(_fault_at(df))

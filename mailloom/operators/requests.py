@@ -154,22 +154,26 @@ def route_requests(requests: DataFrame, now_ms: int) -> DataFrame:
     }).drop("ready")
 
 
-def resolve_folders(requests: DataFrame, folders: DataFrame, separator: str = "/") -> DataFrame:
+def resolve_folders(
+    requests: DataFrame, folders: DataFrame, keep: list[str] | None = None, separator: str = "/"
+) -> DataFrame:
     """Pairs (request, folder) of the folders each request selects.
 
     A plain request names its folder. A recursive one selects by path or, with
     a trailing ``*``, by prefix among the reachable folders within its depth.
     Both are equality joins: a folder is offered under each of its prefixes.
+    ``keep`` names more request columns to carry along; the request's own target
+    is carried as ``target`` if that is named.
     """
-    plain = requests.filter(~F.col("recursive")).select(
-        "request_id", F.col("folder").alias("path")
-    )
+    carried = ["request_id", *(keep or [])]
+    asked = requests.withColumn("target", F.col("folder"))
+    plain = asked.filter(~F.col("recursive")).select(*carried, "folder")
     tree = reachable_folders(folders, separator).select("path")
     star = F.endswith(F.col("folder"), F.lit("*"))
-    depth = F.when(F.col("max_recursion_depth") >= 0, F.col("max_recursion_depth"))
-    wanted = requests.filter(F.col("recursive")).select(
-        "request_id",
-        depth.alias("_max_depth"),
+    wanted = asked.filter(F.col("recursive")).select(
+        *carried,
+        F.when(F.col("max_recursion_depth") >= 0, F.col("max_recursion_depth"))
+        .alias("_max_depth"),
         star.alias("_star"),
         F.when(star, F.expr("substring(folder, 1, length(folder) - 1)"))
         .otherwise(F.col("folder")).alias("_text"),
@@ -191,6 +195,4 @@ def resolve_folders(requests: DataFrame, folders: DataFrame, separator: str = "/
         F.col("_max_depth").isNull()
         | (folder_depth(F.col("path"), separator) <= F.col("_max_depth"))
     )
-    return plain.unionByName(found.select("request_id", "path")).withColumnRenamed(
-        "path", "folder"
-    )
+    return plain.unionByName(found.select(*carried, F.col("path").alias("folder")))

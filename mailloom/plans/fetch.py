@@ -31,6 +31,7 @@ from mailloom.operators.project import (
     header_columns,
     header_fault_at,
     optional,
+    wants_body,
     with_batch_id,
 )
 from mailloom.operators.summary import run_summary
@@ -64,7 +65,7 @@ def with_outcome(df: DataFrame, max_message_size, mode=FULL_MESSAGE) -> DataFram
     size = not_negative(F.col("size"))
     reason = F.lit(None).cast("string")
     if "body_fault" in df.columns:
-        reason = F.when(mode == FULL_MESSAGE, F.col("body_fault"))
+        reason = F.when(wants_body(mode), F.col("body_fault"))
     if "error_message" in df.columns:
         reason = F.coalesce(F.col("error_message"), reason)
     too_large = size > limit

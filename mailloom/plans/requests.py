@@ -11,7 +11,7 @@ from mailloom.operators.attachments import attachments
 from mailloom.operators.cursor import id_column
 from mailloom.operators.joins import lookup_join, materialise
 from mailloom.operators.limits import cap_per_folder
-from mailloom.operators.project import project_headers
+from mailloom.operators.project import project_headers, wants_body
 from mailloom.operators.requests import (
     classify,
     resolve_folders,
@@ -23,7 +23,6 @@ from mailloom.plans.fetch import error_rows, with_outcome
 from mailloom.schema import (
     ATTACHMENTS_ONLY,
     FAILURE,
-    FULL_MESSAGE,
     MESSAGE,
     ORIGINAL,
     PARSE_ERROR,
@@ -63,14 +62,12 @@ class Handled:
 def _targets(requests: DataFrame, folders: DataFrame, cursors: DataFrame | None) -> DataFrame:
     """(request, folder) pairs with the request's options and the folder's cursor."""
     search = F.col("search") if "search" in requests.columns else F.lit("")
-    options = requests.select(
-        *_DISPLAY, *[name for name in _SELECTION if name in requests.columns and name != "folder"],
-        F.coalesce(search, F.lit("")).alias("_search"),
-        F.col("folder").alias("_target"),
+    options = _DISPLAY[1:] + ["batch_size", "fetch_mode", "max_message_size", "_search"]
+    pairs = resolve_folders(
+        requests.withColumn("_search", F.coalesce(search, F.lit(""))), folders,
+        keep=[*options, "target"],
     )
-    pairs = lookup_join(
-        resolve_folders(requests, folders), options, ["request_id"], "inner", spread=["folder"]
-    ).withColumn("state_folder", F.coalesce("state_folder", "_target")).drop("_target")
+    pairs = pairs.withColumn("state_folder", F.coalesce("state_folder", "target")).drop("target")
     if cursors is None:
         return pairs.withColumn("_last_uid", F.lit(-1).cast("long"))
     last = cursors.filter(F.col("last_uid") >= 0).select("state_folder", "folder", "last_uid")
@@ -133,7 +130,7 @@ def fetch_for_requests(
         delivered,
         F.col("request_id"),
         F.col("include_headers"),
-        F.when(F.col("fetch_mode") == FULL_MESSAGE, body).alias("content"),
+        F.when(wants_body(F.col("fetch_mode")), body).alias("content"),
     )
     success = shown.withColumns({
         name: F.when(F.col("include_headers"), F.col(name)) for name in _HEADER_COLUMNS
@@ -141,7 +138,7 @@ def fetch_for_requests(
 
     files = delivered.filter(
         (F.col("fetch_mode") == ATTACHMENTS_ONLY)
-        | ((F.col("fetch_mode") == FULL_MESSAGE) & F.col("include_attachments"))
+        | (wants_body(F.col("fetch_mode")) & F.col("include_attachments"))
     )
     if "parts" not in files.columns:
         files = files.withColumn("parts", F.lit(None).cast(MESSAGE["parts"].dataType))
