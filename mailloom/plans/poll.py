@@ -5,11 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from mailloom.operators.cursor import advance_cursor
 from mailloom.operators.mailbox import expunge, flag_deleted, mark_read
 from mailloom.plans.fetch import Fetched, fetch
 from mailloom.schema import FetchOptions
+from mailloom.sources.sinks import read_cursor_steps, write_cursor_step, write_routes
 
 
 @dataclass
@@ -46,3 +48,33 @@ def poll(
         ),
         update_mailbox(messages, fetched.success, options),
     )
+
+
+def run_step(
+    messages: DataFrame,
+    step: int,
+    out_path: str,
+    state_path: str,
+    options: FetchOptions = FetchOptions(incremental=True),
+    all_of=(),
+    any_of=(),
+    folders: DataFrame | None = None,
+    capped: bool = True,
+) -> Fetched:
+    """One trigger with its results on disk: outputs first, then the cursors reached.
+
+    The step reads the cursors of the steps before it and replaces its own
+    output and its own cursors, so it can be run again after a failure.
+    """
+    state = options.state_key_base
+    known = None
+    if options.incremental:
+        known = read_cursor_steps(messages.sparkSession, state_path, before=step)
+    fetched = fetch(
+        messages, options, all_of, any_of, known, folders, f"{state}-{step}", capped
+    )
+    write_routes(fetched.tagged(), f"{out_path.rstrip('/')}/step={step}")
+    if options.incremental:
+        reached = fetched.cursors.withColumn("state_folder", F.lit(state))
+        write_cursor_step(reached, known, state_path, step)
+    return fetched

@@ -56,6 +56,22 @@ _MESSAGE = pa.schema([
 _LANDED = ("folder", "uid", "msg_num", "received_ts", "size", "flags")
 
 
+def _record_batch(rows: list[dict]) -> pa.RecordBatch:
+    try:
+        return pa.RecordBatch.from_pylist(rows, schema=_MESSAGE)
+    except (pa.ArrowException, ValueError, TypeError, OverflowError):
+        return pa.RecordBatch.from_pylist([_storable(row) for row in rows], schema=_MESSAGE)
+
+
+def _storable(row: dict) -> dict:
+    """The row itself, or an error row if one of its values cannot be stored."""
+    try:
+        pa.RecordBatch.from_pylist([row], schema=_MESSAGE)
+        return row
+    except (pa.ArrowException, ValueError, TypeError, OverflowError) as fault:
+        return {name: row.get(name) for name in _LANDED} | {"error_message": str(fault)}
+
+
 def _parse_batches(batches: Iterator[pa.RecordBatch], with_content: bool):
     done: list[dict] = []
     held = 0
@@ -71,10 +87,10 @@ def _parse_batches(batches: Iterator[pa.RecordBatch], with_content: bool):
             done.append(row)
             held += len(raw)
             if held >= BATCH_BYTES or len(done) >= BATCH_ROWS:
-                yield pa.RecordBatch.from_pylist(done, schema=_MESSAGE)
+                yield _record_batch(done)
                 done, held = [], 0
     if done:
-        yield pa.RecordBatch.from_pylist(done, schema=_MESSAGE)
+        yield _record_batch(done)
 
 
 def ingest(

@@ -67,6 +67,11 @@ def split_head(raw: bytes) -> tuple[Head, bytes]:
     return Head(head.decode("utf-8", "replace")), body
 
 
+def whole_text(text: str) -> str:
+    """The text without half characters, which some charsets can produce."""
+    return text.encode("utf-8", "replace").decode("utf-8")
+
+
 def decode_words(text: str) -> str:
     """RFC 2047 encoded words as plain text; unchanged when a charset is unknown."""
     if "=?" not in text:
@@ -80,9 +85,9 @@ def decode_words(text: str) -> str:
                 octets = binascii.a2b_base64(data)
             else:
                 octets = quoprimime.header_decode(data).encode("latin-1")
+            return whole_text(octets.decode(charset, "replace"))
         except ValueError:
             return word[0]
-        return octets.decode(charset, "replace")
 
     try:
         return _ENCODED_WORD.sub(plain, _BETWEEN_WORDS.sub(r"\1\0", text)).replace("\0", "")
@@ -208,7 +213,7 @@ def _leaves(head: Head, body: bytes, path: tuple[int, ...]) -> Iterator[dict]:
             "part_path": list(here),
             "part_index": index,
             "disposition": disposition,
-            "filename": None if filename is None else decode_words(filename),
+            "filename": None if filename is None else decode_words(whole_text(filename)),
             "content_type": part.first("content-type") or "text/plain",
             "size": len(data),
             "container": False,

@@ -10,46 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from mailloom.operators.cursor import highest_uid
-from mailloom.plans.fetch import Fetched, fetch
+from mailloom.plans.poll import run_step
 from mailloom.schema import FetchOptions
-from mailloom.sources.sinks import read_cursor_steps, write_cursor_step, write_routes
-
-
-def _with_state(cursors: DataFrame, options: FetchOptions) -> DataFrame:
-    return cursors.select(
-        F.lit(options.state_key_base).alias("state_folder"), "folder", "last_uid"
-    )
-
-
-def process_batch(
-    batch: DataFrame,
-    step: int,
-    out_path: str,
-    state_path: str,
-    options: FetchOptions,
-    all_of=(),
-    any_of=(),
-) -> Fetched:
-    """One micro-batch: outputs first, then the cursors they reached.
-
-    A replayed micro-batch reads the cursors of the steps before it and
-    replaces its own output and its own step, so nothing is emitted twice. The
-    per-run cap does not apply, because a stream does not offer a message
-    again: limit its rate at the source.
-    """
-    options = replace(options, incremental=True)
-    known = read_cursor_steps(batch.sparkSession, state_path, before=step)
-    batch.persist()
-    try:
-        fetched = fetch(
-            batch, options, all_of, any_of, cursors=known,
-            batch_id=f"{options.state_key_base}-{step}", capped=False,
-        )
-        write_routes(fetched.tagged(), f"{out_path.rstrip('/')}/step={step}")
-        write_cursor_step(_with_state(fetched.cursors, options), known, state_path, step)
-    finally:
-        batch.unpersist()
-    return fetched
+from mailloom.sources.sinks import read_cursor_steps, write_cursor_step
 
 
 def incremental_stream(
@@ -65,15 +28,23 @@ def incremental_stream(
 ) -> StreamingQuery:
     """Deliver each new message of a streamed message table once, above its cursor.
 
-    The three paths belong together and must be shared by all executors.
+    A replayed micro-batch replaces its own output and its own cursors, so
+    nothing is emitted twice. The per-run cap does not apply, because a stream
+    does not offer a message again: limit its rate at the source. The three paths belong together and must be shared by all executors.
     ``after_batch`` is called with the micro-batch when its outputs are written,
     for instance to mark its messages as read.
     """
 
+    always = replace(options, incremental=True)
+
     def handle(batch: DataFrame, step: int) -> None:
-        process_batch(batch, step, out_path, state_path, options, all_of, any_of)
-        if after_batch is not None:
-            after_batch(batch, step)
+        batch.persist()
+        try:
+            run_step(batch, step, out_path, state_path, always, all_of, any_of, capped=False)
+            if after_batch is not None:
+                after_batch(batch, step)
+        finally:
+            batch.unpersist()
 
     return (
         messages.writeStream.foreachBatch(handle)

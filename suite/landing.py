@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,18 +13,13 @@ from mailloom import FetchOptions
 from mailloom.operators.attachments import attachments
 from mailloom.operators.cursor import after_cursor
 from mailloom.operators.folders import in_folder
-from mailloom.operators.joins import ensure_checkpoint_dir
 from mailloom.plans.fetch import fetch, split_oversize
 from mailloom.sources.ingest import ingest, write_messages
 from mailloom.sources.landing import read_envelopes, read_messages, read_raw, stream_raw
 from mailloom.sources.sinks import read_route, write_routes
 from suite import views
 from suite.mime import _MIXED, _spread
-
-
-def scratch(spark) -> str:
-    """A new folder that all executors share."""
-    return f"{ensure_checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"
+from suite.scratch import scratch
 
 
 def land(raw: DataFrame, root: str) -> None:

@@ -32,9 +32,10 @@ from mailloom.operators.project import (
 )
 from mailloom.operators.summary import run_summary
 from mailloom.plans.fetch import fetch, split_oversize, with_outcome
-from mailloom.plans.poll import poll
+from mailloom.plans.poll import poll, run_step
 from mailloom.schema import ATTACHMENTS_ONLY, HEADERS_ONLY
 from suite import views
+from suite.scratch import scratch
 from suite.views import ARRIVALS, CURSORS, FLAGS_TEXT, MESSAGES
 
 # -- projection ---------------------------------------------------------------
@@ -283,6 +284,28 @@ SELECT CASE WHEN r <= 200 THEN 'first' ELSE 'second' END AS batch_id, folder, ui
 FROM ranked WHERE r <= 400"""
 
 
+def poll_steps(spark, sf_dir):
+    """Three triggers that find their cursors on disk; the second one is run twice."""
+    base = scratch(spark)
+    bare = _enveloped(views.arrivals(spark, sf_dir))
+    options = FetchOptions(folder="Events/*", recursive=True, incremental=True, batch_size=12,
+                           state_folder="s", fetch_mode=HEADERS_ONLY, max_message_size=10000)
+    for step in (0, 1, 1, 2):
+        run_step(bare, step, f"{base}/out", f"{base}/cursors", options)
+    return spark.read.parquet(f"{base}/out").select("step", "relationship", "folder", "uid")
+
+
+_POLL_STEPS = f"""WITH {ARRIVALS}, counted AS (
+SELECT folder, uid, greatest(size, 0) <= 10000 AS ok,
+  coalesce(sum(CASE WHEN greatest(size, 0) <= 10000 THEN 1 ELSE 0 END) OVER (
+    PARTITION BY folder ORDER BY uid
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+FROM arrivals)
+SELECT CAST(before // 120 AS INTEGER) AS step,
+  CASE WHEN ok THEN 'success' ELSE 'parse-error' END AS relationship, folder, uid
+FROM counted WHERE before < 360"""
+
+
 def _enveloped(df):
     """Arrivals with the empty header columns a projection asks for."""
     text, texts = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
@@ -516,6 +539,7 @@ QUERIES = {
     "state_keys": (state_keys, _STATE_KEYS),
     "effective_ids": (effective_ids, _EFFECTIVE),
     "poll_twice": (poll_twice, _POLL_TWICE),
+    "poll_steps": (poll_steps, _POLL_STEPS),
     "cap_per_run": (cap_per_run, _CAP),
     "batch_numbers": (batch_numbers, _BATCHES),
     "batch_stamp": (

@@ -9,8 +9,8 @@ from mailloom.schema import HEADERS_ONLY
 from mailloom.sources.sinks import read_cursor_steps
 from mailloom.streaming.incremental import cursor_stream, incremental_stream
 from suite import views
-from suite.landing import scratch
 from suite.mailbox import _enveloped
+from suite.scratch import scratch
 from suite.views import ARRIVALS
 
 WAVES = 3

@@ -230,8 +230,10 @@ def test_content_is_the_body_without_headers(mails):
 
 
 def test_body_faults_matter_only_with_the_body(spark):
-    raws = [b"Content-Transfer-Encoding: x-odd\n\nx", b"Content-Transfer-Encoding: base64\n\nQUI",
-            b"Content-Transfer-Encoding: BASE64\n\nQU I=\n", b"\nonly a body", b"Subject: only a head"]
+    raws = [b"Content-Transfer-Encoding: x-odd\n\nx",
+            b"Content-Transfer-Encoding: base64\n\nQUI",
+            b"Content-Transfer-Encoding: BASE64\n\nQU I=\n",
+            b"\nonly a body", b"Subject: only a head"]
     landed = spark.createDataFrame(
         [("F", n, None, len(r), bytearray(r)) for n, r in enumerate(raws, start=1)], RAW)
     mails = ingest(landed)
@@ -247,7 +249,8 @@ def test_body_faults_matter_only_with_the_body(spark):
 
 def test_unreadable_header_hides_what_follows(spark):
     raw = b"From: a@x\nTo: <broken\nSubject: s\nMessage-ID: <m@x>\n\nbody"
-    landed = spark.createDataFrame([("F", 1, dt.datetime(2024, 1, 1), len(raw), bytearray(raw))], RAW)
+    landed = spark.createDataFrame(
+        [("F", 1, dt.datetime(2024, 1, 1), len(raw), bytearray(raw))], RAW)
     mails = ingest(landed)
     row = project_headers(mails).first()
     assert (row.subject, row.sender) == ("s", "a@x")
@@ -270,6 +273,9 @@ def test_unreadable_header_hides_what_follows(spark):
     ("=?utf-8?b?!?=", ""),
     ("=?utf-8?q?a", "=?utf-8?q?a"),
     ("=?us-ascii?q?=FF?=", "�"),
+    ("=?utf-7?q?+2AA-?=", "?"),
+    ("=?hex?q?ab?=", "=?hex?q?ab?="),
+    ("=?idna?q?xn--=FF?=", "=?idna?q?xn--=FF?="),
 ])
 def test_encoded_words(text, plain):
     assert decode_words(text) == plain
@@ -313,3 +319,52 @@ def test_headers_only_leaves_the_body_alone():
     row = parse_mail(INVOICE, with_content=False)
     assert row["subject"] == "Invoice attached"
     assert row["content"] is None and row["parts"] is None
+
+
+def test_one_bad_value_does_not_lose_the_batch(monkeypatch):
+    from mailloom.sources import ingest as job
+
+    def parse(raw, with_content):
+        return {"subject": "\ud800" if raw == b"bad" else raw.decode()}
+
+    monkeypatch.setattr(job, "parse_mail", parse)
+    import pyarrow as pa
+
+    landed = pa.RecordBatch.from_pylist([
+        {"folder": "F", "uid": n, "msg_num": None, "received_ts": None, "size": 3, "flags": None,
+         "raw": raw} for n, raw in enumerate([b"one", b"bad", b"two"])])
+    rows = [row for out in job._parse_batches(iter([landed]), True) for row in out.to_pylist()]
+    assert [(r["uid"], r["subject"]) for r in rows] == [(0, "one"), (1, None), (2, "two")]
+    assert rows[0]["error_message"] is None and "surrogates" in rows[1]["error_message"]
+
+
+def test_times_do_not_depend_on_the_session_zone(spark, mails):
+    expected = mails.orderBy("uid").select(
+        F.unix_seconds("sent_ts"), F.unix_seconds("received_ts")).collect()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        raws = [SIMPLE, INVOICE]
+        stamp = dt.datetime(2024, 2, 1, tzinfo=UTC)
+        landed = spark.createDataFrame(
+            [("INBOX", n, stamp, 1, bytearray(raw)) for n, raw in enumerate(raws, start=1)], RAW)
+        rows = ingest(landed).orderBy("uid").select(
+            F.unix_seconds("sent_ts"), F.unix_seconds("received_ts")).collect()
+        assert rows == expected[:2]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_odd_mails_are_read(spark):
+    deep = b"".join(
+        b"Content-Type: multipart/mixed; boundary=b%d\n\n--b%d\n" % (n, n) for n in range(60))
+    raws = [b"", b"\r\n", b"\x00\xff\xfe", b"Subject: \xe9\xff\n\n", b"no colon here\n\nx",
+            b"Date: Mon, 99 Foo 99999 25:61:61 +9999\n\n", deep + b"\nleaf",
+            b"Content-Type: multipart/mixed; boundary=\"\"\n\n--\n\nx\n----\n",
+            b"Content-Type: ;;;\nContent-Disposition: \n\nx"]
+    landed = spark.createDataFrame(
+        [("F", n, None, len(r), bytearray(r)) for n, r in enumerate(raws)], RAW)
+    rows = {r.uid: r for r in ingest(landed).collect()}
+    assert len(rows) == len(raws)
+    assert all(r.error_message is None for r in rows.values())
+    assert rows[6].parts[0].part_path == [0] * 60
+    assert rows[3].subject == "\ufffd\ufffd"

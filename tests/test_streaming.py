@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 
 from mailloom import FetchOptions
+from mailloom.plans.poll import run_step
 from mailloom.sources import sinks
 from mailloom.sources.sinks import read_cursor_steps, write_cursor_step
-from mailloom.streaming.incremental import incremental_stream, process_batch
+from mailloom.streaming.incremental import incremental_stream
 
 SCHEMA = (
     "folder string, uid long, size long, subject string, message_id string, "
@@ -13,7 +16,7 @@ SCHEMA = (
     "received_ts timestamp, sent_ts timestamp"
 )
 OPTIONS = FetchOptions(folder="*", recursive=True, fetch_mode="HEADERS_ONLY", state_folder="s",
-                       max_message_size=100)
+                       max_message_size=100, incremental=True)
 
 
 def batch(spark, *rows):
@@ -44,9 +47,9 @@ def test_steps_and_replay(spark, paths):
         (2, "success", "b", 6),
     ]
     for step, rows in enumerate(steps):
-        process_batch(rows, step, out, state, OPTIONS)
-        # A replay of the same micro-batch changes nothing.
-        process_batch(rows, step, out, state, OPTIONS)
+        run_step(rows, step, out, state, OPTIONS, capped=False)
+        # Running the same step again changes nothing.
+        run_step(rows, step, out, state, OPTIONS, capped=False)
     assert delivered(spark, out) == expected
     assert sorted(map(tuple, read_cursor_steps(spark, state, 3).collect())) == [
         ("s", "a", 4), ("s", "b", 6)]
@@ -88,3 +91,25 @@ def test_old_steps_are_not_read_again(spark, paths, monkeypatch):
         write_cursor_step(new, known, state, step)
     assert sorted(map(tuple, read_cursor_steps(spark, state, 8).collect())) == [
         ("s", "f0", 5), ("s", "f1", 6), ("s", "f2", 7), ("s", "f3", 8)]
+
+
+def test_capped_steps_work_through_a_table(spark, paths):
+    out, state = paths
+    table = batch(spark, *[("a", n, 10) for n in range(1, 26)], ("b", 1, 10))
+    options = replace(OPTIONS, batch_size=1)
+    for step in range(4):
+        run_step(table, step, out, state, options)
+    counts = {}
+    for step, _, folder, uid in delivered(spark, out):
+        counts.setdefault((step, folder), []).append(uid)
+    assert counts == {(0, "a"): list(range(1, 11)), (0, "b"): [1],
+                      (1, "a"): list(range(11, 21)), (2, "a"): list(range(21, 26))}
+
+
+def test_steps_without_cursors_repeat_themselves(spark, paths):
+    out, state = paths
+    table = batch(spark, ("a", 1, 10))
+    options = replace(OPTIONS, incremental=False)
+    for step in range(2):
+        run_step(table, step, out, state, options)
+    assert delivered(spark, out) == [(0, "success", "a", 1), (1, "success", "a", 1)]
