@@ -13,54 +13,65 @@ from mailloom.schema import FetchOptions
 RANK_PARTS = 64
 
 
-def _leading(
-    df: DataFrame, succeeded: Column, cap: Column | int, top: int | None, by: list[str]
+def leading(
+    df: DataFrame, succeeded: Column, cap: Column | int, top: int, by: list[str]
 ) -> DataFrame:
-    """The first ``cap`` successes per group in mailbox order, keys and rank only.
+    """The first ``cap`` successes per group in mailbox order: keys, ``_id``, ``_rank``.
 
     The group is ranked in parts first, so that one task never sees a whole
     folder; at most ``RANK_PARTS`` times the cap rows meet in the second step.
+    ``cap`` is a number, or a Column that is constant within a group and never
+    above ``top``.
     """
-    slim = df.filter(succeeded).select(*by, id_column(df).alias("_id"),
-                                       F.lit(cap).alias("_cap"))
-    parts = slim.withColumn("_part", F.spark_partition_id() % RANK_PARTS)
+    slim = df.filter(succeeded).select(
+        *by, id_column(df).alias("_id"), F.lit(cap).alias("_cap")
+    )
+    ranked = slim.withColumn("_part", F.spark_partition_id() % RANK_PARTS)
     for keys in ([*by, "_part"], by):
         window = Window.partitionBy(*keys).orderBy("_id")
-        parts = parts.withColumn("_rank", F.row_number().over(window))
-        if top is not None:
-            parts = parts.filter(F.col("_rank") <= top)
-        parts = parts.filter(F.col("_rank") <= F.col("_cap"))
-    return parts.drop("_part")
+        ranked = ranked.withColumn("_rank", F.row_number().over(window)).filter(
+            (F.col("_rank") <= top) & (F.col("_rank") <= F.col("_cap"))
+        )
+    return ranked.drop("_part", "_cap")
 
 
-def cap_per_folder(
-    df: DataFrame,
-    batch_size,
-    succeeded: Column,
-    by: tuple[str, ...] = ("folder",),
-    top_batch_size: int | None = None,
-) -> DataFrame:
+def cap_per_folder(df: DataFrame, batch_size: int, succeeded: Column) -> DataFrame:
     """Messages a run reaches before it has ``10 * batch_size`` successes per folder.
 
     Failing messages met on the way stay in and are not counted; nothing after
-    the last counted success does. ``batch_size`` is a number, or a Column that
-    is constant within a group, with ``top_batch_size`` as its highest value.
+    the last counted success does.
     """
-    by = list(by)
-    per_run = FetchOptions.BATCHES_PER_RUN
-    top = top_batch_size if isinstance(batch_size, Column) else batch_size
-    top = None if top is None else int(top) * per_run
-    leading = _leading(df, succeeded, batch_size * per_run, top, by)
-    last = leading.filter(F.col("_rank") == F.col("_cap")).select(
-        *by, F.col("_id").alias("_cap_id")
+    cap = batch_size * FetchOptions.BATCHES_PER_RUN
+    last = leading(df, succeeded, cap, cap, ["folder"]).filter(F.col("_rank") == cap).select(
+        "folder", F.col("_id").alias("_cap_id")
     )
     ident = [name for name in ("uid", "msg_num") if name in df.columns]
-    joined = lookup_join(df, last, by, spread=ident, computed=True)
+    joined = lookup_join(df, last, ["folder"], spread=ident, computed=True)
     return joined.filter(
         F.col("_cap_id").isNull() | (id_column(df) <= F.col("_cap_id"))
     ).drop("_cap_id")
 
 
+def cap_ids(
+    df: DataFrame, succeeded: Column, wanted: DataFrame, by: list[str], top_batch_size: int
+) -> DataFrame:
+    """Where the cap falls for several batch sizes of the same group.
+
+    ``wanted`` holds the groups with the batch sizes asked of them, ``df`` the
+    messages of each group with its highest batch size in ``_top``. The result
+    is ``wanted`` with the id of the last message reached in ``_cap_id``; it is
+    NULL where a group ends before its cap.
+    """
+    per_run = FetchOptions.BATCHES_PER_RUN
+    ends = leading(df, succeeded, F.col("_top") * per_run, top_batch_size * per_run, by)
+    ends = ends.filter(F.col("_rank") % per_run == 0).select(
+        *by,
+        F.floor(F.col("_rank") / per_run).cast("int").alias("batch_size"),
+        F.col("_id").alias("_cap_id"),
+    )
+    return wanted.select(*by, "batch_size").join(ends, [*by, "batch_size"], "left")
+
+
 def batch_number(df: DataFrame, batch_size: int, succeeded: Column) -> DataFrame:
     """Successes of a capped run with the number of their batch, from 0."""
     capped = cap_per_folder(df, batch_size, succeeded).filter(succeeded)

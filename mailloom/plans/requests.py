@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from mailloom.operators.attachments import attachments
 from mailloom.operators.cursor import id_column
 from mailloom.operators.joins import lookup_join, materialise
-from mailloom.operators.limits import cap_per_folder
+from mailloom.operators.limits import cap_ids
 from mailloom.operators.project import project_headers, wants_body
 from mailloom.operators.requests import (
     classify,
@@ -23,6 +23,8 @@ from mailloom.plans.fetch import error_rows, with_outcome
 from mailloom.schema import (
     ATTACHMENTS_ONLY,
     FAILURE,
+    FULL_MESSAGE,
+    HEADERS_ONLY,
     MESSAGE,
     ORIGINAL,
     PARSE_ERROR,
@@ -34,13 +36,13 @@ _HEADER_COLUMNS = [
     "message_id", "in_reply_to",
 ]
 
-#: What decides which messages of a folder a request reaches. Requests that
-#: agree in all of it share the work.
-_SELECTION = ["folder", "_last_uid", "batch_size", "fetch_mode", "max_message_size", "_search"]
+#: What decides which messages of a folder are candidates and which of them
+#: succeed. Requests that agree in all of it share the work, whatever their cap.
+_SELECTION = ["folder", "_last_uid", "_body", "max_message_size", "_search"]
 
-#: What decides how the messages are shown to one request.
-_DISPLAY = ["request_id", "state_folder", "incremental", "include_headers",
-            "include_attachments", "max_attachment_size", "max_attachments"]
+#: What else a request asks for.
+_DISPLAY = ["request_id", "state_folder", "incremental", "batch_size", "fetch_mode",
+            "include_headers", "include_attachments", "max_attachment_size", "max_attachments"]
 
 
 @dataclass
@@ -62,10 +64,11 @@ class Handled:
 def _targets(requests: DataFrame, folders: DataFrame, cursors: DataFrame | None) -> DataFrame:
     """(request, folder) pairs with the request's options and the folder's cursor."""
     search = F.col("search") if "search" in requests.columns else F.lit("")
-    options = _DISPLAY[1:] + ["batch_size", "fetch_mode", "max_message_size", "_search"]
+    asked = requests.withColumns({
+        "_search": F.coalesce(search, F.lit("")), "_body": wants_body(F.col("fetch_mode")),
+    })
     pairs = resolve_folders(
-        requests.withColumn("_search", F.coalesce(search, F.lit(""))), folders,
-        keep=[*options, "target"],
+        asked, folders, keep=[*_DISPLAY[1:], "_body", "max_message_size", "_search", "target"]
     )
     pairs = pairs.withColumn("state_folder", F.coalesce("state_folder", "target")).drop("target")
     if cursors is None:
@@ -96,11 +99,10 @@ def fetch_for_requests(
     ``search`` column.
     """
     targets = materialise(_targets(requests, folders, cursors))
-    top = targets.agg(F.max("batch_size")).first()[0]
+    top = targets.agg(F.max("batch_size")).first()[0] or 1
     ident = [name for name in ("uid", "msg_num") if name in messages.columns]
-    found = lookup_join(
-        messages, targets.select(*_SELECTION).distinct(), ["folder"], "inner", spread=ident
-    )
+    selections = targets.groupBy(*_SELECTION).agg(F.max("batch_size").alias("_top"))
+    found = lookup_join(messages, selections, ["folder"], "inner", spread=ident)
     if searches:
         wanted = F.col("_search") == ""
         for name, condition in searches.items():
@@ -109,16 +111,27 @@ def fetch_for_requests(
     found = found.filter(
         (F.col("_last_uid") < 0) | (id_column(found) > F.col("_last_uid"))
     )
-    capped = cap_per_folder(
-        with_outcome(found, F.col("max_message_size"), F.col("fetch_mode")),
-        F.col("batch_size"),
-        F.col("relationship") == SUCCESS,
-        by=tuple(_SELECTION),
-        top_batch_size=top or 1,
-    ).withColumn("batch_id", F.lit(batch_id).cast("string"))
-
-    asked = targets.select(*_DISPLAY, *_SELECTION)
-    routed = lookup_join(capped, asked, _SELECTION, "inner", spread=ident)
+    mode = F.when(F.col("_body"), F.lit(FULL_MESSAGE)).otherwise(F.lit(HEADERS_ONLY))
+    judged = with_outcome(found, F.col("max_message_size"), mode)
+
+    caps = materialise(cap_ids(
+        judged, F.col("relationship") == SUCCESS,
+        targets.select(*_SELECTION, "batch_size").distinct(), _SELECTION, top,
+    ))
+    # The furthest any request goes, or to the end where one meets no cap.
+    furthest = caps.groupBy(*_SELECTION).agg(
+        F.when(F.count("_cap_id") == F.count(F.lit(1)), F.max("_cap_id")).alias("_bound")
+    )
+    reached = lookup_join(judged, furthest, _SELECTION, "inner", spread=ident).filter(
+        F.col("_bound").isNull() | (id_column(judged) <= F.col("_bound"))
+    ).drop("_bound", "_top").withColumn("batch_id", F.lit(batch_id).cast("string"))
+    asked = lookup_join(
+        targets.select(*_DISPLAY, *_SELECTION), caps, [*_SELECTION, "batch_size"],
+        spread=["request_id"],
+    )
+    routed = lookup_join(reached, asked, _SELECTION, "inner", spread=ident).filter(
+        F.col("_cap_id").isNull() | (id_column(judged) <= F.col("_cap_id"))
+    ).drop("_cap_id")
     counts = found.groupBy(*_SELECTION).agg(F.count(F.lit(1)).alias("processed"))
     processed = targets.join(counts, _SELECTION, "inner").select(
         "request_id", "folder", "processed"
@@ -142,7 +155,7 @@ def fetch_for_requests(
     )
     if "parts" not in files.columns:
         files = files.withColumn("parts", F.lit(None).cast(MESSAGE["parts"].dataType))
-    reached = delivered.filter(F.col("uid") > 0).filter(F.col("incremental"))
+    moved = delivered.filter(F.col("uid") > 0).filter(F.col("incremental"))
     return Handled(
         processed=processed,
         success=success,
@@ -150,7 +163,7 @@ def fetch_for_requests(
             files, F.col("max_attachment_size"), F.col("max_attachments"), keep=("request_id",)
         ),
         parse_error=error_rows(routed.filter(F.col("relationship") == PARSE_ERROR), "request_id"),
-        cursors=reached.groupBy("state_folder", "folder").agg(F.max("uid").alias("last_uid")),
+        cursors=moved.groupBy("state_folder", "folder").agg(F.max("uid").alias("last_uid")),
     )
 
 

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from mailloom.operators.limits import batch_number, cap_per_folder
+from mailloom.operators.limits import batch_number, cap_ids, cap_per_folder
 from mailloom.plans.fetch import with_outcome
 
 
@@ -46,13 +46,22 @@ def test_cap_by_message_number(spark):
     assert sorted(r.msg_num for r in kept.collect()) == list(range(1, 11))
 
 
-def test_caps_of_many_groups(spark, rows):
-    df = spark.createDataFrame(rows, "folder string, uid long, size long")
-    asked = df.crossJoin(spark.createDataFrame([(1, 1), (2, 4)], "request int, batch int"))
-    kept = cap_per_folder(asked, F.col("batch"), F.col("size") <= 200, ("request", "folder"), 4)
-    for request, batch in ((1, 1), (2, 4)):
-        have = sorted((r.folder, r.uid) for r in kept.filter(F.col("request") == request).collect())
-        assert have == walk(rows, batch, 200)
+def test_caps_for_several_batch_sizes(spark, rows):
+    df = spark.createDataFrame(rows, "folder string, uid long, size long").withColumn(
+        "_top", F.when(F.col("folder") == "f1", 1).otherwise(4))
+    folders = [(f,) for f in sorted({row[0] for row in rows})]
+    wanted = spark.createDataFrame(
+        [(f[0], b) for f in folders for b in ((1,) if f[0] == "f1" else (1, 4))],
+        "folder string, batch_size int")
+    ends = {(r.folder, r.batch_size): r._cap_id
+            for r in cap_ids(df, F.col("size") <= 200, wanted, ["folder"], 4).collect()}
+    for batch in (1, 4):
+        last = dict(walk(rows, batch, 200))
+        for (folder, size), end in ends.items():
+            if size == batch:
+                good = sum(1 for r in rows if r[0] == folder and r[2] <= 200)
+                assert end == (last[folder] if good >= batch * 10 else None)
+    assert len(ends) == 2 * len(folders) - 1
 
 
 def test_batches(spark, rows):
