@@ -161,7 +161,8 @@ def mixed_headers(spark, sf_dir):
     rows = project_headers(_mixed(spark, sf_dir, with_content=False))
     return rows.select(
         "folder", "uid", "subject", "sender", "to_addr", "cc_addr",
-        F.coalesce(F.unix_millis("sent_ts"), F.lit(-1)).alias("sent_ms"), "flags", "message_id", "in_reply_to",
+        F.coalesce(F.unix_millis("sent_ts"), F.lit(-1)).alias("sent_ms"),
+        "flags", "message_id", "in_reply_to",
     )
 
 
@@ -169,8 +170,8 @@ _MIXED_HEADERS = f"""WITH {_MIXED}
 SELECT folder, uid,
   CASE form WHEN 1 THEN 'Re: é ' || doc_id WHEN 2 THEN 'é ' || doc_id || 'é ' || doc_id
     WHEN 9 THEN '=?x-none?B?eA==?= ' || doc_id ELSE 'Document ' || doc_id END AS subject,
-  CASE form WHEN 7 THEN 'unknown' ELSE '"Desk, ' || lang || '" <desk-' || lang || '@example.com>'
-    END AS sender,
+  CASE form WHEN 7 THEN 'unknown'
+    ELSE '"Desk, ' || lang || '" <desk-' || lang || '@example.com>' END AS sender,
   CASE WHEN form <> 8 THEN 'reader' || doc_id || '@example.com' END AS to_addr,
   CASE WHEN form <> 8 THEN '' END AS cc_addr,
   CASE WHEN form <> 8 THEN epoch_ms(TIMESTAMP '2024-01-16 12:30:00') ELSE -1 END AS sent_ms,

@@ -125,8 +125,9 @@ SELECT request_id, CASE WHEN held THEN 'retry' WHEN error_type IS NOT NULL THEN
 
 
 def _faults(requests):
+    """A problem for each of the requests, of one kind or another."""
     key = F.col("request_id")
-    return requests.filter(key % 5 < 3).select(
+    return requests.select(
         "request_id",
         F.when(key % 5 == 0, F.lit("messaging")).when(key % 5 == 1, F.lit("io")).alias("kind"),
         F.concat(F.lit("fault "), key.cast("string")).alias("message"),
@@ -144,7 +145,7 @@ SELECT request_id,
   CASE request_id % 5 WHEN 0 THEN 'CONNECTION_ERROR' ELSE 'UNEXPECTED_ERROR' END AS error_type,
   'fault ' || request_id AS error_message,
   CASE request_id % 5 WHEN 0 THEN 'retry' ELSE 'failure' END AS relationship
-FROM requests WHERE request_id % 5 < 3"""
+FROM requests"""
 
 
 def retry_routes(spark, sf_dir):
@@ -159,7 +160,7 @@ def retry_routes(spark, sf_dir):
 _RETRY_ROUTES = f"""WITH {REQUESTS}, failed AS (
 SELECT *, request_id % 5 = 0 AS mail,
   request_id % 5 = 0 AND coalesce(retry_count, 0) < max_retries AS again
-FROM requests WHERE request_id % 5 < 3)
+FROM requests)
 SELECT request_id, CASE WHEN again THEN 'retry' ELSE 'failure' END AS relationship,
   coalesce(CASE WHEN again THEN coalesce(retry_count, 0) + 1 ELSE retry_count END, -1)
     AS retry_count,
@@ -249,11 +250,16 @@ WHERE ok AND incremental AND before < 10 * batch_size GROUP BY ALL"""
 
 
 def request_settled(spark, sf_dir):
-    """Where every request ends up: waiting, refused, failed or handled."""
+    """Where every request ends up: waiting, refused, failed or handled.
+
+    The requests of customers in debt meet a problem.
+    """
     requests = _requests(spark, sf_dir)
-    faults = _faults(requests.filter(F.col("request_id") % 7 == 0))
+    in_debt = views.table(spark, sf_dir, "customer").filter(F.col("c_acctbal") < 0)
     ready = route_requests(requests, NOW_MS).filter(F.col("relationship") == "original")
-    faults = faults.join(ready.select("request_id"), "request_id", "left_semi")
+    faults = _faults(ready.join(
+        in_debt.select(F.col("c_custkey").alias("request_id")), "request_id", "left_semi"
+    ))
     settled = settle_requests(requests, _folders(spark, sf_dir), NOW_MS, faults)
     return settled.select(
         "request_id", "relationship", _counted("retry_count"), _counted("retry_last_time_ms"),
@@ -265,7 +271,7 @@ _REQUEST_SETTLED = f"""WITH {MESSAGES}, {_CHECKED}, staged AS (
 SELECT *, NOT held AND error_type IS NULL AS ready FROM checked),
 judged AS (
 SELECT *,
-  ready AND request_id % 7 = 0 AND request_id % 5 < 3 AS faulty,
+  ready AND request_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0) AS faulty,
   ready AND NOT recursive AND folder = 'Missing' AS missing FROM staged),
 failing AS (
 SELECT *, (missing AND NOT faulty) OR (faulty AND request_id % 5 = 0) AS mail,

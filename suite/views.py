@@ -24,13 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One message per document."""
+    """One message per document; its whole text is both subject and content."""
     received = "TIMESTAMP '2024-01-01 00:00:00' + make_dt_interval(0, CAST(doc_id AS INT))"
     return table(spark, sf_dir, "documents").selectExpr(
         "concat('Archive/', source, '/', lang) AS folder",
         "doc_id + 1 AS uid",
         "concat('<doc-', doc_id, '@', source, '.example.com>') AS message_id",
-        "substring(text, 1, 60) AS subject",
+        "text AS subject",
         "array(concat(source, '@', lang, '.example.com')) AS from_all",
         "array(concat('reader', doc_id % 17, '@example.com')) AS to_all",
         "if(doc_id % 4 = 0, array(concat('cc', doc_id % 9, '@example.com')), "
@@ -54,9 +54,10 @@ SELECT 'Archive/' || source || '/' || lang AS folder,
        source || '@' || lang || '.example.com' AS sender,
        'reader' || (doc_id % 17) || '@example.com' AS to_addr,
        CASE WHEN doc_id % 4 = 0 THEN 'cc' || (doc_id % 9) || '@example.com' ELSE '' END AS cc_addr,
-       CASE WHEN doc_id % 6 = 0 THEN 'bcc' || (doc_id % 8) || '@example.com' ELSE '' END AS bcc_addr,
+       CASE WHEN doc_id % 6 = 0 THEN 'bcc' || (doc_id % 8) || '@example.com' ELSE '' END
+           AS bcc_addr,
        'lang-' || lang AS x_lang,
-       substring(text, 1, 60) AS subject,
+       text AS subject,
        text,
        n_chars AS size,
        doc_id % 2 = 0 AS seen, doc_id % 5 = 0 AS flagged, doc_id % 7 = 0 AS answered,
