@@ -30,11 +30,11 @@ def incremental_stream(
 
     A replayed micro-batch replaces its own output and its own cursors, so
     nothing is emitted twice. The per-run cap does not apply, because a stream
-    does not offer a message again: limit its rate at the source. The three paths belong together and must be shared by all executors.
+    does not offer a message again: limit its rate at the source. The three
+    paths belong together and must be shared by all executors.
     ``after_batch`` is called with the micro-batch when its outputs are written,
     for instance to mark its messages as read.
     """
-
     always = replace(options, incremental=True)
 
     def handle(batch: DataFrame, step: int) -> None:
