@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules with ``QUERIES``: name -> (query, SQL or None).
-MODULES = ("q_mixing", "q_quality", "q_simhash")
+MODULES = ("q_mixing", "q_suffix", "q_simhash", "q_quality")
 
 
 def _entries() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
