@@ -1,22 +1,69 @@
-"""Stages of a corpus pipeline; each keeps the columns of documents but the last."""
+"""A corpus pipeline in five stages over the documents.
+
+``STAGES`` lists names and functions of ``(spark, docs, sf_dir)``. Each stage returns the
+documents it keeps with all their columns, the last one the mix: per document how often
+it is taken. ``run`` applies them one after the other; each result is written to the
+shared folder and read again, so that an executor lost in a later stage costs nothing of
+an earlier one.
+"""
 
 from __future__ import annotations
 
-from mailloom.llm.common import table
-from mailloom.llm.mixing import mix
+from pyspark.sql import functions as F
+
+from mailloom.llm import contamination, mixing, quality, simhash, suffix_dedup
+from mailloom.llm.common import prepare, remove, settled, table
+
+
+def good_quality(spark, docs, sf_dir):
+    """Documents that the quality classifier does not reject."""
+    prepare(spark)
+    scored = quality.with_quality(docs, table(spark, sf_dir, "labels"), "_quality")
+    return scored.where(F.col("_quality") >= quality.THRESHOLD).drop("_quality")
+
+
+def one_of_each(spark, docs, sf_dir):
+    """One document of each group of near duplicates."""
+    prepare(spark)
+    return simhash.keep_one(docs)
+
+
+def no_repeats(spark, docs, sf_dir):
+    """Documents without the byte strings that occur elsewhere in them."""
+    prepare(spark)
+    return suffix_dedup.without_repeats(docs)
+
+
+def no_benchmark(spark, docs, sf_dir):
+    """Documents that hold too little of the benchmark to be contaminated."""
+    prepare(spark)
+    return contamination.clean(docs, table(spark, sf_dir, "benchmark"))
+
 
+def mixture(spark, docs, sf_dir):
+    """How often the mix takes each document that is left."""
+    prepare(spark)
+    return mixing.mix(docs)
 
-def mixing(spark, docs, sf_dir):
-    """The mix of what is left, to the target weights of the sources."""
-    return mix(docs)
 
+STAGES = [
+    ("quality classifier", good_quality),
+    ("near duplicates", one_of_each),
+    ("suffix-array dedup", no_repeats),
+    ("decontamination", no_benchmark),
+    ("mixing", mixture),
+]
 
-STAGES = [("mixing", mixing)]
+#: A trained classifier and a suffix array cannot be written as SQL.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage over all documents."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        docs, folder = settled(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
+        if last:
+            remove(spark, last)
+        last = folder
     return docs

@@ -6,6 +6,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 _shipped: set[str] = set()
 
+#: Folders that scratch() has named and nobody has removed.
+_folders: list[str] = []
+
 
 def prepare(spark: SparkSession) -> None:
     """Small Arrow batches, UTC, and the package on the Python path of executors."""
@@ -53,7 +57,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scratch(spark: SparkSession) -> str:
     """A new folder below the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
+    _folders.append(f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}")
+    return _folders[-1]
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame]) -> tuple[DataFrame, str]:
+    """Write what ``make`` returns, and remove all that it wrote on its way.
+
+    Returns the table as read again, and its folder.
+    """
+    before = len(_folders)
+    result = make()
+    used = _folders[before:]
+    folder = scratch(spark)
+    found = stored(result, folder)
+    for done in used:
+        remove(spark, done)
+        _folders.remove(done)
+    return found, folder
 
 
 def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
@@ -79,9 +100,3 @@ def text_key() -> Column:
 def held_out() -> Column:
     """The fold that no label is learnt from: crc32 of the id's digits, modulo 5, is 0."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
-
-
-def input_parts(df: DataFrame, per_part_mb: float = 8, least: int = 2) -> int:
-    """Partitions for a shuffle of the size of ``df``'s files, from the plan's estimate."""
-    size = float(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    return max(least, int(size / (per_part_mb * 1e6)) + 1)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mailloom.llm.common import stored
+from mailloom.llm.common import stored, text_key
 from mailloom.llm.components import components
 
 #: Linked fingerprints differ in at most so many bits.
@@ -244,8 +244,13 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
-    """``doc_id, fp, root, component_id`` of every document."""
-    marked = stored(documents.select("doc_id", fingerprints("text").alias("fp")))
+    """``doc_id, row, fp, root, component_id`` of every document.
+
+    ``row`` is a digest of the id and the text.
+    """
+    marked = stored(documents.select(
+        "doc_id", _row().alias("row"), fingerprints("text").alias("fp")
+    ))
     prints = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(prints.select("fp")))
     rooted = prints.join(roots, prints["fp"] == roots["node"], "left").select(
@@ -254,24 +259,28 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     rooted = stored(rooted)
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.select("fp", "root").join(ids, "root")
-    return marked.join(named, "fp").select("doc_id", "fp", "root", "component_id")
+    return marked.join(named, "fp").select("doc_id", "row", "fp", "root", "component_id")
+
+
+def _row():
+    """A digest of a document's id and text, the same for rows that repeat."""
+    return F.unhex(F.md5(F.concat_ws(
+        "|", F.hex(text_key()), F.isnull("doc_id").cast("string"), F.col("doc_id").cast("string")
+    )))
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """The document with the least id of each group, with all its columns.
 
-    Of rows that share this id and their group, the one with the least text stays.
+    Of different texts that share this id and their group, the one with the least digest
+    stays; of rows that repeat, the first by their content.
     """
-    groups = near_duplicates(documents).select(
-        F.col("fp").alias("_fp"), F.col("root").alias("_root"), F.col("component_id").alias("_id")
-    ).distinct()
-    # Only the group's first id stays, so that no text is moved to find it.
-    marked = documents.withColumn("_print", fingerprints("text"))
-    firsts = marked.join(
-        groups, (F.col("_print") == F.col("_fp")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    )
-    columns = [F.col(c) for c in documents.columns]
-    least = firsts.groupBy("_root").agg(
-        F.min(F.struct(F.coalesce("text", F.lit("")).alias("_text"), F.xxhash64(*documents.columns).alias("_hash"), *columns)).alias("_row")
+    groups = near_duplicates(documents.select("doc_id", "text"))
+    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
+        F.min("row").alias("_stays")
     )
-    return least.select(*[F.col("_row")[c].alias(c) for c in documents.columns])
+    stay = stored(stay.select("_stays"))
+    columns = F.struct(*documents.columns)
+    found = documents.withColumn("_row", _row()).join(stay, F.col("_row") == F.col("_stays"))
+    one = found.groupBy("_row").agg(F.min_by(columns, F.to_json(columns)).alias("_one"))
+    return one.select(*[F.col("_one")[c].alias(c) for c in documents.columns])
