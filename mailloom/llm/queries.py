@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules with ``QUERIES``: name -> (query, SQL or None).
-MODULES = ("q_mixing", "q_suffix", "q_simhash", "q_quality", "q_contamination", "q_seed")
+MODULES = (
+    "q_mixing", "q_suffix", "q_simhash", "q_quality", "q_rules", "q_contamination", "q_seed",
+)
 
 
 def _entries() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
