@@ -188,7 +188,9 @@ def repeated(documents: DataFrame, units: Units, detect, folder: str | None = No
     )
     texts = stored(texts, f"{folder}/texts")
     spread = texts.select("key", "doc_id", F.inline("spots"))
+    # Written first, so that the join deals out both sides anew and can split a hot anchor.
     twice = spread.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("g")
+    twice = stored(twice, f"{folder}/twice")
     wanted = spread.join(twice, "g").groupBy("key").agg(
         F.first("doc_id").alias("doc_id"),
         F.collect_list(F.struct("g", "at", "n", "head")).alias("spots"),

@@ -215,6 +215,7 @@ def links(prints: DataFrame) -> DataFrame:
     ]))
     dealt = prints.select("fp", first.alias("d")).select("fp", "d.pair", "d.bucket")
     sizes = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    sizes = stored(sizes)
     dealt = stored(dealt.join(sizes, "bucket"))
 
     def again(n: int, i: int, j: int):
