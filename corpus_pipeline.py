@@ -9,8 +9,6 @@ an earlier one.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from mailloom.llm import contamination, mixing, quality, simhash, suffix_dedup
 from mailloom.llm.common import prepare, remove, settled, table
 
@@ -18,8 +16,7 @@ from mailloom.llm.common import prepare, remove, settled, table
 def good_quality(spark, docs, sf_dir):
     """Documents that the quality classifier does not reject."""
     prepare(spark)
-    scored = quality.with_quality(docs, table(spark, sf_dir, "labels"), "_quality")
-    return scored.where(F.col("_quality") >= quality.THRESHOLD).drop("_quality")
+    return quality.good(docs, table(spark, sf_dir, "labels"))
 
 
 def one_of_each(spark, docs, sf_dir):

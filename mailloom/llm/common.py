@@ -92,9 +92,21 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def text_key() -> Column:
+def text_key(text: str = "text") -> Column:
     """128 bits that stand for a text: rows with the same text have the same key."""
-    return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def packed(documents: DataFrame) -> DataFrame:
+    """All columns in one, ``doc``, so that none meets a name used on the way."""
+    return documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc"))
+
+
+def unpacked(df: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The columns that were packed, some of them replaced."""
+    return df.select(*[
+        (new[c] if c in new else F.col("doc").getField(c)).alias(c) for c in columns
+    ])
 
 
 def held_out() -> Column:

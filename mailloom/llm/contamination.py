@@ -27,7 +27,7 @@ import string
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailloom.llm.common import stored, text_key
+from mailloom.llm.common import packed, stored, text_key, unpacked
 from mailloom.operators.joins import lookup_join
 
 #: Words of a shared span, and of the runs that are hashed.
@@ -187,5 +187,7 @@ def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     found = contamination(documents.select("doc_id", "text"), benchmark)
     bad = stored(found.where("contaminated").select(F.col("key").alias("_bad")).distinct())
-    keyed = documents.withColumn("_key", text_key())
-    return keyed.join(bad, F.col("_key") == F.col("_bad"), "left_anti").select(*documents.columns)
+    keyed = packed(documents).withColumn("_key", text_key("doc.text"))
+    return unpacked(
+        keyed.join(bad, F.col("_key") == F.col("_bad"), "left_anti"), documents.columns
+    )

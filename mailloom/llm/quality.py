@@ -10,7 +10,7 @@ sparse dot product.
 Nulls, ties and odd rows: a null or empty text scores the bias alone. Rows that
 repeat score the same. Null or contradicting labels are not learnt from; with no
 usable label all scores are 0.5. Rows without an id count as held out. Other columns
-of the documents pass through ``with_quality`` unchanged. Empty tables give no rows.
+of the documents pass through :func:`good` unchanged. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailloom.llm.common import held_out
+from mailloom.llm.common import held_out, packed, unpacked
 from mailloom.llm.ngrams import WORD_BITS, dot, sigmoid, word_slots
 from mailloom.llm.samples import labelled_texts, vectors
 
@@ -69,10 +69,9 @@ def fit(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     return train(marks, read["word"], 1 << WORD_BITS)
 
 
-def with_quality(documents: DataFrame, labels: DataFrame, name: str = "score") -> DataFrame:
-    """``documents`` with the probability of quality 1 in the column ``name``."""
-    weights, bias = fit(documents, labels)
-    model = documents.sparkSession.sparkContext.broadcast((weights, bias))
+def quality_score(documents: DataFrame, labels: DataFrame):
+    """A function of a column of texts: the probability of quality 1."""
+    model = documents.sparkSession.sparkContext.broadcast(fit(documents, labels))
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -83,12 +82,20 @@ def with_quality(documents: DataFrame, labels: DataFrame, name: str = "score") -
                 dtype="float64",
             )
 
-    return documents.withColumn(name, score(F.coalesce("text", F.lit(""))))
+    return lambda text: score(F.coalesce(text, F.lit("")))
+
+
+def good(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that are not rejected, with all their columns."""
+    score = quality_score(documents, labels)
+    kept = packed(documents).where(score("doc.text") >= threshold)
+    return unpacked(kept, documents.columns)
 
 
 def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document."""
-    found = with_quality(documents.select("doc_id", "text"), labels)
+    score = quality_score(documents, labels)
+    found = documents.select("doc_id", score("text").alias("score"))
     return found.select(
         "doc_id", held_out().alias("held_out"), "score",
         F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"),

@@ -345,11 +345,11 @@ def covered(size: int, at, n, window: int) -> np.ndarray:
     return np.cumsum(marks[:-1]) > 0
 
 
-def with_runs(documents: DataFrame, runs: DataFrame) -> DataFrame:
+def with_runs(documents: DataFrame, runs: DataFrame, text: str = "text") -> DataFrame:
     """``documents`` with the columns ``_at`` and ``_n``, null where nothing repeats."""
     found = runs.select(F.col("key").alias("_found"), F.col("at").alias("_at"), F.col("n").alias("_n"))
     return (
-        documents.withColumn("_key", text_key())
+        documents.withColumn("_key", text_key(text))
         .join(found.hint("shuffle_hash"), F.col("_key") == F.col("_found"), "left")
         .drop("_key", "_found")
     )

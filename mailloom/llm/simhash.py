@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mailloom.llm.common import stored, text_key
+from mailloom.llm.common import packed, stored, text_key, unpacked
 from mailloom.llm.components import components
 
 #: Linked fingerprints differ in at most so many bits.
@@ -250,7 +250,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     ``row`` is a digest of the id and the text.
     """
     marked = stored(documents.select(
-        "doc_id", _row().alias("row"), fingerprints("text").alias("fp")
+        "doc_id", _row("doc_id", "text").alias("row"), fingerprints("text").alias("fp")
     ))
     prints = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(prints.select("fp")))
@@ -263,10 +263,10 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return marked.join(named, "fp").select("doc_id", "row", "fp", "root", "component_id")
 
 
-def _row():
+def _row(doc_id: str, text: str):
     """A digest of a document's id and text, the same for rows that repeat."""
     return F.unhex(F.md5(F.concat_ws(
-        "|", F.hex(text_key()), F.isnull("doc_id").cast("string"), F.col("doc_id").cast("string")
+        "|", F.hex(text_key(text)), F.isnull(doc_id).cast("string"), F.col(doc_id).cast("string")
     )))
 
 
@@ -281,7 +281,8 @@ def keep_one(documents: DataFrame) -> DataFrame:
         F.min("row").alias("_stays")
     )
     stay = stored(stay.select("_stays"))
-    columns = F.struct(*documents.columns)
-    found = documents.withColumn("_row", _row()).join(stay, F.col("_row") == F.col("_stays"))
-    one = found.groupBy("_row").agg(F.min_by(columns, F.to_json(columns)).alias("_one"))
-    return one.select(*[F.col("_one")[c].alias(c) for c in documents.columns])
+    found = packed(documents).withColumn("_row", _row("doc.doc_id", "doc.text")).join(
+        stay, F.col("_row") == F.col("_stays")
+    )
+    one = found.groupBy("_row").agg(F.min_by("doc", F.to_json("doc")).alias("doc"))
+    return unpacked(one, documents.columns)

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mailloom.llm.common import packed, unpacked
 from mailloom.llm.repeats import Units, byte_units, covered, repeated, with_runs
 from mailloom.llm.suffix import common_prefixes, suffix_array
 
@@ -98,13 +99,13 @@ def _kept(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
 
 def without_repeats(documents: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``documents`` with the repeated bytes taken out of ``text``; ``n_chars`` follows."""
-    rows = with_runs(documents, _runs(documents, window, gram))
-    rows = rows.withColumn("text", _kept("text", "_at", "_n", F.lit(window)))
+    rows = with_runs(
+        packed(documents), _runs(documents.select("doc_id", "text"), window, gram), "doc.text"
+    ).withColumn("_text", _kept("doc.text", "_at", "_n", F.lit(window)))
+    new = {"text": F.col("_text")}
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
-        rows = rows.withColumn(
-            "n_chars",
-            F.when(F.col("_at").isNull(), F.col("n_chars"))
-            .otherwise(F.length("text").cast(kind)),
+        new["n_chars"] = F.when(F.col("_at").isNull(), F.col("doc.n_chars")).otherwise(
+            F.length("_text").cast(kind)
         )
-    return rows.select(*documents.columns)
+    return unpacked(rows, documents.columns, **new)
