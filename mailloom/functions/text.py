@@ -67,8 +67,16 @@ def not_negative(number: Column) -> Column:
 
 
 def power_of_two(exponent: Column) -> Column:
-    """2 to the exponent as a whole number; 0 below exponent 0."""
-    return F.pow(F.lit(2.0), exponent).cast("long")
+    """2 to the exponent as a whole number; 0 below exponent 0, the largest one from 63 on."""
+    return F.when(exponent >= 63, F.lit(2**63 - 1)).when(
+        exponent.isNotNull(), F.pow(F.lit(2.0), exponent).cast("long")
+    )
+
+
+def capped_product(a: Column, b: Column) -> Column:
+    """The product, or the largest number where it does not fit; NULL if a factor is."""
+    product = F.coalesce(F.try_multiply(a, b), F.lit(2**63 - 1))
+    return F.when(a.isNotNull() & b.isNotNull(), product)
 
 
 def default_if_missing(value: Column, default) -> Column:

@@ -29,7 +29,7 @@ def data_size_bytes(text: Column, default=None) -> Column:
     factor = F.lit(None).cast("long")
     for name, size in DATA_UNITS.items():
         factor = F.when(unit == name, F.lit(size)).otherwise(factor)
-    return F.coalesce((number * factor).cast("long"), F.lit(default).cast("long"))
+    return F.coalesce((number * factor).try_cast("long"), F.lit(default).cast("long"))
 
 
 def time_period_ms(text: Column, default=None) -> Column:
@@ -42,4 +42,6 @@ def time_period_ms(text: Column, default=None) -> Column:
     factor = F.lit(None).cast("double")
     for names, length in TIME_UNITS:
         factor = F.when(unit.isin(names), F.lit(float(length))).otherwise(factor)
-    return F.coalesce(F.floor(number * factor + 0.5), F.lit(default).cast("long"))
+    whole = number * factor + 0.5
+    fits = F.when(whole < float(2**63), F.floor(whole))
+    return F.coalesce(fits, F.lit(default).cast("long"))

@@ -49,7 +49,7 @@ def after_cursor(
 
     Cursors of a handful of folders can be given as a dict: the test then
     becomes plain comparisons that reach the Parquet scan. A table of cursors
-    is joined.
+    is joined; if it has state folders, one has to be named.
     """
     if not incremental:
         return df
@@ -66,6 +66,8 @@ def after_cursor(
         last = cursors.filter(F.col("state_folder") == state_folder).select(
             "folder", F.col("last_uid").alias("_last_uid")
         )
+    elif "state_folder" in cursors.columns:
+        raise ValueError("name the state_folder whose cursors count")
     else:
         last = cursors.groupBy("folder").agg(F.max("last_uid").alias("_last_uid"))
     ident = [name for name in ("uid", "msg_num") if name in df.columns]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,10 +15,10 @@ SALTS = 16
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints: the cluster's own, or a local one.
+    """The shared folder for checkpoints that the session names in ``spark.checkpoint.dir``.
 
-    A folder is made up only in local mode; a cluster has to name one in
-    ``spark.checkpoint.dir``.
+    Where none is named, a local session takes ``mailloom-checkpoints`` in its
+    warehouse folder; a cluster has to name one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -30,7 +28,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not shared:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="mailloom-checkpoint-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir')}/mailloom-checkpoints"
     sc.setCheckpointDir(shared)
     return sc.getCheckpointDir()
 

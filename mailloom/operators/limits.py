@@ -39,8 +39,10 @@ def cap_per_folder(df: DataFrame, batch_size: int, succeeded: Column) -> DataFra
     """Messages a run reaches before it has ``10 * batch_size`` successes per folder.
 
     Failing messages met on the way stay in and are not counted; nothing after
-    the last counted success does.
+    the last counted success does. A batch has to hold at least one message.
     """
+    if batch_size <= 0:
+        raise ValueError("the batch size has to be positive")
     cap = batch_size * FetchOptions.BATCHES_PER_RUN
     last = leading(df, succeeded, cap, cap, ["folder"]).filter(F.col("_rank") == cap).select(
         "folder", F.col("_id").alias("_cap_id")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailloom.functions.text import default_if_missing, power_of_two
+from mailloom.functions.text import capped_product, default_if_missing, power_of_two
 from mailloom.operators.folders import folder_depth, reachable_folders
 from mailloom.operators.joins import lookup_join
 from mailloom.schema import FAILURE, ORIGINAL, RETRY, FetchOptions
@@ -48,7 +48,7 @@ def with_defaults(requests: DataFrame, defaults: FetchOptions = FetchOptions())
 
 def retry_wait_ms() -> Column:
     """Wait demanded of a request that was retried ``retry_count`` times."""
-    return F.col("retry_backoff_ms") * power_of_two(F.col("retry_count") - 1)
+    return capped_product(F.col("retry_backoff_ms"), power_of_two(F.col("retry_count") - 1))
 
 
 def retry_ready(requests: DataFrame, now_ms: int) -> DataFrame:
@@ -56,14 +56,18 @@ def retry_ready(requests: DataFrame, now_ms: int) -> DataFrame:
     held = (
         F.col("retry_count").isNotNull()
         & F.col("retry_last_time_ms").isNotNull()
-        & (F.lit(now_ms) - F.col("retry_last_time_ms") < retry_wait_ms())
+        & (F.coalesce(
+            F.try_subtract(F.lit(now_ms), F.col("retry_last_time_ms")), F.lit(_LONG_MAX)
+        ) < retry_wait_ms())
     )
     return requests.withColumn("ready", ~F.coalesce(held, F.lit(False)))
 
 
 def next_backoff() -> Column:
     """Wait that follows the next retry."""
-    return F.col("retry_backoff_ms") * power_of_two(F.coalesce("retry_count", F.lit(0)))
+    return capped_product(
+        F.col("retry_backoff_ms"), power_of_two(F.coalesce("retry_count", F.lit(0)))
+    )
 
 
 # Rules in the order in which they are tested, with the error type
@@ -81,9 +85,9 @@ _RULES = [
     ("max_retries < 0", "INVALID_MAX_RETRIES", "Max retries must be non-negative"),
     ("retry_backoff_ms <= 0", "INVALID_RETRY_BACKOFF", "Retry backoff must be positive"),
     ("fetch_mode = 'ATTACHMENTS_ONLY' AND NOT include_attachments", "INVALID_FETCH_MODE",
-     "When Fetch Mode is 'Attachments Only', 'Include Attachments' must be enabled"),
+     "attachments alone cannot be fetched while attachments are left out"),
     ("max_recursion_depth < -1 OR max_recursion_depth = 0", "INVALID_MAX_RECURSION_DEPTH",
-     "Max recursion depth must be -1 (unlimited) or positive"),
+     "recursion depth has to be positive, or -1 for any depth"),
 ]
 
 
@@ -113,8 +117,13 @@ def retry_route(requests: DataFrame, errors: DataFrame, now_ms: int) -> DataFram
 
     ``errors`` holds ``request_id``, ``error_type``, ``error_message`` and
     ``relationship`` as given by ``classify``. A request with tries left gets
-    its count raised and its time stamped.
+    its count raised and its time stamped. Of several errors of a request one
+    counts: a failure before a retry, then the least type and message.
     """
+    retryable = (F.col("relationship") == RETRY).alias("_retry")
+    errors = errors.groupBy("request_id").agg(
+        F.min(F.struct(retryable, "error_type", "error_message", "relationship")).alias("_first")
+    ).select("request_id", "_first.*")
     failed = requests.drop("error_type", "error_message").join(
         errors.select("request_id", "error_type", "error_message", "relationship"),
         "request_id", "inner",

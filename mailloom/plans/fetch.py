@@ -226,7 +226,9 @@ def fetch(
     """One run: the outputs for the messages selected by options and criteria.
 
     The size test reads no body, the outputs read only the columns they show.
+    Options that break a rule raise an error.
     """
+    options.checked()
     if batch_id is not None:
         messages = with_batch_id(messages, batch_id)
     candidates = select_candidates(messages, options, all_of, any_of, cursors, folders)

@@ -11,7 +11,12 @@ from mailloom.operators.cursor import advance_cursor
 from mailloom.operators.mailbox import expunge, flag_deleted, mark_read
 from mailloom.plans.fetch import Fetched, fetch
 from mailloom.schema import FetchOptions
-from mailloom.sources.sinks import read_cursor_steps, write_cursor_step, write_routes
+from mailloom.sources.sinks import (
+    not_delivered,
+    read_cursor_steps,
+    write_cursor_step,
+    write_routes,
+)
 
 
 @dataclass
@@ -60,18 +65,25 @@ def run_step(
     any_of=(),
     folders: DataFrame | None = None,
     capped: bool = True,
+    unordered: bool = False,
 ) -> Fetched:
     """One trigger with its results on disk: outputs first, then the cursors reached.
 
     The step reads the cursors of the steps before it and replaces its own
-    output and its own cursors, so it can be run again after a failure.
+    output and its own cursors, so it can be run again after a failure. With
+    ``unordered`` the messages that earlier steps have in their output are left out,
+    whatever the cursors say.
     """
+    options.checked()
     state = options.state_key_base
     known = None
     if options.incremental:
         known = read_cursor_steps(messages.sparkSession, state_path, before=step)
+    if unordered:
+        messages = not_delivered(messages, out_path, step)
     fetched = fetch(
-        messages, options, all_of, any_of, known, folders, f"{state}-{step}", capped
+        messages, options, all_of, any_of, None if unordered else known, folders,
+        f"{state}-{step}", capped,
     )
     write_routes(fetched.tagged(), f"{out_path.rstrip('/')}/step={step}")
     if options.incremental:

@@ -96,16 +96,23 @@ def fetch_for_requests(
     joined once, on folder, with the distinct selections of all requests; only
     the few rows a selection keeps are handed to each request that asked for
     them. ``searches`` are named criteria that a request can choose in its
-    ``search`` column.
+    ``search`` column. A request with an unknown name gets no messages and is a
+    failure in ``requests``.
     """
+    lost = None
+    if "search" in requests.columns:
+        lost = requests.filter(unknown_search(searches)).withColumns({
+            "relationship": F.lit(FAILURE), "error_type": F.lit("FILTER_PARSE_ERROR"),
+            "error_message": F.concat(F.lit("unknown search: "), F.col("search")),
+        })
     targets = materialise(_targets(requests, folders, cursors))
     top = targets.agg(F.max("batch_size")).first()[0] or 1
     ident = [name for name in ("uid", "msg_num") if name in messages.columns]
     selections = targets.groupBy(*_SELECTION).agg(F.max("batch_size").alias("_top"))
     found = lookup_join(messages, selections, ["folder"], "inner", spread=ident)
-    if searches:
+    if "search" in requests.columns:
         wanted = F.col("_search") == ""
-        for name, condition in searches.items():
+        for name, condition in (searches or {}).items():
             wanted = wanted | ((F.col("_search") == name) & condition)
         found = found.filter(wanted)
     found = found.filter(
@@ -164,9 +171,16 @@ def fetch_for_requests(
         ),
         parse_error=error_rows(routed.filter(F.col("relationship") == PARSE_ERROR), "request_id"),
         cursors=moved.groupBy("state_folder", "folder").agg(F.max("uid").alias("last_uid")),
+        requests=lost,
     )
 
 
+def unknown_search(searches: dict[str, Column] | None) -> Column:
+    """True for a request whose search, which may be empty, has no criteria."""
+    named = F.coalesce("search", F.lit("")) != ""
+    return named & ~F.col("search").isin(list(searches or {})) if searches else named
+
+
 def settle_requests(
     requests: DataFrame,
     folders: DataFrame,
@@ -182,11 +196,8 @@ def settle_requests(
     those in ``retry`` are the requests of a later run.
     """
     gated = route_requests(with_defaults(requests), now_ms)
-    if searches is not None and "search" in gated.columns:
-        unknown = (
-            (F.col("relationship") == ORIGINAL)
-            & F.col("search").isNotNull() & ~F.col("search").isin(list(searches))
-        )
+    if "search" in gated.columns:
+        unknown = (F.col("relationship") == ORIGINAL) & unknown_search(searches)
         gated = gated.withColumns({
             "error_type": F.when(unknown, F.lit("FILTER_PARSE_ERROR"))
             .otherwise(F.col("error_type")),

@@ -139,6 +139,32 @@ class FetchOptions:
     #: A run returns at most this many batches per folder.
     BATCHES_PER_RUN = 10
 
+    def checked(self) -> FetchOptions:
+        """These options, or an error that names the first rule they break."""
+        files = self.include_attachments
+        for broken, rule in (
+            (not self.folder or not self.folder.strip(), "the folder cannot be empty"),
+            (self.fetch_mode not in (HEADERS_ONLY, FULL_MESSAGE, ATTACHMENTS_ONLY),
+             f"there is no fetch mode {self.fetch_mode}"),
+            (self.batch_size <= 0, "the batch size has to be positive"),
+            (self.max_message_size <= 0, "the largest message size has to be positive"),
+            (files and self.max_attachment_size <= 0,
+             "the largest attachment size has to be positive"),
+            (files and self.max_attachment_size > self.max_message_size,
+             "an attachment cannot be larger than the largest message"),
+            (files and self.max_attachments <= 0,
+             "the number of attachments has to be positive"),
+            (self.max_retries < 0, "the number of retries cannot be negative"),
+            (self.retry_backoff_ms <= 0, "the wait before a retry has to be positive"),
+            (self.fetch_mode == ATTACHMENTS_ONLY and not files,
+             "attachments alone cannot be fetched while attachments are left out"),
+            (self.max_recursion_depth == 0 or self.max_recursion_depth < -1,
+             "recursion depth has to be positive, or -1 for any depth"),
+        ):
+            if broken:
+                raise ValueError(rule)
+        return self
+
     @property
     def state_key_base(self) -> str:
         return self.folder if self.state_folder is None else self.state_folder

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ ENVELOPE_COLUMNS = [
 
 
 def _raw_columns(files: DataFrame, root: str) -> DataFrame:
-    root = root.rstrip("/") + "/"
+    root = re.sub("^file:/+", "/", root).rstrip("/") + "/"
     path = F.col("path")
     below = F.substr(path, F.instr(path, root) + len(root))
     name = F.regexp_extract(below, r"([^/]*)$", 1)
@@ -30,6 +32,11 @@ def _raw_columns(files: DataFrame, root: str) -> DataFrame:
     )
 
 
+def _as_it_is(folder: str) -> str:
+    """A folder name in which no character stands for others."""
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", folder)
+
+
 def read_raw(spark: SparkSession, root: str, folder: str | None = None) -> DataFrame:
     """All mails below ``root``, or those of one folder without opening others.
 
@@ -42,7 +49,7 @@ def read_raw(spark: SparkSession, root: str, folder: str | None = None) -> DataF
     if folder is None:
         files = reader.option("recursiveFileLookup", "true").load(root)
     else:
-        files = reader.load(f"{root.rstrip('/')}/{folder}")
+        files = reader.load(f"{root.rstrip('/')}/{_as_it_is(folder)}")
     return _raw_columns(files, root)
 
 
@@ -70,7 +77,10 @@ def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """A message table as a stream of the files that are added to it."""
+    """A message table as a stream of the files that are added to it.
+
+    With ``max_files`` the files come in several micro-batches, in no order of UIDs.
+    """
     reader = spark.readStream.schema(MESSAGE)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files))

@@ -79,6 +79,8 @@ def decode_words(text: str) -> str:
 
     def plain(word: re.Match) -> str:
         charset, encoding, data = word[1].split("*")[0], word[2], word[3]
+        if "\0" in charset:
+            raise LookupError(charset)
         codecs.lookup(charset)
         try:
             if encoding in "bB":
@@ -185,18 +187,24 @@ def _closed_container(path: tuple[int, ...], fault: str) -> dict:
     }
 
 
-def _leaves(head: Head, body: bytes, path: tuple[int, ...]) -> Iterator[dict]:
-    try:
-        pieces = _split_multipart(head.with_parameters().get_boundary(), body)
-    except MimeFault as fault:
-        yield _closed_container(path, str(fault))
-        return
-    for index, piece in enumerate(pieces):
-        part, data = split_head(piece)
-        here = (*path, index)
-        if part.main_type == "multipart":
-            yield from _leaves(part, data, here)
+def _opened(head: Head, body: bytes, path: tuple[int, ...]):
+    """The parts of a container, last one first, each with its path."""
+    pieces = _split_multipart(head.with_parameters().get_boundary(), body)
+    return [((*path, k), *split_head(pieces[k])) for k in range(len(pieces) - 1, -1, -1)]
+
+
+def _leaves(head: Head, body: bytes) -> Iterator[dict]:
+    """The leaves of a mail in order. Containers are kept on a stack, however deep."""
+    waiting = [((), head, body)]
+    while waiting:
+        here, part, data = waiting.pop()
+        if not here or part.main_type == "multipart":
+            try:
+                waiting += _opened(part, data, here)
+            except MimeFault as fault:
+                yield _closed_container(here, str(fault))
             continue
+        index = here[-1]
         described = part.with_parameters()
         disposition = described.get_content_disposition()
         filename = described.get_filename()
@@ -279,5 +287,9 @@ def parse_mail(raw: bytes, with_content: bool = True) -> dict:
         except MimeFault as fault:
             row["body_fault"] = str(fault)
     if head.main_type == "multipart":
-        row["parts"] = list(_leaves(head, body, ()))
+        row["parts"] = []
+        try:
+            row["parts"].extend(_leaves(head, body))
+        except Exception as fault:  # trouble with attachments must not fail the mail
+            row["parts"].append(_closed_container((), str(fault) or type(fault).__name__))
     return row

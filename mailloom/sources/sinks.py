@@ -22,6 +22,25 @@ def read_route(spark: SparkSession, path: str, relationship: str) -> DataFrame:
     return spark.read.parquet(path).filter(F.col("relationship") == relationship)
 
 
+def not_delivered(messages: DataFrame, path: str, step: int) -> DataFrame:
+    """Messages that no step before ``step`` has written below ``path``.
+
+    The outputs are joined by folder and UID. Only those between the batch's lowest
+    and highest UID are read, and of these only the two columns.
+    """
+    if step <= 0:
+        return messages
+    low, high = messages.agg(F.min("uid"), F.max("uid")).first()
+    if low is None:
+        return messages
+    done = (
+        messages.sparkSession.read.parquet(path)
+        .filter((F.col("step") < step) & F.col("uid").between(low, high))
+        .select("folder", "uid").distinct()
+    )
+    return messages.join(done, ["folder", "uid"], "left_anti")
+
+
 def write_cursor_step(cursors: DataFrame, known: DataFrame, path: str, step: int) -> None:
     """Write the cursors reached by a step. Writing the step again replaces it.
 

@@ -25,22 +25,35 @@ def incremental_stream(
     any_of=(),
     trigger: dict | None = None,
     after_batch: Callable[[DataFrame, int], None] | None = None,
+    unordered: bool = False,
 ) -> StreamingQuery:
-    """Deliver each new message of a streamed message table once, above its cursor.
+    """Deliver each new message of a streamed message table once.
+
+    New is what is above the cursor of its folder. That holds only while a folder's
+    UIDs come in order, so a source with a rate limit, which offers its files in any
+    order, is refused unless ``unordered`` is set. Then new is what no earlier step
+    has in its output, so nothing is lost and late mail is delivered too.
 
     A replayed micro-batch replaces its own output and its own cursors, so
-    nothing is emitted twice. The per-run cap does not apply, because a stream
-    does not offer a message again: limit its rate at the source. The three
+    nothing is emitted twice. There is no cap per run, because a stream does not
+    offer a message again: ``options.batch_size`` has to be left as it is. The three
     paths belong together and must be shared by all executors.
     ``after_batch`` is called with the micro-batch when its outputs are written,
     for instance to mark its messages as read.
     """
-    always = replace(options, incremental=True)
+    if options.batch_size != FetchOptions.batch_size:
+        raise ValueError("a stream has no cap per run; limit the rate of its source")
+    if not unordered and rate_limited(messages):
+        raise ValueError("files of a source with a rate limit come in no order: set unordered")
+    always = replace(options, incremental=True).checked()
 
     def handle(batch: DataFrame, step: int) -> None:
         batch.persist()
         try:
-            run_step(batch, step, out_path, state_path, always, all_of, any_of, capped=False)
+            run_step(
+                batch, step, out_path, state_path, always, all_of, any_of, capped=False,
+                unordered=unordered,
+            )
             if after_batch is not None:
                 after_batch(batch, step)
         finally:
@@ -54,6 +67,18 @@ def incremental_stream(
     )
 
 
+def rate_limited(messages: DataFrame) -> bool:
+    """Whether a file stream was told to offer so many files or bytes at a time."""
+    leaves = messages._jdf.queryExecution().analyzed().collectLeaves()
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        if leaf.nodeName() == "StreamingRelation":
+            given = str(leaf.dataSource().options().keySet().mkString(",")).lower().split(",")
+            if {"maxfilespertrigger", "maxbytespertrigger"} & set(given):
+                return True
+    return False
+
+
 def cursor_stream(
     messages: DataFrame,
     state_path: str,

@@ -106,9 +106,9 @@ SELECT request_id, error_type, CASE error_type
   WHEN 'INVALID_MAX_RETRIES' THEN 'Max retries must be non-negative'
   WHEN 'INVALID_RETRY_BACKOFF' THEN 'Retry backoff must be positive'
   WHEN 'INVALID_FETCH_MODE' THEN
-    'When Fetch Mode is ''Attachments Only'', ''Include Attachments'' must be enabled'
+    'attachments alone cannot be fetched while attachments are left out'
   WHEN 'INVALID_MAX_RECURSION_DEPTH' THEN
-    'Max recursion depth must be -1 (unlimited) or positive' END AS error_message
+    'recursion depth has to be positive, or -1 for any depth' END AS error_message
 FROM checked"""
 
 

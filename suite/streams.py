@@ -74,7 +74,33 @@ def stream_cursors(spark, sf_dir):
     return read_cursor_steps(spark, f"{base}/cursors", WAVES)
 
 
+def stream_limited(spark, sf_dir):
+    """A stream of one file at a time, stopped and started again, loses no mail.
+
+    Each file holds some of the UIDs of every folder, so that later files hold lower ones.
+    """
+    base = scratch(spark)
+    mails = _enveloped(views.arrivals(spark, sf_dir))
+    options = FetchOptions(folder="Events/*", recursive=True, incremental=True,
+                           fetch_mode=HEADERS_ONLY, max_message_size=10000)
+    for run in range(2):
+        mails.filter(F.col("event_id") % 2 == run).repartition(
+            3, F.floor(F.col("uid") / 50)
+        ).write.mode("append").parquet(f"{base}/in")
+        source = spark.readStream.schema(mails.schema).option("maxFilesPerTrigger", "1")
+        incremental_stream(
+            source.parquet(f"{base}/in"), f"{base}/out", f"{base}/cursors",
+            f"{base}/checkpoint", options, unordered=True,
+        ).awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("relationship", "folder", "uid")
+
+
 QUERIES = {
+    "stream_limited": (
+        stream_limited,
+        f"WITH {ARRIVALS} SELECT CASE WHEN greatest(size, 0) <= 10000 THEN 'success' "
+        "ELSE 'parse-error' END AS relationship, folder, uid FROM arrivals",
+    ),
     "stream_incremental": (stream_incremental, _STREAM),
     "stream_cursors": (
         stream_cursors,

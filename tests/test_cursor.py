@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from mailloom import FetchOptions
 from mailloom.operators.cursor import (
     advance_cursor,
@@ -29,8 +31,10 @@ def test_only_newer_messages(spark):
     assert kept(after_cursor(mails(spark), cursors, "s")) == expected
     assert kept(after_cursor(mails(spark), {"a": 3, "c": 2})) == expected
     assert len(kept(after_cursor(mails(spark), cursors, "s", incremental=False))) == 12
-    # Without a state folder the cursors of all of them count.
-    assert kept(after_cursor(mails(spark), cursors)) == [
+    # Cursors of several state folders are not mixed; those of none need no name.
+    with pytest.raises(ValueError, match="state_folder"):
+        after_cursor(mails(spark), cursors)
+    assert kept(after_cursor(mails(spark), cursors.drop("state_folder"))) == [
         ("a", 4), ("a", 5), ("b", 3), ("c", 3), ("c", 4)]
 
 

@@ -78,6 +78,35 @@ def test_stream_restarts_where_it_stopped(spark, paths, tmp_path):
     assert marked == [0, 1, 2]
 
 
+def test_rate_limit_loses_nothing(spark, paths, tmp_path):
+    out, state = paths
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+
+    def stream(**more):
+        limited = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", "1")
+        return incremental_stream(
+            limited.parquet(source), out, state, checkpoint, OPTIONS, **more)
+
+    def land(*uids):
+        for uid in uids:
+            batch(spark, ("a", uid, 1), ("b", uid, 1)).coalesce(1).write.mode("append").parquet(source)
+
+    land(30, 10)
+    with pytest.raises(ValueError, match="unordered"):
+        stream()
+    stream(unordered=True).awaitTermination()
+    land(20, 40, 10)
+    stream(unordered=True).awaitTermination()
+    have = [(folder, uid) for _, _, folder, uid in delivered(spark, out)]
+    assert sorted(have) == [(f, u) for f in "ab" for u in (10, 20, 30, 40)]
+
+
+def test_a_stream_has_no_cap(spark, paths, tmp_path):
+    source = batch(spark, ("a", 1, 1))
+    with pytest.raises(ValueError, match="no cap"):
+        incremental_stream(source, *paths, str(tmp_path / "c"), replace(OPTIONS, batch_size=5))
+
+
 def test_old_steps_are_not_read_again(spark, paths, monkeypatch):
     _, state = paths
     monkeypatch.setattr(sinks, "SNAPSHOT_EVERY", 3)
