@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailloom.functions.text import flags_or_empty, has_flag
-from mailloom.operators.joins import lookup_join
+from mailloom.operators.joins import lookup_join, materialise
 
 
 def _add_flag(df: DataFrame, done: DataFrame, flag: str, computed: bool) -> DataFrame:
@@ -44,6 +44,32 @@ def expunge(df: DataFrame, done: DataFrame, computed: bool = True) -> DataFrame:
     )
 
 
+def with_marks(df: DataFrame, marks: DataFrame) -> DataFrame:
+    """The mailbox as a log of marks leaves it: flags added, deleted messages gone.
+
+    ``marks`` are narrow rows (``folder``, ``uid``, ``read``, ``deleted``) and are
+    measured before they are joined. Where they are many, give envelopes in ``df`` and
+    add the content of the messages that are wanted, by their keys.
+    """
+    marks = materialise(marks.groupBy("folder", "uid").agg(
+        F.max("read").alias("_read"), F.max("deleted").alias("_gone")
+    ))
+    joined = lookup_join(df, marks, ["folder", "uid"])
+    flags = flags_or_empty(F.col("flags"))
+    seen = F.when(F.col("_read"), F.array_union(flags, F.array(F.lit("SEEN"))))
+    left = joined.withColumn("flags", F.coalesce(seen, F.col("flags"))).filter(
+        ~F.coalesce("_gone", F.lit(False))
+    ).drop("_read", "_gone")
+    # Where messages were deleted, all that carried the flag went with them.
+    touched = marks.filter("_gone").select("folder").distinct()
+    return lookup_join(
+        left, touched, ["folder"], "left_anti", spread=["uid"],
+        condition=has_flag(F.col("flags"), "DELETED"),
+    )
+
+
 def resolve(ids: DataFrame, df: DataFrame) -> DataFrame:
     """Messages by folder and UID; ids that no longer exist drop out silently."""
-    return df.join(ids.select("folder", "uid").distinct(), ["folder", "uid"], "inner")
+    return lookup_join(
+        df, ids.select("folder", "uid").distinct(), ["folder", "uid"], "inner", computed=True
+    )

@@ -7,14 +7,17 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailloom.operators.cursor import advance_cursor
-from mailloom.operators.mailbox import expunge, flag_deleted, mark_read
+from mailloom.operators.cursor import advance_cursor, highest_uid
+from mailloom.operators.mailbox import expunge, flag_deleted, mark_read, with_marks
 from mailloom.plans.fetch import Fetched, fetch
 from mailloom.schema import FetchOptions
 from mailloom.sources.sinks import (
+    delivered_keys,
     not_delivered,
     read_cursor_steps,
+    read_mark_steps,
     write_cursor_step,
+    write_mark_step,
     write_routes,
 )
 
@@ -70,7 +73,9 @@ def run_step(
     """One trigger with its results on disk: outputs first, then the cursors reached.
 
     The step reads the cursors of the steps before it and replaces its own
-    output and its own cursors, so it can be run again after a failure. With
+    output, its own cursors and its own marks, so it can be run again after a failure.
+    Read and delete marks go to a log beside the cursors; a step with such options sees
+    the messages as the marks of the steps before it leave them. With
     ``unordered`` the messages that earlier steps have in their output are left out,
     whatever the cursors say.
     """
@@ -79,14 +84,26 @@ def run_step(
     known = None
     if options.incremental:
         known = read_cursor_steps(messages.sparkSession, state_path, before=step)
+    marking = options.mark_read or options.delete_messages
+    if marking and step > 0:
+        messages = with_marks(
+            messages, read_mark_steps(messages.sparkSession, state_path, before=step)
+        )
     if unordered:
         messages = not_delivered(messages, out_path, step)
     fetched = fetch(
         messages, options, all_of, any_of, None if unordered else known, folders,
         f"{state}-{step}", capped,
     )
-    write_routes(fetched.tagged(), f"{out_path.rstrip('/')}/step={step}")
+    written = f"{out_path.rstrip('/')}/step={step}"
+    write_routes(fetched.tagged(), written)
+    # Cursors and marks follow from the keys that were written; nothing runs again.
+    delivered = delivered_keys(messages.sparkSession, written)
     if options.incremental:
-        reached = fetched.cursors.withColumn("state_folder", F.lit(state))
+        reached = highest_uid(delivered).withColumn("state_folder", F.lit(state))
         write_cursor_step(reached, known, state_path, step)
+    if marking:
+        write_mark_step(
+            delivered, state_path, step, options.mark_read, options.delete_messages
+        )
     return fetched

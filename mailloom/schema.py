@@ -94,6 +94,14 @@ CURSOR = T.StructType([
     T.StructField("last_uid", T.LongType()),
 ])
 
+#: One row of the log of marks: what a step did to a message.
+MARK = T.StructType([
+    T.StructField("folder", T.StringType()),
+    T.StructField("uid", T.LongType()),
+    T.StructField("read", T.BooleanType()),
+    T.StructField("deleted", T.BooleanType()),
+])
+
 REQUEST = T.StructType([
     T.StructField("request_id", T.LongType()),
     T.StructField("folder", T.StringType()),

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mailloom.operators.cursor import advance_cursor
-from mailloom.schema import CURSOR
+from mailloom.schema import CURSOR, MARK, SUCCESS
 
 #: Steps between two full copies of the cursor table.
 SNAPSHOT_EVERY = 100
@@ -68,5 +69,34 @@ def read_cursor_steps(spark: SparkSession, path: str, before: int) -> DataFrame:
     return files.groupBy("state_folder", "folder").agg(F.max("last_uid").alias("last_uid"))
 
 
+def delivered_keys(spark: SparkSession, path: str) -> DataFrame:
+    """Folder and UID of the messages an output has, from what was written."""
+    return (
+        spark.read.schema("folder string, uid bigint, relationship string").parquet(path)
+        .filter((F.col("relationship") == SUCCESS) & (F.col("uid") > 0))
+        .select("folder", "uid")
+    )
+
+
+def write_mark_step(
+    delivered: DataFrame, path: str, step: int, read: bool, deleted: bool
+) -> None:
+    """Log what a step marks. Writing the step again replaces it; no message is rewritten."""
+    delivered.distinct().withColumns({"read": F.lit(read), "deleted": F.lit(deleted)}).write.mode(
+        "overwrite"
+    ).parquet(_step_path(f"{path.rstrip('/')}/marks", step))
+
+
+def read_mark_steps(spark: SparkSession, path: str, before: int) -> DataFrame:
+    """Marks of all steps before ``before``; steps without marks are passed over."""
+    if before <= 0:
+        return spark.createDataFrame([], MARK)
+    return (
+        spark.read.schema(T.StructType([*MARK.fields, T.StructField("step", T.IntegerType())]))
+        .option("ignoreMissingFiles", "true").parquet(f"{path.rstrip('/')}/marks")
+        .filter(F.col("step") < before).drop("step")
+    )
+
+
 def _step_path(path: str, step: int) -> str:
     return f"{path.rstrip('/')}/step={step}"

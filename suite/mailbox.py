@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from mailloom import FetchOptions
@@ -23,7 +25,7 @@ from mailloom.operators.folders import (
 )
 from mailloom.operators.joins import materialise
 from mailloom.operators.limits import batch_number, cap_per_folder
-from mailloom.operators.mailbox import expunge, flag_deleted, mark_read, resolve
+from mailloom.operators.mailbox import expunge, flag_deleted, mark_read, resolve, with_marks
 from mailloom.operators.project import (
     project_base,
     project_headers,
@@ -34,6 +36,7 @@ from mailloom.operators.summary import run_summary
 from mailloom.plans.fetch import fetch, split_oversize, with_outcome
 from mailloom.plans.poll import poll, run_step
 from mailloom.schema import ATTACHMENTS_ONLY, HEADERS_ONLY
+from mailloom.sources.sinks import read_mark_steps
 from suite import views
 from suite.scratch import scratch
 from suite.views import ARRIVALS, CURSORS, FLAGS_TEXT, MESSAGES
@@ -306,6 +309,38 @@ SELECT CAST(before // 120 AS INTEGER) AS step,
 FROM counted WHERE before < 360"""
 
 
+def poll_marks(spark, sf_dir):
+    """Triggers that take the unread and mark them as read, then triggers that delete.
+
+    One step of each kind is run twice.
+    """
+    base = scratch(spark)
+    bare = _enveloped(views.arrivals(spark, sf_dir))
+    options = FetchOptions(folder="Events/*", recursive=True, batch_size=5, state_folder="s",
+                           fetch_mode=HEADERS_ONLY)
+    for kind in ("mark_read", "delete_messages"):
+        chosen = replace(options, **{kind: True})
+        for step in (0, 1, 1, 2):
+            run_step(bare, step, f"{base}/{kind}", f"{base}/state-{kind}", chosen, [c.unseen()])
+    shown = [
+        spark.read.parquet(f"{base}/{kind}").select(F.lit(kind).alias("kind"), "step", "folder", "uid")
+        for kind in ("mark_read", "delete_messages")
+    ]
+    left = with_marks(
+        bare.select("folder", "uid", "flags"),
+        read_mark_steps(spark, f"{base}/state-delete_messages", before=3),
+    ).select(F.lit("left").alias("kind"), F.lit(3).alias("step"), "folder", "uid")
+    return shown[0].unionByName(shown[1]).unionByName(left)
+
+
+_POLL_MARKS = f"""WITH {ARRIVALS}, ranked AS (
+SELECT folder, uid, row_number() OVER (PARTITION BY folder ORDER BY uid) - 1 AS r
+FROM arrivals)
+SELECT kind, CAST(r // 50 AS INTEGER) AS step, folder, uid
+FROM ranked, (VALUES ('mark_read'), ('delete_messages')) AS k(kind) WHERE r < 150
+UNION ALL SELECT 'left', 3, folder, uid FROM ranked WHERE r >= 150"""
+
+
 def _enveloped(df):
     """Arrivals with the empty header columns a projection asks for."""
     text, texts = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
@@ -540,6 +575,7 @@ QUERIES = {
     "effective_ids": (effective_ids, _EFFECTIVE),
     "poll_twice": (poll_twice, _POLL_TWICE),
     "poll_steps": (poll_steps, _POLL_STEPS),
+    "poll_marks": (poll_marks, _POLL_MARKS),
     "cap_per_run": (cap_per_run, _CAP),
     "batch_numbers": (batch_numbers, _BATCHES),
     "batch_stamp": (

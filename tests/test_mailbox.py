@@ -1,10 +1,15 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from mailloom import FetchOptions
-from mailloom.operators.mailbox import expunge, flag_deleted, mark_read, resolve
+from mailloom.operators import criteria as c
+from mailloom.operators.mailbox import expunge, flag_deleted, mark_read, resolve, with_marks
 from mailloom.plans.poll import update_mailbox
+from mailloom.sources.sinks import read_mark_steps
+from mailloom.streaming.incremental import incremental_stream
+from tests.test_streaming import SCHEMA, batch
 
 
 @pytest.fixture(scope="module")
@@ -51,6 +56,33 @@ def test_options_decide(spark, box):
     assert set(after) == {("a", 2), ("a", -1)}
 
 
+def test_marks_of_a_log(spark, box):
+    schema = "folder string, uid long, read boolean, deleted boolean"
+    marks = spark.createDataFrame(
+        [("a", 1, True, False), ("a", 2, True, False), ("a", 2, True, False), ("z", 1, True, True)], schema)
+    after = flags(with_marks(box, marks))
+    assert after == flags(box) | {("a", 2): ["SEEN"]}
+    gone = spark.createDataFrame([("a", 1, False, True)], schema)
+    # The message that was deleted, and the one of its folder that had the flag.
+    assert set(flags(with_marks(box, gone))) == set(flags(box)) - {("a", 1), ("a", 3)}
+    assert flags(with_marks(box, spark.createDataFrame([], schema))) == flags(box)
+
+
+def test_a_stream_marks_what_it_delivers(spark, tmp_path):
+    rows = batch(spark, ("a", 1, 1), ("a", 2, 1)).withColumn(
+        "flags", F.when(F.col("uid") == 2, F.array(F.lit("SEEN"))).otherwise(F.array())
+    )
+    rows.write.parquet(str(tmp_path / "in"))
+    incremental_stream(
+        spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in")), str(tmp_path / "out"),
+        str(tmp_path / "state"), str(tmp_path / "c"),
+        FetchOptions(folder="a", mark_read=True, fetch_mode="HEADERS_ONLY"),
+        all_of=[c.unseen()],
+    ).awaitTermination()
+    marks = read_mark_steps(spark, str(tmp_path / "state"), 1).collect()
+    assert [(m.folder, m.uid, m.read, m.deleted) for m in marks] == [("a", 1, True, False)]
+
+
 def test_resolve_drops_unknown_ids(spark, box):
     found = resolve(done(spark, ("a", 1), ("a", 1), ("b", 7)), box).collect()
     assert [(r.folder, r.uid) for r in found] == [("a", 1)]
