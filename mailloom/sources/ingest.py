@@ -94,7 +94,10 @@ def _parse_batches(batches: Iterator[pa.RecordBatch], with_content: bool):
 
 
 def ingest(
-    raw: DataFrame, with_content: bool = True, partitions: int | None = None
+    raw: DataFrame,
+    with_content: bool = True,
+    partitions: int | None = None,
+    max_message_size: int | None = None,
 ) -> DataFrame:
     """One message row per landed mail, with its parts.
 
@@ -105,6 +108,9 @@ def ingest(
     ``error_message``. ``with_content=False`` reads headers only. The rows are
     computed again by every action, so write them once with ``write_messages``
     when more than one query follows.
+
+    Mails above ``max_message_size`` are error rows too. Their files are not opened:
+    the size comes from the listing.
     """
     present = raw.columns
     landed = raw.select(
@@ -117,27 +123,47 @@ def ingest(
         .alias("flags"),
         "raw",
     )
+    above = None
+    if max_message_size is not None:
+        above = landed.drop("raw").filter(F.col("size") > max_message_size)
+        landed = landed.filter(F.col("size").isNull() | (F.col("size") <= max_message_size))
     if partitions is not None:
         landed = landed.repartition(partitions, "folder", "uid")
-    return landed.mapInArrow(lambda batches: _parse_batches(batches, with_content), MESSAGE)
+    parsed = landed.mapInArrow(lambda batches: _parse_batches(batches, with_content), MESSAGE)
+    if above is None:
+        return parsed
+    reason = F.format_string("Message size %d exceeds limit %d", "size", F.lit(max_message_size))
+    return parsed.unionByName(above.select(*[
+        F.col(f.name) if f.name in _LANDED
+        else (reason if f.name == "error_message" else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in MESSAGE.fields
+    ]))
 
 
 def write_messages(
-    messages: DataFrame, path: str, partitions: int | None = None, clustered: bool = True
+    messages: DataFrame,
+    path: str,
+    partitions: int | None = None,
+    clustered: bool = True,
+    mode: str = "overwrite",
 ) -> None:
     """Write a message table, clustered by folder and UID unless told otherwise.
 
     Messages are grouped by folder and block of UIDs in one pass, so that a big
     folder is spread over many files, and sorted, so that the Parquet scan can
-    skip row groups by folder and UID.
+    skip row groups by folder and UID. Mails without a UID are spread by what else
+    they have. ``mode="append"`` adds to the table that is there.
     """
     if clustered:
-        keys = [F.col("folder"), F.floor(F.col("uid") / UID_BLOCK)]
+        other = F.pmod(
+            F.xxhash64("msg_num", "message_id", "received_ts", "size", "subject"), F.lit(1024)
+        )
+        keys = [F.col("folder"), F.coalesce(F.floor(F.col("uid") / UID_BLOCK), -1 - other)]
         spread = (
             messages.repartition(partitions, *keys) if partitions else messages.repartition(*keys)
         )
         messages = spread.sortWithinPartitions("folder", "uid")
-    messages.write.mode("overwrite").parquet(path)
+    messages.write.mode(mode).parquet(path)
 
 
 def parts(messages: DataFrame) -> DataFrame:

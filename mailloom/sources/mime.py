@@ -205,9 +205,15 @@ def _leaves(head: Head, body: bytes) -> Iterator[dict]:
                 yield _closed_container(here, str(fault))
             continue
         index = here[-1]
-        described = part.with_parameters()
-        disposition = described.get_content_disposition()
-        filename = described.get_filename()
+        kind = part.first("content-type") or "text/plain"
+        try:
+            described = part.with_parameters()
+            disposition = described.get_content_disposition()
+            filename = described.get_filename()
+            filename = None if filename is None else decode_words(whole_text(filename))
+        except Exception:  # parameters that cannot be read
+            disposition, kind = "attachment", "application/octet-stream"
+            filename = f"attachment_{index}_unknown"
         content, fault = None, None
         if disposition == "attachment" or (disposition is None and filename is not None):
             try:
@@ -221,8 +227,8 @@ def _leaves(head: Head, body: bytes) -> Iterator[dict]:
             "part_path": list(here),
             "part_index": index,
             "disposition": disposition,
-            "filename": None if filename is None else decode_words(whole_text(filename)),
-            "content_type": part.first("content-type") or "text/plain",
+            "filename": filename,
+            "content_type": kind,
             "size": len(data),
             "container": False,
             "fault": fault,

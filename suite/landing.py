@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from mailloom import FetchOptions
 from mailloom.operators.attachments import attachments
 from mailloom.operators.cursor import after_cursor
-from mailloom.operators.folders import in_folder
 from mailloom.plans.fetch import fetch, split_oversize
 from mailloom.sources.ingest import ingest, write_messages
 from mailloom.sources.landing import read_envelopes, read_messages, read_raw, stream_raw
@@ -111,9 +110,10 @@ def _stored(spark, sf_dir) -> str:
 
 
 def stored_envelopes(spark, sf_dir):
-    """New envelopes of one folder, read without any body."""
+    """New envelopes above half of each folder's highest UID, read without any body."""
     envelopes = read_envelopes(spark, _stored(spark, sf_dir))
-    new = after_cursor(in_folder(envelopes, "Mixed/en"), {"Mixed/en": 400})
+    half = envelopes.groupBy("folder").agg(F.floor(F.max("uid") / 2).alias("last_uid"))
+    new = after_cursor(envelopes, half)
     return new.select("folder", "uid", "subject")
 
 
@@ -121,7 +121,8 @@ _STORED_ENVELOPES = f"""WITH {_MIXED}
 SELECT folder, uid,
   CASE form WHEN 1 THEN 'Re: é ' || doc_id WHEN 2 THEN 'é ' || doc_id || 'é ' || doc_id
     WHEN 9 THEN '=?x-none?B?eA==?= ' || doc_id ELSE 'Document ' || doc_id END AS subject
-FROM mixed WHERE lang = 'en' AND uid > 400"""
+FROM mixed JOIN (SELECT folder AS f, max(uid) // 2 AS last_uid FROM mixed GROUP BY 1) ON f = folder
+WHERE uid > last_uid"""
 
 
 def stored_routes(spark, sf_dir):

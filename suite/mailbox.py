@@ -427,7 +427,7 @@ FROM counted WHERE before < 30"""
 def fetch_modes(spark, sf_dir):
     """What each mode shows of the same messages."""
     def shown(mode, headers):
-        options = FetchOptions(folder="Archive/src5/*", recursive=True, fetch_mode=mode,
+        options = FetchOptions(folder="Archive/*", recursive=True, fetch_mode=mode,
                                include_headers=headers, include_attachments=True,
                                max_attachment_size=4000)
         run = fetch(views.messages(spark, sf_dir), options, capped=False)
@@ -445,8 +445,7 @@ def fetch_modes(spark, sf_dir):
     )
 
 
-_FETCH_MODES = f"""WITH {MESSAGES}, chosen AS (
-SELECT * FROM messages WHERE starts_with(folder, 'Archive/src5/'))
+_FETCH_MODES = f"""WITH {MESSAGES}, chosen AS (SELECT * FROM messages)
 SELECT 'HEADERS_ONLY' AS mode, true AS headers, folder, uid, subject, '-' AS content_md5
 FROM chosen
 UNION ALL SELECT 'FULL_MESSAGE', true, folder, uid, subject, md5(text) FROM chosen

@@ -18,7 +18,7 @@ from mailloom.sources.landing import (
     stream_raw,
 )
 from mailloom.sources.sinks import read_route, write_routes
-from tests.test_mime import FAULTY, INVOICE, NESTED, SIMPLE
+from tests.test_mime import FAULTY, INVOICE, NESTED, RAW, SIMPLE
 
 
 @pytest.fixture(scope="module")
@@ -133,3 +133,27 @@ def test_streams_see_new_files(spark, tmp_path):
     )
     query.awaitTermination()
     assert sorted(k for _, ks in seen for k in ks) == [("INBOX", 1), ("INBOX", 2)]
+
+
+def test_large_files_are_not_opened(spark, tmp_path):
+    (tmp_path / "INBOX").mkdir()
+    (tmp_path / "INBOX" / "1.eml").write_bytes(SIMPLE)
+    (tmp_path / "INBOX" / "2.eml").write_bytes(SIMPLE + b"x" * 5000)
+    rows = ingest(read_raw(spark, str(tmp_path)), max_message_size=4000).collect()
+    have = {r["uid"]: (r["message_id"], r["error_message"]) for r in rows}
+    size = len(SIMPLE) + 5000
+    assert have == {
+        1: ("<tide-0307@harbour.example>", None),
+        2: (None, f"Message size {size} exceeds limit 4000"),
+    }
+
+
+def test_a_table_grows_and_spreads_mails_without_uid(spark, tmp_path):
+    raws = [("INBOX", None, None, len(SIMPLE), bytearray(SIMPLE.replace(b"0307", str(n).encode())))
+            for n in range(200)]
+    landed = ingest(spark.createDataFrame(raws, RAW))
+    write_messages(landed, str(tmp_path / "m"), partitions=8)
+    table = read_messages(spark, str(tmp_path / "m"))
+    assert table.select(F.input_file_name()).distinct().count() > 4
+    write_messages(landed.limit(5), str(tmp_path / "m"), mode="append")
+    assert read_messages(spark, str(tmp_path / "m")).count() == 205
