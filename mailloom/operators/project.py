@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailloom.functions.attributes import (
-    attachment_attributes,
-    error_attributes,
-    message_attributes,
-)
+from mailloom.functions.attributes import message_attributes
 from mailloom.functions.text import first_or, flags_text, not_negative
 from mailloom.schema import (
     ATTACHMENTS_ONLY,
@@ -115,14 +111,6 @@ def with_attributes(df: DataFrame, header_fault_at: Column | None = None) -> Dat
     return df.withColumn("attributes", message_attributes(df.columns, header_fault_at))
 
 
-def attachments_with_attributes(df: DataFrame) -> DataFrame:
-    return df.withColumn("attributes", attachment_attributes())
-
-
-def errors_with_attributes(df: DataFrame) -> DataFrame:
-    return df.withColumn("attributes", error_attributes())
-
-
 def with_batch_id(df: DataFrame, batch_id: str) -> DataFrame:
     """Stamp every row of a run with the same id."""
     return df.withColumn("batch_id", F.lit(batch_id))

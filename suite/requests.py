@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from mailloom.functions.units import data_size_bytes
 from mailloom.operators import criteria as c
 from mailloom.operators.folders import folder_table
 from mailloom.operators.joins import materialise
@@ -90,6 +91,55 @@ SELECT request_id, NOT held AS ready,
 FROM checked"""
 
 
+def retry_overflow(spark, sf_dir):
+    """Waits of requests that were retried up to 200 times, and sizes of any length."""
+    asked = views.table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS request_id", "10000L AS retry_backoff_ms",
+        "CAST(c_custkey % 201 AS INT) AS retry_count",
+        "concat(repeat('9', CAST(c_custkey % 25 + 1 AS INT)), ' TB') AS text",
+    )
+    return asked.select(
+        "request_id", next_backoff().alias("next_ms"),
+        data_size_bytes(F.col("text"), 7).alias("bytes"),
+    )
+
+
+_RETRY_OVERFLOW = """SELECT c_custkey AS request_id,
+  CASE WHEN c_custkey % 201 >= 50 THEN 9223372036854775807
+       ELSE 10000 * CAST(pow(2, c_custkey % 201) AS BIGINT) END AS next_ms,
+  CASE WHEN c_custkey % 25 + 1 > 6 THEN 7
+       ELSE CAST(repeat('9', CAST(c_custkey % 25 + 1 AS INTEGER)) AS BIGINT) * 1099511627776 END
+    AS bytes
+FROM customer"""
+
+
+def double_faults(spark, sf_dir):
+    """Requests with two faults each have one row: a failure counts before a retry."""
+    asked = views.table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS request_id", "3 AS max_retries", "1000L AS retry_backoff_ms",
+        "CAST(c_custkey % 5 AS INT) AS retry_count", "0L AS retry_last_time_ms",
+    )
+    faults = asked.selectExpr("request_id", "'messaging' AS kind", "'lost' AS message").unionByName(
+        asked.selectExpr(
+            "request_id", "if(request_id % 2 = 1, 'other', 'messaging') AS kind",
+            "'broken' AS message",
+        )
+    )
+    return retry_route(asked, classify(faults), NOW_MS).select(
+        "request_id", "relationship", "error_type", "error_message", "retry_count"
+    )
+
+
+_DOUBLE_FAULTS = """SELECT c_custkey AS request_id,
+  CASE WHEN c_custkey % 2 = 1 OR c_custkey % 5 >= 3 THEN 'failure' ELSE 'retry' END AS relationship,
+  CASE WHEN c_custkey % 2 = 1 THEN 'UNEXPECTED_ERROR' ELSE 'CONNECTION_ERROR' END AS error_type,
+  CASE WHEN c_custkey % 2 = 0 AND c_custkey % 5 >= 3 THEN 'broken - Max retries exceeded'
+       ELSE 'broken' END AS error_message,
+  CAST(c_custkey % 5 + CASE WHEN c_custkey % 2 = 0 AND c_custkey % 5 < 3 THEN 1 ELSE 0 END
+       AS INTEGER) AS retry_count
+FROM customer"""
+
+
 def request_checks(spark, sf_dir):
     checked = validate_requests(_requests(spark, sf_dir))
     return checked.select("request_id", "error_type", "error_message")
@@ -321,6 +371,8 @@ QUERIES = {
         request_defaults, f"WITH {REQUESTS} SELECT {', '.join(_OPTIONS)} FROM requests"
     ),
     "retry_gate": (retry_gate, _RETRY_GATE),
+    "retry_overflow": (retry_overflow, _RETRY_OVERFLOW),
+    "double_faults": (double_faults, _DOUBLE_FAULTS),
     "request_checks": (request_checks, _CHECKS),
     "request_routes": (request_routes, _ROUTES),
     "fault_classes": (fault_classes, _FAULT_CLASSES),
