@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mailloom.functions.attributes import (
+    attachment_attributes,
+    error_attributes,
+    message_attributes,
+    request_attributes,
+)
 from mailloom.operators.attachments import attachments
 from mailloom.operators.cursor import id_column
 from mailloom.operators.joins import lookup_join, materialise
 from mailloom.operators.limits import cap_ids
+from mailloom.operators.mailbox import with_marks
 from mailloom.operators.project import project_headers, wants_body
 from mailloom.operators.requests import (
     classify,
@@ -21,6 +29,7 @@ from mailloom.operators.requests import (
 )
 from mailloom.plans.fetch import error_rows, with_outcome
 from mailloom.schema import (
+    ATTACHMENTS,
     ATTACHMENTS_ONLY,
     FAILURE,
     FULL_MESSAGE,
@@ -28,8 +37,16 @@ from mailloom.schema import (
     MESSAGE,
     ORIGINAL,
     PARSE_ERROR,
+    RETRY,
     SUCCESS,
 )
+from mailloom.sources.sinks import (
+    read_cursor_steps,
+    read_mark_steps,
+    write_cursor_step,
+    write_mark_step,
+    write_routes,
+)
 
 _HEADER_COLUMNS = [
     "subject", "sender", "to_addr", "cc_addr", "received_ts", "sent_ts", "flags", "size",
@@ -60,6 +77,41 @@ class Handled:
     cursors: DataFrame
     requests: DataFrame | None = None
 
+    def tagged(self) -> DataFrame:
+        """All rows of the run in one shape, the requests among them.
+
+        The outputs are success, attachments, parse-error, and for the requests
+        themselves retry, failure and original.
+        """
+        none = F.lit(None)
+        # Headers that were not asked for, or could not be read, show no dates.
+        unread = (
+            F.col("subject").isNull() | F.col("sender").isNull()
+            | F.col("to_addr").isNull() | F.col("cc_addr").isNull()
+        )
+        shown = message_attributes(
+            self.success.columns, F.when(unread, F.lit(1)).otherwise(F.lit(0))
+        )
+        rows = [
+            (self.success, F.lit(SUCCESS), F.col("uid"), shown, F.col("content")),
+            (self.attachments, F.lit(ATTACHMENTS), F.col("uid"), attachment_attributes(),
+             F.col("content")),
+            (self.parse_error, F.lit(PARSE_ERROR), F.col("uid"), error_attributes(), none),
+        ]
+        if self.requests is not None:
+            rows.append((
+                self.requests, F.col("relationship"), none, request_attributes(), none
+            ))
+        shaped = [
+            df.select(
+                output.alias("relationship"), "request_id", "folder",
+                uid.cast("bigint").alias("uid"), attributes.alias("attributes"),
+                content.cast("binary").alias("content"),
+            )
+            for df, output, uid, attributes, content in rows
+        ]
+        return reduce(DataFrame.unionByName, shaped)
+
 
 def _targets(requests: DataFrame, folders: DataFrame, cursors: DataFrame | None) -> DataFrame:
     """(request, folder) pairs with the request's options and the folder's cursor."""
@@ -245,3 +297,71 @@ def run_requests(
     handled = fetch_for_requests(ready, folders, messages, cursors, searches, batch_id)
     handled.requests = settled
     return handled
+
+
+def run_request_step(
+    requests: DataFrame,
+    folders: DataFrame,
+    messages: DataFrame,
+    step: int,
+    out_path: str,
+    state_path: str,
+    now_ms: int,
+    faults: DataFrame | None = None,
+    searches: dict[str, Column] | None = None,
+) -> Handled:
+    """One run over requests with its results on disk.
+
+    All outputs are written first, then the cursors reached and the marks set, then
+    the requests that go round again (``read_next_requests``). The step reads what the
+    steps before it left and replaces its own results, so it can be run again after a
+    failure. Requests can have the columns ``mark_read`` and ``delete_messages``.
+    """
+    spark = messages.sparkSession
+    known = read_cursor_steps(spark, state_path, before=step)
+    wants = [name for name in ("mark_read", "delete_messages") if name in requests.columns]
+    if wants and step > 0:
+        messages = with_marks(messages, read_mark_steps(spark, state_path, before=step))
+    handled = run_requests(
+        requests, folders, messages, now_ms, known, faults, searches, f"requests-{step}"
+    )
+    written = f"{out_path.rstrip('/')}/step={step}"
+    write_routes(handled.tagged(), written)
+
+    given = handled.requests
+    asked = given.select(
+        "request_id", F.coalesce("state_folder", "folder").alias("state_folder"), "incremental",
+        *[F.coalesce(F.col(name), F.lit(False)).alias(name) for name in wants],
+    )
+    delivered = spark.read.schema(
+        "request_id bigint, folder string, uid bigint, relationship string"
+    ).parquet(written).filter((F.col("relationship") == SUCCESS) & (F.col("uid") > 0))
+    delivered = lookup_join(
+        delivered.select("request_id", "folder", "uid"), asked, ["request_id"], "inner",
+        spread=["folder", "uid"],
+    )
+    reached = delivered.filter("incremental").groupBy("state_folder", "folder").agg(
+        F.max("uid").alias("last_uid")
+    )
+    write_cursor_step(reached, known, state_path, step)
+    if wants:
+        set_by = {name: F.col(name) if name in wants else F.lit(False)
+                  for name in ("mark_read", "delete_messages")}
+        write_mark_step(
+            delivered.filter(set_by["mark_read"] | set_by["delete_messages"]),
+            state_path, step, set_by["mark_read"], set_by["delete_messages"],
+        )
+    given.filter(F.col("relationship") == RETRY).write.mode("overwrite").parquet(
+        _requests_path(state_path, step)
+    )
+    return handled
+
+
+def read_next_requests(spark, state_path: str, step: int) -> DataFrame:
+    """The requests that a step left for a later run."""
+    kept = spark.read.parquet(_requests_path(state_path, step))
+    return kept.drop("relationship", "error_type", "error_message")
+
+
+def _requests_path(state_path: str, step: int) -> str:
+    return f"{state_path.rstrip('/')}/requests/step={step}"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,12 +79,21 @@ def delivered_keys(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_mark_step(
-    delivered: DataFrame, path: str, step: int, read: bool, deleted: bool
+    delivered: DataFrame, path: str, step: int, read: Column | bool, deleted: Column | bool
 ) -> None:
-    """Log what a step marks. Writing the step again replaces it; no message is rewritten."""
-    delivered.distinct().withColumns({"read": F.lit(read), "deleted": F.lit(deleted)}).write.mode(
-        "overwrite"
-    ).parquet(_step_path(f"{path.rstrip('/')}/marks", step))
+    """Log what a step marks. Writing the step again replaces it; no message is rewritten.
+
+    ``read`` and ``deleted`` are values or Columns of ``delivered``.
+    """
+    marks = delivered.select(
+        "folder", "uid", *[
+            (value if isinstance(value, Column) else F.lit(value)).alias(name)
+            for name, value in (("read", read), ("deleted", deleted))
+        ],
+    )
+    marks.distinct().write.mode("overwrite").parquet(
+        _step_path(f"{path.rstrip('/')}/marks", step)
+    )
 
 
 def read_mark_steps(spark: SparkSession, path: str, before: int) -> DataFrame:

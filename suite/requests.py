@@ -19,8 +19,14 @@ from mailloom.operators.requests import (
     validate_requests,
     with_defaults,
 )
-from mailloom.plans.requests import fetch_for_requests, run_requests, settle_requests
+from mailloom.plans.requests import (
+    fetch_for_requests,
+    run_request_step,
+    run_requests,
+    settle_requests,
+)
 from suite import views
+from suite.scratch import scratch
 from suite.views import CURSORS, MESSAGES, NOW_MS, REQUESTS
 
 _OPTIONS = [
@@ -346,14 +352,64 @@ def request_run(spark, sf_dir):
     """Mails delivered to the requests that are ready."""
     handled = run_requests(
         _requests(spark, sf_dir), _folders(spark, sf_dir),
-        views.messages(spark, sf_dir).drop("content"), NOW_MS, views.cursors(spark, sf_dir),
+        views.messages(spark, sf_dir), NOW_MS, views.cursors(spark, sf_dir),
+    )
+    return handled.success.select(
+        "request_id", "folder", "uid", "message_id", F.md5("content").alias("content_md5")
+    )
+
+
+def request_step(spark, sf_dir):
+    """A run over requests on disk: its six outputs, read back with their attributes.
+
+    It is run twice; the second run replaces the first.
+    """
+    base = scratch(spark)
+    for _ in range(2):
+        run_request_step(
+            _requests(spark, sf_dir), _folders(spark, sf_dir), views.messages(spark, sf_dir),
+            0, f"{base}/out", f"{base}/state", NOW_MS,
+        )
+    rows = spark.read.parquet(f"{base}/out")
+    return rows.select(
+        "relationship", "request_id", "folder", "uid",
+        F.coalesce(F.col("attributes")["error.type"], F.lit("")).alias("error_type"),
+        F.coalesce(F.col("attributes")["retry.count"], F.lit("")).alias("retry_count"),
+        F.coalesce(F.col("attributes")["email.message.id"], F.lit("")).alias("message_id"),
+        F.coalesce(F.md5("content"), F.lit("")).alias("content_md5"),
     )
-    return handled.success.select("request_id", "folder", "uid", "message_id")
+
+
+_REQUEST_STEP = f"""WITH {MESSAGES}, {_CHECKED}, found AS (
+SELECT r.request_id, m.folder, m.uid, m.message_id, m.text, r.batch_size, r.include_headers,
+       r.fetch_mode, m.size <= r.max_message_size AS ok
+FROM checked r JOIN targets t ON r.request_id = t.request_id
+JOIN messages m ON m.folder = t.folder WHERE r.error_type IS NULL AND NOT held),
+counted AS (
+SELECT *, coalesce(sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (
+  PARTITION BY request_id, folder ORDER BY uid
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM found),
+judged AS (
+SELECT *, NOT held AND error_type IS NULL AND NOT recursive AND folder = 'Missing' AS missing,
+       coalesce(retry_count, 0) < max_retries AS again FROM checked)
+SELECT CASE WHEN ok THEN 'success' ELSE 'parse-error' END AS relationship, request_id, folder, uid,
+  CASE WHEN ok THEN '' ELSE 'MESSAGE_TOO_LARGE' END AS error_type, '' AS retry_count,
+  CASE WHEN ok AND include_headers THEN message_id ELSE '' END AS message_id,
+  CASE WHEN ok AND fetch_mode = 'FULL_MESSAGE' THEN md5(text) ELSE '' END AS content_md5
+FROM counted WHERE before < 10 * batch_size
+UNION ALL SELECT
+  CASE WHEN held OR (missing AND again) THEN 'retry'
+    WHEN error_type IS NOT NULL OR missing THEN 'failure' ELSE 'original' END,
+  request_id, folder, NULL,
+  CASE WHEN held THEN '' WHEN missing THEN 'CONNECTION_ERROR' ELSE coalesce(error_type, '') END,
+  coalesce(CAST(CASE WHEN missing AND again THEN coalesce(retry_count, 0) + 1 ELSE retry_count END
+    AS VARCHAR), ''), '', ''
+FROM judged"""
 
 
 _REQUEST_RUN = f"""WITH {MESSAGES}, {CURSORS}, {_CHECKED}, found AS (
-SELECT r.request_id, m.folder, m.uid, m.message_id, r.batch_size, r.include_headers,
-       m.size <= r.max_message_size AS ok
+SELECT r.request_id, m.folder, m.uid, m.message_id, m.text, r.batch_size, r.include_headers,
+       r.fetch_mode, m.size <= r.max_message_size AS ok
 FROM checked r JOIN targets t ON r.request_id = t.request_id
 JOIN messages m ON m.folder = t.folder
 LEFT JOIN cursors c ON r.incremental AND c.state_folder = r.state_folder AND c.folder = m.folder
@@ -362,7 +418,8 @@ counted AS (
 SELECT *, coalesce(sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (
   PARTITION BY request_id, folder ORDER BY uid
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM found)
-SELECT request_id, folder, uid, CASE WHEN include_headers THEN message_id END AS message_id
+SELECT request_id, folder, uid, CASE WHEN include_headers THEN message_id END AS message_id,
+  CASE WHEN fetch_mode = 'FULL_MESSAGE' THEN md5(text) END AS content_md5
 FROM counted WHERE ok AND before < 10 * batch_size"""
 
 
@@ -388,4 +445,5 @@ QUERIES = {
     "request_cursors": (request_cursors, _REQUEST_CURSORS),
     "request_settled": (request_settled, _REQUEST_SETTLED),
     "request_run": (request_run, _REQUEST_RUN),
+    "request_step": (request_step, _REQUEST_STEP),
 }

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mailloom.functions.attributes import request_attributes
 from mailloom.operators import criteria as c
@@ -13,8 +14,8 @@ from mailloom.operators.requests import (
     validate_requests,
     with_defaults,
 )
-from mailloom.plans.requests import run_requests
-from mailloom.schema import FOLDER, REQUEST
+from mailloom.plans.requests import read_next_requests, run_request_step, run_requests
+from mailloom.schema import FOLDER, MESSAGE, REQUEST
 
 NOW = 1_000_000
 
@@ -177,3 +178,37 @@ def test_request_attributes(spark):
         "*", "'T' AS error_type", "cast(null AS string) AS error_message"
     ).select(request_attributes().alias("a")).first()
     assert row.a == {"retry.count": "2", "error.type": "T"}
+
+
+def test_steps_on_disk(spark, tmp_path):
+    """Two steps: marks and cursors of the first count in the second; the rest goes round."""
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    rows = [
+        tuple({"folder": "a", "uid": k, "size": 10, "flags": []}.get(f.name) for f in MESSAGE.fields)
+        for k in range(1, 26)
+    ]
+    mails = spark.createDataFrame(rows, MESSAGE)
+    folders = spark.createDataFrame([tuple(
+        {"path": "a"}.get(f.name, True if f.dataType.typeName() == "boolean" else None)
+        for f in FOLDER.fields
+    )], FOLDER)
+    asked = spark.createDataFrame([
+        (*[{"request_id": i, "folder": folder, "batch_size": 1, "incremental": i == 1,
+            "state_folder": "s"}.get(f.name) for f in REQUEST.fields], i == 2, search)
+        for i, folder, search in ((1, "a", None), (2, "a", "new"), (3, "gone", None))
+    ], T.StructType([*REQUEST.fields, T.StructField("mark_read", T.BooleanType()),
+                     T.StructField("search", T.StringType())]))
+    for step in (0, 0, 1):
+        run_request_step(
+            asked, folders, mails, step, out, state, NOW, searches={"new": c.unseen()})
+    have = {}
+    for r in spark.read.parquet(out).collect():
+        have.setdefault((r["step"], r["relationship"], r["request_id"]), []).append(r["uid"])
+    first, second = list(range(1, 11)), list(range(11, 21))
+    # The first request goes on above its cursor, the second takes what it has not marked.
+    assert {k: sorted(v) for k, v in have.items() if k[1] == "success"} == {
+        (0, "success", 1): first, (0, "success", 2): first,
+        (1, "success", 1): second, (1, "success", 2): second}
+    again = read_next_requests(spark, state, 1).collect()
+    assert [(r["request_id"], r["retry_count"]) for r in again] == [(3, 1)]
+    assert set(again[0].asDict()) == set(with_defaults(asked).columns)
