@@ -12,8 +12,8 @@ other mostly have the same anchor; together they are a piece of text.
 3. Equal pieces are summed up before they are shuffled, so that groups of copies shrink
    to one piece that is known to occur twice.
 4. The pieces of an anchor go to one shard, unless they exceed ``SHARD_BYTES``. Then each
-   is cut in two by the offset of the anchor, and the halves are dealt out by all that
-   their windows have in common, which is longer; and so on, down to single windows.
+   is cut by the offset of the anchor into ``WAYS`` ranges, and these are dealt out by all
+   that their windows have in common, which is longer; and so on, down to single windows.
    A passage shared by very many texts thus meets only where what is around it agrees.
 5. ``detect`` finds the repeated windows of a shard, exactly, on the content.
 
@@ -38,6 +38,9 @@ from mailloom.llm.common import prepare, scratch, stored, text_key
 #: Bytes of the pieces of a shard, on average, and of an anchor at most.
 SHARD_BYTES = 1_000_000
 
+#: Ranges of offsets that the pieces of an anchor with too many bytes are cut into.
+WAYS = 8
+
 #: Bytes of pieces a worker gathers before it passes them on.
 _OUT_BYTES = 4_000_000
 
@@ -117,8 +120,8 @@ def gram_hashes(values: np.ndarray, gram: int) -> np.ndarray:
     return np.concatenate(found)
 
 
-def spots(values: np.ndarray, units: Units):
-    """Pieces of a text: anchor hash, first window, number of windows, anchor's place."""
+def anchors(values: np.ndarray, units: Units):
+    """Windows by anchor: its hash, the first window, number of windows, anchor's place."""
     if values.size < units.window:
         return (np.empty(0, np.uint64),) + (np.empty(0, np.int64),) * 3
     hashes = gram_hashes(values, units.gram)
@@ -143,6 +146,36 @@ def spots(values: np.ndarray, units: Units):
     return hashes[place], first, np.diff(np.append(first, count)), place
 
 
+#: Windows that a piece with several anchors has at most, but for its last anchor's.
+_MERGED = 1 << 15
+
+#: The head of a piece that has several anchors with the same hash.
+SEVERAL = -1
+
+
+def spots(values: np.ndarray, units: Units):
+    """Pieces of a text: anchor hash, first window, number of windows, anchor's offset.
+
+    In a text that repeats itself the anchor moves on from one occurrence of the same run
+    to the next. Such windows stay together in one piece; its offset is ``SEVERAL``.
+    """
+    g, at, n, place = anchors(values, units)
+    if g.size < 2:
+        return g, at, n, place - at
+    new = np.append(True, (g[1:] != g[:-1]) | (at[1:] // _MERGED != at[:-1] // _MERGED))
+    first = np.flatnonzero(new)
+    alone = np.diff(np.append(first, g.size)) == 1
+    return g[first], at[first], np.add.reduceat(n, first), np.where(alone, (place - at)[first], SEVERAL)
+
+
+def single(whole, n: int, head: int, units: Units) -> list[tuple[int, int, int]]:
+    """The parts of a piece with one anchor each: first window, windows, anchor's offset."""
+    if head != SEVERAL:
+        return [(0, n, head)]
+    _, at, n, place = anchors(units.hashes(whole), units)
+    return list(zip(at.tolist(), n.tolist(), (place - at).tolist()))
+
+
 def repeated(documents: DataFrame, units: Units, detect, folder: str | None = None) -> DataFrame:
     """``(key, copies, at, n)`` for texts with repeated windows; ``key`` is ``text_key()``.
 
@@ -158,10 +191,10 @@ def repeated(documents: DataFrame, units: Units, detect, folder: str | None = No
             rows = []
             for text in batch["text"]:
                 values = units.hashes(units.split(text.encode("utf-8", "surrogatepass")))
-                g, at, n, anchor = spots(values, units)
+                g, at, n, head = spots(values, units)
                 rows.append((
                     values.size, g.view(np.int64), at.astype(np.int32), n.astype(np.int32),
-                    (anchor - at).astype(np.int32),
+                    head.astype(np.int32),
                 ))
             size, g, at, n, head = zip(*rows)
             yield pd.DataFrame({
@@ -189,7 +222,8 @@ def repeated(documents: DataFrame, units: Units, detect, folder: str | None = No
     texts = stored(texts, f"{folder}/texts")
     spread = texts.select("key", "doc_id", F.inline("spots"))
     # Written first, so that the join deals out both sides anew and can split a hot anchor.
-    twice = spread.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("g")
+    several = F.when(F.col("head") == SEVERAL, 2).otherwise(1)
+    twice = spread.groupBy("g").agg(F.sum(several).alias("c")).where("c > 1").select("g")
     twice = stored(twice, f"{folder}/twice")
     wanted = spread.join(twice, "g").groupBy("key").agg(
         F.first("doc_id").alias("doc_id"),
@@ -227,17 +261,19 @@ def repeated(documents: DataFrame, units: Units, detect, folder: str | None = No
     )
     runs = _solve(pieces, units, detect, folder, 0)
 
-    several = texts.where((F.col("copies") > 1) & (F.col("size") >= units.window)).select(
-        F.col("key").alias("owner"), F.lit(0).alias("at"),
-        (F.col("size") - units.window + 1).cast("int").alias("n"),
+    copied = texts.where((F.col("copies") > 1) & (F.col("size") >= units.window)).select(
+        F.col("key").alias("owner"),
+        F.array(F.struct(
+            F.lit(0).alias("at"), (F.col("size") - units.window + 1).cast("int").alias("n")
+        )).alias("runs"),
     )
-    return runs.unionByName(several).groupBy("owner").agg(
-        F.collect_list(F.struct("at", "n")).alias("runs")
+    return runs.unionByName(copied).groupBy("owner").agg(
+        F.flatten(F.collect_list("runs")).alias("runs")
     ).select(F.col("owner").alias("key"), F.col("runs.at").alias("at"), F.col("runs.n").alias("n"))
 
 
 def _solve(pieces: DataFrame, units: Units, detect, folder: str, depth: int) -> DataFrame:
-    """``(owner, at, n)``: runs of repeated windows of the pieces' owners."""
+    """``(owner, runs)``: runs of repeated windows of the pieces' owners, a row per piece."""
     spark = pieces.sparkSession
     pieces = stored(pieces.withColumn("p", F.xxhash64("piece", "head")), f"{folder}/pieces-{depth}")
     place = F.xxhash64("owner", "at")
@@ -249,10 +285,11 @@ def _solve(pieces: DataFrame, units: Units, detect, folder: str, depth: int) ->
     )
     stats = distinct.groupBy("g").agg(
         F.count(F.lit(1)).alias("members"), F.min("twice").alias("known"),
-        F.sum(F.length("piece")).alias("bytes"),
+        F.sum(F.length("piece")).alias("bytes"), F.min("head").alias("head"),
     )
-    # Nothing is left to find where a piece has no other, or all occur twice.
-    stats = stored(stats.where("members > 1 and not known"), f"{folder}/stats-{depth}")
+    # Nothing is left to find where a piece has no other and one anchor, or all occur twice.
+    open_ = (F.col("members") > 1) | (F.col("head") == SEVERAL)
+    stats = stored(stats.where(open_ & ~F.col("known")), f"{folder}/stats-{depth}")
     small = F.col("bytes") <= SHARD_BYTES
     total = stats.agg(
         F.coalesce(F.sum(F.when(small, F.col("bytes"))), F.lit(0)).alias("small"),
@@ -263,28 +300,35 @@ def _solve(pieces: DataFrame, units: Units, detect, folder: str, depth: int) ->
     compared = distinct.join(stats.where(small).select("g"), "g").select(
         F.pmod(F.xxhash64("g"), F.lit(shards)).alias("shard"), "g", "p", "n", "head", "piece"
     )
+    one_run = F.array(F.struct(F.lit(0).alias("at"), F.col("n").alias("n")))
     found = compared.groupBy("shard").applyInPandas(
-        _shards(units, detect), "g long, p long, at int, n int"
-    ).unionByName(distinct.where("twice").select("g", "p", F.lit(0).alias("at"), "n"))
+        _shards(units, detect), f"g long, p long, runs {_RUNS}"
+    ).unionByName(distinct.where("twice").select("g", "p", one_run.alias("runs")))
 
     if total["large"]:
-        halves = distinct.join(stats.where(~small).select("g"), "g").mapInPandas(
-            _halves(units),
+        ranges = distinct.join(stats.where(~small).select("g"), "g").mapInPandas(
+            _ranges(units),
             "owner binary, at int, g long, n int, head int, piece binary, twice boolean, "
             "low int, high int",
         )
-        deeper = _solve(halves, units, detect, folder, depth + 1)
+        deeper = _solve(ranges, units, detect, folder, depth + 1)
         found = found.unionByName(deeper.select(
             F.conv(F.hex(F.substring("owner", 1, 8)), 16, -10).cast("long").alias("g"),
             F.conv(F.hex(F.substring("owner", 9, 8)), 16, -10).cast("long").alias("p"),
-            "at", "n",
+            "runs",
         ))
-    found = found.withColumnsRenamed({"at": "from", "n": "run"})
-    return pieces.select("owner", "at", "g", "p").join(found, ["g", "p"]).select(
-        "owner", (F.col("at") + F.col("from")).alias("at"), F.col("run").alias("n")
+    # One row for each piece, so that the join makes no more rows than there are pieces.
+    found = found.groupBy("g", "p").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    return pieces.select("owner", "at", "g", "p").join(stored(found), ["g", "p"]).select(
+        "owner", F.transform("runs", lambda run: F.struct(
+            (run["at"] + F.col("at")).alias("at"), run["n"].alias("n")
+        )).alias("runs")
     )
 
 
+_RUNS = "array<struct<at: int, n: int>>"
+
+
 def _shards(units: Units, detect):
     """``detect(pieces, heads, groups, units)`` returns, per piece, booleans per window."""
 
@@ -294,43 +338,50 @@ def _shards(units: Units, detect):
         out = []
         for g, p, hits in zip(frame["g"], frame["p"], flags):
             edge = np.flatnonzero(np.diff(np.concatenate(([0], hits.astype(np.int8), [0]))))
-            for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
-                out.append((g, p, a, b - a))
-        return pd.DataFrame(out, columns=["g", "p", "at", "n"])
+            if edge.size:
+                out.append((g, p, [
+                    {"at": a, "n": b - a} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())
+                ]))
+        return pd.DataFrame(out, columns=["g", "p", "runs"])
 
     return run
 
 
-def _halves(units: Units):
-    """Each piece cut in two by its anchor's offset, dealt out by what its windows share."""
+def _ranges(units: Units):
+    """Each piece cut by its anchor's offset, dealt out by what the windows of a cut share."""
+
+    columns = ["owner", "at", "g", "n", "head", "piece", "twice", "low", "high"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
+            out, held = [], 0
             for row in batch.itertuples(index=False):
                 whole = units.split(row.piece)
                 owner = int(row.g).to_bytes(8, "big", signed=True) + int(row.p).to_bytes(
                     8, "big", signed=True
                 )
-                middle = (row.low + row.high) // 2
-                for low, high in ((middle + 1, row.high), (row.low, middle)):
-                    # Windows of the piece whose offset lies in this half.
-                    most = min(high, row.head)
-                    least = max(low, row.head - row.n + 1)
-                    if most < least:
-                        continue
-                    start = row.head - most
-                    n = most - least + 1
-                    shared = units.join(whole[row.head - low:row.head - high + units.window])
-                    seen = hashlib.md5(b"%d %d %d " % (row.g, low, high) + shared).digest()
-                    piece = units.join(whole[start:start + n + units.window - 1])
-                    out.append((
-                        owner, start, int.from_bytes(seen[:8], "big", signed=True), n, most,
-                        piece, row.twice, low, high,
-                    ))
-            yield pd.DataFrame(out, columns=[
-                "owner", "at", "g", "n", "head", "piece", "twice", "low", "high"
-            ])
+                step = -(-(row.high - row.low + 1) // WAYS)
+                for first, many, head in single(whole, row.n, row.head, units):
+                    for low in range(row.low, row.high + 1, step):
+                        high = min(low + step - 1, row.high)
+                        # Windows of this anchor whose offset lies in this range.
+                        most, least = min(high, head), max(low, head - many + 1)
+                        if most < least:
+                            continue
+                        place, start = first + head, first + head - most
+                        n = most - least + 1
+                        shared = units.join(whole[place - low:place - high + units.window])
+                        seen = hashlib.md5(b"%d %d %d " % (row.g, low, high) + shared).digest()
+                        piece = units.join(whole[start:start + n + units.window - 1])
+                        out.append((
+                            owner, start, int.from_bytes(seen[:8], "big", signed=True), n, most,
+                            piece, row.twice, low, high,
+                        ))
+                        held += len(piece)
+                    if held > _OUT_BYTES:
+                        yield pd.DataFrame(out, columns=columns)
+                        out, held = [], 0
+            yield pd.DataFrame(out, columns=columns)
 
     return run
 

@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from mailloom.llm.repeats import Units, covered, repeated, with_runs, word_units
+from mailloom.llm.repeats import Units, covered, repeated, single, with_runs, word_units
 
 #: Words of a repeated passage, and of the runs that texts are joined on.
 WINDOW, GRAM = 35, 6
@@ -31,6 +31,14 @@ WINDOW, GRAM = 35, 6
 
 def repeats_in_shard(pieces, heads, groups, units: Units) -> list[np.ndarray]:
     """Which windows of the pieces equal another, by extending their anchors both ways."""
+    whole = pieces
+    parts = [
+        (k, *part) for k, piece in enumerate(whole)
+        for part in single(piece, len(piece) - units.window + 1, int(heads[k]), units)
+    ]
+    pieces = [whole[k][at:at + n + units.window - 1] for k, at, n, _ in parts]
+    heads = np.array([head for *_, head in parts], np.int64)
+    groups = np.asarray(groups)[[k for k, *_ in parts]]
     size, reach = len(pieces), units.window
     numbers: dict[bytes, int] = {}
     coded = [
@@ -40,7 +48,7 @@ def repeats_in_shard(pieces, heads, groups, units: Units) -> list[np.ndarray]:
     lengths = np.array([piece.size for piece in coded])
     starts = np.cumsum(lengths) - lengths
     words = np.concatenate(coded)
-    anchors = starts + heads
+    seeded = starts + heads
     ends = starts + lengths
     rows = np.arange(size)
     base = len(numbers) + 1
@@ -50,7 +58,7 @@ def repeats_in_shard(pieces, heads, groups, units: Units) -> list[np.ndarray]:
         """Classes after each step to the right (1) or left (-1); out of a piece: its own."""
         classes, now = [], seeds
         for k in range(reach):
-            at = anchors + k if step > 0 else anchors - 1 - k
+            at = seeded + k if step > 0 else seeded - 1 - k
             inside = (at < ends) & (at >= starts)
             word = words[np.clip(at, 0, words.size - 1)]
             key = np.where(inside, now * base + word, -1 - rows)
@@ -69,7 +77,10 @@ def repeats_in_shard(pieces, heads, groups, units: Units) -> list[np.ndarray]:
         _, which, many = np.unique(pair, return_inverse=True, return_counts=True)
         for k in have[many[which] > 1].tolist():
             flags[k][heads[k] - offset] = True
-    return flags
+    found = [np.zeros(len(piece) - reach + 1, bool) for piece in whole]
+    for (k, at, n, _), hits in zip(parts, flags):
+        found[k][at:at + n] |= hits[:n]
+    return found
 
 
 def removals(documents: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:

@@ -97,6 +97,30 @@ def test_suffix_array_by_hand():
             assert prefix[b] == same and after[a] == b
 
 
+@pytest.mark.parametrize("merged", [1 << 15, 16])
+@pytest.mark.parametrize("places", [1 << 22, 1 << 7])
+def test_spots_cover_every_window_once(monkeypatch, merged, places):
+    monkeypatch.setattr(repeats, "_MERGED", merged)
+    monkeypatch.setattr(repeats, "_PLACES", places)
+    units = repeats.byte_units(40, 8)
+    draw = np.random.default_rng(1)
+    for text in (b"ab" * 300, b"x" * 200, bytes(draw.integers(97, 100, 900)), b"abc" * 50 + b"d" + b"abc" * 50):
+        values = units.hashes(text)
+        hashes = repeats.gram_hashes(values, units.gram)
+        g, at, n, head = repeats.spots(values, units)
+        assert at[0] == 0 and (at[1:] == at[:-1] + n[:-1]).all() and at[-1] + n[-1] == len(text) - 39
+        seen: dict = {}
+        for key, start, many, offset in zip(g.tolist(), at.tolist(), n.tolist(), head.tolist()):
+            whole = text[start:start + many + 39]
+            parts = repeats.single(whole, many, offset, units)
+            assert sum(p[1] for p in parts) == many
+            for first, windows, place in parts:
+                assert hashes[start + first + place] == key
+            # Equal windows have equal keys.
+            for k in range(many):
+                assert seen.setdefault(whole[k:k + 40], key) == key or places < 1 << 22
+
+
 def _fingerprint(text):
     words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
     shingles = [b" ".join(words[k:k + 3]) for k in range(max(1, len(words) - 2))] if words else []
