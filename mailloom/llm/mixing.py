@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from mailloom.llm.common import WORD, stored
 
-#: Bins a source's ranks are cut into.
-BINS = 65536
+#: Bins a source's ranks are cut into, and bins that are looked at together first.
+BINS, GROUP = 65536, 256
 
 
 def allocate(sizes: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), max_copies: int = 3):
@@ -102,13 +102,13 @@ def mix(
 
     bins = ranked.where("part > 0").groupBy("source", "bin").agg(
         F.sum("size").alias("words"), F.first("rest").alias("rest")
+    ).withColumn("group", F.floor(F.col("bin") / GROUP))
+    groups = bins.groupBy("source", "group").agg(
+        F.sum("words").alias("words"), F.first("rest").alias("rest")
     )
-    run = Window.partitionBy("source").orderBy("bin")
-    cuts = bins.withColumn("upto", F.sum("words").over(run)).where("upto > rest")
-    cuts = cuts.groupBy("source").agg(
-        F.min(F.struct("bin", (F.col("upto") - F.col("words")).alias("before"))).alias("cut")
-    ).select("source", F.col("cut.bin").alias("cut_bin"), F.col("cut.before").alias("before"))
-    ranked = _with_source(ranked, cuts)
+    group = _first_over(groups.withColumn("before", F.lit(0)), "group")
+    inside = _with_source(bins, group).where(F.col("group") == F.col("cut"))
+    ranked = _with_source(ranked, _first_over(inside, "bin").withColumnRenamed("cut", "cut_bin"))
 
     # Without a cut, all documents together do not exceed the rest: all are taken.
     sure_extra = F.when(F.col("part") > 0, F.coalesce(F.col("bin") < F.col("cut_bin"), F.lit(True)))
@@ -130,6 +130,16 @@ def mix(
     )
 
 
+def _first_over(parts: DataFrame, place: str) -> DataFrame:
+    """``(source, cut, before)``: the first part of a source whose words pass the rest."""
+    upto = F.sum("words").over(Window.partitionBy("source").orderBy(place)) + F.col("before")
+    over = parts.withColumn("upto", upto).where("upto > rest")
+    first = F.min(F.struct(F.col(place), (F.col("upto") - F.col("words")).alias("before")))
+    return over.groupBy("source").agg(first.alias("first")).select(
+        "source", F.col("first").getField(place).alias("cut"), "first.before"
+    )
+
+
 def _with_source(df: DataFrame, per_source: DataFrame) -> DataFrame:
     """Add the row of its source, null meeting null; adaptive execution picks the join."""
     right = per_source.withColumnRenamed("source", "_source")
