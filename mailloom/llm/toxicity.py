@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailloom.llm.common import held_out
+from mailloom.llm.common import held_out, stored
 from mailloom.llm.deobfuscation import Letters, restored, word_runs
 from mailloom.llm.ngrams import sigmoid
 from mailloom.llm.quality import Ftrl
@@ -79,29 +79,52 @@ def fit(documents: DataFrame, labels: DataFrame, counts: dict[str, int]) -> tupl
 
     sample = labelled_texts(documents, labels, "toxic")
     kind = documents.schema["doc_id"].dataType.simpleString()
-    rows = sample.mapInPandas(read, f"doc_id {kind}, label int, words string").collect()
-    return learnt([(row["doc_id"], row["label"], row["words"].split()) for row in rows])
-
-
-def learnt(rows: list[tuple[object, int, list[str]]], epochs: int = 6) -> tuple[dict, float]:
-    rows = sorted(rows, key=lambda row: str(row[0]))
-    sets = [features(set(words)) for _, _, words in rows]
-    docs: Counter = Counter()
-    for found in sets:
-        docs.update(found)
-    number = {f: k for k, f in enumerate(sorted(f for f, n in docs.items() if n >= LEAST_DOCS))}
-    size = len(number)
+    texts = stored(sample.mapInPandas(read, f"doc_id {kind}, label int, words string"))
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found: Counter = Counter()
+            for words in batch["words"]:
+                found.update(features(set(words.split())))
+            yield pd.DataFrame({"feature": list(found), "n": list(found.values())})
+
+    # Features are counted on the executors; only those that are frequent come here.
+    frequent = texts.mapInPandas(spread, "feature string, n long").groupBy("feature").agg(
+        F.sum("n").alias("n")
+    ).where(F.col("n") >= LEAST_DOCS)
+    names = sorted(row["feature"] for row in frequent.select("feature").collect())
+    number = {name: k for k, name in enumerate(names)}
+
+    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            at = [
+                np.array(sorted(
+                    number[f] for f in features(set(words.split())) if f in number
+                ), np.int32).tobytes()
+                for words in batch["words"]
+            ]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "at": at})
+
+    rows = texts.mapInPandas(numbered, f"doc_id {kind}, label int, at binary").collect()
+    rows.sort(key=lambda row: str(row["doc_id"]))
+    return learnt(
+        names, [row["label"] for row in rows], [np.frombuffer(row["at"], np.int32) for row in rows]
+    )
+
+
+def learnt(
+    names: list[str], labels: list[int], vectors: list[np.ndarray], epochs: int = 6
+) -> tuple[dict, float]:
+    """Weights by name and the bias, from which features each document has."""
+    size = len(names)
     model = Ftrl(size, alpha=0.3, l1=8.0, l2=0.1)
-    vectors = [
-        np.array(sorted(number[f] for f in found if f in number) + [size], np.int64) for found in sets
-    ]
     order = np.random.default_rng(1)
     for _ in range(epochs):
-        for k in order.permutation(len(rows)):
-            model.learn(vectors[k], np.ones(vectors[k].size), rows[k][1])
+        for k in order.permutation(len(vectors)):
+            at = np.append(vectors[k], size)
+            model.learn(at, np.ones(at.size), labels[k])
     weights = model.weights()
-    kept = {f: float(weights[k]) for f, k in number.items() if weights[k] != 0}
-    return kept, float(weights[size])
+    return {f: float(w) for f, w in zip(names, weights) if w != 0}, float(weights[size])
 
 
 def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
