@@ -31,7 +31,8 @@ LOOKS = {
 SIGN, LONG_RUN, PAIR, SEPARATOR, DROPPED, END = 0.7, 0.4, 6.0, 0.4, 6.0, 3.0
 
 SEPARATORS = frozenset(" .-_*'~,·")
-_HIDDEN = dict.fromkeys(map(ord, "​‌‍⁠﻿­"))
+#: Characters that do not show.
+_HIDDEN = "\u200b\u200c\u200d\u2060\ufeff\u00ad"
 
 #: What may be disguised: signs beside letters, runs of letters, letters that are spaced
 #: out, separators within a word.
@@ -152,7 +153,11 @@ REMEMBERED = 100_000
 
 def restored(text: str, letters: Letters, known: dict[str, list[str]]) -> set[str]:
     """The distinct words of a text in lower case, and those that its disguises read as."""
-    plain = unicodedata.normalize("NFKC", text).translate(_HIDDEN).lower()
+    plain = text if text.isascii() else unicodedata.normalize("NFKC", text)
+    for hidden in _HIDDEN:
+        if hidden in plain:
+            plain = plain.replace(hidden, "")
+    plain = plain.lower()
     words = set(_WORDS.findall(plain))
     done = 0
     for found in _FOUND.finditer(plain):
