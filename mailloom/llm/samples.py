@@ -15,6 +15,10 @@ from mailloom.llm.common import held_out
 SAMPLE_ROWS = 6000
 SAMPLE_BYTES = 24_000_000
 
+#: Longer texts come after all others, and a text counts for no more bytes than its vector
+#: of 2^18 slots and values can take.
+LONG_BYTES, VECTOR_BYTES = 64_000, 8 << 18
+
 
 def labelled_texts(
     documents: DataFrame,
@@ -26,8 +30,12 @@ def labelled_texts(
     """``(doc_id, label, text)`` of at most ``rows`` labelled documents outside the held-out fold.
 
     The documents are those with the least hash of their id, so that the sample is the
-    same in every run. Labels that contradict each other for a document, or are null,
-    are left out; of documents that share an id, the least text counts.
+    same in every run. Of these as many are taken as ``most_bytes`` holds: texts of up to
+    ``LONG_BYTES`` in the order of the hash, then longer ones, the shortest first. A text
+    counts for ``VECTOR_BYTES`` at most, so that none is too long to be learnt from and a
+    long one takes no place from the others. Labels that contradict each other for a
+    document, or are null, are left out; of documents that share an id, the least text
+    counts, with the bytes of the longest.
     """
     picked = (
         labels.where(F.col("doc_id").isNotNull() & ~held_out())
@@ -36,17 +44,23 @@ def labelled_texts(
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         .select("doc_id", F.col("label").cast("int").alias("label"))
     )
-    # No more than ``rows`` rows of two numbers, so it can go to every executor.
-    found = (
-        documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-        .groupBy("doc_id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    # No more than ``rows`` rows of two numbers, so they can go to every executor, and of
+    # three, so that one task can add up their lengths.
+    sizes = (
+        documents.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("_bytes"))
+        .join(F.broadcast(picked), "doc_id")
+        .groupBy("doc_id", "label").agg(F.max("_bytes").alias("_bytes"))
     )
-    upto = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    upto = Window.orderBy(
+        F.greatest("_bytes", F.lit(LONG_BYTES)), F.xxhash64("doc_id"), "doc_id"
+    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    taken = (
+        sizes.withColumn("_total", F.sum(F.least("_bytes", F.lit(VECTOR_BYTES))).over(upto))
+        .where(F.col("_total") <= most_bytes).select("doc_id", "label")
     )
     return (
-        found.withColumn("_bytes", F.sum(F.octet_length("text")).over(upto))
-        .where(F.col("_bytes") <= most_bytes).drop("_bytes")
+        documents.select("doc_id", "text").join(F.broadcast(taken), "doc_id")
+        .groupBy("doc_id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
     )
 
 

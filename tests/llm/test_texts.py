@@ -8,9 +8,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from mailloom.llm import deobfuscation, quality, rules, toxicity
+from mailloom.llm import deobfuscation, quality, rules, samples, toxicity
 from mailloom.llm.common import table
 from mailloom.llm.html import extracted, main_text
 from tests.llm.data import documents, labels, odd_texts
@@ -127,6 +128,48 @@ def test_scores_of_odd_rows(spark, score):
     assert {r["score"] for r in none} == {0.5}
 
 
+def _with_long_texts(spark, sizes):
+    """200 labelled documents by id, those of ``sizes`` of so many bytes, without blanks."""
+    ids = spark.range(1, 201).withColumnRenamed("id", "doc_id")
+    usual = F.when(F.col("doc_id") % 2 == 0, "a calm and even text").otherwise("buy buy !!! now")
+    long = spark.createDataFrame(list(sizes.items()), "doc_id long, size int")
+    text = F.coalesce(F.expr("repeat('y', size)"), usual)
+    marks = ids.selectExpr("doc_id", "CAST(1 - doc_id % 2 AS INT) quality", "CAST(doc_id % 2 AS INT) toxic")
+    return ids.join(F.broadcast(long), "doc_id", "left").select("doc_id", text.alias("text")), marks
+
+
+def _by_hash(spark):
+    """Ids outside the held-out fold, in the order of the sample."""
+    ids = spark.range(1, 201).orderBy(F.xxhash64("id")).collect()
+    return [r["id"] for r in ids if not _held_out(r["id"])]
+
+
+def test_a_long_text_does_not_empty_the_sample(spark):
+    order = _by_hash(spark)
+    docs, marks = _with_long_texts(spark, {order[0]: samples.SAMPLE_BYTES + 1})
+    for label in ("quality", "toxic"):
+        have = samples.labelled_texts(docs, marks, label)
+        assert {r["doc_id"] for r in have.select("doc_id").collect()} == set(order)
+    good = {r["doc_id"]: r["score"] for r in quality.scored(docs, marks).collect()}
+    assert all((good[i] > 0.5) == (i % 2 == 0) for i in set(good) - {order[0]})
+
+
+def test_long_texts_come_last(spark):
+    order = _by_hash(spark)
+    docs, marks = _with_long_texts(spark, {order[0]: 90_000, order[1]: 70_000, order[2]: 80_000})
+
+    def taken(most_bytes):
+        have = samples.labelled_texts(docs, marks, "quality", most_bytes=most_bytes)
+        return {r["doc_id"] for r in have.collect()}
+
+    assert taken(75_000) == set(order) - {order[0], order[2]}
+    assert taken(160_000) == set(order) - {order[0]}
+    assert taken(250_000) == set(order)
+    # Where all are long, as many as fit are taken all the same.
+    docs, marks = _with_long_texts(spark, {i: 100_000 + n for n, i in enumerate(order)})
+    assert taken(300_003) == set(order[:3])
+
+
 def test_models_do_not_see_the_held_out_fold(given, spark):
     docs, marks, _ = given
     flipped = marks.selectExpr(
