@@ -26,21 +26,26 @@ LOOKS = {
     "ѕ": "s", "т": "t", "м": "m", "н": "h", "в": "b",
 }
 
+#: Letters that a sign can sound like.
+SOUNDS = {"8": "ate"}
+
 #: Costs of the channel: a sign for a letter, a letter less in a run of three or more or
 #: of two, a separator dropped, another sign dropped, a word's end between spaced letters.
 SIGN, LONG_RUN, PAIR, SEPARATOR, DROPPED, END = 0.7, 0.4, 6.0, 0.4, 6.0, 3.0
 
-SEPARATORS = frozenset(" .-_*'~,·")
+SEPARATORS = frozenset(" .-_*'~,·/\n\r\t")
 #: Characters that do not show.
 _HIDDEN = "\u200b\u200c\u200d\u2060\ufeff\u00ad"
 
-#: What may be disguised: signs beside letters, runs of letters, letters that are spaced
-#: out, separators within a word.
+#: What may be disguised: signs beside letters (at a word's end no exclamation mark and no
+#: run of three), runs of letters, letters that are spaced out, separators within a word.
 _SIGNS = r"0-9@$!|+*(€£¡¢#а-яіѕ"
+_BETWEEN = r"[ .\-_*'~,·/\n\r\t]"
 _FOUND = re.compile(
-    rf"(?<!\S)[{_SIGNS}]+[a-z]|[a-z][{_SIGNS}]+[a-z]|[a-z][-._*'~·][a-z]"
-    rf"|([a-z])\1\1"
-    rf"|(?<!\S)[^\W_](?:[ .\-_*]{{1,2}}[^\W_{_SIGNS}0-9]|[ .\-_*]{{1,2}}[{_SIGNS}]){{2,}}(?!\S\S)"
+    rf"(?<!\S)[{_SIGNS}]+[a-z]|[a-z][{_SIGNS}]+[a-z]|[a-z][-._*'~·,/][a-z]"
+    rf"|[a-z](?!!|(?P<one>[{_SIGNS}])(?P=one){{2}})[{_SIGNS}]+[.,;:?\"')\]}}>&%]*(?!\S)"
+    rf"|(?P<run>[a-z])(?P=run){{2}}"
+    rf"|(?<!\S)[^\W_](?:{_BETWEEN}{{1,2}}[^\W_{_SIGNS}0-9]|{_BETWEEN}{{1,2}}[{_SIGNS}]){{2,}}(?!\S\S)"
 )
 _BLANK = re.compile(r"\s")
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -83,7 +88,7 @@ def word_runs(word: str) -> list[str]:
 def readings(stretch: str) -> list[tuple[int, int, str, float]]:
     """The lattice: from place, to place, letters read (``$`` ends a word), cost."""
     edges = []
-    spaced = len(re.findall(r"[ .\-_*]", stretch)) >= len(stretch) // 2 - 1 and len(stretch) > 4
+    spaced = len(re.findall(_BETWEEN, stretch)) >= len(stretch) // 2 - 1 and len(stretch) > 4
     k, size = 0, len(stretch)
     while k < size:
         c = stretch[k]
@@ -101,6 +106,8 @@ def readings(stretch: str) -> list[tuple[int, int, str, float]]:
                 edges.append((k, end, looks, SIGN + (0, 3.0, LONG_RUN)[min(run, 3) - 1]))
                 if run == 2:
                     edges.append((k, end, looks * 2, 2 * SIGN))
+            if c in SOUNDS and run == 1:
+                edges.append((k, end, SOUNDS[c], SIGN))
             edges.append((k, end, "", SEPARATOR if c in SEPARATORS else DROPPED))
             if c in SEPARATORS:
                 edges.append((k, end, "$", END if spaced else SEPARATOR))
@@ -169,7 +176,7 @@ def restored(text: str, letters: Letters, known: dict[str, list[str]]) -> set[st
         after = _BLANK.search(plain, found.end())
         done = after.start() if after else len(plain)
         stretch = plain[start:done].strip(".,;:?\"')]}>&%")
-        stretch = re.sub(r"([^\w\s])\1+$|!+$", "", stretch)
+        stretch = re.sub(r"([^\w\s])\1\1+$|([^\w\s$@€£¢])\2$|!+$", "", stretch)
         have = known.get(stretch)
         if have is None:
             if len(known) >= REMEMBERED:

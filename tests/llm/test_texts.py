@@ -115,6 +115,21 @@ def test_disguises(given):
     assert deobfuscation.restored("the 12th of may, 3.5 kg", letters, {}) >= {"the", "of", "may"}
 
 
+def test_disguises_at_the_end_and_other_separators():
+    vocabulary = "idiot trash hate hated ass the hat so said then word or is at as".split()
+    letters = deobfuscation.Letters(Counter(
+        run for word in vocabulary * 50 for run in deobfuscation.word_runs(word)
+    ))
+    for word, shapes in {
+        "idiot": ["i,d,i,o,t", "i/d/i/o/t", "i\nd\ni\no\nt", "i~d~i~o~t", "id/iot", "id,iot", "idio7"],
+        "trash": ["tras#", "tr,ash"], "hate": ["hat3", "h8", "hat3,", "hat3!!"], "ass": ["a$$", "a$$."],
+    }.items():
+        for shape in shapes:
+            assert word in deobfuscation.restored(f"so {shape} said", letters, {}), shape
+    for plain in ("so ### !!! then", "word!!! word### word! word"):
+        assert deobfuscation._FOUND.search(plain) is None
+
+
 @pytest.mark.parametrize("score", [quality.scored, toxicity.scored])
 def test_scores_of_odd_rows(spark, score):
     docs = documents(spark)
