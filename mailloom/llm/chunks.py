@@ -34,6 +34,24 @@ def windows(text: str, size: int = WINDOW) -> Iterator[list[str]]:
     yield _LONE.split(text[at:] if at else text)
 
 
+def gathered(texts: list[str], most: int = 1 << 16) -> Iterator[tuple[list[int], list[list[str]]]]:
+    """The chunks of all texts that are not empty, about ``most`` together: texts and lists.
+
+    A long text comes in several lists, in order.
+    """
+    at, lists, n = [], [], 0
+    for k, text in enumerate(texts):
+        for chunks in windows(text) if text else ():
+            at.append(k)
+            lists.append(chunks)
+            n += len(chunks)
+            if n >= most:
+                yield at, lists
+                at, lists, n = [], [], 0
+    if lists:
+        yield at, lists
+
+
 class Known:
     """Results of ``make`` on chunks, the latest ones kept.
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Modules with ``QUERIES``: name -> (query, SQL or None).
 MODULES = (
     "q_mixing", "q_suffix", "q_simhash", "q_chat", "q_toxicity", "q_quality", "q_html",
-    "q_rules", "q_contamination", "q_seed", "q_packing", "q_manifest",
+    "q_rules", "q_contamination", "q_seed", "q_packing", "q_alignment", "q_manifest",
 )
 
 

@@ -10,7 +10,7 @@ from functools import lru_cache
 
 import regex
 
-from mailloom.llm.chunks import KEPT, LONGEST, Known, spread_over, windows
+from mailloom.llm.chunks import KEPT, LONGEST, Known, gathered, spread_over
 
 #: How a byte-level tokenizer splits its input before the merges (fixed value).
 _SPLIT = regex.compile(
@@ -89,21 +89,11 @@ def packed_ids(texts: list[str], path: str) -> list[bytes]:
     """The ids of texts as 32-bit numbers, without special tokens added."""
     exact, known = _encoders(path)
 
-    def encode(lists: list[list[str]]) -> list[bytes]:
-        return [b"".join(found) for found in spread_over(known, lists)]
-
     out: list[list[bytes]] = [[] for _ in texts]
-    waiting: list[tuple[int, list[str]]] = []
-    for k, text in enumerate(texts):
-        for n, chunks in enumerate(windows(text)):
-            if not n:
-                out[k].append(exact(chunks[0]))
-                chunks = chunks[1:]
-            waiting.append((k, chunks))
-            if sum(len(c) for _, c in waiting) > 1 << 16:
-                for (at, _), ids in zip(waiting, encode([c for _, c in waiting])):
-                    out[at].append(ids)
-                waiting = []
-    for (at, _), ids in zip(waiting, encode([c for _, c in waiting])):
-        out[at].append(ids)
+    for at, lists in gathered(texts):
+        for k, chunks in zip(at, lists):
+            if not out[k]:
+                out[k].append(exact(chunks.pop(0)))
+        for k, found in zip(at, spread_over(known, lists)):
+            out[k] += found
     return [b"".join(found) for found in out]
