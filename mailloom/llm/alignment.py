@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailloom.llm.chunks import Known, gathered, spread_over
+from mailloom.llm.chunks import Known, windows
 from mailloom.llm.common import stored
 from mailloom.llm.tokens import byte_letters, tokenizer, vocabulary
 from mailloom.operators.joins import lookup_join
@@ -45,6 +45,9 @@ from mailloom.operators.joins import lookup_join
 #: Bytes of the table of pairs that are broadcast at most.
 PAIR_BYTES = 64 << 20
 
+#: Stands for a chunk whose bytes the tokens do not keep.
+DIFFERENT = (0, 0, 0, "", b"")
+
 
 class Aligner:
     """Two tokenizers, the bytes of their tokens, and chunks aligned before."""
@@ -53,6 +56,7 @@ class Aligner:
         from sentencepiece import SentencePieceProcessor
 
         self._a = tokenizer(path_a, plain=True)
+        self._merges, self._space = self._a.model, byte_letters()[32]
         self._b = SentencePieceProcessor(model_file=path_b)
         byte = {letter: b for b, letter in enumerate(byte_letters())}
         special = self._a.get_added_tokens_decoder()
@@ -67,7 +71,7 @@ class Aligner:
             for i, p in enumerate(pieces)
         ]
         self._names = [str(i) for i in range(max(max(self._bytes_a) + 1, len(pieces)))]
-        self.known = Known(self._aligned)
+        self.known = Known(self.aligned)
 
     def _ends_a(self, text: str, ids: list[int], spans: list[tuple[int, int]]) -> list[int]:
         if text.isascii():
@@ -90,26 +94,26 @@ class Aligner:
             ends.append(last)
         return ends
 
-    def _aligned(self, chunks: list[str]) -> list[tuple[int, int, int, str, bytes] | None]:
-        texts = [" " + c for c in chunks]
-        encoded = self._a.encode_batch(texts, add_special_tokens=False)
-        return [
-            self._one(text, a, self._b.encode(chunk, return_type="proto").pieces)
-            for chunk, text, a in zip(chunks, texts, encoded)
-        ]
-
-    def _one(self, text: str, a, pieces) -> tuple[int, int, int, str, bytes] | None:
+    def aligned(self, chunk: str) -> tuple[int, int, int, str, bytes]:
         """Tokens of A and B, groups, the groups' text, and the packed pairs that are linked."""
-        raw, ids_a = text.encode(), a.ids
+        text = " " + chunk
+        if chunk.isascii() and chunk.isalpha():  # one run of letters, which the merges take as it is
+            tokens = self._merges.tokenize(self._space + chunk)
+            ids_a, spans = [t.id for t in tokens], [t.offsets for t in tokens]
+        else:
+            encoded = self._a.encode(text, add_special_tokens=False)
+            ids_a, spans = encoded.ids, encoded.offsets
+        pieces = self._b.encode(chunk, return_type="proto").pieces
+        raw = text.encode()
         ids_b = [p.id for p in pieces]
         if b"".join([self._bytes_a[i] for i in ids_a]) != raw:
-            return None
+            return DIFFERENT
         if b"".join([self._bytes_b[i] for i in ids_b]) != raw:
-            return None
+            return DIFFERENT
         names_a, names_b = [self._names[i] for i in ids_a], [self._names[i] for i in ids_b]
         places = {end: k + 1 for k, end in enumerate(self._ends_b(pieces))}
         groups, pairs, from_a, from_b = [], [], 0, 0
-        for k, end in enumerate(self._ends_a(text, ids_a, a.offsets), 1):
+        for k, end in enumerate(self._ends_a(text, ids_a, spans), 1):
             to_b = places.get(end)
             if to_b:
                 groups.append(",".join(names_a[from_a:k]) + "|" + ",".join(names_b[from_b:to_b]))
@@ -117,17 +121,15 @@ class Aligner:
                 from_a, from_b = k, to_b
         return len(ids_a), len(ids_b), len(groups), ";".join(groups), array("q", pairs).tobytes()
 
-    def documents(self, texts: list[str]) -> list[list[tuple] | None]:
-        """Per text its aligned chunks, none where it is empty, ``None`` where bytes differ."""
-        out: list[list[tuple] | None] = [[] for _ in texts]
-        for k, lists in gathered(texts):
-            for at, found in zip(k, spread_over(self.known, lists)):
-                out[at] += found
-        for k, found in enumerate(out):
-            if None in found:
-                whole = self._aligned([texts[k]])[0]
-                out[k] = None if whole is None else [whole]
-        return out
+    def document(self, text: str) -> list[tuple]:
+        """The aligned chunks of a text, none where it is empty or bytes differ."""
+        found = []
+        for chunks in windows(text) if text else ():
+            found += self.known.of(chunks)
+        if any(chunk is DIFFERENT for chunk in found):
+            whole = self.aligned(text)
+            return [] if whole is DIFFERENT else [whole]
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -154,8 +156,8 @@ def aligned(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
         tool = aligner(path_a, path_b)
         for batch in batches:
             counts, digests, pairs, times = [], [], [], []
-            texts = [text or "" for text in batch.column("text").to_pylist()]
-            for found in tool.documents(texts):
+            for text in batch.column("text").to_pylist():
+                found = tool.document(text or "")
                 if not found:
                     counts.append((0, 0, 0))
                     digests.append("")

@@ -16,7 +16,7 @@ _LONE = re.compile(r" (?<=\S )(?=\S)")
 
 #: Results kept by a worker, and the longest chunk that is kept. They change time and memory
 #: only: a result that is gone is made again.
-KEPT, LONGEST = 400_000, 64
+KEPT, LONGEST = 1_000_000, 64
 
 #: Characters of a text that are looked at together.
 WINDOW = 1 << 20
@@ -34,61 +34,27 @@ def windows(text: str, size: int = WINDOW) -> Iterator[list[str]]:
     yield _LONE.split(text[at:] if at else text)
 
 
-def gathered(texts: list[str], most: int = 1 << 16) -> Iterator[tuple[list[int], list[list[str]]]]:
-    """The chunks of all texts that are not empty, about ``most`` together: texts and lists.
+class Known(dict):
+    """Results of ``make`` on single chunks, the latest ones kept.
 
-    A long text comes in several lists, in order.
+    Results are kept in two halves; when the younger one is full the older is dropped, so
+    that chunks in use stay.
     """
-    at, lists, n = [], [], 0
-    for k, text in enumerate(texts):
-        for chunks in windows(text) if text else ():
-            at.append(k)
-            lists.append(chunks)
-            n += len(chunks)
-            if n >= most:
-                yield at, lists
-                at, lists, n = [], [], 0
-    if lists:
-        yield at, lists
 
-
-class Known:
-    """Results of ``make`` on chunks, the latest ones kept.
-
-    ``make`` takes a list of chunks and returns a result for each. Results are kept in two
-    halves; when the younger one is full the older is dropped, so that chunks in use stay.
-    """
-
-    def __init__(self, make: Callable[[list[str]], list], kept: int = KEPT):
-        self._make, self._half = make, kept // 2
-        self._young: dict = {}
-        self._old: dict = {}
-
-    def of(self, chunks: list[str]) -> list:
-        young = self._young
-        missing = [c for c in set(chunks) if c not in young]
-        if not missing:
-            return [*map(young.__getitem__, chunks)]
-        old, new, long = self._old, [], {}
-        for c in missing:
-            if c in old:
-                young[c] = old[c]
-            else:
-                new.append(c)
-        for c, result in zip(new, self._make(new) if new else []):
-            (young if len(c) <= LONGEST else long)[c] = result
-        if long:
-            found = [long[c] if c in long else young[c] for c in chunks]
-        else:
-            found = [*map(young.__getitem__, chunks)]
-        if len(young) > self._half:
-            self._young, self._old = {}, young
+    def __init__(self, make: Callable[[str], object], kept: int = KEPT):
+        super().__init__()
+        self._make, self._half, self._old = make, kept // 2, {}
+
+    def __missing__(self, chunk: str):
+        found = self._old.get(chunk)
+        if found is None:
+            found = self._make(chunk)
+        if len(chunk) <= LONGEST:
+            if len(self) >= self._half:
+                self._old = dict(self)
+                self.clear()
+            self[chunk] = found
         return found
 
-
-def spread_over(known: Known, lists: list[list[str]]) -> Iterator[list]:
-    """Results for several lists of chunks, looked up together."""
-    found, at = known.of([c for chunks in lists for c in chunks]), 0
-    for chunks in lists:
-        yield found[at:at + len(chunks)]
-        at += len(chunks)
+    def of(self, chunks: list[str]) -> list:
+        return [*map(self.__getitem__, chunks)]

@@ -10,7 +10,7 @@ from functools import lru_cache
 
 import regex
 
-from mailloom.llm.chunks import KEPT, LONGEST, Known, gathered, spread_over
+from mailloom.llm.chunks import Known, windows
 
 #: How a byte-level tokenizer splits its input before the merges (fixed value).
 _SPLIT = regex.compile(
@@ -62,38 +62,29 @@ def _encoders(path: str):
         spelt = charmap_decode(text.encode(), "strict", letters)[0]
         return array("I", [token.id for token in model.tokenize(spelt)]).tobytes()
 
-    parts: dict[str, bytes] = {}
-
-    def part(text: str) -> bytes:
-        found = parts.get(text)
-        if found is None:
-            found = merged(text)
-            if len(text) <= LONGEST:
-                if len(parts) >= KEPT // 2:
-                    parts.clear()
-                parts[text] = found
-        return found
+    parts = Known(merged)
 
     def chunk(c: str) -> bytes:
         text = " " + c
         if c.isalpha() and c.isascii():
-            return part(text)
+            return parts[text]
         if not _USUAL.fullmatch(c) or any(s in c for s in special):
             return exact(text)
-        return b"".join([part(p) for p in _SPLIT.findall(text)])
+        return b"".join(parts.of(_SPLIT.findall(text)))
 
-    return exact, Known(lambda chunks: [*map(chunk, chunks)])
+    return exact, Known(chunk)
 
 
 def packed_ids(texts: list[str], path: str) -> list[bytes]:
     """The ids of texts as 32-bit numbers, without special tokens added."""
     exact, known = _encoders(path)
 
-    out: list[list[bytes]] = [[] for _ in texts]
-    for at, lists in gathered(texts):
-        for k, chunks in zip(at, lists):
-            if not out[k]:
-                out[k].append(exact(chunks.pop(0)))
-        for k, found in zip(at, spread_over(known, lists)):
-            out[k] += found
-    return [b"".join(found) for found in out]
+    def ids(text: str) -> bytes:
+        lists = windows(text)
+        first = next(lists)
+        found = [exact(first[0]), *known.of(first[1:])]
+        for chunks in lists:
+            found += known.of(chunks)
+        return b"".join(found)
+
+    return [*map(ids, texts)]
