@@ -99,7 +99,8 @@ class Aligner:
         text = " " + chunk
         if chunk.isascii() and chunk.isalpha():  # one run of letters, which the merges take as it is
             tokens = self._merges.tokenize(self._space + chunk)
-            ids_a, spans = [t.id for t in tokens], [t.offsets for t in tokens]
+            # These spans are of bytes, and the letter of the space has two.
+            ids_a, spans = [t.id for t in tokens], [(0, t.offsets[1] - 1) for t in tokens]
         else:
             encoded = self._a.encode(text, add_special_tokens=False)
             ids_a, spans = encoded.ids, encoded.offsets
