@@ -29,27 +29,27 @@ def labelled_texts(
 ) -> DataFrame:
     """``(doc_id, label, text)`` of at most ``rows`` labelled documents outside the held-out fold.
 
-    The documents are those with the least hash of their id, so that the sample is the
-    same in every run. Of these as many are taken as ``most_bytes`` holds: texts of up to
+    The documents are those labelled ones with the least hash of their id, so that the sample
+    is the same in every run; ids can be of any type. Of these as many are taken as ``most_bytes`` holds: texts of up to
     ``LONG_BYTES`` in the order of the hash, then longer ones, the shortest first. A text
     counts for ``VECTOR_BYTES`` at most, so that none is too long to be learnt from and a
     long one takes no place from the others. Labels that contradict each other for a
     document, or are null, are left out; of documents that share an id, the least text
     counts, with the bytes of the longest.
     """
-    picked = (
+    labelled = (
         labels.where(F.col("doc_id").isNotNull() & ~held_out())
         .groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("_most"))
         .where((F.col("label") == F.col("_most")) & F.col("label").isin(0, 1))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         .select("doc_id", F.col("label").cast("int").alias("label"))
     )
-    # No more than ``rows`` rows of two numbers, so they can go to every executor, and of
-    # three, so that one task can add up their lengths.
+    # Labels of documents that are not there take no place in the sample. Only ids and
+    # lengths are joined; what is left are ``rows`` rows of three numbers.
     sizes = (
         documents.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("_bytes"))
-        .join(F.broadcast(picked), "doc_id")
+        .join(labelled, "doc_id")
         .groupBy("doc_id", "label").agg(F.max("_bytes").alias("_bytes"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
     upto = Window.orderBy(
         F.greatest("_bytes", F.lit(LONG_BYTES)), F.xxhash64("doc_id"), "doc_id"
@@ -80,7 +80,8 @@ def vectors(
             yield pd.DataFrame(out)
 
     kinds = ", ".join(f"{name}_at binary, {name}_value binary" for name in slots)
-    made = texts.mapInPandas(make, f"doc_id long, label int, {kinds}")
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    made = texts.mapInPandas(make, f"doc_id {kind}, label int, {kinds}")
     rows = sorted(made.collect(), key=lambda row: row["doc_id"])
     read = {
         name: [

@@ -85,23 +85,38 @@ def removals(documents: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
 
 @F.pandas_udf(T.StringType())
 def _kept(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-    for texts, ats, ns, windows in batches:
+    for texts, ats, ns, windows, least in batches:
         out = []
-        for text, at, n, window in zip(texts, ats, ns, windows):
+        for text, at, n, window, words in zip(texts, ats, ns, windows, least):
             if text is None or at is None:
                 out.append(text)
                 continue
             raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-            left = raw[~covered(raw.size, at, n, int(window))].tobytes()
+            gone = covered(raw.size, at, n, int(window))
+            if words:
+                edges = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False]))))
+                for start, end in edges.reshape(-1, 2):
+                    if len(raw[start:end].tobytes().split()) < words:
+                        gone[start:end] = False
+            left = raw[~gone].tobytes()
             out.append(left.decode("utf-8", "ignore"))
         yield pd.Series(out, dtype=object)
 
 
-def without_repeats(documents: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``documents`` with the repeated bytes taken out of ``text``; ``n_chars`` follows."""
+def without_repeats(
+    documents: DataFrame, window: int = WINDOW, gram: int = GRAM, least_words: int = 0
+) -> DataFrame:
+    """``documents`` with the repeated bytes taken out of ``text``; ``n_chars`` follows.
+
+    Of the runs that repeated windows cover, only those go that hold ``least_words`` words or
+    parts of words. A short window with a number of words finds passages by their words,
+    however short these are, and leaves alone phrases that merely recur.
+    """
     rows = with_runs(
         packed(documents), _runs(documents.select("doc_id", "text"), window, gram), "doc.text"
-    ).withColumn("_text", _kept("doc.text", "_at", "_n", F.lit(window)))
+    ).withColumn("_text", _kept(
+        "doc.text", "_at", "_n", F.lit(window), F.lit(least_words)
+    ))
     new = {"text": F.col("_text")}
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
