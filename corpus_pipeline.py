@@ -5,6 +5,11 @@ documents it keeps with all their columns, the last one the mix: per document ho
 it is taken. ``run`` applies them one after the other; each result is written to the
 shared folder and read again, so that an executor lost in a later stage costs nothing of
 an earlier one.
+
+Nulls, ties and odd rows are as each operator's docstring says: a null text is an empty one,
+a null id is a document like any other, rows that repeat are copies of which one stays, a
+label without a document has no effect, and an empty table gives no rows. Other columns of
+the documents pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -25,10 +30,15 @@ def one_of_each(spark, docs, sf_dir):
     return simhash.keep_one(docs)
 
 
+#: A passage that goes has so many words. Strings of WINDOW bytes that occur twice are looked
+#: for; a passage of that many words is rarely shorter.
+PASSAGE_WORDS, WINDOW, GRAM = 50, 160, 40
+
+
 def no_repeats(spark, docs, sf_dir):
-    """Documents without the byte strings that occur elsewhere in them."""
+    """Documents without the passages that occur anywhere else as well."""
     prepare(spark)
-    return suffix_dedup.without_repeats(docs)
+    return suffix_dedup.without_repeats(docs, WINDOW, GRAM, PASSAGE_WORDS)
 
 
 def no_benchmark(spark, docs, sf_dir):
