@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,9 +16,8 @@ from mailloom.functions.attributes import (
     request_attributes,
 )
 from mailloom.operators.attachments import attachments
-from mailloom.operators.cursor import id_column
 from mailloom.operators.joins import lookup_join, materialise
-from mailloom.operators.limits import cap_ids
+from mailloom.operators.limits import cut_ids, falls_in, id_range, mailbox_id, ranges_of
 from mailloom.operators.mailbox import with_marks
 from mailloom.operators.project import project_headers, wants_body
 from mailloom.operators.requests import (
@@ -39,6 +39,7 @@ from mailloom.schema import (
     PARSE_ERROR,
     RETRY,
     SUCCESS,
+    FetchOptions,
 )
 from mailloom.sources.sinks import (
     read_cursor_steps,
@@ -57,6 +58,9 @@ _HEADER_COLUMNS = [
 #: succeed. Requests that agree in all of it share the work, whatever their cap.
 _SELECTION = ["folder", "_last_uid", "_body", "max_message_size", "_search"]
 
+#: Selections of a folder that a message meets in one array, on average.
+SELECTIONS_A_ROW = 64
+
 #: What else a request asks for.
 _DISPLAY = ["request_id", "state_folder", "incremental", "batch_size", "fetch_mode",
             "include_headers", "include_attachments", "max_attachment_size", "max_attachments"]
@@ -134,6 +138,55 @@ def _targets(requests: DataFrame, folders: DataFrame, cursors: DataFrame | None)
     ).drop("last_uid")
 
 
+def _selected(
+    messages: DataFrame,
+    entries: DataFrame,
+    searches: dict[str, Column] | None,
+    ident: list[str],
+    keep: Callable[[Column, Column], Column] | None = None,
+) -> DataFrame:
+    """Messages with each of ``entries`` that selects them, and with their outcome.
+
+    ``entries`` are selections, with further columns that ``keep`` tests against the id of a
+    message. It is read more than once, so it should be written or cheap.
+    """
+    columns = [name for name in entries.columns if name != "folder"]
+    most = entries.groupBy("folder").count().agg(F.max("count")).first()[0] or 1
+    slices = -(-most // SELECTIONS_A_ROW)
+    arrays = entries.groupBy(
+        "folder", F.pmod(F.xxhash64(*columns), F.lit(slices)).alias("_slice")
+    ).agg(F.collect_list(F.struct(*columns)).alias("_entries")).drop("_slice")
+
+    hits = [F.lit("")] + [F.when(is_met, F.lit(name)) for name, is_met in (searches or {}).items()]
+    searched = messages.withColumns({
+        "_hits": F.array_compact(F.array(*hits)), "_ident": mailbox_id(messages),
+    })
+    met = lookup_join(
+        searched, arrays, ["folder"], "inner", spread=ident, measured=entries
+    )
+    row_id = F.col("_ident")
+
+    def selects(s: Column) -> Column:
+        wanted = F.array_contains("_hits", s["_search"]) & (
+            (s["_last_uid"] < 0) | (row_id > s["_last_uid"])
+        )
+        return wanted & keep(s, row_id) if keep else wanted
+
+    found = met.select(
+        *messages.columns, F.explode(F.filter("_entries", selects)).alias("_entry")
+    ).select(*messages.columns, "_entry.*")
+    mode = F.when(F.col("_body"), F.lit(FULL_MESSAGE)).otherwise(F.lit(HEADERS_ONLY))
+    return with_outcome(found, F.col("max_message_size"), mode)
+
+
+def _counted(selected: DataFrame) -> DataFrame:
+    """Per selection and range of ids the messages found, and those that succeed."""
+    return selected.groupBy(*_SELECTION, id_range(mailbox_id(selected)).alias("_range")).agg(
+        F.count(F.lit(1)).alias("_found"),
+        F.count(F.when(F.col("relationship") == SUCCESS, F.lit(1))).alias("_n"),
+    )
+
+
 def fetch_for_requests(
     requests: DataFrame,
     folders: DataFrame,
@@ -144,10 +197,11 @@ def fetch_for_requests(
 ) -> Handled:
     """Messages for every request at once; request options are filled in.
 
-    Requests are resolved to folders on the small folder table. Messages are
-    joined once, on folder, with the distinct selections of all requests; only
-    the few rows a selection keeps are handed to each request that asked for
-    them. ``searches`` are named criteria that a request can choose in its
+    Requests are resolved to folders on the small folder table. A message meets the
+    distinct selections of its folder as an array and tests them in its row. What they
+    select is counted per range of ids, the ranges where caps fall are counted per id, and
+    only then the messages within the caps are taken, with their content. So what goes
+    through a shuffle are sums, and the rows that some request is given. ``searches`` are named criteria that a request can choose in its
     ``search`` column. A request with an unknown name gets no messages and is a
     failure in ``requests``.
     """
@@ -158,41 +212,38 @@ def fetch_for_requests(
             "error_message": F.concat(F.lit("unknown search: "), F.col("search")),
         })
     targets = materialise(_targets(requests, folders, cursors))
-    top = targets.agg(F.max("batch_size")).first()[0] or 1
     ident = [name for name in ("uid", "msg_num") if name in messages.columns]
-    selections = targets.groupBy(*_SELECTION).agg(F.max("batch_size").alias("_top"))
-    found = lookup_join(messages, selections, ["folder"], "inner", spread=ident)
-    if "search" in requests.columns:
-        wanted = F.col("_search") == ""
-        for name, condition in (searches or {}).items():
-            wanted = wanted | ((F.col("_search") == name) & condition)
-        found = found.filter(wanted)
-    found = found.filter(
-        (F.col("_last_uid") < 0) | (id_column(found) > F.col("_last_uid"))
+    named = searches if "search" in requests.columns else None
+    selections = targets.select(*_SELECTION).distinct()
+    counts = materialise(_counted(_selected(messages, selections, named, ident)))
+    ranges = ranges_of(counts.filter("_n > 0").drop("_found"), _SELECTION)
+    caps = targets.select(*_SELECTION, "batch_size").distinct().withColumn(
+        "_cap", (F.col("batch_size") * FetchOptions.BATCHES_PER_RUN).cast("long")
+    )
+    falls = materialise(falls_in(ranges.join(caps.drop("batch_size"), _SELECTION)))
+    inside = _selected(
+        messages, falls, named, ident, lambda s, ident: s["_range"] == id_range(ident)
+    ).filter(F.col("relationship") == SUCCESS).withColumn("_id", mailbox_id(messages))
+    caps = materialise(
+        caps.join(cut_ids(inside, _SELECTION), [*_SELECTION, "_cap"], "left").drop("_cap")
     )
-    mode = F.when(F.col("_body"), F.lit(FULL_MESSAGE)).otherwise(F.lit(HEADERS_ONLY))
-    judged = with_outcome(found, F.col("max_message_size"), mode)
-
-    caps = materialise(cap_ids(
-        judged, F.col("relationship") == SUCCESS,
-        targets.select(*_SELECTION, "batch_size").distinct(), _SELECTION, top,
-    ))
     # The furthest any request goes, or to the end where one meets no cap.
     furthest = caps.groupBy(*_SELECTION).agg(
         F.when(F.count("_cap_id") == F.count(F.lit(1)), F.max("_cap_id")).alias("_bound")
     )
-    reached = lookup_join(judged, furthest, _SELECTION, "inner", spread=ident).filter(
-        F.col("_bound").isNull() | (id_column(judged) <= F.col("_bound"))
-    ).drop("_bound", "_top").withColumn("batch_id", F.lit(batch_id).cast("string"))
+    reached = _selected(
+        messages, materialise(furthest), named, ident,
+        lambda s, ident: s["_bound"].isNull() | (ident <= s["_bound"]),
+    ).drop("_bound").withColumn("batch_id", F.lit(batch_id).cast("string"))
     asked = lookup_join(
         targets.select(*_DISPLAY, *_SELECTION), caps, [*_SELECTION, "batch_size"],
         spread=["request_id"],
     )
     routed = lookup_join(reached, asked, _SELECTION, "inner", spread=ident).filter(
-        F.col("_cap_id").isNull() | (id_column(judged) <= F.col("_cap_id"))
+        F.col("_cap_id").isNull() | (mailbox_id(messages) <= F.col("_cap_id"))
     ).drop("_cap_id")
-    counts = found.groupBy(*_SELECTION).agg(F.count(F.lit(1)).alias("processed"))
-    processed = targets.join(counts, _SELECTION, "inner").select(
+    found = counts.groupBy(*_SELECTION).agg(F.sum("_found").alias("processed"))
+    processed = targets.join(found, _SELECTION, "inner").select(
         "request_id", "folder", "processed"
     )
 

@@ -380,6 +380,19 @@ FROM arrivals WHERE size <= 20000)
 SELECT folder, uid, (r - 1) // 7 AS batch_number FROM ranked WHERE r <= 70"""
 
 
+def cap_large(spark, sf_dir):
+    """A cap of 1,500 messages, above half of the largest folder at the smaller sizes."""
+    routed = with_outcome(views.arrivals(spark, sf_dir), 20000, HEADERS_ONLY)
+    return cap_per_folder(routed, 150, F.col("relationship") == "success").select(
+        "folder", "uid", "relationship"
+    )
+
+
+def batches_large(spark, sf_dir):
+    df = views.arrivals(spark, sf_dir)
+    return batch_number(df, 150, F.col("size") <= 20000).select("folder", "uid", "batch_number")
+
+
 def batch_stamp(spark, sf_dir):
     df = with_batch_id(views.messages(spark, sf_dir), "run-7")
     return df.groupBy("batch_id", "folder").agg(F.count(F.lit(1)).alias("n"))
@@ -577,6 +590,10 @@ QUERIES = {
     "poll_marks": (poll_marks, _POLL_MARKS),
     "cap_per_run": (cap_per_run, _CAP),
     "batch_numbers": (batch_numbers, _BATCHES),
+    "cap_large": (cap_large, _CAP.replace("before < 100", "before < 1500")),
+    "batches_large": (
+        batches_large, _BATCHES.replace("// 7", "// 150").replace("r <= 70", "r <= 1500")
+    ),
     "batch_stamp": (
         batch_stamp,
         f"WITH {MESSAGES} SELECT 'run-7' AS batch_id, folder, count(*) AS n "

@@ -292,6 +292,35 @@ SELECT request_id, folder, uid, CASE WHEN ok THEN 'success' ELSE 'parse-error' E
 FROM counted WHERE before < 10 * batch_size"""
 
 
+def request_many(spark, sf_dir):
+    """Requests of all customers to one folder, with forty size limits and three caps."""
+    asked = with_defaults(views.requests(spark, sf_dir).withColumns({
+        "folder": F.lit("Archive/src1/en"), "recursive": F.lit(False),
+        "max_recursion_depth": F.lit(-1), "fetch_mode": F.lit("FULL_MESSAGE"),
+        "batch_size": (1 + F.col("request_id") % 3).cast("int"),
+        "max_message_size": 500 + F.col("request_id") % 40 * 250,
+        "incremental": F.lit(False), "include_attachments": F.lit(False),
+    }))
+    handled = fetch_for_requests(asked, _folders(spark, sf_dir), views.messages(spark, sf_dir))
+    return handled.success.select(
+        "request_id", "uid", F.md5("content").alias("content_md5")
+    ).unionByName(handled.parse_error.select(
+        "request_id", "uid", F.lit(None).cast("string").alias("content_md5")
+    ))
+
+
+_REQUEST_MANY = f"""WITH {MESSAGES}, found AS (
+SELECT c_custkey AS request_id, uid, text, 1 + c_custkey % 3 AS batch_size,
+       size <= 500 + c_custkey % 40 * 250 AS ok
+FROM customer, messages WHERE folder = 'Archive/src1/en'),
+counted AS (
+SELECT *, coalesce(sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (
+  PARTITION BY request_id ORDER BY uid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+  AS before FROM found)
+SELECT request_id, uid, CASE WHEN ok THEN md5(text) END AS content_md5
+FROM counted WHERE before < 10 * batch_size"""
+
+
 def request_counts(spark, sf_dir):
     return _handled(spark, sf_dir).processed
 
@@ -427,6 +456,7 @@ QUERIES = {
     "request_defaults": (
         request_defaults, f"WITH {REQUESTS} SELECT {', '.join(_OPTIONS)} FROM requests"
     ),
+    "request_many": (request_many, _REQUEST_MANY),
     "retry_gate": (retry_gate, _RETRY_GATE),
     "retry_overflow": (retry_overflow, _RETRY_OVERFLOW),
     "double_faults": (double_faults, _DOUBLE_FAULTS),

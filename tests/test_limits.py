@@ -7,7 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from mailloom.operators.limits import batch_number, cap_ids, cap_per_folder
+from mailloom.operators import limits
+from mailloom.operators.limits import batch_number, cap_per_folder
 from mailloom.plans.fetch import with_outcome
 
 
@@ -46,22 +47,39 @@ def test_cap_by_message_number(spark):
     assert sorted(r.msg_num for r in kept.collect()) == list(range(1, 11))
 
 
-def test_caps_for_several_batch_sizes(spark, rows):
-    df = spark.createDataFrame(rows, "folder string, uid long, size long").withColumn(
-        "_top", F.when(F.col("folder") == "f1", 1).otherwise(4))
-    folders = [(f,) for f in sorted({row[0] for row in rows})]
-    wanted = spark.createDataFrame(
-        [(f[0], b) for f in folders for b in ((1,) if f[0] == "f1" else (1, 4))],
-        "folder string, batch_size int")
-    ends = {(r.folder, r.batch_size): r._cap_id
-            for r in cap_ids(df, F.col("size") <= 200, wanted, ["folder"], 4).collect()}
-    for batch in (1, 4):
-        last = dict(walk(rows, batch, 200))
-        for (folder, size), end in ends.items():
-            if size == batch:
-                good = sum(1 for r in rows if r[0] == folder and r[2] <= 200)
-                assert end == (last[folder] if good >= batch * 10 else None)
-    assert len(ends) == 2 * len(folders) - 1
+@pytest.mark.parametrize("width", [1, 7, 8192])
+def test_cap_over_ranges_of_ids(spark, rows, monkeypatch, width):
+    monkeypatch.setattr(limits, "RANGE", width)
+    df = spark.createDataFrame(rows + [("f0", 30, 5), ("f0", 30, 5)], "folder string, uid long, size long")
+    kept = cap_per_folder(df, 3, F.col("size") <= 200)
+    want = sorted(rows + [("f0", 30, 5), ("f0", 30, 5)])
+    # Rows that share an id with the last one come with it.
+    ids = [u for f, u, size in want if f == "f0" and size <= 200]
+    assert sorted(r.uid for r in kept.filter("folder = 'f0'").collect()) == [
+        u for f, u, _ in want if f == "f0" and u <= ids[29]]
+    numbered = batch_number(df, 3, F.col("size") <= 200).filter("folder = 'f1'")
+    got = [r.batch_number for r in numbered.orderBy("uid").collect()]
+    assert got == [n // 3 for n in range(len(got))] and len(got) == 30
+
+
+def test_messages_without_ids_come_first(spark):
+    rows = [("f", None, None, 1)] * 3 + [("f", None, n, 1) for n in range(1, 31)]
+    df = spark.createDataFrame(rows, "folder string, uid long, msg_num long, size long")
+    kept = cap_per_folder(df, 1, F.col("size") > 0)
+    assert sorted(r.msg_num or 0 for r in kept.collect()) == [0, 0, 0, *range(1, 8)]
+
+
+def test_no_window_over_a_folder(spark, rows):
+    df = spark.createDataFrame(rows, "folder string, uid long, size long")
+    ids = df.select("folder", F.col("uid").alias("_id"))
+    ranges = limits.id_ranges(ids, ["folder"])
+    # What a folder's window sees are counts of ranges, not messages.
+    plan = ranges._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("Aggregate")
+    numbered = batch_number(df, 4, F.col("size") <= 200)
+    windows = [line for line in numbered._jdf.queryExecution().optimizedPlan().toString().split("\n")
+               if "row_number()" in line and "Window" in line]
+    assert windows and all("_range" in line for line in windows)
 
 
 def test_batches(spark, rows):

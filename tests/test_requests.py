@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,7 @@ from mailloom.operators.requests import (
     validate_requests,
     with_defaults,
 )
+from mailloom.plans import requests as plan
 from mailloom.plans.requests import read_next_requests, run_request_step, run_requests
 from mailloom.schema import FOLDER, MESSAGE, REQUEST
 
@@ -165,6 +168,48 @@ def test_run(spark, mails, folders):
     }
 
 
+def _many(spark):
+    """Ninety requests for one folder, with forty-five selections and two caps."""
+    return with_defaults(requests(spark, *[
+        {"folder": "INBOX", "batch_size": 1 + n % 2, "max_message_size": 50 + n // 2 * 5}
+        for n in range(90)
+    ]))
+
+
+# In arrays of three, and with the selections dealt out rather than broadcast.
+@pytest.mark.parametrize("per_row,most", [(64, 1 << 25), (3, 1 << 25), (3, 0)])
+def test_many_selections_of_a_folder(spark, mails, folders, monkeypatch, per_row, most):
+    monkeypatch.setattr(plan, "SELECTIONS_A_ROW", per_row)
+    monkeypatch.setattr(plan, "lookup_join", partial(plan.lookup_join, max_bytes=most))
+    run = plan.fetch_for_requests(_many(spark), folders, mails)
+    good, bad = {}, {}
+    for found, rows in ((good, run.success), (bad, run.parse_error)):
+        for row in rows.collect():
+            found.setdefault(row.request_id, []).append(row.uid)
+    for n in range(90):
+        limit, cap = 50 + n // 2 * 5, 10 + n % 2 * 10
+        fits = [uid for uid in range(1, 31) if uid * 10 <= limit][:cap]
+        over = [uid for uid in range(1, 31) if uid * 10 > limit] if len(fits) < cap else []
+        assert sorted(good.get(n + 1, [])) == fits
+        assert sorted(bad.get(n + 1, [])) == over
+    assert {r.processed for r in run.processed.collect()} == {30}
+
+
+def test_selections_meet_messages_without_a_shuffle(spark, mails):
+    entries = spark.createDataFrame(
+        [("INBOX", -1, True, 50 + n, "") for n in range(40)],
+        "folder string, _last_uid long, _body boolean, max_message_size long, _search string")
+    counted = plan._counted(plan._selected(mails, entries, None, ["uid"]))
+    text = counted._jdf.queryExecution().executedPlan().toString()
+    # From the top: sums, their exchange, sums per task, one row per message and selection.
+    shuffled, summed, paired = (
+        text.index("Exchange"), text.rindex("HashAggregate", 0, text.index("Generate")),
+        text.index("Generate"))
+    assert shuffled < summed < paired
+    assert "SortMergeJoin" not in text and "Exchange hashpartitioning" not in text[
+        paired:text.index("BroadcastExchange", paired)]
+
+
 def test_unknown_search_fails(spark, mails, folders):
     asked = requests(spark, {"folder": "INBOX"}).withColumn("search", F.lit("nope"))
     run = run_requests(asked, folders, mails, NOW, searches={})
