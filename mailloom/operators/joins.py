@@ -59,7 +59,7 @@ def lookup_join(
     condition: Column | None = None,
     computed: bool = False,
     max_bytes: int = BROADCAST_BYTES,
-    measured: DataFrame | None = None,
+    known_bytes: int | None = None,
 ) -> DataFrame:
     """Join ``big`` to ``small`` on equal ``on`` columns, without a hot task.
 
@@ -73,12 +73,12 @@ def lookup_join(
     ``computed`` says that ``small`` is itself a query; it is then written once
     so that measuring and joining do not run it twice. ``condition`` is a
     further condition for rows of ``big``; a row that fails it finds nothing.
-    ``measured`` is a table of plain columns that has all that ``small`` holds in
-    arrays; it is measured in its place.
+    ``known_bytes`` bounds the size of ``small`` where that has been measured before,
+    or where ``small`` holds in arrays what has been measured as plain columns.
     """
     if computed:
         small = materialise(small)
-    if measured_bytes(small if measured is None else measured) <= max_bytes:
+    if (measured_bytes(small) if known_bytes is None else known_bytes) <= max_bytes:
         left, right, keys = big, F.broadcast(small), list(on)
     elif spread is None:
         left, right, keys = big, small, list(on)

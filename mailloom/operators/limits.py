@@ -69,7 +69,10 @@ def cap_per_folder(df: DataFrame, batch_size: int, succeeded: Column) -> DataFra
     ids = df.filter(succeeded).select("folder", mailbox_id(df).alias("_id"))
     falls = falls_in(id_ranges(ids, ["folder"]).withColumn("_cap", F.lit(cap)))
     # The key of this join holds the range, so no folder is one key of it.
-    inside = ids.withColumn("_range", id_range(F.col("_id"))).join(falls, ["folder", "_range"])
+    inside = lookup_join(
+        ids.withColumn("_range", id_range(F.col("_id"))), falls, ["folder", "_range"], "inner",
+        computed=True,
+    )
     last = cut_ids(inside, ["folder"]).select("folder", "_cap_id")
     ident = [name for name in ("uid", "msg_num") if name in df.columns]
     joined = lookup_join(df, last, ["folder"], spread=ident, computed=True)

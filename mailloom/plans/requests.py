@@ -16,7 +16,7 @@ from mailloom.functions.attributes import (
     request_attributes,
 )
 from mailloom.operators.attachments import attachments
-from mailloom.operators.joins import lookup_join, materialise
+from mailloom.operators.joins import lookup_join, materialise, measured_bytes
 from mailloom.operators.limits import cut_ids, falls_in, id_range, mailbox_id, ranges_of
 from mailloom.operators.mailbox import with_marks
 from mailloom.operators.project import project_headers, wants_body
@@ -143,16 +143,17 @@ def _selected(
     entries: DataFrame,
     searches: dict[str, Column] | None,
     ident: list[str],
+    slices: int,
+    known_bytes: int,
     keep: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Messages with each of ``entries`` that selects them, and with their outcome.
 
     ``entries`` are selections, with further columns that ``keep`` tests against the id of a
-    message. It is read more than once, so it should be written or cheap.
+    message. Those of a folder are dealt out over ``slices`` arrays; all together have at most
+    ``known_bytes``.
     """
     columns = [name for name in entries.columns if name != "folder"]
-    most = entries.groupBy("folder").count().agg(F.max("count")).first()[0] or 1
-    slices = -(-most // SELECTIONS_A_ROW)
     arrays = entries.groupBy(
         "folder", F.pmod(F.xxhash64(*columns), F.lit(slices)).alias("_slice")
     ).agg(F.collect_list(F.struct(*columns)).alias("_entries")).drop("_slice")
@@ -162,7 +163,7 @@ def _selected(
         "_hits": F.array_compact(F.array(*hits)), "_ident": mailbox_id(messages),
     })
     met = lookup_join(
-        searched, arrays, ["folder"], "inner", spread=ident, measured=entries
+        searched, arrays, ["folder"], "inner", spread=ident, known_bytes=known_bytes
     )
     row_id = F.col("_ident")
 
@@ -215,14 +216,18 @@ def fetch_for_requests(
     ident = [name for name in ("uid", "msg_num") if name in messages.columns]
     named = searches if "search" in requests.columns else None
     selections = targets.select(*_SELECTION).distinct()
-    counts = materialise(_counted(_selected(messages, selections, named, ident)))
-    ranges = ranges_of(counts.filter("_n > 0").drop("_found"), _SELECTION)
+    most = selections.groupBy("folder").count().agg(F.max("count")).first()[0] or 1
     caps = targets.select(*_SELECTION, "batch_size").distinct().withColumn(
         "_cap", (F.col("batch_size") * FetchOptions.BATCHES_PER_RUN).cast("long")
     )
-    falls = materialise(falls_in(ranges.join(caps.drop("batch_size"), _SELECTION)))
+    # No pass has more entries than there are selections with a cap, or two numbers more in each.
+    many = {"slices": -(-most // SELECTIONS_A_ROW), "known_bytes": 2 * measured_bytes(caps)}
+    counts = materialise(_counted(_selected(messages, selections, named, ident, **many)))
+    ranges = ranges_of(counts.filter("_n > 0").drop("_found"), _SELECTION)
+    falls = falls_in(ranges.join(caps.drop("batch_size"), _SELECTION))
     inside = _selected(
-        messages, falls, named, ident, lambda s, ident: s["_range"] == id_range(ident)
+        messages, falls, named, ident, **many,
+        keep=lambda s, ident: s["_range"] == id_range(ident),
     ).filter(F.col("relationship") == SUCCESS).withColumn("_id", mailbox_id(messages))
     caps = materialise(
         caps.join(cut_ids(inside, _SELECTION), [*_SELECTION, "_cap"], "left").drop("_cap")
@@ -232,8 +237,8 @@ def fetch_for_requests(
         F.when(F.count("_cap_id") == F.count(F.lit(1)), F.max("_cap_id")).alias("_bound")
     )
     reached = _selected(
-        messages, materialise(furthest), named, ident,
-        lambda s, ident: s["_bound"].isNull() | (ident <= s["_bound"]),
+        messages, furthest, named, ident, **many,
+        keep=lambda s, ident: s["_bound"].isNull() | (ident <= s["_bound"]),
     ).drop("_bound").withColumn("batch_id", F.lit(batch_id).cast("string"))
     asked = lookup_join(
         targets.select(*_DISPLAY, *_SELECTION), caps, [*_SELECTION, "batch_size"],

@@ -199,7 +199,7 @@ def test_selections_meet_messages_without_a_shuffle(spark, mails):
     entries = spark.createDataFrame(
         [("INBOX", -1, True, 50 + n, "") for n in range(40)],
         "folder string, _last_uid long, _body boolean, max_message_size long, _search string")
-    counted = plan._counted(plan._selected(mails, entries, None, ["uid"]))
+    counted = plan._counted(plan._selected(mails, entries, None, ["uid"], 1, 4000))
     text = counted._jdf.queryExecution().executedPlan().toString()
     # From the top: sums, their exchange, sums per task, one row per message and selection.
     shuffled, summed, paired = (
