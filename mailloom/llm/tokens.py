@@ -17,8 +17,14 @@ _SPLIT = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 
+#: The same for ASCII.
+_SPLIT_ASCII = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII
+)
+
 #: Chunks whose classes of characters every version of Unicode agrees on.
 _USUAL = re.compile(r"[\t\n\r -~\xa1-ɏ]*")
+_USUAL_ASCII = re.compile(r"[\t\n\r -~]*")
 
 
 def vocabulary(name: str) -> str:
@@ -53,7 +59,9 @@ def byte_letters() -> str:
 def _encoders(path: str):
     full = tokenizer(path)
     model, letters = full.model, byte_letters()
-    special = [token.content for token in full.get_added_tokens_decoder().values()]
+    special = re.compile("|".join(
+        re.escape(token.content) for token in full.get_added_tokens_decoder().values()
+    ) or r"(?!)").search
 
     def exact(text: str) -> bytes:
         return array("I", full.encode(text, add_special_tokens=False).ids).tobytes()
@@ -66,11 +74,12 @@ def _encoders(path: str):
 
     def chunk(c: str) -> bytes:
         text = " " + c
-        if c.isalpha() and c.isascii():
-            return parts[text]
-        if not _USUAL.fullmatch(c) or any(s in c for s in special):
+        plain = c.isascii()
+        if plain and c.isalpha():
+            return merged(text)
+        if not (_USUAL_ASCII if plain else _USUAL).fullmatch(c) or special(c):
             return exact(text)
-        return b"".join(parts.of(_SPLIT.findall(text)))
+        return b"".join(parts.of((_SPLIT_ASCII if plain else _SPLIT).findall(text)))
 
     return exact, Known(chunk)
 
