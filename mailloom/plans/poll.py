@@ -17,6 +17,7 @@ from mailloom.sources.sinks import (
     read_cursor_steps,
     read_mark_steps,
     write_cursor_step,
+    write_delivered_step,
     write_mark_step,
     write_routes,
 )
@@ -77,7 +78,8 @@ def run_step(
     Read and delete marks go to a log beside the cursors; a step with such options sees
     the messages as the marks of the steps before it leave them. With
     ``unordered`` the messages that earlier steps have in their output are left out,
-    whatever the cursors say.
+    whatever the cursors say; a log of their UIDs beside the cursors tells, and has to be
+    kept from the first step on. Only the latest step can be run again.
     """
     options.checked()
     state = options.state_key_base
@@ -90,13 +92,16 @@ def run_step(
             messages, read_mark_steps(messages.sparkSession, state_path, before=step)
         )
     if unordered:
-        messages = not_delivered(messages, out_path, step)
+        messages = not_delivered(messages, state_path, step)
     fetched = fetch(
         messages, options, all_of, any_of, None if unordered else known, folders,
         f"{state}-{step}", capped,
     )
     written = f"{out_path.rstrip('/')}/step={step}"
     write_routes(fetched.tagged(), written)
+    if unordered:
+        keys = messages.sparkSession.read.schema("folder string, uid bigint").parquet(written)
+        write_delivered_step(keys, state_path, step)
     # Cursors and marks follow from the keys that were written; nothing runs again.
     delivered = delivered_keys(messages.sparkSession, written)
     if options.incremental:

@@ -102,6 +102,13 @@ MARK = T.StructType([
     T.StructField("deleted", T.BooleanType()),
 ])
 
+#: UIDs of a folder, one bit each in blocks of 32,768.
+ID_SET = T.StructType([
+    T.StructField("folder", T.StringType()),
+    T.StructField("block", T.LongType()),
+    T.StructField("bits", T.BinaryType()),
+])
+
 REQUEST = T.StructType([
     T.StructField("request_id", T.LongType()),
     T.StructField("folder", T.StringType()),

@@ -32,7 +32,8 @@ def incremental_stream(
     New is what is above the cursor of its folder. That holds only while a folder's
     UIDs come in order, so a source with a rate limit, which offers its files in any
     order, is refused unless ``unordered`` is set. Then new is what no earlier step
-    has in its output, so nothing is lost and late mail is delivered too.
+    has in its output, by the sets of UIDs that the steps leave beside the cursors, so
+    nothing is lost, late mail is delivered too and earlier outputs are never read.
 
     A replayed micro-batch replaces its own output and its own cursors, so
     nothing is emitted twice. There is no cap per run, because a stream does not

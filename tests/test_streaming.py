@@ -7,7 +7,14 @@ import pytest
 from mailloom import FetchOptions
 from mailloom.plans.poll import run_step
 from mailloom.sources import sinks
-from mailloom.sources.sinks import read_cursor_steps, write_cursor_step
+from mailloom.sources.sinks import (
+    not_delivered,
+    read_cursor_steps,
+    read_mark_steps,
+    write_cursor_step,
+    write_delivered_step,
+    write_mark_step,
+)
 from mailloom.streaming.incremental import incremental_stream
 
 SCHEMA = (
@@ -142,3 +149,62 @@ def test_steps_without_cursors_repeat_themselves(spark, paths):
     for step in range(2):
         run_step(table, step, out, state, options)
     assert delivered(spark, out) == [(0, "success", "a", 1), (1, "success", "a", 1)]
+
+
+def keys(df):
+    return sorted((r.folder, r.uid) for r in df.collect())
+
+
+def test_delivered_uids_are_kept_as_bits(spark, paths):
+    _, state = paths
+    uids = [1, 2, 8, 9, 32767, 32768, 32769, 65536, 65537, 4294967295]
+    box = batch(spark, *[(f, u, 1) for f in "ab" for u in uids], ("a", 0, 1), ("a", -1, 1),
+                ("a", None, 1))
+    assert not_delivered(box, state, 0).count() == box.count()
+    write_delivered_step(box.filter("folder = 'a' and uid % 2 = 1"), state, 0)
+    write_delivered_step(box.filter("folder = 'b' and uid = 32768"), state, 1)
+    left = not_delivered(box, state, 2)
+    assert left.columns == box.columns
+    found = {(r.folder, r.uid) for r in left.collect()}
+    assert found == {("a", u) for u in uids if u % 2 == 0} | {("a", 0), ("a", -1), ("a", None)} | {
+        ("b", u) for u in uids if u != 32768}
+    # A step does not see its own log, so that it can be run again.
+    assert ("b", 32768) in {(r.folder, r.uid) for r in not_delivered(box, state, 1).collect()}
+
+
+def test_unordered_steps_do_not_read_earlier_outputs(spark, tmp_path):
+    state, options = str(tmp_path / "state"), replace(OPTIONS, state_folder="s")
+    for step, uids in enumerate([(30, 10), (20, 10), (40, 30, 5)]):
+        run_step(batch(spark, *[("a", u, 1) for u in uids]), step, str(tmp_path / f"out{step}"),
+                 state, options, capped=False, unordered=True)
+    assert [keys(spark.read.parquet(str(tmp_path / f"out{step}"))) for step in range(3)] == [
+        [("a", 10), ("a", 30)], [("a", 20)], [("a", 5), ("a", 40)]]
+
+
+@pytest.mark.parametrize("gaps", [(), (3, 6, 7)])
+def test_logs_start_from_a_base(spark, paths, monkeypatch, gaps):
+    _, state = paths
+    monkeypatch.setattr(sinks, "SNAPSHOT_EVERY", 3)
+    steps = [step for step in range(9) if step not in gaps]
+    for step in steps:
+        rows = batch(spark, ("a", step + 1, 1), ("a", 100, 1))
+        for _ in range(2 if step == steps[-1] else 1):  # the latest step is run again
+            write_mark_step(rows, state, step, True, step == 4)
+            write_delivered_step(rows, state, step)
+    marks = read_mark_steps(spark, state, 9)
+    read = {name.split("/marks/")[1].rsplit("/", 1)[0] for name in marks.inputFiles()}
+    assert read == {"base/era=2"} | {f"steps/era=2/step={n}" for n in steps if n >= 6}
+    assert {(m.uid, m.deleted) for m in marks.collect()} >= {(s + 1, s == 4) for s in steps} | {(100, True)}
+    box = batch(spark, *[("a", u, 1) for u in (*range(1, 12), 100)])
+    assert keys(not_delivered(box, state, 9)) == [
+        ("a", u) for u in range(1, 12) if u - 1 not in steps]
+
+
+def test_expunge_after_a_base(spark, paths, monkeypatch):
+    out, state = paths
+    monkeypatch.setattr(sinks, "SNAPSHOT_EVERY", 2)
+    table = batch(spark, *[("a", n, 10) for n in range(1, 61)])
+    options = replace(OPTIONS, batch_size=1, incremental=False, delete_messages=True)
+    for step in (0, 1, 2, 3, 3, 4):
+        run_step(table, step, out, state, options)
+    assert delivered(spark, out) == [((n - 1) // 10, "success", "a", n) for n in range(1, 51)]
