@@ -31,6 +31,13 @@ def above(df: DataFrame, last) -> Column:
     return by_uid | (no_uid & (F.col("msg_num") > last))
 
 
+def bytes_column(df: DataFrame) -> Column:
+    """What a message weighs in a shuffle: its size, or one where no content goes along."""
+    if "content" in df.columns and "size" in df.columns:
+        return F.coalesce(F.greatest(F.col("size"), F.lit(0)), F.lit(0)) + 1
+    return F.lit(1)
+
+
 def load_cursors(stored: DataFrame) -> DataFrame:
     """Cursors from stored text values; a value that is not a number is no cursor."""
     value = F.trim(F.col("last_uid").cast("string")).try_cast("bigint")
@@ -49,7 +56,9 @@ def after_cursor(
 
     Cursors of a handful of folders can be given as a dict: the test then
     becomes plain comparisons that reach the Parquet scan. A table of cursors
-    is joined; if it has state folders, one has to be named.
+    is joined; if it has state folders, one has to be named. The table may be a query:
+    it runs once. Where it is too big to broadcast, a folder is spread over tasks by the
+    share of the bytes it holds.
     """
     if not incremental:
         return df
@@ -71,7 +80,9 @@ def after_cursor(
     else:
         last = cursors.groupBy("folder").agg(F.max("last_uid").alias("_last_uid"))
     ident = [name for name in ("uid", "msg_num") if name in df.columns]
-    joined = lookup_join(df, last, ["folder"], spread=ident)
+    joined = lookup_join(
+        df, last, ["folder"], spread=ident, computed=True, weight=bytes_column(df)
+    )
     return joined.filter(
         F.col("_last_uid").isNull() | above(df, F.col("_last_uid"))
     ).drop("_last_uid")

@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 #: Bytes a side may have to be broadcast, measured on its rows before the join.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
-#: Copies of the lookup side when it is too big to broadcast. A key that holds
-#: a third of the big table is spread over this many tasks.
+#: Copies of the lookup side when it is too big to broadcast and the keys of the big side
+#: are not measured; the least number of shares the big side is thought cut into where
+#: they are.
 SALTS = 16
 
 
@@ -50,6 +51,31 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(size)).first()[0] or 0
 
 
+def hot_keys(big: DataFrame, on: list[str], weight: Column) -> DataFrame:
+    """``(*on, _cuts)``: keys with more than an even share of ``big``, and how many they have.
+
+    A share is the weight of all rows divided by the shuffle partitions (``SALTS`` at
+    least). No more keys than there are shares can hold more than one, so the result is
+    small whatever ``big`` holds. A null key counts as a key.
+    """
+    shares = max(SALTS, int(big.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    per_key = materialise(big.groupBy(*on).agg(F.sum(weight).cast("double").alias("_weight")))
+    total = per_key.agg(F.sum("_weight")).first()[0] or 0.0
+    cuts = F.ceil(F.col("_weight") * shares / F.lit(max(total, 1.0))).cast("int")
+    return per_key.select(*on, cuts.alias("_cuts")).filter("_cuts > 1")
+
+
+def _cut(df: DataFrame, hot: DataFrame, on: list[str]) -> DataFrame:
+    """``df`` with ``_cuts``, the number of tasks its key is spread over."""
+    named = hot.withColumnsRenamed({key: f"_h_{key}" for key in on})
+    same = F.lit(True)
+    for key in on:
+        same = same & F.col(key).eqNullSafe(F.col(f"_h_{key}"))
+    return df.join(F.broadcast(named), same, "left").drop(*[f"_h_{key}" for key in on]).withColumn(
+        "_cuts", F.coalesce("_cuts", F.lit(1))
+    )
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,
@@ -60,6 +86,7 @@ def lookup_join(
     computed: bool = False,
     max_bytes: int = BROADCAST_BYTES,
     known_bytes: int | None = None,
+    weight: Column | None = None,
 ) -> DataFrame:
     """Join ``big`` to ``small`` on equal ``on`` columns, without a hot task.
 
@@ -75,6 +102,11 @@ def lookup_join(
     further condition for rows of ``big``; a row that fails it finds nothing.
     ``known_bytes`` bounds the size of ``small`` where that has been measured before,
     or where ``small`` holds in arrays what has been measured as plain columns.
+
+    With ``weight`` the salt follows the measured skew: the weight of ``big`` is summed per
+    key, and only keys with more than an even share are cut, into as many parts as they have
+    shares. Other keys are not copied. This reads the key, spread and weight columns of
+    ``big`` once more, so it is for sides that a scan gives.
     """
     if computed:
         small = materialise(small)
@@ -82,6 +114,14 @@ def lookup_join(
         left, right, keys = big, F.broadcast(small), list(on)
     elif spread is None:
         left, right, keys = big, small, list(on)
+    elif weight is not None:
+        hot = hot_keys(big, on, weight)
+        salt = F.pmod(F.xxhash64(*spread), F.col("_cuts")).cast("int")
+        left = _cut(big, hot, on).withColumn("_salt", salt).drop("_cuts")
+        right = _cut(small, hot, on).withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1))
+        ).drop("_cuts")
+        keys = [*on, "_salt"]
     else:
         salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
         left = big.withColumn("_salt", salt)

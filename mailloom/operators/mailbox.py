@@ -10,7 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailloom.functions.text import flags_or_empty, has_flag
-from mailloom.operators.joins import lookup_join, materialise
+from mailloom.operators.joins import (
+    BROADCAST_BYTES,
+    lookup_join,
+    materialise,
+    measured_bytes,
+)
 
 
 def _add_flag(df: DataFrame, done: DataFrame, flag: str, computed: bool) -> DataFrame:
@@ -44,17 +49,19 @@ def expunge(df: DataFrame, done: DataFrame, computed: bool = True) -> DataFrame:
     )
 
 
-def with_marks(df: DataFrame, marks: DataFrame) -> DataFrame:
+def with_marks(
+    df: DataFrame, marks: DataFrame, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """The mailbox as a log of marks leaves it: flags added, deleted messages gone.
 
     ``marks`` are narrow rows (``folder``, ``uid``, ``read``, ``deleted``) and are
-    measured before they are joined. Where they are many, give envelopes in ``df`` and
-    add the content of the messages that are wanted, by their keys.
+    measured before they are joined. Beyond ``max_bytes`` they are shuffled to the
+    messages, as in ``resolve``: give a table of ``save_messages`` in ``df``, or envelopes.
     """
     marks = materialise(marks.groupBy("folder", "uid").agg(
         F.max("read").alias("_read"), F.max("deleted").alias("_gone")
     ))
-    joined = lookup_join(df, marks, ["folder", "uid"])
+    joined = _by_key(df, marks, "left", max_bytes)
     flags = flags_or_empty(F.col("flags"))
     seen = F.when(F.col("_read"), F.array_union(flags, F.array(F.lit("SEEN"))))
     left = joined.withColumn("flags", F.coalesce(seen, F.col("flags"))).filter(
@@ -68,8 +75,21 @@ def with_marks(df: DataFrame, marks: DataFrame) -> DataFrame:
     )
 
 
-def resolve(ids: DataFrame, df: DataFrame) -> DataFrame:
-    """Messages by folder and UID; ids that no longer exist drop out silently."""
-    return lookup_join(
-        df, ids.select("folder", "uid").distinct(), ["folder", "uid"], "inner", computed=True
-    )
+def resolve(ids: DataFrame, df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Messages by folder and UID; ids that no longer exist drop out silently.
+
+    Up to ``max_bytes`` of ids are broadcast. Beyond that the ids are shuffled to where the
+    messages lie and looked up there by hash: in a table of ``save_messages``, which is
+    bucketed by folder and UID, no message moves and none is sorted. Messages of other
+    tables are shuffled with their content.
+    """
+    keys = materialise(ids.select("folder", "uid").distinct())
+    return _by_key(df, keys, "inner", max_bytes)
+
+
+def _by_key(df: DataFrame, keys: DataFrame, how: str, max_bytes: int) -> DataFrame:
+    """Join messages to rows of unique keys; by hash, so that no message is sorted."""
+    size = measured_bytes(keys)
+    if size > max_bytes:
+        keys = keys.hint("shuffle_hash")
+    return lookup_join(df, keys, ["folder", "uid"], how, max_bytes=max_bytes, known_bytes=size)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from mailloom.functions.attributes import (
@@ -107,6 +107,19 @@ class Fetched:
     success: DataFrame
     attachments: DataFrame
     parse_error: DataFrame
+    seen: Observation | None = None
+
+    @property
+    def processed(self) -> int:
+        """Messages before cap and errors, counted while an output of the run was computed.
+
+        Nothing runs for it: it is known once an output was written, and waits until then.
+        Only an ``observed`` run has it. A part of the selection that is computed again for
+        a lost executor may be counted again; ``summary`` is exact.
+        """
+        if self.seen is None:
+            raise ValueError("the run was not observed")
+        return self.seen.get["processed"]
 
     @property
     def cursors(self) -> DataFrame:
@@ -222,16 +235,21 @@ def fetch(
     folders: DataFrame | None = None,
     batch_id: str | None = None,
     capped: bool = True,
+    observed: bool = False,
 ) -> Fetched:
     """One run: the outputs for the messages selected by options and criteria.
 
     The size test reads no body, the outputs read only the columns they show.
-    Options that break a rule raise an error.
+    Options that break a rule raise an error. With ``observed`` the candidates are counted
+    on the way (``Fetched.processed``).
     """
     options.checked()
     if batch_id is not None:
         messages = with_batch_id(messages, batch_id)
     candidates = select_candidates(messages, options, all_of, any_of, cursors, folders)
+    seen = Observation() if observed else None
+    if seen is not None:
+        candidates = candidates.observe(seen, F.count(F.lit(1)).alias("processed"))
     routed = with_outcome(candidates, options.max_message_size, options.fetch_mode)
     if capped:
         routed = cap_per_folder(
@@ -253,4 +271,5 @@ def fetch(
         success=fetch_rows(delivered, options.fetch_mode, options.include_headers),
         attachments=attachments(with_files, *_file_limits(options)),
         parse_error=error_rows(routed.filter(F.col("relationship") == PARSE_ERROR)),
+        seen=seen,
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from mailloom.schema import MESSAGE
@@ -153,17 +153,50 @@ def write_messages(
     folder is spread over many files, and sorted, so that the Parquet scan can
     skip row groups by folder and UID. Mails without a UID are spread by what else
     they have. ``mode="append"`` adds to the table that is there.
+
+    Without ``partitions`` the files follow from bytes: adaptive execution cuts groups
+    above ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (as shuffled) and puts small
+    ones together, so a block of large mails becomes several files. It cuts between the
+    outputs of the tasks that read the mails, so no file can be smaller than the part of a
+    block that one of them gives.
     """
     if clustered:
         other = F.pmod(
             F.xxhash64("msg_num", "message_id", "received_ts", "size", "subject"), F.lit(1024)
         )
         keys = [F.col("folder"), F.coalesce(F.floor(F.col("uid") / UID_BLOCK), -1 - other)]
-        spread = (
-            messages.repartition(partitions, *keys) if partitions else messages.repartition(*keys)
-        )
+        if partitions:
+            spread = messages.repartition(partitions, *keys)
+        else:
+            blocks = messages.withColumn("_block", keys[1])
+            spread = blocks.hint("rebalance", "folder", "_block").drop("_block")
         messages = spread.sortWithinPartitions("folder", "uid")
-    messages.write.mode(mode).parquet(path)
+    _bloom(messages.write).mode(mode).parquet(path)
+
+
+def _bloom(writer: DataFrameWriter) -> DataFrameWriter:
+    """With bloom filters on Message-IDs, which no order of the rows helps to find."""
+    return writer.option("parquet.bloom.filter.enabled#message_id", "true")
+
+
+def save_messages(
+    messages: DataFrame, table: str, buckets: int, path: str | None = None
+) -> DataFrame:
+    """Save a message table bucketed by folder and UID, and return it.
+
+    Joins on folder and UID (``resolve``, marks, expunge of marked messages) then bring the
+    other side to the buckets and leave bodies where they are. Each bucket is one file,
+    sorted by folder and UID, and holds messages of all folders, so a folder or UID
+    criterion skips row groups and not files. Choose ``buckets`` so that one is about as
+    large as a file should be. A table of that name is replaced; ``path`` is where its
+    files go, the warehouse by default.
+    """
+    dealt = messages.repartition(buckets, "folder", "uid").sortWithinPartitions("folder", "uid")
+    writer = _bloom(dealt.write).mode("overwrite").format("parquet")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.bucketBy(buckets, "folder", "uid").sortBy("folder", "uid").saveAsTable(table)
+    return messages.sparkSession.table(table)
 
 
 def parts(messages: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.readwriter import DataStreamReader
 
 from mailloom.schema import MESSAGE
 
@@ -37,15 +38,29 @@ def _as_it_is(folder: str) -> str:
     return re.sub(r"([\\*?{}\[\]])", r"\\\1", folder)
 
 
-def read_raw(spark: SparkSession, root: str, folder: str | None = None) -> DataFrame:
+def read_raw(
+    spark: SparkSession,
+    root: str,
+    folder: str | None = None,
+    modified_after: str | None = None,
+    modified_before: str | None = None,
+) -> DataFrame:
     """All mails below ``root``, or those of one folder without opening others.
 
     ``root`` is an absolute path or a URI. The folder is the directory below
     the root, the UID the number in the file name, the received time the
     file's. A filter on ``size`` reaches the file scan: files it rules out are
     not opened, and neither is any file when ``raw`` is not selected.
+    ``modified_after`` and ``modified_before`` (``2024-02-01T00:00:00``, in the session's time
+    zone) leave out files by their time when they are listed. From
+    ``spark.sql.sources.parallelPartitionDiscovery.threshold`` folders on, Spark lists them
+    on the executors.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.eml")
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after)
+    if modified_before is not None:
+        reader = reader.option("modifiedBefore", modified_before)
     if folder is None:
         files = reader.option("recursiveFileLookup", "true").load(root)
     else:
@@ -53,16 +68,47 @@ def read_raw(spark: SparkSession, root: str, folder: str | None = None) -> DataF
     return _raw_columns(files, root)
 
 
-def stream_raw(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
-    """The same rows as a stream: each trigger sees the files that are new."""
+def _source_options(
+    reader: DataStreamReader,
+    max_files: int | None,
+    max_age: str | None,
+    archive: str | None,
+    delete: bool,
+) -> DataStreamReader:
+    if archive is not None and delete:
+        raise ValueError("files are archived or deleted, not both")
+    options = {
+        "maxFilesPerTrigger": None if max_files is None else str(max_files),
+        "maxFileAge": max_age,
+        "cleanSource": "archive" if archive is not None else "delete" if delete else None,
+        "sourceArchiveDir": archive,
+    }
+    return reader.options(**{name: value for name, value in options.items() if value is not None})
+
+
+def stream_raw(
+    spark: SparkSession,
+    root: str,
+    max_files: int | None = None,
+    max_age: str | None = None,
+    archive: str | None = None,
+    delete: bool = False,
+) -> DataFrame:
+    """The same rows as a stream: each trigger sees the files that are new.
+
+    A long-running landing folder is kept short in two ways. Files older than ``max_age``
+    (``7d``, against the newest file seen) are not offered, and the stream may forget them.
+    ``archive`` names a folder outside ``root`` that files are moved to once their batch is
+    done, or ``delete`` removes them; each trigger then lists only what is still there.
+    The files of a batch are cleaned when a later batch starts.
+    """
     reader = (
         spark.readStream.format("binaryFile")
         .schema(_FILES)
         .option("pathGlobFilter", "*.eml")
         .option("recursiveFileLookup", "true")
     )
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    reader = _source_options(reader, max_files, max_age, archive, delete)
     return _raw_columns(reader.load(root), root)
 
 
@@ -76,12 +122,13 @@ def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
     return read_messages(spark, path).select(*ENVELOPE_COLUMNS)
 
 
-def stream_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def stream_messages(
+    spark: SparkSession, path: str, max_files: int | None = None, max_age: str | None = None
+) -> DataFrame:
     """A message table as a stream of the files that are added to it.
 
     With ``max_files`` the files come in several micro-batches, in no order of UIDs.
+    ``max_age`` is as in ``stream_raw``; the files are a table and stay.
     """
-    reader = spark.readStream.schema(MESSAGE)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    reader = _source_options(spark.readStream.schema(MESSAGE), max_files, max_age, None, False)
     return reader.parquet(path)

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from mailloom.operators.cursor import advance_cursor
 from mailloom.operators.joins import lookup_join
-from mailloom.schema import CURSOR, ID_SET, MARK, SUCCESS
+from mailloom.operators.summary import run_summary
+from mailloom.schema import CURSOR, ID_SET, MARK, PARSE_ERROR, SUCCESS
 
 #: Steps between two full copies of cursors, marks and delivered UIDs.
 SNAPSHOT_EVERY = 100
@@ -102,6 +103,16 @@ def delivered_keys(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def step_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Messages per folder and in total that a step has in its outputs, as ``run_summary`` has them.
+
+    They are counted from the rows that were written, a failed message once and
+    attachments not at all. For a step without a cap these are all its candidates.
+    """
+    rows = spark.read.schema("folder string, relationship string").parquet(path)
+    return run_summary(rows.filter(F.col("relationship").isin(SUCCESS, PARSE_ERROR)))
+
+
 def write_mark_step(
     delivered: DataFrame, path: str, step: int, read: Column | bool, deleted: Column | bool
 ) -> None:

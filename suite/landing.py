@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from mailloom import FetchOptions
 from mailloom.operators.attachments import attachments
 from mailloom.operators.cursor import after_cursor
+from mailloom.operators.mailbox import resolve, with_marks
 from mailloom.plans.fetch import fetch, split_oversize
-from mailloom.sources.ingest import ingest, write_messages
+from mailloom.sources.ingest import ingest, save_messages, write_messages
 from mailloom.sources.landing import read_envelopes, read_messages, read_raw, stream_raw
 from mailloom.sources.sinks import read_route, write_routes
 from suite import views
@@ -155,7 +156,50 @@ UNION ALL
 SELECT 'attachments', folder, uid, filename FROM reached JOIN files USING (form)"""
 
 
+def _saved(spark, sf_dir) -> DataFrame:
+    """The whole mailbox as a table bucketed by folder and UID."""
+    path = scratch(spark)
+    mails = views.messages(spark, sf_dir)
+    return save_messages(mails, path.rsplit("/", 1)[1].replace("-", "_"), 8, f"{path}/saved")
+
+
+def saved_resolved(spark, sf_dir):
+    """Content by UIDs, some of which no longer exist, looked up where the content lies."""
+    mails = _saved(spark, sf_dir)
+    ids = mails.select("folder", (F.col("uid") * 2).alias("uid"))
+    return resolve(ids, mails, max_bytes=0).select(
+        "folder", "uid", F.sha2("content", 256).alias("content_sha256")
+    )
+
+
+_SAVED_RESOLVED = f"""WITH {views.MESSAGES}
+SELECT m.folder, m.uid, sha256(m.text) AS content_sha256 FROM messages m
+WHERE (m.folder, m.uid) IN (SELECT folder, uid * 2 FROM messages)"""
+
+
+def saved_marks(spark, sf_dir):
+    """Marks of every third message, merged where the content lies, and an expunge."""
+    mails = _saved(spark, sf_dir)
+    marks = mails.filter("uid % 3 = 0").select(
+        "folder", "uid", (F.col("uid") % 2 == 0).alias("read"),
+        ((F.col("uid") % 5 == 0) & (F.col("size") > 200)).alias("deleted"),
+    )
+    return with_marks(mails, marks, max_bytes=0).select(
+        "folder", "uid", F.array_contains("flags", "SEEN").alias("read"),
+        F.sha2("content", 256).alias("content_sha256"),
+    )
+
+
+_SAVED_MARKS = f"""WITH {views.MESSAGES}, marked AS (
+SELECT *, uid % 3 = 0 AND uid % 5 = 0 AND size > 200 AS gone FROM messages)
+SELECT folder, uid, seen OR uid % 6 = 0 AS read, sha256(text) AS content_sha256
+FROM marked
+WHERE NOT gone AND NOT (deleted AND folder IN (SELECT folder FROM marked WHERE gone))"""
+
+
 QUERIES = {
+    "saved_resolved": (saved_resolved, _SAVED_RESOLVED),
+    "saved_marks": (saved_marks, _SAVED_MARKS),
     "landed_files": (landed_files, _LANDED_FILES),
     "landed_oversize": (landed_oversize, _LANDED_OVERSIZE),
     "landed_stream": (landed_stream, _LANDED_STREAM),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mailloom import FetchOptions
 from mailloom.schema import HEADERS_ONLY
-from mailloom.sources.sinks import read_cursor_steps
+from mailloom.sources.sinks import read_cursor_steps, step_counts
 from mailloom.streaming.incremental import cursor_stream, incremental_stream
 from suite import views
 from suite.mailbox import _enveloped
@@ -32,6 +32,25 @@ def stream_incremental(spark, sf_dir):
 
     What lands late, below the cursor of its folder, is passed over.
     """
+    return spark.read.parquet(_streamed(spark, sf_dir)).select(
+        "step", "relationship", "folder", "uid"
+    )
+
+
+def stream_counts(spark, sf_dir):
+    """Messages of each step per folder and in total, from what the steps wrote."""
+    out = _streamed(spark, sf_dir)
+    steps = [
+        step_counts(spark, f"{out}/step={step}").withColumn("step", F.lit(step))
+        for step in range(WAVES)
+    ]
+    return steps[0].unionByName(steps[1]).unionByName(steps[2]).withColumn(
+        "folder", F.coalesce("folder", F.lit("(total)"))
+    )
+
+
+def _streamed(spark, sf_dir) -> str:
+    """Where the stream of all waves has its outputs."""
     base = scratch(spark)
     waves = _waves(spark, sf_dir)
     schema = waves.drop("wave").schema
@@ -43,7 +62,7 @@ def stream_incremental(spark, sf_dir):
             spark.readStream.schema(schema).parquet(f"{base}/in"),
             f"{base}/out", f"{base}/cursors", f"{base}/checkpoint", options,
         ).awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("step", "relationship", "folder", "uid")
+    return f"{base}/out"
 
 
 _WAVES = f"""{ARRIVALS}, waves AS (
@@ -60,6 +79,13 @@ WHERE NOT EXISTS (SELECT 1 FROM reached r
                   WHERE r.folder = w.folder AND r.wave < w.wave AND r.last_uid >= w.uid)"""
 
 
+_COUNTS = f"""WITH found AS ({_STREAM})
+SELECT step, folder, count(*) AS processed, true AS had_messages FROM found GROUP BY ALL
+UNION ALL
+SELECT CAST(s.step AS INTEGER), '(total)', count(f.step), count(f.step) > 0
+FROM range({WAVES}) s(step) LEFT JOIN found f ON f.step = s.step GROUP BY s.step"""
+
+
 def stream_cursors(spark, sf_dir):
     """Cursors kept as a streaming aggregate over the same waves."""
     base = scratch(spark)
@@ -102,6 +128,7 @@ QUERIES = {
         "ELSE 'parse-error' END AS relationship, folder, uid FROM arrivals",
     ),
     "stream_incremental": (stream_incremental, _STREAM),
+    "stream_counts": (stream_counts, _COUNTS),
     "stream_cursors": (
         stream_cursors,
         f"WITH {ARRIVALS} SELECT 's' AS state_folder, folder, max(uid) AS last_uid "

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from mailloom import FetchOptions
 from mailloom.operators.cursor import (
     advance_cursor,
     after_cursor,
+    bytes_column,
     highest_uid,
     load_cursors,
     with_state_key,
@@ -87,3 +89,29 @@ def test_failed_messages_do_not_raise_the_cursor(spark):
         ("INBOX", 6, "MESSAGE_TOO_LARGE", "Message size 500 exceeds limit 100")]
     assert sorted(map(tuple, run.summary.collect()), key=str) == [
         ("INBOX", 5, True), (None, 5, True)]
+
+
+def test_a_computed_cursor_table_runs_once(spark):
+    mails = spark.range(1, 101).select(F.lit("a").alias("folder"), F.col("id").alias("uid"))
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            runs.add(len(batch))
+            yield batch
+
+    cursors = spark.createDataFrame([("a", 90)], "folder string, last_uid long").mapInPandas(
+        counted, "folder string, last_uid long"
+    )
+    assert after_cursor(mails, cursors).count() == 10
+    assert runs.value == 1
+
+
+def test_a_folder_weighs_its_bytes(spark):
+    mails = spark.createDataFrame(
+        [("a", 1, 500, b""), ("a", 2, -1, b""), ("a", 3, None, b"")],
+        "folder string, uid long, size long, content binary",
+    )
+    bare = mails.drop("content")
+    assert [r[0] for r in mails.select(bytes_column(mails)).collect()] == [501, 1, 1]
+    assert [r[0] for r in bare.select(bytes_column(bare)).collect()] == [1, 1, 1]

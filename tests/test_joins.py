@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from mailloom.operators.joins import SALTS, lookup_join, measured_bytes
+from mailloom.operators.joins import SALTS, hot_keys, lookup_join, measured_bytes
 
 
 @pytest.fixture(scope="module")
@@ -53,3 +53,29 @@ def test_measured_bytes(spark, small):
     assert measured_bytes(small.filter("value < 0")) == 0
     with pytest.raises(TypeError):
         measured_bytes(spark.sql("SELECT array(1) AS a"))
+
+
+def test_hot_keys_hold_more_than_a_share(spark, big):
+    hot = hot_keys(big, ["key"], F.lit(1))
+    # A third of 3,000 rows is 6 of 16 shares; the 50 others hold 40 rows each, under one.
+    assert [(r.key, r._cuts) for r in hot.collect()] == [("hot", 6)]
+    assert hot_keys(big.limit(0), ["key"], F.lit(1)).count() == 0
+    # By weight another key is the large one.
+    heavy = F.when(F.col("key") == "k7", 1000).otherwise(1)
+    assert {r.key for r in hot_keys(big, ["key"], heavy).collect()} == {"k7"}
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_measured_salts_agree(spark, big, small, how):
+    odd = big.withColumn("key", F.when(F.col("id") % 5 > 0, F.col("key")))  # null keys, many
+    far = lookup_join(odd, small, ["key"], how, spread=["id"], max_bytes=0, weight=F.lit(1))
+    assert rows(far) == rows(odd.join(small, "key", how))
+    assert sorted(far.columns) == sorted(odd.join(small, "key", how).columns)
+
+
+def test_measured_salts_copy_hot_keys_only(spark, big, small):
+    far = lookup_join(big, small, ["key"], "left", spread=["id"], max_bytes=0, weight=F.lit(1))
+    sizes = spark.createDataFrame([(None, 3)], "key string, value int")
+    assert far.filter("key = 'hot'").agg(F.count("value")).first()[0] == 1000
+    assert lookup_join(big, sizes, ["key"], "inner", spread=["id"], max_bytes=0,
+                       weight=F.lit(1)).count() == 0

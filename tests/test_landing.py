@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import os
+import time
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,3 +159,90 @@ def test_a_table_grows_and_spreads_mails_without_uid(spark, tmp_path):
     assert table.select(F.input_file_name()).distinct().count() > 4
     write_messages(landed.limit(5), str(tmp_path / "m"), mode="append")
     assert read_messages(spark, str(tmp_path / "m")).count() == 205
+
+
+def test_files_follow_bytes(spark, tmp_path):
+    # 8 tasks give one block of UIDs: 64 mails of 100 KB that do not compress, and small ones.
+    large = F.col("id") % 64 == 0
+    mails = spark.range(0, 4096, 1, 8).select(
+        F.when(large, "large").otherwise("small").alias("folder"),
+        F.col("id").alias("uid"), F.lit(None).cast("string").alias("message_id"),
+        F.when(large, F.expr("unhex(replace(array_join(transform("
+                             "sequence(1, 6250), i -> uuid()), ''), '-', ''))")).alias("content"),
+        *[F.lit(None).cast(kind).alias(name) for name, kind in
+          (("msg_num", "long"), ("received_ts", "timestamp"), ("size", "long"),
+           ("subject", "string"))],
+    )
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(name, "1000000")
+    try:
+        write_messages(mails, str(tmp_path / "m"))
+    finally:
+        spark.conf.unset(name)
+    files = sorted(f.stat().st_size for f in (tmp_path / "m").glob("*.parquet"))
+    assert 4 <= len(files) <= 20 and max(files) < 2_500_000, files
+    table = spark.read.parquet(str(tmp_path / "m"))
+    assert table.count() == 4096 and "_block" not in table.columns
+
+
+def test_files_by_time(spark, tmp_path):
+    (tmp_path / "INBOX").mkdir()
+    for uid, day in ((1, 1), (2, 2), (3, 3)):
+        path = tmp_path / "INBOX" / f"{uid}.eml"
+        path.write_bytes(SIMPLE)
+        at = datetime(2024, 2, day, 12, tzinfo=timezone.utc).timestamp()
+        os.utime(path, (at, at))
+    root = str(tmp_path)
+    after = read_raw(spark, root, modified_after="2024-02-01T13:00:00")
+    between = read_raw(spark, root, "INBOX", "2024-02-01T13:00:00", "2024-02-02T13:00:00")
+    assert keys(after) == [("INBOX", 2), ("INBOX", 3)]
+    assert keys(between) == [("INBOX", 2)]
+
+
+@pytest.mark.parametrize("how", ["archive", "delete"])
+def test_a_landing_folder_is_kept_short(spark, tmp_path, how):
+    root, away = tmp_path / "in", tmp_path / "away"
+    (root / "INBOX").mkdir(parents=True)
+    options = {"delete": True} if how == "delete" else {"archive": str(away)}
+
+    def land(uid):
+        (root / "INBOX" / f"{uid}.eml").write_bytes(SIMPLE)
+        query = (
+            ingest(stream_raw(spark, str(root), **options)).writeStream.format("parquet")
+            .option("checkpointLocation", str(tmp_path / "c")).option("path", str(tmp_path / "m"))
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+
+    land(1)
+    land(2)
+    until = time.time() + 20
+    while (root / "INBOX" / "1.eml").exists() and time.time() < until:
+        time.sleep(0.2)
+    assert not (root / "INBOX" / "1.eml").exists()
+    assert bool(list(away.rglob("1.eml"))) == (how == "archive")
+    assert keys(read_messages(spark, str(tmp_path / "m"))) == [("INBOX", 1), ("INBOX", 2)]
+
+
+def test_old_files_are_not_offered(spark, tmp_path):
+    root = tmp_path / "in"
+    (root / "INBOX").mkdir(parents=True)
+
+    def land(uid, days):
+        path = root / "INBOX" / f"{uid}.eml"
+        path.write_bytes(SIMPLE)
+        os.utime(path, (time.time() - days * 86400,) * 2)
+
+    seen = []
+    # Files of the first batch set the time that later ones are held against.
+    for uid, days in ((1, 0), (2, 30), (3, 1)):
+        land(uid, days)
+        query = (
+            stream_raw(spark, str(root), max_age="7d").writeStream
+            .foreachBatch(lambda df, step: seen.extend(keys(df)))
+            .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    assert seen == [("INBOX", 1), ("INBOX", 3)]
+    with pytest.raises(ValueError):
+        stream_raw(spark, str(root), archive="/x", delete=True)

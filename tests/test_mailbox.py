@@ -7,6 +7,7 @@ from mailloom import FetchOptions
 from mailloom.operators import criteria as c
 from mailloom.operators.mailbox import expunge, flag_deleted, mark_read, resolve, with_marks
 from mailloom.plans.poll import update_mailbox
+from mailloom.sources.ingest import save_messages
 from mailloom.sources.sinks import read_mark_steps
 from mailloom.streaming.incremental import incremental_stream
 from tests.test_streaming import SCHEMA, batch
@@ -86,3 +87,30 @@ def test_a_stream_marks_what_it_delivers(spark, tmp_path):
 def test_resolve_drops_unknown_ids(spark, box):
     found = resolve(done(spark, ("a", 1), ("a", 1), ("b", 7)), box).collect()
     assert [(r.folder, r.uid) for r in found] == [("a", 1)]
+
+
+def test_content_stays_where_it_lies(spark, tmp_path):
+    rows = [(f, n, bytes(20) + str(n).encode()) for f in "ab" for n in range(1, 101)]
+    mails = spark.createDataFrame(
+        rows, "folder string, uid long, content binary"
+    ).withColumn("message_id", F.concat("folder", F.col("uid").cast("string")))
+    saved = save_messages(mails, "kept_mails", 8, str(tmp_path / "kept"))
+    try:
+        ids = done(spark, *[("a", n) for n in range(50, 151)], ("a", 60), ("c", 1), ("b", None))
+        near, far = resolve(ids, saved), resolve(ids, saved, max_bytes=0)
+        want = sorted(("a", n, bytes(20) + str(n).encode()) for n in range(50, 101))
+        for found in (near, far):
+            assert sorted((r.folder, r.uid, bytes(r.content)) for r in found.collect()) == want
+        plan = resolve(ids, saved, max_bytes=0)._jdf.queryExecution().executedPlan().toString()
+        # One exchange, that of the ids; the messages are neither moved nor sorted.
+        assert "ShuffledHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1, plan
+        assert "content" in plan[:plan.index("Exchange hashpartitioning")], plan
+        assert "content" not in plan[plan.index("Exchange hashpartitioning"):], plan
+        assert "Sort [" not in plan, plan
+    finally:
+        spark.sql("DROP TABLE kept_mails")
+
+
+def test_ids_of_a_table_of_files(spark, box):
+    found = resolve(done(spark, ("a", 1), ("a", 1), ("b", 7)), box, max_bytes=0).collect()
+    assert [(r.folder, r.uid) for r in found] == [("a", 1)]

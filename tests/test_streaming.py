@@ -5,12 +5,15 @@ from dataclasses import replace
 import pytest
 
 from mailloom import FetchOptions
+from mailloom.operators import criteria as c
+from mailloom.plans.fetch import fetch
 from mailloom.plans.poll import run_step
 from mailloom.sources import sinks
 from mailloom.sources.sinks import (
     not_delivered,
     read_cursor_steps,
     read_mark_steps,
+    step_counts,
     write_cursor_step,
     write_delivered_step,
     write_mark_step,
@@ -208,3 +211,22 @@ def test_expunge_after_a_base(spark, paths, monkeypatch):
     for step in (0, 1, 2, 3, 3, 4):
         run_step(table, step, out, state, options)
     assert delivered(spark, out) == [((n - 1) // 10, "success", "a", n) for n in range(1, 51)]
+
+
+@pytest.mark.parametrize("capped", [False, True])
+def test_counts_come_with_the_step(spark, tmp_path, capped):
+    rows = batch(spark, *[("a", u, 1) for u in range(1, 31)], ("b", 1, 9_999_999_999), ("b", 2, 1))
+    out = str(tmp_path / "out")
+    options = replace(OPTIONS, batch_size=1)
+    run = run_step(rows, 0, out, str(tmp_path / "state"), options, capped=capped)
+    assert run.processed == 32
+    want = {r.folder: r.processed for r in run.summary.collect()}
+    assert want == {"a": 30, "b": 2, None: 32}
+    written = {r.folder: r.processed for r in step_counts(spark, f"{out}/step=0").collect()}
+    assert written == ({"a": 10, "b": 2, None: 12} if capped else want)
+    empty = run_step(rows, 1, out, str(tmp_path / "state"), options, [c.subject("nowhere")], capped=capped)
+    assert empty.processed == 0
+    left = [(r.folder, r.processed, r.had_messages) for r in step_counts(spark, f"{out}/step=1").collect()]
+    assert left == [(None, 0, False)]
+    with pytest.raises(ValueError):
+        fetch(rows, options).processed
