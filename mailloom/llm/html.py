@@ -4,10 +4,10 @@ A page is read as a stream of events of the standard library's parser and cut in
 lines, one per block of markup. A line has its text, the tags opened in it and the
 region it stands in (an article, the main part, or the innermost division). The ratio of
 characters to tags is smoothed over the lines with a Gaussian window; lines above the
-standard deviation of the smoothed ratios are content. The region with most content is
-the main text, an article or main part before others; where a page has neither, all
-regions that are mostly content. Within these every line counts, short ones too, but for
-runs of links below the threshold.
+standard deviation of the smoothed ratios are content. The articles and main parts that
+hold content are the main text; where a page has none of them, all regions that are mostly
+content. Within these every line counts, short ones too, but for runs of links below the
+threshold.
 
 What markup declares as something else never counts: navigation, page headers and
 footers, asides, forms, scripts, styles, and elements whose class, id or role says menu,
@@ -23,6 +23,7 @@ an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -77,11 +78,15 @@ _ROLES = frozenset(
 )
 _WRAPPERS = frozenset("content main wrap wrapper container page layout has with no".split())
 _TOKENS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _named_other(tag: str, attrs: dict) -> bool:
-    """Whether an element's attributes say that it is beside the main text."""
+def _named_other(tag: str, attrs: dict, within: bool) -> bool:
+    """Whether an element's attributes say that it is beside the main text.
+
+    Within an article or main part the names of headings and inline elements do not count.
+    """
     if tag in ("html", "body"):
         return False
     if "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true":
@@ -90,6 +95,8 @@ def _named_other(tag: str, attrs: dict) -> bool:
         return True
     if (attrs.get("role") or "").lower() in _ROLES:
         return True
+    if within and (tag in INLINE or tag in _HEADINGS):
+        return False
     for value in ((attrs.get("class") or "").split() + (attrs.get("id") or "").split()):
         words = {word.lower() for word in _TOKENS.findall(value)}
         if words & NAMES and not words & _WRAPPERS:
@@ -112,6 +119,8 @@ class Lines(HTMLParser):
         self._text: list[str] = []
         self._tags = self._linked = self._links = 0
         self._article = False
+        self._named: Counter[str] = Counter()  # open elements of each kind
+        self._within = 0  # open elements in an article or main part
 
     def _state(self) -> tuple[int, bool]:
         return self._open[-1][1:] if self._open else (0, False)
@@ -134,18 +143,18 @@ class Lines(HTMLParser):
             self._close({"p"})
         if tag in ENDS:
             self._close(ENDS[tag])
-        named = _named_other(tag, dict(attrs))
+        named = _named_other(tag, dict(attrs), self._within > 0)
         region, beside = self._state()
         if tag in ("article", "main") and not named and not self._article:
             # What was left open before the article does not hold it.
             beside, self._article = False, True
-        within = any(self.kinds[r] in ("article", "main") for _, r, _ in self._open)
+        within = self._within > 0
         if tag == "header":
             beside = beside or not within or named
             if within and not beside:
-                self._open.append((tag, region, True))
+                self._push(tag, region, True)
                 return
-        elif re.fullmatch("h[1-6]", tag) and self._open and self._open[-1][0] == "header" and within:
+        elif tag in _HEADINGS and self._open and self._open[-1][0] == "header" and within:
             beside = any(b for t, _, b in self._open if t != "header")
         else:
             beside = beside or named or tag in OTHER
@@ -156,10 +165,17 @@ class Lines(HTMLParser):
                 region = len(self.kinds) - 1
         if tag == "a":
             self._links += 1
+        self._push(tag, region, beside)
+
+    def _push(self, tag, region, beside):
         self._open.append((tag, region, beside))
+        self._named[tag] += 1
+        self._within += self.kinds[region] in ("article", "main")
 
     def _close(self, tags, over=_REGIONS):
         """Close the innermost open element of ``tags``, but no element around a region."""
+        if not any(self._named[tag] for tag in tags):
+            return
         for k in range(len(self._open) - 1, -1, -1):
             if self._open[k][0] in tags:
                 self._pop(k)
@@ -168,7 +184,10 @@ class Lines(HTMLParser):
                 return
 
     def _pop(self, k):
-        self._links -= sum(1 for tag, _, _ in self._open[k:] if tag == "a")
+        for tag, region, _ in self._open[k:]:
+            self._links -= tag == "a"
+            self._named[tag] -= 1
+            self._within -= self.kinds[region] in ("article", "main")
         del self._open[k:]
 
     def handle_endtag(self, tag):
@@ -218,12 +237,12 @@ def main_text(html: str | None) -> str:
 
     score = np.bincount(region, ratio * sizes * content, len(parser.kinds))
     chosen = np.zeros(len(parser.kinds), bool)
-    for kind in ("article", "main"):
-        own = np.array([k == kind for k in parser.kinds])
-        present = own & (np.bincount(region, minlength=own.size) > 0)
-        if present.any():
-            chosen[np.argmax(np.where(present, score + 1, 0))] = True
-            break
+    own = np.array([kind in ("article", "main") for kind in parser.kinds])
+    present = own & (np.bincount(region, minlength=own.size) > 0)
+    if present.any():
+        # The best one, and all others that hold content.
+        chosen = present & (score > 0)
+        chosen[np.argmax(np.where(present, score + 1, 0))] = True
     else:
         size = np.bincount(region, sizes, len(parser.kinds))
         inside = np.bincount(region, sizes * content, len(parser.kinds))

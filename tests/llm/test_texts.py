@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -212,6 +213,18 @@ PAGES = {
     "left open": (
         f"<nav><ul><li><a>a</a></ul><div class=ad>ad <article><p>{PARAGRAPH}</p>tail</article>",
         f"{PARAGRAPH} tail"),
+    "two articles": (
+        f"<article><p>{PARAGRAPH} one</p></article><article><p>{PARAGRAPH} two</p></article>",
+        f"{PARAGRAPH} one {PARAGRAPH} two"),
+    "around the article": (
+        f"<main><h1>T</h1><p>{PARAGRAPH}</p><article><p>{PARAGRAPH}</p></article></main>",
+        f"T {PARAGRAPH} {PARAGRAPH}"),
+    "article in article": (
+        f"<article><p>{PARAGRAPH} a</p><article><p>{PARAGRAPH} b</p></article><p>{PARAGRAPH} c</p>"
+        f"</article>", f"{PARAGRAPH} a {PARAGRAPH} b {PARAGRAPH} c"),
+    "names in the text": (
+        f"<article><h2 id='copyright-law'>Law</h2><p>{PARAGRAPH} <em class=notice>d</em></p>"
+        f"<div class=notice>{PARAGRAPH}</div></article>", f"Law {PARAGRAPH} d"),
     "no blocks": (PARAGRAPH, PARAGRAPH),
     "empty": ("", ""), "null": (None, ""), "markup alone": ("<div><p></p></div>", ""),
 }
@@ -223,6 +236,14 @@ def test_main_text(name):
     assert main_text(html) == text
 
 
+@pytest.mark.parametrize("html", [
+    "<div>" * 100_000 + "x", "<p>" + "<b>" * 100_000 + "x" + "</i>" * 100_000])
+def test_deep_nesting_takes_time_in_proportion(html):
+    start = time.process_time()
+    assert main_text(html) == "x"
+    assert time.process_time() - start < 8
+
+
 def test_given_pages(spark):
     pages = table(spark, SF_DIR, "pages")
     rows = {r["page_id"]: r for r in extracted(pages).collect()}
