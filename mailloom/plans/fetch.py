@@ -241,12 +241,15 @@ def fetch(
 
     The size test reads no body, the outputs read only the columns they show.
     Options that break a rule raise an error. With ``observed`` the candidates are counted
-    on the way (``Fetched.processed``).
+    on the way (``Fetched.processed``); a cap is found by jobs of its own over them, so a
+    capped run cannot be observed.
     """
     options.checked()
     if batch_id is not None:
         messages = with_batch_id(messages, batch_id)
     candidates = select_candidates(messages, options, all_of, any_of, cursors, folders)
+    if observed and capped:
+        raise ValueError("a run with a cap is not observed: use its summary")
     seen = Observation() if observed else None
     if seen is not None:
         candidates = candidates.observe(seen, F.count(F.lit(1)).alias("processed"))

@@ -80,8 +80,8 @@ def run_step(
     ``unordered`` the messages that earlier steps have in their output are left out,
     whatever the cursors say; a log of their UIDs beside the cursors tells, and has to be
     kept from the first step on. Only the latest step can be run again.
-    ``processed`` of the result is the number of messages that were new, and
-    ``step_counts`` gives what the outputs hold per folder; neither selects again.
+    Without a cap ``processed`` of the result is the number of messages that were new;
+    ``step_counts`` gives what the outputs hold per folder. Neither selects again.
     """
     options.checked()
     state = options.state_key_base
@@ -97,7 +97,7 @@ def run_step(
         messages = not_delivered(messages, state_path, step)
     fetched = fetch(
         messages, options, all_of, any_of, None if unordered else known, folders,
-        f"{state}-{step}", capped, observed=True,
+        f"{state}-{step}", capped, observed=not capped,
     )
     written = f"{out_path.rstrip('/')}/step={step}"
     write_routes(fetched.tagged(), written)
