@@ -16,7 +16,7 @@ from mailloom.functions.attributes import (
     request_attributes,
 )
 from mailloom.operators.attachments import attachments
-from mailloom.operators.joins import lookup_join, materialise, measured_bytes
+from mailloom.operators.joins import lookup_join, materialise, measured_bytes, pairs_join
 from mailloom.operators.limits import cut_ids, falls_in, id_range, mailbox_id, ranges_of
 from mailloom.operators.mailbox import with_marks
 from mailloom.operators.project import project_headers, wants_body
@@ -201,10 +201,12 @@ def fetch_for_requests(
     Requests are resolved to folders on the small folder table. A message meets the
     distinct selections of its folder as an array and tests them in its row. What they
     select is counted per range of ids, the ranges where caps fall are counted per id, and
-    only then the messages within the caps are taken, with their content. So what goes
-    through a shuffle are sums, and the rows that some request is given. ``searches`` are named criteria that a request can choose in its
-    ``search`` column. A request with an unknown name gets no messages and is a
-    failure in ``requests``.
+    only then the messages within the caps are taken, with their content, and written once.
+    So what goes through a shuffle are sums, and the rows that some request is given; these
+    meet the requests in cells (``pairs_join``), so that no task has more than its share of
+    what is delivered, however few files the messages are in. ``searches`` are named criteria
+    that a request can choose in its ``search`` column. A request with an unknown name gets
+    no messages and is a failure in ``requests``.
     """
     lost = None
     if "search" in requests.columns:
@@ -240,11 +242,18 @@ def fetch_for_requests(
         messages, furthest, named, ident, **many,
         keep=lambda s, ident: s["_bound"].isNull() | (ident <= s["_bound"]),
     ).drop("_bound").withColumn("batch_id", F.lit(batch_id).cast("string"))
-    asked = lookup_join(
+    weight = F.lit(0)
+    if "content" in messages.columns:
+        reached = reached.withColumn("content", F.when(F.col("_body"), F.col("content")))
+        weight = F.coalesce(F.octet_length("content"), F.lit(0))
+    reached = materialise(reached)
+    asked = materialise(lookup_join(
         targets.select(*_DISPLAY, *_SELECTION), caps, [*_SELECTION, "batch_size"],
         spread=["request_id"],
-    )
-    routed = lookup_join(reached, asked, _SELECTION, "inner", spread=ident).filter(
+    ))
+    routed = pairs_join(
+        reached, asked, _SELECTION, ident, ["request_id"], weight
+    ).filter(
         F.col("_cap_id").isNull() | (mailbox_id(messages) <= F.col("_cap_id"))
     ).drop("_cap_id")
     found = counts.groupBy(*_SELECTION).agg(F.sum("_found").alias("processed"))
@@ -385,8 +394,11 @@ def run_request_step(
     write_routes(handled.tagged(), written)
 
     given = handled.requests
+    # A column of its own: the rules that hold for the ids of ``given`` would otherwise be
+    # taken over as filters on every delivered row.
     asked = given.select(
-        "request_id", F.coalesce("state_folder", "folder").alias("state_folder"), "incremental",
+        F.col("request_id").bitwiseOR(F.lit(0)).alias("request_id"),
+        F.coalesce("state_folder", "folder").alias("state_folder"), "incremental",
         *[F.coalesce(F.col(name), F.lit(False)).alias(name) for name in wants],
     )
     delivered = spark.read.schema(

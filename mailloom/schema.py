@@ -16,6 +16,7 @@ PARSE_ERROR = "parse-error"
 RETRY = "retry"
 FAILURE = "failure"
 ORIGINAL = "original"
+OUTPUTS = [SUCCESS, ATTACHMENTS, PARSE_ERROR, RETRY, FAILURE, ORIGINAL]
 
 # What a fetch returns.
 HEADERS_ONLY = "HEADERS_ONLY"

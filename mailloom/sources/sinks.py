@@ -11,15 +11,25 @@ from pyspark.sql import types as T
 from mailloom.operators.cursor import advance_cursor
 from mailloom.operators.joins import lookup_join
 from mailloom.operators.summary import run_summary
-from mailloom.schema import CURSOR, ID_SET, MARK, PARSE_ERROR, SUCCESS
+from mailloom.schema import CURSOR, ID_SET, MARK, OUTPUTS, PARSE_ERROR, SUCCESS
 
 #: Steps between two full copies of cursors, marks and delivered UIDs.
 SNAPSHOT_EVERY = 100
 
 
 def write_routes(tagged: DataFrame, path: str) -> None:
-    """Write tagged rows, one folder per output. Writing again replaces them."""
-    tagged.write.mode("overwrite").partitionBy("relationship").parquet(path)
+    """Write tagged rows, one folder per output. Writing again replaces them.
+
+    A task keeps a file open for each output it meets, and so does not sort its rows, bodies
+    included, by output.
+    """
+    spark, files = tagged.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(files)
+    spark.conf.set(files, str(len(OUTPUTS)))
+    try:
+        tagged.write.mode("overwrite").partitionBy("relationship").parquet(path)
+    finally:
+        spark.conf.set(files, before)
 
 
 def read_route(spark: SparkSession, path: str, relationship: str) -> DataFrame:

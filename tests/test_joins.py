@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from mailloom.operators import joins
 from mailloom.operators.joins import SALTS, hot_keys, lookup_join, measured_bytes
 
 
@@ -79,3 +80,19 @@ def test_measured_salts_copy_hot_keys_only(spark, big, small):
     assert far.filter("key = 'hot'").agg(F.count("value")).first()[0] == 1000
     assert lookup_join(big, sizes, ["key"], "inner", spread=["id"], max_bytes=0,
                        weight=F.lit(1)).count() == 0
+
+
+def test_pairs_come_from_as_many_tasks_as_they_have_bytes(spark, monkeypatch):
+    monkeypatch.setattr(joins, "CELL_LEFT", 10)
+    monkeypatch.setattr(joins, "CELL_RIGHT", 7)
+    monkeypatch.setattr(joins, "PAIR_BYTES", 4 * joins.PAIR_BASE * 100)
+    # One hot key, one small one, and one on either side only; rows may come twice.
+    left = spark.range(50).selectExpr("if(id < 45, 1, if(id < 48, 2, 3)) AS k", "id % 40 AS a")
+    right = spark.range(60).selectExpr("if(id < 50, 1, if(id < 55, 2, 4)) AS k", "id % 30 AS b")
+    met = joins.pairs_join(left, right, ["k"], ["a"], ["b"])
+    assert sorted(map(tuple, met.select("k", "a", "b").collect())) == sorted(
+        map(tuple, left.join(right, "k").select("k", "a", "b").collect()))
+    filled = [n for n in met.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+    assert met.rdd.getNumPartitions() == 6 and len(filled) > 3 and max(filled) < 1500
+    none = joins.pairs_join(left.limit(0), right, ["k"], ["a"], ["b"], F.lit(3))
+    assert none.count() == 0 and none.columns == ["k", "a", "b"]

@@ -246,3 +246,23 @@ def test_old_files_are_not_offered(spark, tmp_path):
     assert seen == [("INBOX", 1), ("INBOX", 3)]
     with pytest.raises(ValueError):
         stream_raw(spark, str(root), archive="/x", delete=True)
+
+
+def test_routes_are_written_without_a_sort(spark, table, tmp_path):
+    run = fetch(read_messages(spark, table), FetchOptions(folder="*", recursive=True),
+                batch_id="b-1", capped=False)
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before, seen = spark.conf.get(name), []
+
+    class Tagged:
+        """Rows that note the setting under which they are written."""
+
+        sparkSession, rows = spark, run.tagged()
+
+        @property
+        def write(self):
+            seen.append(int(spark.conf.get(name)))
+            return self.rows.write
+
+    write_routes(Tagged(), str(tmp_path / "routes"))
+    assert seen[0] >= 3 and spark.conf.get(name) == before
