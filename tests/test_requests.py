@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from mailloom.functions.attributes import request_attributes
 from mailloom.operators import criteria as c
+from mailloom.operators import joins
 from mailloom.operators.requests import (
     classify,
     retry_ready,
@@ -257,3 +258,15 @@ def test_steps_on_disk(spark, tmp_path):
     again = read_next_requests(spark, state, 1).collect()
     assert [(r["request_id"], r["retry_count"]) for r in again] == [(3, 1)]
     assert set(again[0].asDict()) == set(with_defaults(asked).columns)
+
+
+def test_deliveries_are_dealt_out_however_few_files_the_mails_are_in(
+    spark, mails, folders, monkeypatch
+):
+    monkeypatch.setattr(joins, "PAIR_BYTES", 100 * joins.PAIR_BASE)
+    monkeypatch.setattr(joins, "CELL_RIGHT", 4)
+    run = plan.fetch_for_requests(_many(spark), folders, mails.coalesce(1))
+    per_task = run.success.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(per_task) == sum(
+        min((50 + n // 2 * 5) // 10, 30, 10 + n % 2 * 10) for n in range(90))
+    assert len(per_task) > 8 and max(per_task) < sum(per_task) / 4
