@@ -13,6 +13,10 @@ from mailloom.schema import MESSAGE
 #: What the binary file source gives; a stream has to name it.
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
+#: Bytes of mails, and splits of a file scan, that one task reads.
+TASK_BYTES = 32 * 1024 * 1024
+TASK_SPLITS = 32
+
 #: Columns a listing of envelopes needs; bodies and parts stay on disk.
 ENVELOPE_COLUMNS = [
     name for name in MESSAGE.fieldNames() if name not in ("content", "parts", "headers")
@@ -33,6 +37,22 @@ def _raw_columns(files: DataFrame, root: str) -> DataFrame:
     )
 
 
+def _few_tasks(files: DataFrame) -> DataFrame:
+    """``files`` in tasks of about ``TASK_BYTES`` and at most ``TASK_SPLITS`` splits of the scan.
+
+    A scan counts each file as ``spark.sql.files.openCostInBytes`` more, so a split of it has
+    32 mails, and a folder of millions of mails as many tasks as mails a small one has. Splits
+    are put together and not shuffled; each core keeps two tasks, if there are as many splits.
+    Nothing runs for it: sizes and splits are known from the listing.
+    """
+    plan = files._jdf.queryExecution()
+    splits = plan.toRdd().getNumPartitions()
+    held = int(str(plan.optimizedPlan().stats().sizeInBytes()))
+    cores = 2 * files.sparkSession.sparkContext.defaultParallelism
+    tasks = max(-(-held // TASK_BYTES), -(-splits // TASK_SPLITS), cores)
+    return files.coalesce(tasks) if tasks < splits else files
+
+
 def _as_it_is(folder: str) -> str:
     """A folder name in which no character stands for others."""
     return re.sub(r"([\\*?{}\[\]])", r"\\\1", folder)
@@ -65,7 +85,7 @@ def read_raw(
         files = reader.option("recursiveFileLookup", "true").load(root)
     else:
         files = reader.load(f"{root.rstrip('/')}/{_as_it_is(folder)}")
-    return _raw_columns(files, root)
+    return _raw_columns(_few_tasks(files), root)
 
 
 def _source_options(
@@ -101,6 +121,11 @@ def stream_raw(
     ``archive`` names a folder outside ``root`` that files are moved to once their batch is
     done, or ``delete`` removes them; each trigger then lists only what is still there.
     The files of a batch are cleaned when a later batch starts.
+
+    ``max_files`` are the most files of a micro-batch. Spark lists the files of a batch by a
+    job that sends a few KB of each to the driver, all at once, so a folder that can hold a
+    million new files should have such a bound (``availableNow`` still takes all of them, in
+    several batches). Such a batch is read by two tasks for each core, not by one for 32 mails.
     """
     reader = (
         spark.readStream.format("binaryFile")
@@ -108,8 +133,10 @@ def stream_raw(
         .option("pathGlobFilter", "*.eml")
         .option("recursiveFileLookup", "true")
     )
-    reader = _source_options(reader, max_files, max_age, archive, delete)
-    return _raw_columns(reader.load(root), root)
+    files = _source_options(reader, max_files, max_age, archive, delete).load(root)
+    if max_files is not None:
+        files = files.coalesce(2 * spark.sparkContext.defaultParallelism)
+    return _raw_columns(files, root)
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:

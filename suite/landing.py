@@ -22,6 +22,10 @@ from suite.mime import _MIXED, _spread
 from suite.scratch import scratch
 
 
+#: Files of a micro-batch. Spark sends what it lists of a batch's files to the driver.
+FILES_A_BATCH = 100_000
+
+
 def land(raw: DataFrame, root: str) -> None:
     """Put raw mails below ``root`` as ``<folder>/<uid>.eml``, from the tasks that hold them."""
     uri = root.replace("file:/", "file:///", 1) if root.startswith("file:/") else root
@@ -93,7 +97,8 @@ def landed_stream(spark, sf_dir):
     for wave in (0, 1):
         land(mails.filter(F.col("uid") % 2 == wave), f"{base}/in")
         (
-            ingest(stream_raw(spark, f"{base}/in")).writeStream.format("parquet")
+            ingest(stream_raw(spark, f"{base}/in", max_files=FILES_A_BATCH))
+            .writeStream.format("parquet")
             .option("path", f"{base}/messages").option("checkpointLocation", f"{base}/checkpoint")
             .trigger(availableNow=True).start().awaitTermination()
         )

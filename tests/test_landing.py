@@ -11,6 +11,7 @@ from mailloom import FetchOptions
 from mailloom.operators.attachments import attachments
 from mailloom.operators.folders import in_folder
 from mailloom.plans.fetch import fetch
+from mailloom.sources import landing
 from mailloom.sources.ingest import ingest, write_messages
 from mailloom.sources.landing import (
     read_envelopes,
@@ -20,6 +21,7 @@ from mailloom.sources.landing import (
     stream_raw,
 )
 from mailloom.sources.sinks import read_route, write_routes
+from suite import landing as landed
 from tests.test_mime import FAULTY, INVOICE, NESTED, RAW, SIMPLE
 
 
@@ -266,3 +268,54 @@ def test_routes_are_written_without_a_sort(spark, table, tmp_path):
 
     write_routes(Tagged(), str(tmp_path / "routes"))
     assert seen[0] >= 3 and spark.conf.get(name) == before
+
+
+@pytest.fixture(scope="module")
+def small_mails(tmp_path_factory):
+    """Four hundred files, which a scan cuts into thirteen splits."""
+    root = tmp_path_factory.mktemp("small")
+    (root / "INBOX").mkdir()
+    for uid in range(1, 401):
+        (root / "INBOX" / f"{uid}.eml").write_bytes(SIMPLE)
+    return str(root)
+
+
+def test_small_files_are_read_by_few_tasks(spark, small_mails, monkeypatch):
+    raw = read_raw(spark, small_mails)
+    cores = 2 * spark.sparkContext.defaultParallelism
+    assert raw.rdd.getNumPartitions() == cores < 13
+    assert sorted(r.uid for r in raw.select("uid").collect()) == list(range(1, 401))
+    # Large mails keep the splits of the scan.
+    monkeypatch.setattr(landing, "TASK_BYTES", 1)
+    assert read_raw(spark, small_mails).rdd.getNumPartitions() == 13
+
+
+def test_a_bounded_stream_takes_all_files_in_batches_of_few_tasks(spark, small_mails, tmp_path):
+    seen = []
+
+    def handle(batch, number):
+        seen.append((batch.rdd.getNumPartitions(), [r.uid for r in batch.select("uid").collect()]))
+
+    raw = stream_raw(spark, small_mails, max_files=390)
+    raw.writeStream.foreachBatch(handle).option(
+        "checkpointLocation", str(tmp_path / "c")
+    ).trigger(availableNow=True).start().awaitTermination()
+    assert [len(uids) for _, uids in seen] == [390, 10]
+    assert sorted(uid for _, uids in seen for uid in uids) == list(range(1, 401))
+    assert max(tasks for tasks, _ in seen) <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_the_landed_stream_has_bounded_batches(spark, monkeypatch):
+    given = []
+
+    def stop(*args, **options):
+        given.append(options)
+        raise InterruptedError
+
+    monkeypatch.setattr(landed, "stream_raw", stop)
+    monkeypatch.setattr(landed, "land", lambda raw, root: None)
+    monkeypatch.setattr(landed.views, "mixed_raw", lambda spark, sf_dir: spark.range(1).select(
+        F.col("id").alias("uid")))
+    with pytest.raises(InterruptedError):
+        landed.landed_stream(spark, "")
+    assert 0 < given[0]["max_files"] <= 100_000
