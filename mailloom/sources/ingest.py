@@ -12,7 +12,7 @@ from mailloom.schema import MESSAGE
 from mailloom.sources.mime import parse_mail
 
 #: Bytes and rows after which a task hands a finished Arrow batch to Spark.
-BATCH_BYTES = 16 * 1024 * 1024
+BATCH_BYTES = 4 * 1024 * 1024
 BATCH_ROWS = 1024
 
 #: UIDs of a folder that are kept together when a message table is written.
@@ -87,8 +87,9 @@ def _parse_batches(batches: Iterator[pa.RecordBatch], with_content: bool):
             done.append(row)
             held += len(raw)
             if held >= BATCH_BYTES or len(done) >= BATCH_ROWS:
-                yield _record_batch(done)
-                done, held = [], 0
+                full, done, held = _record_batch(done), [], 0
+                yield full
+                del full
     if done:
         yield _record_batch(done)
 

@@ -4,6 +4,7 @@ import os
 import time
 from datetime import datetime, timezone
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from mailloom.operators.attachments import attachments
 from mailloom.operators.folders import in_folder
 from mailloom.plans.fetch import fetch
 from mailloom.sources import landing
-from mailloom.sources.ingest import ingest, write_messages
+from mailloom.sources.ingest import _parse_batches, ingest, write_messages
 from mailloom.sources.landing import (
     read_envelopes,
     read_messages,
@@ -319,3 +320,16 @@ def test_the_landed_stream_has_bounded_batches(spark, monkeypatch):
     with pytest.raises(InterruptedError):
         landed.landed_stream(spark, "")
     assert 0 < given[0]["max_files"] <= 100_000
+
+
+def test_parsed_mails_are_handed_on_in_small_batches():
+    count, mail = 12, SIMPLE + b"x" * 2**20
+    batch = pa.RecordBatch.from_pydict({
+        "folder": ["INBOX"] * count, "uid": list(range(count)),
+        "msg_num": pa.nulls(count, pa.int64()),
+        "received_ts": pa.nulls(count, pa.timestamp("us", tz="UTC")),
+        "size": [len(mail)] * count, "flags": pa.nulls(count, pa.list_(pa.string())),
+        "raw": [mail] * count,
+    })
+    given = [found["uid"].to_pylist() for found in _parse_batches(iter([batch]), True)]
+    assert sum(given, []) == list(range(count)) and max(map(len, given)) <= 4
