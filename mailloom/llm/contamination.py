@@ -33,8 +33,9 @@ from mailloom.operators.joins import lookup_join
 #: Words of a shared span, and of the runs that are hashed.
 WINDOW, GRAM = 13, 6
 
-#: Words are letters and digits; any character beyond ASCII is part of a word.
-PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Words are letters and digits; any character beyond ASCII is part of a word. A class that
+#: says what is not in a word is tested range by range for each character, and far slower.
+PATTERN = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 
 
 def item_words(text="text"):
@@ -45,27 +46,44 @@ def item_words(text="text"):
     return F.regexp_extract_all(lower, F.lit(PATTERN), 0)
 
 
-def _fingerprints(window: int, gram: int):
-    """``place`` (from 1) of the fingerprints of the column ``grams``."""
-    width = window - gram + 1
+def _with_runs(df: DataFrame, values: str, length: int, joined) -> DataFrame:
+    """The array ``values`` with, at each place, the ``length`` values from there on put together.
 
-    def least(at):
-        near = F.slice("grams", at, width)
-        return (at + F.array_position(near, F.array_min(near)) - 1).cast("int")
+    ``joined`` puts two neighbours together, each of which may be several values; where they
+    overlap it has to bear that. A run is made of two shorter runs, so each value is touched a
+    few times and no run is copied. Runs that go past the end are left out.
+    """
+    span = 1
+    while span < length:
+        step = min(span, length - span)
+        df = df.withColumn(values, F.zip_with(
+            values, F.slice(values, step + 1, F.size(values)), joined
+        ))
+        span += step
+    whole = F.greatest(F.size(values) - length + 1, F.lit(0))
+    return df.withColumn(values, F.slice(values, 1, whole))
 
-    starts = F.sequence(F.lit(1), F.size("grams") - width + 1)
-    return F.when(F.size("grams") >= width, F.array_distinct(F.transform(starts, least))).otherwise(
-        F.array().cast("array<int>")
-    )
+
+#: The bits of a place in a key, beside a gram's hash; an array has fewer than 2^31 places.
+_PLACE = (1 << 31) - 1
 
 
 def _with_fingerprints(worded: DataFrame, window: int, gram: int) -> DataFrame:
-    starts = F.sequence(F.lit(1), F.size("words") - gram + 1)
-    grams = F.when(
-        F.size("words") >= window,
-        F.transform(starts, lambda at: F.xxhash64(F.slice("words", at, gram))),
-    ).otherwise(F.array().cast("array<bigint>"))
-    return worded.withColumn("grams", grams).withColumn("places", _fingerprints(window, gram))
+    """``grams``, the hash of the run of words at each place, and ``places`` (from 1) of the
+    fingerprints; both are empty for fewer words than a window."""
+    hashed = worded.withColumn("grams", F.when(
+        F.size("words") >= window, F.transform("words", lambda word: F.xxhash64(word))
+    ).otherwise(F.array().cast("array<bigint>")))
+    grams = _with_runs(hashed, "grams", gram, lambda a, b: F.xxhash64(a, b))
+    # The place in the low bits: the least key is the leftmost of the least hashes. Windows
+    # with the same words have it at the same word, wherever they are.
+    keyed = grams.withColumn("places", F.transform(
+        "grams", lambda h, at: h.bitwiseAND(F.lit(~_PLACE)).bitwiseOR((at + 1).cast("long"))
+    ))
+    least = _with_runs(keyed, "places", window - gram + 1, lambda a, b: F.least(a, b))
+    return least.withColumn("places", F.transform(
+        F.array_distinct("places"), lambda key: key.bitwiseAND(F.lit(_PLACE)).cast("int")
+    ))
 
 
 def contamination(
