@@ -98,22 +98,27 @@ def contamination(
     seqs = items.groupBy("seq").agg(F.first("item").alias("item"))
     seqs = stored(seqs.withColumn("need", F.least(F.size("item"), F.lit(window))))
 
+    def spread(marked: DataFrame, *ids: str) -> DataFrame:
+        return marked.select(*ids, F.inline(F.arrays_zip("places", "hashes"))).withColumnsRenamed(
+            {"places": "place", "hashes": "h"}
+        )
+
+    hashes = F.transform("places", lambda at: F.element_at("grams", at)).alias("hashes")
     marked = _with_fingerprints(
         documents.select("doc_id", text_key().alias("key"), item_words().alias("words")),
         window, gram,
     )
     marked = stored(marked.select(
-        "doc_id", "key", F.size("words").cast("long").alias("n_words"),
-        "places", F.transform("places", lambda at: F.element_at("grams", at)).alias("hashes"),
+        "doc_id", "key", F.size("words").cast("long").alias("n_words"), "places", hashes,
     ))
-    spread = marked.select("key", F.inline(F.arrays_zip("places", "hashes"))).withColumnsRenamed(
-        {"places": "place", "hashes": "h"}
-    )
-    tests = _with_fingerprints(seqs.withColumnRenamed("item", "words"), window, gram).select(
-        "seq", "grams", F.explode("places").alias("item_place")
-    ).select("seq", "item_place", F.element_at("grams", F.col("item_place")).alias("h"))
+    # Written before they are spread: the filter that comes with a spread array would
+    # otherwise repeat all that the array is made from.
+    tests = stored(_with_fingerprints(
+        seqs.withColumnRenamed("item", "words"), window, gram
+    ).select("seq", "places", hashes))
+    tests = spread(tests, "seq").withColumnRenamed("place", "item_place")
     hits = lookup_join(
-        spread, stored(tests), ["h"], how="inner", spread=["key", "place"]
+        spread(marked, "key"), tests, ["h"], how="inner", spread=["key", "place"]
     ).select("key", "seq", (F.col("place") - F.col("item_place")).alias("shift"))
     hits = hits.unionByName(_short_hits(documents, seqs, window)).distinct()
     hits = stored(hits)
