@@ -170,7 +170,8 @@ def resolve_folders(
 
     A plain request names its folder. A recursive one selects by path or, with
     a trailing ``*``, by prefix among the reachable folders within its depth.
-    Both are equality joins: a folder is offered under each of its prefixes.
+    Both are equality joins: a folder is offered under each of its prefixes, and the
+    requests look these up where they are read.
     ``keep`` names more request columns to carry along; the request's own target
     is carried as ``target`` if that is named.
     """
@@ -198,8 +199,9 @@ def resolve_folders(
         ).alias("_text"),
         F.lit(True).alias("_star"),
     )
+    # The prefixes of the folders are looked up: many requests name the same few of them.
     found = lookup_join(
-        whole.unionByName(prefixes), wanted, ["_text", "_star"], "inner", spread=["path"]
+        wanted, whole.unionByName(prefixes), ["_text", "_star"], "inner", spread=["request_id"]
     ).filter(
         F.col("_max_depth").isNull()
         | (folder_depth(F.col("path"), separator) <= F.col("_max_depth"))

@@ -82,3 +82,15 @@ def test_requests_to_folders(spark):
         (4, "Lists"), (4, "Lists/x"), (4, "Lists/z"), (5, "Lists/z"),
         (7, ""), (7, "INBOX"), (7, "Lists"), (7, "Odd"), (9, "INBOX/a"),
     ]
+
+
+def test_requests_look_up_folders_where_they_are_read(spark):
+    # More requests than are broadcast, for the same few folders: none is copied to salts.
+    asked = spark.range(0, 120_000, 1, 4).select(
+        F.col("id").alias("request_id"), F.lit("Lists*").alias("folder"), F.lit(True).alias("recursive"),
+        F.lit(-1).alias("max_recursion_depth"), F.lit("s" * 300).alias("state_folder"),
+    )
+    found = resolve_folders(asked, tree(spark), keep=["state_folder"])
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" not in text
+    assert found.count() == 4 * 120_000
