@@ -22,7 +22,7 @@ from suite.mime import _MIXED, _spread
 from suite.scratch import scratch
 
 
-#: Files of a micro-batch. Spark sends what it lists of a batch's files to the driver.
+#: Files of a micro-batch.
 FILES_A_BATCH = 100_000
 
 
@@ -97,8 +97,9 @@ def landed_stream(spark, sf_dir):
     for wave in (0, 1):
         land(mails.filter(F.col("uid") % 2 == wave), f"{base}/in")
         (
-            ingest(stream_raw(spark, f"{base}/in", max_files=FILES_A_BATCH))
-            .writeStream.format("parquet")
+            ingest(
+                stream_raw(spark, f"{base}/in", max_files=FILES_A_BATCH, log=f"{base}/log")
+            ).writeStream.format("parquet")
             .option("path", f"{base}/messages").option("checkpointLocation", f"{base}/checkpoint")
             .trigger(availableNow=True).start().awaitTermination()
         )

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import os
+import shutil
 import time
 from datetime import datetime, timezone
 
 import pyarrow as pa
 import pytest
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from mailloom import FetchOptions
@@ -333,3 +335,104 @@ def test_parsed_mails_are_handed_on_in_small_batches():
     })
     given = [found["uid"].to_pylist() for found in _parse_batches(iter([batch]), True)]
     assert sum(given, []) == list(range(count)) and max(map(len, given)) <= 4
+
+
+def taken(raw, place):
+    """What a stream of mails offers when it is started: the rows of each batch."""
+    seen = []
+    raw.writeStream.foreachBatch(lambda df, step: seen.append(df.collect())).option(
+        "checkpointLocation", str(place)
+    ).trigger(availableNow=True).start().awaitTermination()
+    return seen
+
+
+def test_a_stream_with_a_log_gives_the_rows_of_spark_s_listing(spark, root, tmp_path):
+    for place in ("INBOX/.hidden.eml", "_left/5.eml", "INBOX/6.eml._COPYING_"):
+        path = tmp_path / "in" / place
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(SIMPLE)
+    shutil.copytree(root, tmp_path / "in", dirs_exist_ok=True)
+    (tmp_path / "in" / "k=1 é%20" / "x.eml").mkdir(parents=True)
+    (tmp_path / "in" / "k=1 é%20" / "x.eml" / "8.eml").write_bytes(NESTED)
+    (tmp_path / "in" / "5.eml").write_bytes(INVOICE)
+    at = str(tmp_path / "in")
+    plain = taken(stream_raw(spark, at), tmp_path / "c1")
+    logged = taken(stream_raw(spark, f"file://{at}/", log=str(tmp_path / "log")), tmp_path / "c2")
+    assert sorted(map(str, sum(logged, []))) == sorted(map(str, sum(plain, [])))
+    assert len(sum(logged, [])) == len(ALL) + 2
+
+
+def test_a_stream_with_a_log_takes_each_file_once_in_bounded_batches(spark, tmp_path, monkeypatch):
+    def start(uids):
+        for uid in uids:
+            (tmp_path / "in" / f"{uid}.eml").write_bytes(SIMPLE)
+        raw = stream_raw(spark, str(tmp_path / "in"), max_files=40, log=str(tmp_path / "log"))
+        return [[r.uid for r in batch] for batch in taken(raw, tmp_path / "c")]
+
+    monkeypatch.setattr(landing, "LOG_SHARES", 4)
+    (tmp_path / "in").mkdir()
+    assert sum(start([]), []) == []
+    batches = start(range(100))
+    assert sorted(sum(batches, [])) == list(range(100))
+    assert 3 <= len(batches) and max(map(len, batches)) <= 40
+    assert start([]) == []
+    assert sorted(sum(start(range(100, 107)), [])) == list(range(100, 107))
+    # A stream that is started anew has all files of the log; one that is gone is left out.
+    (tmp_path / "in" / "3.eml").unlink()
+    raw = stream_raw(spark, str(tmp_path / "in"), log=str(tmp_path / "log"))
+    seen = sum(taken(raw, tmp_path / "other"), [])
+    assert sorted(r.uid for r in seen) == [uid for uid in range(107) if uid != 3]
+
+
+def test_a_stream_with_a_log_leaves_out_old_files(spark, tmp_path):
+    def start(uid, days):
+        path = tmp_path / "in" / f"{uid}.eml"
+        path.write_bytes(SIMPLE)
+        os.utime(path, (time.time() - days * 86400,) * 2)
+        raw = stream_raw(spark, str(tmp_path / "in"), max_age="7d", log=str(tmp_path / "log"))
+        return [r.uid for batch in taken(raw, tmp_path / "c") for r in batch]
+
+    (tmp_path / "in").mkdir()
+    assert [start(1, 0), start(2, 30), start(3, 1)] == [[1], [], [3]]
+    for cleaned in ({"delete": True}, {"archive": "/x"}):
+        with pytest.raises(ValueError):
+            stream_raw(spark, str(tmp_path / "in"), log=str(tmp_path / "log"), **cleaned)
+
+
+def test_the_landed_stream_keeps_no_mail_files_on_the_driver(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landed, "scratch", lambda spark: str(tmp_path))
+    mails = spark.range(300).select(
+        F.lit("INBOX").alias("folder"), F.col("id").alias("uid"), F.lit(SIMPLE).alias("raw"))
+    monkeypatch.setattr(landed.views, "mixed_raw", lambda spark, sf_dir: mails)
+    found = landed.landed_stream(spark, "").select("folder", "uid").collect()
+    assert sorted(found) == [("INBOX", uid) for uid in range(300)]
+    # What the source writes is what it keeps: Spark's own listing has all paths there.
+    kept = [p.read_text() for p in (tmp_path / "checkpoint" / "sources" / "0").glob("[0-9]*")]
+    assert len(kept) >= 2 and sum(text.count('"path"') for text in kept) < 50
+    assert ".eml" not in "".join(kept)
+
+
+def test_folders_and_mails_are_the_same_through_pyarrow(root, monkeypatch):
+    def found(below):
+        batch = pa.RecordBatch.from_pydict({"folder": [below]})
+        return sum((b.to_pylist() for b in landing._lister(f"file:{root}")(iter([batch]))), [])
+
+    def mails(rows):
+        batch = pa.RecordBatch.from_pylist([r for r in rows if r["path"]])
+        return sum((b.to_pylist() for b in landing._reader(f"file:{root}")(iter([batch]))), [])
+
+    local = [found(below) for below in ("", "/INBOX", "/gone")]
+    content = mails(local[1])
+    assert [len(rows) for rows in local] == [2, 4, 0] and len(content) == 3
+    assert {r["path"]: r["content"] for r in content}[f"file:{root}/INBOX/12.eml"] == INVOICE
+    monkeypatch.setattr(landing, "_opened", lambda uri: (fs.LocalFileSystem(), uri[5:]))
+    for below, rows in zip(("", "/INBOX", "/gone"), local, strict=True):
+        assert sorted(found(below), key=str) == sorted(rows, key=str)
+    assert mails(local[1]) == content
+
+
+def test_names_that_spark_leaves_out():
+    for name in ("7.eml", "_x=1", "_metadata", "é.eml"):
+        assert not landing._hidden(name)
+    for name in (".7.eml", "_x", "7.eml._COPYING_", "\udce9.eml"):
+        assert landing._hidden(name)
